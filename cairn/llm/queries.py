@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality_rules, secrets
+from . import langid, mixing, pii, quality_cnn, quality_rules, secrets, tokens, toxicity
+from .common import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    a = langid.predict(docs, langid.fit(docs))
+    return a.select("doc_id", held_out().alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"), F.col("__rejected").alias("rejected"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its block, slot, release and deadline under square-root weights."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", F.lit(None).cast("string").alias("text"))
@@ -19,6 +26,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(docs).select("doc_id", "source", *[F.col(a).alias(b) for a, b in own.items()])
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    a = toxicity.score(docs, toxicity.fit(docs, labels))
+    return a.select("doc_id", held_out().alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.digest(secrets.find(docs, secrets.fit(docs)))
@@ -35,5 +48,23 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("doc_id", *[F.col(f"__{k}").alias(k) for k in quality_rules.COUNTS], F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op4_secrets, op5_pii, op6_quality_rules)}
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.encode(docs, tokenizer_path=tokenizer_path())
+
+
+def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    a = quality_cnn.score(docs, quality_cnn.fit(docs, labels))
+    return a.select("doc_id", held_out().alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+def tokenizer_path() -> str:
+    """The vocabulary of the token files, from the installed package of public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+QUERIES = {f.__name__: f for f in (op1_langid, op2_mixing, op3_toxicity, op4_secrets, op5_pii, op6_quality_rules, op7_token_files, op10_quality_cnn)}
 ORACLE: dict[str, str] = {}
