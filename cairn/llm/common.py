@@ -123,6 +123,9 @@ def lowered(buf: np.ndarray) -> np.ndarray:
 
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[9, 10, 11, 12, 13, 32]] = True
+#: Everything but ASCII letters, digits and bytes of other scripts.
+MARKS = np.ones(256, bool)
+MARKS[48:58] = MARKS[65:91] = MARKS[97:123] = MARKS[128:] = False
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
 
@@ -147,13 +150,13 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def words_of(buf: np.ndarray, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Blank-separated words of a byte buffer: starts, ends and 64-bit hashes. cut: positions where a new text begins."""
+def words_of(buf: np.ndarray, cut: np.ndarray | None = None, blanks: np.ndarray = _BLANKS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a byte buffer, parted by the bytes that `blanks` marks: starts, ends and 64-bit hashes. cut: positions where a new text begins."""
     n = len(buf)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(0, np.uint64)
-    full = np.concatenate(([False], ~_BLANKS[buf], [False]))
+    full = np.concatenate(([False], ~blanks[buf], [False]))
     begins = full[1:-1] & ~full[:-2]
     stops = full[1:-1] & ~full[2:]
     if cut is not None and len(cut):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, pii, quality_cnn, quality_rules, secrets, tokens, toxicity
+from . import decontam, langid, mixing, neardup, pii, quality_cnn, quality_rules, secrets, tokens, toxicity
 from .common import held_out
 
 
@@ -53,6 +53,19 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(docs, tokenizer_path=tokenizer_path())
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies and its number of links."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.classes_of(docs).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that leaked into it."""
+    docs, bench = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
+    a = decontam.search(docs, decontam.fit(docs, bench))
+    return a.selectExpr("doc_id", "inline(__leaks)")
+
+
 def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     a = quality_cnn.score(docs, quality_cnn.fit(docs, labels))
@@ -66,5 +79,5 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_mixing, op3_toxicity, op4_secrets, op5_pii, op6_quality_rules, op7_token_files, op10_quality_cnn)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_mixing, op3_toxicity, op4_secrets, op5_pii, op6_quality_rules, op7_token_files, op8_ngram_jaccard, op9_decontam, op10_quality_cnn)}
 ORACLE: dict[str, str] = {}
