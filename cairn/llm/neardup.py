@@ -1,14 +1,13 @@
 """N-gram Jaccard self-join: a MinHash LSH forest, then exact verification on shingle sets.
 
 Exact copies are first folded into classes, so the join sees each distinct word sequence once. A class's signature gives
-TREES labels; the k-th tree's label is the signature read from its k-th part on. The shallowest prefix length is the
-longest that still finds a pair at the threshold with the target recall in some tree. Prefixes shared by more than LEAF
-classes are lengthened step by step (the trie is descended): every member of such a node is compared with the node's
-pivot, found along the heaviest branches, and the descent goes on until the node is small enough for all its pairs.
-Groups that stay large at the full depth are dealt into parts of about LEAF members that are compared inside, beside
-the pivot. So candidates grow with the number of classes, never with the square of a group. Candidates count as links
-only if the Jaccard similarity of their shingle sets, computed from the texts, reaches the threshold. Classes are the
-connected components of the links.
+TREES labels of PART values, one for each prefix trie of the forest. Matched prefixes are shortened from the full label
+until a pair at the threshold meets in some trie with the target recall; classes below the same trie node are then
+candidates. Candidates count as links only if the Jaccard similarity of their shingle sets, computed from the texts,
+reaches the threshold. Small nodes give their pairs as rows. Larger nodes are dealt into blocks: each task compares two
+blocks in memory by a product of shingle incidences and returns each member's number of links and a spanning forest, so
+no group meets in one task and no group's pairs become rows. A pair that meets in several tries is counted in the first
+only. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -25,22 +24,22 @@ from .common import STEP_BYTES, groups_of, mixed, stored, text_buffer, words_of
 
 WORDS = 5
 SIMILARITY = 0.8
-RECALL = 0.99
-TREES, PART = 12, 8
-#: Lengths of prefixes beyond the shallowest.
-DEEPER = (8, 12, 20, 32)
-#: Classes of a trie node whose pairs are all compared.
-LEAF = 10
+RECALL = 0.9995
+TREES, PART = 16, 6
+#: Classes of a trie node whose pairs become rows; of larger nodes, classes of a block.
+LEAF, BLOCK = 12, 512
+#: Shingles that a block's product takes at a time.
+COLUMNS = 4096
 
 _rng = np.random.default_rng(11)
 _MULTIPLY = _rng.integers(1, 1 << 63, TREES * PART, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shallowest(similarity: float = SIMILARITY, recall: float = RECALL, trees: int = TREES) -> int:
-    """The longest prefix with which a pair at the threshold meets in some tree with the target recall; 1 at least."""
-    d = 1
-    while d < DEEPER[0] - 1 and 1 - (1 - similarity ** (d + 1)) ** trees >= recall:
-        d += 1
+def prefix_length(similarity: float = SIMILARITY, recall: float = RECALL, trees: int = TREES) -> int:
+    """The longest prefix with which a pair at the threshold meets in some trie with the target recall; 1 at least."""
+    d = PART
+    while d > 1 and 1 - (1 - similarity**d) ** trees < recall:
+        d -= 1
     return d
 
 
@@ -116,35 +115,111 @@ def features(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), words: int
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
-def candidates(classes: DataFrame, *, leaf: int = LEAF, depths: tuple[int, ...] | None = None) -> DataFrame:
-    """(a, b), a < b: distinct pairs of nodes to verify. classes: (node, sig) with each node once; see the module."""
-    depths = depths or (shallowest(), *DEEPER)
-    last = len(depths) - 1
-    label = "concat(sig, sig)"
-    rows = classes.selectExpr("node", f"explode(transform(sequence(0, {TREES - 1}), t -> struct({', '.join(f'xxhash64(t, substring({label}, t * {PART * 4} + 1, {4 * d})) AS p{k}' for k, d in enumerate(depths))}))) AS x").select("node", "x.*")
-    met = rows.groupBy("p0").agg(F.count("*").alias("n0")).where("n0 >= 2")
-    rows = stored(rows.join(met, "p0"), "forest")
-    # n_k: size of the node at depth k, where it is larger than a leaf
-    for k in range(1, len(depths)):
-        large = rows.groupBy(f"p{k}").agg(F.count("*").alias(f"n{k}")).where(F.col(f"n{k}") > leaf)
-        rows = rows.join(large, f"p{k}", "left")
-    rows = stored(rows.withColumns({f"n{k}": F.coalesce(F.col(f"n{k}"), F.lit(0)) for k in range(1, len(depths))}), "forest")
-    is_large = lambda k: F.col(f"n{k}") > leaf
-    edges = None
-    for k in range(len(depths)):
-        heavy = F.struct(*[F.col(f"n{m}") for m in range(k + 1, len(depths))], F.col("node"))
-        own = rows.where(is_large(k))
-        pivots = own.groupBy(f"p{k}").agg(F.max_by("node", heavy).alias("pivot"))
-        star = own.select("node", f"p{k}").join(pivots, f"p{k}").where("node != pivot").selectExpr("least(node, pivot) AS a", "greatest(node, pivot) AS b")
-        edges = star if edges is None else edges.unionByName(star)
-    group = F.xxhash64(F.lit(last), f"p{last}", F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.col(f"n{last}") / leaf)))
-    for k in range(len(depths) - 1, -1, -1):
-        group = F.when(~is_large(k), F.xxhash64(F.lit(k), f"p{k}")).otherwise(group)
-    # the first depth that isn't large decides
-    leaves = rows.select("node", group.alias("leaf"))
-    other = leaves.select(F.col("node").alias("other"), F.col("leaf"))
-    pairs = leaves.join(other, "leaf").where("node < other").selectExpr("node AS a", "other AS b")
-    return edges.unionByName(pairs).distinct()
+def nodes_of(classes: DataFrame, depth: int) -> DataFrame:
+    """(node, t, p, n): the trie nodes with company at that depth, p: hash of trie and prefix, n: classes below it."""
+    step = f"transform(sequence(0, {TREES - 1}), t -> struct(t AS t, xxhash64(t, substring(sig, t * {PART * 4} + 1, {4 * depth})) AS p))"
+    rows = classes.selectExpr("node", f"explode({step}) AS x").select("node", "x.*")
+    met = rows.groupBy("p").agg(F.count("*").alias("n")).where("n >= 2")
+    return rows.join(met, "p").select("node", "t", "p", "n")
+
+
+def pairs_of(nodes: DataFrame, leaf: int) -> DataFrame:
+    """(a, b), a < b: distinct pairs below small nodes, at most leaf * (leaf - 1) / 2 of a node."""
+    one = nodes.where(F.col("n") <= leaf).select("node", "p")
+    two = one.select(F.col("node").alias("other"), "p")
+    return one.join(two, "p").where("node < other").selectExpr("node AS a", "other AS b").distinct()
+
+
+def block_links(nodes: DataFrame, sets: DataFrame, *, leaf: int, block: int = BLOCK, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, n, root): links of the members of large nodes, counted block by block, and a member they lead to.
+
+    A member goes to one task for each block of its trie node. Pairs that also share a small node are left to
+    pairs_of(); of several large nodes that a pair shares, the one of the first trie counts it.
+    """
+    large = nodes.where(F.col("n") > leaf)
+    # every node that a class with a large one stands below: hash, negative trie number where it is small
+    own = large.select("node").distinct()
+    labels = nodes.join(own, "node").groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("t", F.struct("p", (F.col("n") > leaf).alias("big"))))).alias("m"))
+    ps = F.expr(f"transform(sequence(0, {TREES - 1}), t -> coalesce(m[t].p, 0L))")
+    big = F.expr(f"transform(sequence(0, {TREES - 1}), t -> coalesce(m[t].big, false))")
+    dealt = large.withColumns({"nb": F.ceil(F.col("n") / block).cast("int"), "h": F.xxhash64("node", F.lit(9))}).withColumn("k", F.expr("cast(pmod(h, nb) as int)"))
+    dealt = dealt.selectExpr("node", "t", "p", "k", "explode(sequence(0, nb - 1)) AS x").selectExpr("node", "t", "p", "k", "least(k, x) AS i", "greatest(k, x) AS j")
+    rows = dealt.join(labels.select("node", ps.alias("ps"), big.alias("big")), "node").join(sets, "node")
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        t, i, j = key[0].as_py(), key[2].as_py(), key[3].as_py()
+        table = table.combine_chunks()
+        ids = table.column("node").to_pylist()
+        side = np.asarray(table.column("k"))
+        left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+        col = lambda name: table.column(name).chunk(0).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), TREES)
+        empty = pa.table({"node": pa.array([], pa.binary()), "n": pa.array([], pa.int64()), "root": pa.array([], pa.binary())})
+        if not len(left) or not len(right) or table.num_rows < 2:
+            return empty
+        ps, big = col("ps"), col("big")
+        todo = np.ones((len(left), len(right)), bool)
+        if i == j:
+            todo &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
+        for other in range(TREES):
+            if other != t:
+                skip = (ps[left, other][:, None] == ps[right, other][None, :]) & (ps[left, other] != 0)[:, None]
+                todo &= ~(skip if other < t else skip & ~big[left, other][:, None])
+        use_l, use_r = todo.any(axis=1), todo.any(axis=0)
+        left, right, todo = left[use_l], right[use_r], todo[np.ix_(use_l, use_r)]
+        if not len(left):
+            return empty
+        lists = table.column("s").chunk(0)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        flat = lists.values.to_numpy(zero_copy_only=False)
+        size = np.diff(offsets)
+        # sizes bound the similarity: min / max
+        common = _common([flat[offsets[k] : offsets[k + 1]] for k in left], [flat[offsets[k] : offsets[k + 1]] for k in right])
+        total = size[left][:, None] + size[right][None, :]
+        linked = todo & (common >= similarity * (total - common))
+        a, b = np.nonzero(linked)
+        if not len(a):
+            return empty
+        x, y = left[a], right[b]
+        count = np.bincount(x, minlength=len(ids)) + np.bincount(y, minlength=len(ids))
+        root = np.arange(len(ids))
+        while True:  # least member reached, by pointer jumping
+            low = np.minimum(root[x], root[y])
+            new = root.copy()
+            np.minimum.at(new, x, low)
+            np.minimum.at(new, y, low)
+            new = new[new]
+            if (new == root).all():
+                break
+            root = new
+        at = np.flatnonzero(count)
+        return pa.table({"node": pa.array([ids[k] for k in at], pa.binary()), "n": pa.array(count[at]), "root": pa.array([ids[root[k]] for k in at], pa.binary())})
+
+    return rows.groupBy("t", "p", "i", "j").applyInArrow(compare, "node binary, n bigint, root binary")
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, from the shingles that both sides hold, COLUMNS at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    if not len(both):
+        return out
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.concatenate(sets)
+        col = np.minimum(np.searchsorted(both, at), len(both) - 1)
+        ok = both[col] == at
+        order = np.argsort(col[ok], kind="stable")
+        return rows[ok][order], col[ok][order]
+
+    (ra, ca), (rb, cb) = places(left), places(right)
+    for k in range(0, len(both), COLUMNS):
+        x, y = np.zeros((len(left), COLUMNS), np.float32), np.zeros((len(right), COLUMNS), np.float32)
+        for m, r, c in ((x, ra, ca), (y, rb, cb)):
+            lo, hi = np.searchsorted(c, [k, k + COLUMNS])
+            m[r[lo:hi], c[lo:hi] - k] = 1
+        out += x @ y.T
+    return out
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
@@ -211,13 +286,16 @@ def classes_of(docs: DataFrame, *, similarity: float = SIMILARITY, leaf: int = L
     feats = stored(features(docs.select("doc_id", "text")), "minhash")
     reps = feats.where("__node IS NOT NULL").groupBy(F.col("__node").alias("node")).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), F.first("__sig").alias("sig"))
     reps = stored(reps, "classes")
-    edges = stored(candidates(reps.select("node", "sig"), leaf=leaf), "pairs")
-    wanted = edges.selectExpr("explode(array(a, b)) AS node").distinct().join(reps.select("node", "rep"), "node").select("node", F.col("rep").alias("doc_id"))
+    nodes = stored(nodes_of(reps.select("node", "sig"), prefix_length(similarity)), "forest")
+    pairs = stored(pairs_of(nodes, leaf), "pairs")
+    needed = pairs.selectExpr("explode(array(a, b)) AS node").unionByName(nodes.where(F.col("n") > leaf).select("node")).distinct()
+    wanted = needed.join(reps.select("node", "rep"), "node").select("node", F.col("rep").alias("doc_id"))
     sets = stored(shingle_sets(docs, wanted), "shingles")
-    links = stored(verified(edges, sets, similarity), "links")
+    links = stored(verified(pairs, sets, similarity), "links")
+    blocks = stored(block_links(nodes, sets, leaf=leaf, similarity=similarity), "blocks")
     key = lambda c: F.xxhash64(c)
-    degree = links.selectExpr("explode(array(a, b)) AS node").groupBy("node").agg(F.count("*").alias("n_links"))
-    root = components(links.select(key("a").alias("u"), key("b").alias("v")))
+    degree = links.selectExpr("explode(array(a, b)) AS node", "1L AS n").unionByName(blocks.select("node", "n")).groupBy("node").agg(F.sum("n").alias("n_links"))
+    root = components(links.select(key("a").alias("u"), key("b").alias("v")).unionByName(blocks.select(key("node").alias("u"), key("root").alias("v"))))
     own = reps.select("node", "rep", "n_copies").withColumn("u", key("node")).join(root, "u", "left").withColumn("root", F.coalesce("root", "u"))
     least = own.groupBy("root").agg(F.min("rep").alias("class_id"))
     info = own.join(least, "root").join(degree, "node", "left").select("node", "class_id", "root", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
