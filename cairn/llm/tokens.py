@@ -9,6 +9,7 @@ index of documents are zstd frames of one file; the header has their places.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -28,31 +29,48 @@ MAGIC = b"WMX1"
 #: The id after each document.
 END_ID = 2
 #: Ids of a shard, about; a longer document stands alone.
-SHARD_IDS = 2_000_000
+SHARD_IDS = 4_000_000
 _BLOCK = 512
+#: Ids that building and decoding move at a time.
+_STEP = 1 << 17
 
 
 class WaveletMatrix:
-    """Bit planes with rank and select. Positions and ids are counted from 0; ends are exclusive."""
+    """Bit planes with rank and select over the codes of ids, their places in a sorted alphabet.
 
-    def __init__(self, n: int, planes: list[np.ndarray], ranks: list[np.ndarray]):
-        self.n, self.planes, self.ranks = n, planes, ranks
+    Positions and ids are counted from 0; ends are exclusive.
+    """
+
+    def __init__(self, n: int, planes: list[np.ndarray], ranks: list[np.ndarray], alphabet: np.ndarray):
+        self.n, self.planes, self.ranks, self.alphabet = n, planes, ranks, alphabet
         self.bits = len(planes)
         self.zeros = [n - int(r[-1]) for r in ranks]
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         a = np.asarray(ids)
-        a = a.astype(np.uint16 if not len(a) or int(a.max()) < 1 << 16 else np.uint32)
-        bits = max(1, int(a.max()).bit_length()) if len(a) else 1
+        alphabet = np.flatnonzero(np.bincount(a)) if len(a) else np.zeros(0, np.int64)
+        code = np.zeros(int(alphabet[-1]) + 1 if len(a) else 1, np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
+        code[alphabet] = np.arange(len(alphabet))
+        a = code[a]
+        n, bits = len(a), max(1, (len(alphabet) - 1).bit_length())
         planes, ranks = [], []
+        after, b = np.empty_like(a), np.empty(n, bool)
         for k in range(bits - 1, -1, -1):
-            b = (a & a.dtype.type(1 << k)) != 0
+            for s in range(0, n, _STEP):
+                np.not_equal(a[s : s + _STEP] & a.dtype.type(1 << k), 0, out=b[s : s + _STEP])
             packed = np.packbits(b)
             planes.append(packed)
             ranks.append(cls._directory(packed))
-            a = np.concatenate([np.compress(~b, a), np.compress(b, a)])
-        return cls(len(a), planes, ranks)
+            zero, one = 0, n - int(np.count_nonzero(b))
+            for s in range(0, n, _STEP):  # small steps keep the temporaries in the cache
+                part, own = b[s : s + _STEP], a[s : s + _STEP]
+                m = int(np.count_nonzero(part))
+                after[one : one + m] = np.compress(part, own)
+                after[zero : zero + len(own) - m] = np.compress(~part, own)
+                zero, one = zero + len(own) - m, one + m
+            a, after = after, a
+        return cls(n, planes, ranks, alphabet.astype(np.uint32))
 
     @staticmethod
     def _directory(packed: np.ndarray) -> np.ndarray:
@@ -82,7 +100,11 @@ class WaveletMatrix:
             b = self._bit(k, i)
             out = out * 2 + b
             i = self.zeros[k] + self._rank1(k, i) if b else i - self._rank1(k, i)
-        return out
+        return int(self.alphabet[out])
+
+    def _code(self, c: int) -> int:
+        k = int(np.searchsorted(self.alphabet, c))
+        return k if k < len(self.alphabet) and self.alphabet[k] == c else -1
 
     def _range(self, c: int, lo: int, hi: int) -> tuple[int, int]:
         if c < 0 or c >> self.bits:
@@ -96,11 +118,12 @@ class WaveletMatrix:
 
     def count(self, c: int, lo: int = 0, hi: int | None = None) -> int:
         """How often id c stands in positions lo to hi."""
-        a, b = self._range(c, lo, self.n if hi is None else hi)
+        a, b = self._range(self._code(c), lo, self.n if hi is None else hi)
         return b - a
 
     def select(self, c: int, k: int) -> int:
         """The position of the k-th (from 0) occurrence of id c."""
+        c = self._code(c)
         a, b = self._range(c, 0, self.n)
         if not 0 <= k < b - a:
             raise IndexError(k)
@@ -124,16 +147,20 @@ class WaveletMatrix:
         return [self.select(c, k) for k in range(self.count(c))]
 
     def decode(self) -> np.ndarray:
-        """All ids, from the last plane to the first."""
+        """All ids (uint32), from the last plane to the first."""
         dtype = np.uint16 if self.bits <= 16 else np.uint32
-        a = np.zeros(self.n, dtype)
+        a, before = np.zeros(self.n, dtype), np.empty(self.n, dtype)
         for k in range(self.bits - 1, -1, -1):
-            b = np.unpackbits(self.planes[k], count=self.n).view(bool)
-            out = np.empty_like(a)
-            out[np.flatnonzero(~b)] = a[: self.zeros[k]]
-            out[np.flatnonzero(b)] = a[self.zeros[k] :] | dtype(1 << (self.bits - 1 - k))
-            a = out
-        return a
+            zero, one, bit = 0, self.zeros[k], dtype(1 << (self.bits - 1 - k))
+            for s in range(0, self.n, _STEP):
+                b = np.unpackbits(self.planes[k][s // 8 : (s + _STEP) // 8], count=min(_STEP, self.n - s)).view(bool)
+                out, ones = before[s : s + _STEP], np.flatnonzero(b)
+                m = len(ones)
+                out[ones] = a[one : one + m] | bit
+                out[np.flatnonzero(~b)] = a[zero : zero + len(b) - m]
+                zero, one = zero + len(b) - m, one + m
+            a, before = before, a
+        return self.alphabet[a] if self.n else np.zeros(0, np.uint32)
 
 
 def dump(ids: np.ndarray, doc_ids: list[int | None], sizes: list[int]) -> bytes:
@@ -141,7 +168,7 @@ def dump(ids: np.ndarray, doc_ids: list[int | None], sizes: list[int]) -> bytes:
     w = WaveletMatrix.build(ids)
     pack = zstandard.ZstdCompressor(level=1).compress
     index = pack(json.dumps([doc_ids, sizes]).encode())
-    frames = [index, *(pack(p.tobytes()) for p in w.planes), *(pack(r.tobytes()) for r in w.ranks)]
+    frames = [index, pack(w.alphabet.astype("<u4").tobytes()), *(pack(p.tobytes()) for p in w.planes), *(pack(r.tobytes()) for r in w.ranks)]
     head = struct.pack("<4sQI", MAGIC, w.n, w.bits) + struct.pack(f"<{len(frames)}Q", *map(len, frames))
     return head + b"".join(frames)
 
@@ -150,27 +177,32 @@ def load(data: bytes) -> tuple[WaveletMatrix, list[int | None], list[int]]:
     magic, n, bits = struct.unpack_from("<4sQI", data)
     if magic != MAGIC:
         raise ValueError("not a WMX1 file")
-    lengths = struct.unpack_from(f"<{1 + 2 * bits}Q", data, 16)
+    lengths = struct.unpack_from(f"<{2 + 2 * bits}Q", data, 16)
     at, frames = 16 + 8 * len(lengths), []
     unpack = zstandard.ZstdDecompressor().decompress
     for x in lengths:
         frames.append(unpack(data[at : at + x]))
         at += x
     doc_ids, sizes = json.loads(frames[0])
-    planes = [np.frombuffer(f, np.uint8) for f in frames[1 : 1 + bits]]
-    ranks = [np.frombuffer(f, np.uint32) for f in frames[1 + bits :]]
-    return WaveletMatrix(n, planes, ranks), doc_ids, sizes
+    planes = [np.frombuffer(f, np.uint8) for f in frames[2 : 2 + bits]]
+    ranks = [np.frombuffer(f, np.uint32) for f in frames[2 + bits :]]
+    return WaveletMatrix(n, planes, ranks, np.frombuffer(frames[1], "<u4")), doc_ids, sizes
+
+
+#: Words of Latin letters, maybe with marks after them: two pieces at most. An apostrophe could begin a piece of its own.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|*#%$&]*)")
 
 
 class Encoder:
     """Ids of whole texts, equal to the tokenizer's own, with a bounded memory of the words met before.
 
     The vocabulary's first step parts a text at white space, which no piece crosses, so a text's ids are its words' ids
-    one after another. Unknown words are encoded together with a special token between them. Texts with U+001C to
+    one after another. Unknown words are encoded together: plain ones with blanks between them, since the ids that end a
+    piece part them again, others with a special token between them. Texts with U+001C to
     U+001F, which Python and the tokenizer part differently, or with the text of a special token, go through whole.
     """
 
-    def __init__(self, path: str, most_words: int = 500_000):
+    def __init__(self, path: str, most_words: int = 900_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -178,22 +210,54 @@ class Encoder:
         self.mark, self.mark_id = next(iter(added.items()))
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
+        vocab = self.tokenizer.get_vocab()
+        closing = np.zeros(max(vocab.values()) + 1, bool)
+        closing[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.closing = closing  # ids that end a piece
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.most = most_words
 
     def _learn(self, words: list[str]) -> None:
         """Encodes unknown words; words met lately but pushed out of `known` come back from `older`."""
-        fresh = []
+        fresh: dict[str, None] = {}
+        plain: dict[str, None] = {}
+        later: list[tuple[str, str, str]] = []
         for w in words:
             raw = self.older.get(w)
-            if raw is None:
-                fresh.append(w)
-            else:
+            if raw is not None:
                 self.known[w] = raw
-        width = self.dtype.itemsize
-        for k in range(0, len(fresh), 2000):
-            part = fresh[k : k + 2000]
+                continue
+            m = _PLAIN.fullmatch(w)
+            if m is None:
+                fresh[w] = None
+                continue
+            # the vocabulary is of lower case, and letters and the marks after them are pieces of their own
+            stem, tail = m[1].lower(), m[2]
+            if stem != w:
+                later.append((w, stem, tail))
+            for x in (stem, tail):
+                if x and x not in self.known:
+                    raw = self.older.get(x)
+                    if raw is None:
+                        plain[x] = None
+                    else:
+                        self.known[x] = raw
+        width, pieces = self.dtype.itemsize, list(plain)
+        for k in range(0, len(pieces), 1000):
+            part = pieces[k : k + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, self.dtype)
+            cuts = np.flatnonzero(self.closing[ids]) + 1
+            if len(cuts) != len(part):
+                raise ValueError("a plain piece was parted")
+            raw, edges = ids.tobytes(), [0, *cuts.tolist()]
+            for w, a, b in zip(part, edges, edges[1:], strict=False):
+                self.known[w] = raw[a * width : b * width]
+        for w, stem, tail in later:
+            self.known[w] = self.known[stem] + self.known[tail] if tail else self.known[stem]
+        rest = list(fresh)
+        for k in range(0, len(rest), 1000):
+            part = rest[k : k + 1000]
             ids = np.array(self.tokenizer.encode(self.mark.join(part), add_special_tokens=False).ids, self.dtype)
             cuts = np.flatnonzero(ids == self.mark_id)
             if len(cuts) != len(part) - 1:
@@ -318,7 +382,7 @@ def read(spark, shards: list[dict]) -> DataFrame:
                 store, path = _store(file)
                 with store.open_input_stream(path) as f:
                     w, ids, sizes = load(f.read())
-                all_ids = w.decode().astype("<u4")
+                all_ids = w.decode().astype("<u4", copy=False)
                 ends = np.cumsum(sizes)
                 crc = [zlib.crc32(all_ids[e - n : e]) for e, n in zip(ends.tolist(), sizes, strict=True)]
                 own = [pa.array(ids, pa.int64()), pa.array(start + ends - np.array(sizes)), pa.array(sizes, pa.int64()), pa.array(crc, pa.int64()), pa.array([path.rsplit("/", 1)[-1]] * len(ids))]
