@@ -185,4 +185,6 @@ def verdicts(docs: DataFrame, rules: DecisionList) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns: a filter that neither reorders nor repeats rows."""
-    return verdicts(docs, fit(docs, labels)).where("__kept").select(*docs.columns)
+    # a filter on the verdict itself would be pushed below the projections that compute it and repeat their expressions
+    a = verdicts(docs, fit(docs, labels)).select(*docs.columns, F.explode_outer(F.array("__kept")).alias("__stays"))
+    return a.where("__stays").select(*docs.columns)
