@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 64
 #: Slots of a period at least; with more sources the period grows to four slots for each.
 PERIOD = 1000
-#: Rows that one task ranks, about.
-RANK_ROWS = 20_000
+#: Rows that are ranked together, about.
+RANK_ROWS = 1000
 
 
 def quantised(weights: dict[str | None, float], period: int = PERIOD) -> dict[str | None, int]:
@@ -78,23 +78,27 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, *,
     shares = quantised(root_weights(totals) if weights is None else {k: w for k, w in weights.items() if k in totals}, period)
     q = sum(shares.values())
     rows = pattern(shares)
-    ranges = 1 << max(0, math.ceil(math.log2(max(1, max(totals.values(), default=1)) / RANK_ROWS)) if totals and max(totals.values()) > RANK_ROWS else 0)
-    a = docs.withColumn("__h", F.xxhash64("doc_id")).withColumn("__r", F.pmod(F.shiftrightunsigned("__h", 33), F.lit(ranges)).cast("int"))
-    counts = a.groupBy("source", "__r").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("source").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col("source").alias("__s"), F.col("__r").alias("__o"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("source", "__r").orderBy("__h", "doc_id", "text")
+    code = lambda k: "null" if k is None else "'" + str(k).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    slots: dict[str | None, list[str]] = {}
+    for name, _, t, _, _ in rows:
+        slots.setdefault(name, []).append(f"{t}L")
+    known = ", ".join(
+        f"named_struct('k', cast({code(k)} as string), 'share', {f'{shares[k]}L' if k in shares else 'cast(null as bigint)'}, 'slots', {f'array({", ".join(slots[k])})' if k in slots else 'cast(null as array<bigint>)'}, 'ranges', {1 + n // RANK_ROWS})"
+        for k, n in totals.items()
+    )
+    none = "array(named_struct('k', '', 'share', 0L, 'slots', array(0L), 'ranges', 1))"
+    table = spark.sql(f"SELECT x.* FROM (SELECT explode({f'array({known})' if known else none}) AS x)").selectExpr("k AS __k", "share AS __share", "slots AS __slots", "ranges AS __ranges")
+    # one row for each source, of which the driver already has the counts
+    a = docs.join(F.broadcast(table), F.col("source").cast("string").eqNullSafe(F.col("__k")))
+    a = a.withColumn("__h", F.xxhash64("doc_id")).withColumn("__r", F.pmod(F.shiftrightunsigned("__h", 20), F.col("__ranges").cast("bigint")))
+    counts = a.groupBy("__k", "__r").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("__k").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__k").alias("__s"), F.col("__r").alias("__o"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__k", "__r").orderBy("__h", "doc_id", "text")
     ranked = a.withColumn("__rank", F.row_number().over(inside).cast("bigint") - 1)
-    # one row for each source and range: sources are few, ranges follow the largest count / RANK_ROWS
-    ranked = ranked.join(F.broadcast(offsets) if len(totals) * ranges <= 100_000 else offsets, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__r") == F.col("__o")))
+    small = sum(1 + n // RANK_ROWS for n in totals.values()) <= 100_000
+    ranked = ranked.join(F.broadcast(offsets) if small else offsets, F.col("__k").eqNullSafe(F.col("__s")) & (F.col("__r") == F.col("__o")))
     ranked = ranked.withColumn("__nth", F.col("__rank") + F.col("__before")).withColumn("__block", F.expr(f"__nth div {block_rows}"))
-    code = lambda k: "null" if k is None else "'" + str(k).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    names = ", ".join(f"named_struct('k', cast({code(k)} as string), 'share', {n}L, 'slots', array({', '.join(str(t) + 'L' for s, _, t, _, _ in rows if s == k)}))" for k, n in shares.items())
-    if names:
-        table = spark.sql(f"SELECT x.* FROM (SELECT explode(array({names})) AS x)").selectExpr("k AS __k", "share AS __share", "slots AS __slots")
-        ranked = ranked.join(F.broadcast(table), F.col("source").cast("string").eqNullSafe(F.col("__k")), "left")
-    else:
-        ranked = ranked.withColumns({"__share": F.lit(None).cast("bigint"), "__slots": F.lit(None).cast("array<bigint>")})
     last = max([0, *(-(-(-(-totals[k] // block_rows)) // n) * q for k, n in shares.items())])
     return ranked.select(
         *docs.columns,
