@@ -24,7 +24,7 @@ def manifest_rows(payload: Column) -> Column:
 def file_url(row: Column) -> Column:
     """The first address of a manifest row (map), with its scheme; null if it has none."""
     first = F.coalesce(*[F.nullif(F.try_element_at(row, F.lit(k)), F.lit("")) for k in FILE_KEYS])
-    return F.when(first.rlike("^(https?:)?//"), with_scheme(first)).otherwise(F.concat(F.lit("https://"), F.ltrim(F.lit("/"), first)))
+    return F.when(first.rlike("^(https?:)?//"), with_scheme(first)).otherwise(F.concat(F.lit("https://"), F.regexp_replace(first, "^/+", "")))
 
 
 def with_records(files: DataFrame, records: DataFrame, keys: list[str]) -> DataFrame:
