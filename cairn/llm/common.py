@@ -15,6 +15,22 @@ BLANK = "[\\x20\\x09-\\x0D]"
 STEP_BYTES = 1 << 20
 
 
+_RELEASES: dict[str, list] = {}
+
+
+def on_other_work(name: str, release) -> None:
+    """Calls `release` in a Python worker that takes up another operator's work."""
+    _RELEASES.setdefault(name, []).append(release)
+
+
+def fresh_worker(name: str) -> None:
+    """Frees what other operators keep in this worker process from task to task."""
+    for other, releases in _RELEASES.items():
+        if other != name:
+            for release in releases:
+                release()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or /tmp/cairn-shared where it is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -51,8 +67,8 @@ def sampled_texts(docs: DataFrame, labels: DataFrame, label: str, rows: int, max
     """
     ids = labelled_sample(labels, label, rows)
     own = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    got = own.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "y").collect()
-    return [(r.text, r.y) for r in sorted(got, key=lambda r: r.doc_id)]
+    got = own.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "y").toArrow().sort_by("doc_id")
+    return list(zip(got["text"].to_pylist(), got["y"].to_pylist(), strict=True))
 
 
 def literal_doubles(values) -> str:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import STEP_BYTES, groups_of, mixed, stored, text_buffer, words_of
+from .common import STEP_BYTES, fresh_worker, groups_of, mixed, stored, text_buffer, words_of
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -96,6 +96,7 @@ def features(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), words: int
     width = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("neardup")
         for b in batches:
             nodes: list[bytes | None] = []
             sigs: list[bytes | None] = []
@@ -229,6 +230,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Data
     own = docs.select(key.alias("k"), "text").join(wanted.select(key.alias("k"), F.col("node").alias("wanted")), "k").select("wanted", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("neardup")
         for b in batches:
             wanted = b.column(0).to_pylist()
             keys, out = [], []

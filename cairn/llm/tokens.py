@@ -17,13 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shared_dir
+from .common import fresh_worker, groups_of, on_other_work, shared_dir, text_buffer
 
 MAGIC = b"WMX1"
 #: The id after each document.
@@ -33,6 +34,8 @@ SHARD_IDS = 4_000_000
 _BLOCK = 512
 #: Ids that building and decoding move at a time.
 _STEP = 1 << 17
+#: Bytes of texts that are encoded at a time.
+_TEXT_BYTES = 1 << 22
 
 
 class WaveletMatrix:
@@ -266,33 +269,50 @@ class Encoder:
             for w, a, b in zip(part, edges, edges[1:], strict=False):
                 self.known[w] = raw[(a + 1) * width : b * width]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian ids of each text."""
+    def encode_array(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, each followed by `end` if given, and the number of ids of each.
+
+        Words are found and numbered by Arrow, so that Python meets each distinct word of the batch once.
+        """
         if len(self.known) > self.most:
             self.known, self.older = {}, self.known
-        rows: list[list | None] = []
-        gaps: list[tuple[list, int, str]] = []
-        get = self.known.get
-        for t in texts:
-            if "<|" in t or any(c in t for c in "\x1c\x1d\x1e\x1f"):
-                rows.append(None)
-                continue
-            words = t.split()
-            row = list(map(get, words))
-            at = -1
-            for _ in range(row.count(None)):
-                at = row.index(None, at + 1)
-                gaps.append((row, at, words[at]))
-            rows.append(row)
+        odd = np.flatnonzero(np.asarray(pc.fill_null(pc.match_substring_regex(texts, r"<\||[\x1c-\x1f]"), False)))
+        plain = pc.if_else(pa.array(np.isin(np.arange(len(texts)), odd)), pa.scalar("", texts.type), texts) if len(odd) else texts
+        lists = pc.utf8_split_whitespace(pc.fill_null(plain, ""))
+        edges = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.slice(edges[0], edges[-1] - edges[0]).dictionary_encode()
+        edges = edges - edges[0]
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        rows = list(map(self.known.get, words))
+        gaps = [k for k, r in enumerate(rows) if r is None]
         if gaps:
-            self._learn(list(dict.fromkeys(w for _, _, w in gaps)))
-            for row, at, w in gaps:
-                row[at] = self.known[w]
-        whole = lambda t: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.dtype).tobytes()
-        return [whole(t) if r is None else b"".join(r) for t, r in zip(texts, rows, strict=True)]
+            self._learn([words[k] for k in gaps])
+            for k in gaps:
+                rows[k] = self.known[words[k]]
+        size = np.fromiter(map(len, rows), np.int64, len(rows)) // self.dtype.itemsize
+        first = np.cumsum(size) - size
+        pool = np.frombuffer(b"".join(rows), self.dtype)
+        per = size[at]
+        done = np.concatenate([[0], np.cumsum(per)])
+        ids = pool[np.repeat(first[at] - done[:-1], per) + np.arange(done[-1])] if len(at) else np.zeros(0, self.dtype)
+        counts = done[edges[1:]] - done[edges[:-1]]
+        if len(odd):
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for k in odd.tolist():
+                parts[k] = np.array(self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids, self.dtype)
+            ids, counts = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        if end is not None:
+            ids, counts = np.insert(ids, np.cumsum(counts), end), counts + 1
+        return ids, counts
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        ids, counts = self.encode_array(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(counts)[:-1]) if texts else []
 
 
 _ENCODERS: dict[str, Encoder] = {}
+on_other_work("tokens", _ENCODERS.clear)
 
 
 def encoder(path: str) -> Encoder:
@@ -316,10 +336,10 @@ def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = EN
     a = a.sortWithinPartitions(*keys).select("doc_id", "text", F.spark_partition_id().alias("__p"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("tokens")
         enc = encoder(tokenizer_path)
-        end = np.array([end_id], enc.dtype).tobytes()
         store, root = _store(folder)
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         ids: list[int | None] = []
         sizes: list[int] = []
         rows: list[tuple[str, int, int, int]] = []
@@ -328,7 +348,7 @@ def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = EN
         def flush() -> None:
             nonlocal size
             name = f"part-{part:08d}-{len(rows):06d}.wmx"
-            data = dump(np.frombuffer(b"".join(held), enc.dtype), ids, sizes)
+            data = dump(np.concatenate(held), ids, sizes)
             own = f"{root}/.{name}.{uuid.uuid4().hex}"
             with store.open_output_stream(own) as f:
                 f.write(data)
@@ -338,17 +358,17 @@ def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = EN
             size = 0
 
         for b in batches:
-            docs_ids, texts = b.column(0).to_pylist(), b.column(1)
+            doc_ids, texts = b.column(0).to_pylist(), b.column(1)
             part = b.column(2)[0].as_py() if b.num_rows else part
-            for k in range(0, b.num_rows, 256):
-                for i, raw in zip(docs_ids[k : k + 256], enc.encode(texts.slice(k, 256).to_pylist()), strict=True):
-                    n = len(raw) // enc.dtype.itemsize + 1
-                    if held and size + n > shard_ids:
-                        flush()
-                    held.append(raw + end)
-                    ids.append(i)
-                    sizes.append(n)
-                    size += n
+            _, starts, ends = text_buffer(texts)
+            for i, j in groups_of(starts, ends, _TEXT_BYTES, 4096):
+                got, counts = enc.encode_array(texts.slice(i, j - i), end_id)
+                if held and size + len(got) > shard_ids:
+                    flush()
+                held.append(got)
+                ids += doc_ids[i:j]
+                sizes += counts.tolist()
+                size += len(got)
         if held:
             flush()
         if rows:
@@ -377,6 +397,7 @@ def read(spark, shards: list[dict]) -> DataFrame:
     files = spark.createDataFrame([(s["file"], s["start"]) for s in shards], "file string, start bigint").repartition(min(len(shards), 4096))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("tokens")
         for b in batches:
             for file, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 store, path = _store(file)
