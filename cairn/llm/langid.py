@@ -73,7 +73,7 @@ class Model:
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts, dtype=np.float32) * idf
+    x = counts.astype(np.float32) * idf
     norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
     return x / np.maximum(norm, 1e-12)
 
@@ -116,7 +116,7 @@ def fit(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, k: int = CLUSTERS) -
     for r in own.select("text").mapInArrow(frequencies, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         df[r["bucket"]] = r["n"]
     total = sum(sizes.values())
-    idf = np.log((1 + total) / (1 + df)).astype(np.float32) + np.float32(0.1)
+    idf = np.log1p(total / (1 + df)).astype(np.float32) + np.float32(0.1)
     share = F.lit(0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, int(min(1.0, sample_rows / len(sizes) / n) * (1 << 20))).otherwise(share)

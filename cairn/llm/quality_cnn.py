@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from .common import sampled_texts, text_buffer
 
 #: Bounds of fitting: labelled rows, and characters of a text that is fitted on.
-SAMPLE_ROWS, SAMPLE_CHARS = 3000, 20_000
-FILTERS, WIDTH, STRIDE = 16, 6, 3
+SAMPLE_ROWS, SAMPLE_CHARS = 6000, 20_000
+FILTERS, WIDTH, STRIDE = 24, 6, 3
 CHUNK, OVERLAP = 768, 96
 _PLACES = (CHUNK - WIDTH) // STRIDE + 1
 
@@ -60,7 +60,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(samples: list[tuple[str, int]], *, steps: int = 600, batch: int = 32, rate: float = 0.01, seed: int = 1) -> Model:
+def train(samples: list[tuple[str, int]], *, steps: int = 1000, batch: int = 32, rate: float = 0.01, seed: int = 1) -> Model:
     """Adam on the cross-entropy, classes weighted alike. Of one class only, or of nothing, it learns the base rate."""
     rng = np.random.default_rng(seed)
     m = Model((rng.standard_normal((WIDTH, 256, FILTERS)) * 0.1).astype(np.float32), np.zeros(FILTERS, np.float32), np.zeros(2 * FILTERS + 1, np.float32))

@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns plus a log-likelihood ratio of two character Markov models, with DataFrame functions only.
 
-Tokens of 16 and more characters with a letter are the candidates. The values that the fixed patterns find are the labelled random
-strings, and candidates of letters only, outside such values, the labelled ordinary identifiers. First-order character
+Tokens of 16 and more characters with a letter are the candidates. The values that the fixed patterns find are the
+labelled random strings, candidates outside such values the labelled ordinary identifiers. First-order character
 models of both classes are counted over all documents; a candidate whose mean log-likelihood ratio exceeds the
 threshold is a further span of kind `markov`, unless it overlaps a span of the fixed patterns.
 """
@@ -50,25 +50,32 @@ def _candidates(a: DataFrame) -> DataFrame:
 def fit(docs: DataFrame) -> list[float]:
     """Log-likelihood ratio of each pair of characters, random over ordinary, as a square table in alphabet order.
 
-    Counts over all documents; the driver gets one row for each pair and class (9,000 at most). Add-one smoothing;
-    without any labelled token the table is zero.
+    Counts over all documents; the driver gets one row for each pair and class (9,000 at most). Rare pairs are drawn
+    towards the second character's share. Without any labelled token the table is zero.
     """
     a = _candidates(_base(docs))
     value = "regexp_extract(x.m, r'" + ASSIGN.replace("'", "\\x27") + "', 2)"
-    tokens = a.selectExpr(f"concat(transform(__assign, x -> struct(1 AS y, {value} AS v)), transform(concat(__access, __hex), x -> struct(1 AS y, x.m AS v)), transform(filter(__cand, x -> x.m rlike '^[A-Za-z]+$'), x -> struct(0 AS y, x.m AS v))) AS l").selectExpr("inline(l)")
+    tokens = a.selectExpr(f"concat(transform(__assign, x -> struct(1 AS y, {value} AS v)), transform(concat(__access, __hex), x -> struct(1 AS y, x.m AS v)), transform(__cand, x -> struct(0 AS y, x.m AS v))) AS l").selectExpr("inline(l)")
     pairs = tokens.where("length(v) >= 2").selectExpr("y", "explode(transform(sequence(1, length(v) - 1), i -> substring(v, i, 2))) AS p")
     n = len(ALPHABET)
-    counts = [[1.0] * (n * n) for _ in (0, 1)]
-    seen = [0, 0]
+    counts = [[0.0] * (n * n) for _ in (0, 1)]
     for r in pairs.groupBy("y", "p").count().collect():
         i, j = ALPHABET.find(r.p[0]), ALPHABET.find(r.p[1])
         if i >= 0 and j >= 0:
             counts[r.y][i * n + j] += r["count"]
-            seen[r.y] += r["count"]
-    if not seen[0] and not seen[1]:
+    if not sum(counts[0]) and not sum(counts[1]):
         return [0.0] * (n * n)
-    total = [[sum(c[i * n : i * n + n]) for i in range(n)] for c in counts]
-    return [math.log(counts[1][k] / total[1][k // n]) - math.log(counts[0][k] / total[0][k // n]) for k in range(n * n)]
+    random, ordinary = _smoothed(counts[1], n), _smoothed(counts[0], n)
+    return [math.log(a / b) for a, b in zip(random, ordinary, strict=True)]
+
+
+def _smoothed(pairs: list[float], n: int, weight: float = 5.0) -> list[float]:
+    """P(b | a), drawn towards P(b), which is drawn towards 1 / n."""
+    single = [sum(pairs[j::n]) for j in range(n)]
+    total = sum(single)
+    p = [(x + 0.5) / (total + 0.5 * n) for x in single]
+    row = [sum(pairs[i * n : i * n + n]) for i in range(n)]
+    return [(pairs[k] + weight * p[k % n]) / (row[k // n] + weight) for k in range(n * n)]
 
 
 def find(docs: DataFrame, ratios: list[float], *, threshold: float = THRESHOLD) -> DataFrame:

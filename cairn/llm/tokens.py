@@ -363,12 +363,19 @@ def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = EN
             _, starts, ends = text_buffer(texts)
             for i, j in groups_of(starts, ends, _TEXT_BYTES, 4096):
                 got, counts = enc.encode_array(texts.slice(i, j - i), end_id)
-                if held and size + len(got) > shard_ids:
-                    flush()
-                held.append(got)
-                ids += doc_ids[i:j]
-                sizes += counts.tolist()
-                size += len(got)
+                done, at = 0, 0
+                while done < len(counts):
+                    ends_at = np.cumsum(counts[done:])
+                    k = int(np.searchsorted(ends_at, shard_ids - size, side="right"))
+                    if not k and held:
+                        flush()
+                        continue
+                    k = max(1, k)
+                    n = int(ends_at[k - 1])
+                    held.append(got[at : at + n])
+                    ids += doc_ids[i + done : i + done + k]
+                    sizes += counts[done : done + k].tolist()
+                    size, done, at = size + n, done + k, at + n
         if held:
             flush()
         if rows:
