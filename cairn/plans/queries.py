@@ -150,8 +150,11 @@ def hybrid_search(spark, d):
 
 
 def context_prompt(spark, d):
-    c = documents(spark, d).where("doc_id < 5").select("*", F.col("id").alias("document_id"), (1 / (F.col("doc_id") + 1)).alias("score"), F.col("doc_id").alias("seen"))
-    return search.context_prompt("What was it?", c).select(F.md5("prompt").alias("h"), F.length("prompt").cast("bigint").alias("n"))
+    """The prompt over the eight best documents."""
+    c = documents(spark, d).withColumn("document_id", F.col("id"))
+    top = search.lexical_top(c, search.query_terms(spark, QUESTION), 8)
+    rows = c.join(F.broadcast(top.select("id", F.col("bm25").alias("score"))), "id").withColumn("seen", F.col("pos"))
+    return search.context_prompt("What was it?", rows).select(F.md5("prompt").alias("h"), F.length("prompt").cast("bigint").alias("n"))
 
 
 def derive_pending(spark, d):
@@ -164,9 +167,8 @@ def derive_pending(spark, d):
 
 
 def derive_batches(spark, d):
-    """Greedy batches of each source: at most 10 documents and 20,000 characters."""
-    c = documents(spark, d).where(derive.request_size() <= 19_000)
-    b = derive.batches(c, size=10, max_document=19_000, max_batch=20_000, group=F.col("source"))
+    """Greedy batches of each source: at most 50 documents and 200,000 characters."""
+    b = derive.batches(documents(spark, d), size=50, max_document=200_000, max_batch=200_002, group=F.col("source"))
     return b.select("id", F.col("grp").alias("source"), F.col("batch").cast("bigint").alias("batch"), "batch_chars")
 
 
@@ -214,7 +216,7 @@ def oai_records(spark, d):
 
 def unfetched_urls(spark, d):
     p = table(spark, d, "pages")
-    return paged.unfetched(p.select("url").distinct(), p.where("page_id % 3 = 0").select(F.sha2("url", 256).alias("key"))).select("url", "key")
+    return paged.unfetched(p.select("url").distinct(), p.where(F.length("html") > 3000).select(F.sha2("url", 256).alias("key"))).select("url", "key")
 
 
 QUERIES = {
@@ -274,6 +276,19 @@ ORACLE: dict[str, str] = {
         s AS (SELECT doc_id, w, unnest(CASE WHEN len(w) > 50 THEN range(0, len(w) - 10, 40) ELSE [0] END) AS i FROM t WHERE len(w) > 0),
         c AS (SELECT doc_id, cast(i // 40 as int) AS ordinal, array_to_string(w[i + 1 : i + 50], ' ') AS x FROM s)
         SELECT cast(doc_id as varchar) AS document_id, ordinal, substr(sha256(doc_id || chr(31) || ordinal || chr(31) || x), 1, 24) AS id, md5(x) AS h FROM c""",
+    "packed_chunks": r"""WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+        s AS (SELECT doc_id, i, trim(p, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS p FROM l), u0 AS (SELECT doc_id, p, list_filter(regexp_split_to_array(p, '\s+'), lambda w: w <> '') AS w, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i FROM s WHERE p <> ''),
+        u AS (SELECT *, len(w) AS n FROM u0),
+        g AS (SELECT doc_id, 0 AS i, []::varchar[] AS out, []::varchar[] AS cur, 0::bigint AS cn FROM (SELECT DISTINCT doc_id FROM u) UNION ALL
+          SELECT g.doc_id, u.i,
+            CASE WHEN u.n > 60 THEN list_concat(CASE WHEN len(g.cur) > 0 THEN list_append(g.out, array_to_string(g.cur, chr(10) || chr(10))) ELSE g.out END, list_transform(range(0, u.n - 12, 48), lambda k: array_to_string(u.w[k + 1 : k + 60], ' ')))
+                 WHEN len(g.cur) > 0 AND g.cn + u.n > 60 THEN list_append(g.out, array_to_string(g.cur, chr(10) || chr(10))) ELSE g.out END,
+            CASE WHEN u.n > 60 THEN [] WHEN len(g.cur) > 0 AND g.cn + u.n > 60 THEN (CASE WHEN u.n < 60 THEN [array_to_string(list_filter(regexp_split_to_array(array_to_string(g.cur, ' '), '\s+'), lambda z: z <> '')[-least(12, 60 - u.n) :], ' '), u.p] ELSE [u.p] END) ELSE list_append(g.cur, u.p) END,
+            CASE WHEN u.n > 60 THEN 0 WHEN len(g.cur) > 0 AND g.cn + u.n > 60 THEN least(12, 60 - u.n, len(list_filter(regexp_split_to_array(array_to_string(g.cur, ' '), '\s+'), lambda z: z <> ''))) + u.n ELSE g.cn + u.n END
+          FROM g JOIN u ON u.doc_id = g.doc_id AND u.i = g.i + 1),
+        f AS (SELECT doc_id, CASE WHEN len(cur) > 0 THEN list_append(out, array_to_string(cur, chr(10) || chr(10))) ELSE out END AS c FROM g QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY i DESC) = 1),
+        x AS (SELECT doc_id, unnest(c) AS t, cast(generate_subscripts(c, 1) - 1 AS int) AS ordinal FROM f)
+        SELECT doc_id, ordinal, len(list_filter(regexp_split_to_array(t, '\s+'), lambda z: z <> '')) AS n_words, md5(t) AS h FROM x""",
     "rights": f"""WITH a AS (SELECT doc_id, lower(trim({_sql_cycle(RIGHTS)})) AS r FROM documents) SELECT doc_id, r <> '' AND NOT ({_RX('r', classify.REFUSALS)}) AND ({_RX('r', classify.GRANTS)}) AS ok FROM a""",
     "book_decisions": f"""WITH a AS (SELECT p_partkey, {_sql_cycle(TITLES, 'p_partkey')} AS t, lower({_sql_cycle(SUBJECTS, 'p_partkey')} || ' | ' || p_type) AS s, upper(regexp_extract({_sql_cycle(SHELF, 'p_partkey')}, '^\\s*([A-Za-z]{{1,3}})', 1)) AS p FROM part),
         n AS (SELECT *, ({_HAS('s', classify.FICTION_TERMS)})::int + {_CNT('t', classify.FICTION_TITLES)} + (p LIKE 'PZ%')::int AS f, ({_HAS('s', classify.NONFICTION_TERMS)})::int + {_CNT('t', classify.NONFICTION_TITLES)} + (p <> '' AND p[1] IN ({', '.join(f"'{c}'" for c in classify.NONFICTION_CLASSES)}))::int AS o FROM a)
@@ -301,12 +316,13 @@ ORACLE: dict[str, str] = {
         w AS (SELECT f.*, ok.source, row_number() OVER (PARTITION BY ok.source ORDER BY score DESC, seen) AS nth FROM f JOIN ok USING (doc_id)),
         best AS (SELECT * FROM w WHERE nth <= 2 ORDER BY score DESC, seen LIMIT 8)
         SELECT cast(best.doc_id as varchar) AS id, round(score, 9) AS score, round(list_inner_product(embedding::double[], e::double[]), 6) AS dense_score, source AS document_id FROM best JOIN embeddings ON vec_id = best.doc_id, q""",
-    "context_prompt": f"""WITH e AS (SELECT doc_id, '[S' || (doc_id + 1) || '] ' || title || ' (' || coalesce(nullif(date, ''), 'undated') || ')' || chr(10) || 'Country: america | Language: ' || lang || ' | Content mode: native | Document ID: ' || id || chr(10) || 'URL: https://example.org/' || doc_id || chr(10) || text AS x FROM ({_DOCS}) WHERE doc_id < 5),
-        p AS (SELECT '{_PROMPT_HEAD}' || chr(10) || chr(10) || 'QUESTION:' || chr(10) || 'What was it?' || chr(10) || chr(10) || 'EVIDENCE:' || chr(10) || string_agg(x, chr(10) || chr(10) ORDER BY doc_id) AS p FROM e) SELECT md5(p) AS h, length(p) AS n FROM p""",
+    "context_prompt": f"""WITH {_bm25_sql(_TERMS)}, t8 AS (SELECT *, row_number() OVER (ORDER BY bm25 DESC, doc_id) AS nth FROM top ORDER BY bm25 DESC, doc_id LIMIT 8),
+        e AS (SELECT nth, '[S' || nth || '] ' || title || ' (' || coalesce(nullif(date, ''), 'undated') || ')' || chr(10) || 'Country: america | Language: ' || lang || ' | Content mode: native | Document ID: ' || d.id || chr(10) || 'URL: https://example.org/' || doc_id || chr(10) || text AS x FROM d JOIN t8 USING (doc_id)),
+        p AS (SELECT '{_PROMPT_HEAD}' || chr(10) || chr(10) || 'QUESTION:' || chr(10) || 'What was it?' || chr(10) || chr(10) || 'EVIDENCE:' || chr(10) || string_agg(x, chr(10) || chr(10) ORDER BY nth) AS p FROM e) SELECT md5(p) AS h, length(p) AS n FROM p""",
     "derive_pending": "SELECT cast(doc_id as varchar) AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)",
-    "derive_batches": f"""WITH RECURSIVE c AS (SELECT doc_id, source, length({_REQ}) AS n FROM documents), o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM c WHERE n <= 19000),
+    "derive_batches": f"""WITH RECURSIVE c AS (SELECT doc_id, source, length({_REQ}) AS n FROM documents), o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM c),
         g AS (SELECT source, i, doc_id, 0 AS batch, 1 AS cnt, n + 2 AS chars FROM o WHERE i = 1 UNION ALL
-          SELECT o.source, o.i, o.doc_id, CASE WHEN g.cnt >= 10 OR g.chars + o.n + 1 > 20000 THEN g.batch + 1 ELSE g.batch END, CASE WHEN g.cnt >= 10 OR g.chars + o.n + 1 > 20000 THEN 1 ELSE g.cnt + 1 END, CASE WHEN g.cnt >= 10 OR g.chars + o.n + 1 > 20000 THEN o.n + 2 ELSE g.chars + o.n + 1 END
+          SELECT o.source, o.i, o.doc_id, CASE WHEN g.cnt >= 50 OR g.chars + o.n + 1 > 200002 THEN g.batch + 1 ELSE g.batch END, CASE WHEN g.cnt >= 50 OR g.chars + o.n + 1 > 200002 THEN 1 ELSE g.cnt + 1 END, CASE WHEN g.cnt >= 50 OR g.chars + o.n + 1 > 200002 THEN o.n + 2 ELSE g.chars + o.n + 1 END
           FROM g JOIN o ON o.source = g.source AND o.i = g.i + 1)
         SELECT cast(doc_id as varchar) AS id, source, batch::bigint AS batch, max(chars) OVER (PARTITION BY source, batch) AS batch_chars FROM g""",
     "derive_merge": "SELECT cast(doc_id as varchar) AS source_document_id, 'old' AS version, length(text) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT cast(doc_id as varchar), 'new', max(quality)::bigint FROM labels GROUP BY doc_id",
@@ -316,7 +332,7 @@ ORACLE: dict[str, str] = {
         SELECT period, o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key FROM p WHERE period IS NOT NULL GROUP BY ALL""",
     "first_urls": "WITH p AS (SELECT regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host, url, page_id FROM pages) SELECT host, min_by(url, page_id) AS url, min(page_id) AS pos FROM p GROUP BY host",
     "page_numbers": "SELECT conv_id AS issue, turn AS pos, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS page FROM conversations WHERE role = 'user' AND text <> ''",
-    "unfetched_urls": "SELECT DISTINCT url, sha256(url) AS key FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0)",
+    "unfetched_urls": "SELECT DISTINCT url, sha256(url) AS key FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE length(html) > 3000)",
 }
 
 

@@ -67,8 +67,8 @@ def preferred_file(files: Column, max_bytes: int) -> Column:
 
     A missing size passes.
     """
-    text = F.filter(files, lambda f: F.lower(f["format"]).isin("djvutxt", "text") | F.lower(f["name"]).endswith(".txt"))
-    ranked = F.array_sort(F.transform(text, lambda f, i: F.struct(F.when(F.lower(f["format"]) == "djvutxt", 0).otherwise(1).alias("r"), i.alias("i"), f.alias("f"))))
+    text = F.filter(files, lambda f: F.lower(F.coalesce(f["format"], F.lit(""))).isin("djvutxt", "full text") | F.lower(f["name"]).endswith(".txt"))
+    ranked = F.array_sort(F.transform(text, lambda f, i: F.struct(F.when(F.lower(F.coalesce(f["format"], F.lit(""))) == "djvutxt", 0).otherwise(1).alias("r"), i.alias("i"), f.alias("f"))))
     small = F.filter(ranked, lambda x: F.coalesce(x["f"]["size"], F.lit(0)) <= max_bytes)
     return F.try_element_at(small, F.lit(1))["f"]
 

@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 _S = T.StringType()
 OAI = T.StructType([T.StructField("oai_identifier", _S), T.StructField("fields", T.MapType(_S, T.ArrayType(_S))), T.StructField("token", _S), T.StructField("nth", T.IntegerType())])
-TEI = T.StructType([T.StructField("title", _S), T.StructField("date", _S), T.StructField("authors", T.ArrayType(_S)), T.StructField("subjects", T.ArrayType(_S)), T.StructField("text", _S)])
+TEI = T.StructType([T.StructField("title", _S), T.StructField("date", _S), T.StructField("authors", T.ArrayType(_S)), T.StructField("subjects", T.ArrayType(_S)), T.StructField("text", _S), T.StructField("header", T.MapType(_S, _S))])
+ISSUE = T.StructType([T.StructField(k, _S) for k in ("path", "lccn", "date", "edition")])
+PAGE = T.StructType([T.StructField("label", _S), T.StructField("pos", T.IntegerType()), T.StructField("href", _S)])
 
 
 def tidy(text: str) -> str:
@@ -63,12 +65,34 @@ def alto_text(xml: str) -> str:
 
 
 def tei_row(xml: str) -> tuple:
-    """Title, date, authors, subjects and paragraphs (nested ones repeat) of a TEI file."""
+    """Header values and paragraphs (nested ones repeat) of a TEI file."""
     root = ET.fromstring(xml)
-    named = lambda *names: [v for n in root.iter() if _name(n) in names for v in [_spaced(n)] if v]
-    paragraphs = named("p", "head", "l", "item", "note") or [v for v in [_spaced(root)] if v]
-    first = lambda values: values[0] if values else ""
-    return first(named("title")), first(named("date")), list(dict.fromkeys(named("author"))), list(dict.fromkeys(named("term", "subject"))), tidy("\n\n".join(paragraphs))
+    clean = lambda n: tidy("".join(n.itertext()))
+    named = lambda name: [v for n in root.iter() if _name(n) == name for v in [clean(n)] if v]
+    first = lambda name: next(iter(named(name)), "")
+    paragraphs = [v for n in root.iter() if _name(n).lower() in ("p", "head", "l", "item", "note") for v in [_spaced(n)] if v]
+    text = "\n\n".join(paragraphs) or " ".join(root.itertext())
+    rest = {k: first(k) for k in ("publisher", "pubPlace", "language", "wordCount", "pageCount", "defectRate", "finalGrade", "tcp", "stc")}
+    return first("title"), first("publicationYear"), named("author"), list(dict.fromkeys(named("term"))), tidy(text), list(rest.items())
+
+
+def issue_rows(xml: str) -> list[tuple]:
+    """(path, lccn, date, edition) of the issues that a batch lists."""
+    out = []
+    for n in ET.fromstring(xml).iter():
+        if _name(n) == "issue" and (n.text or "").strip():
+            out.append(((n.text or "").strip(), n.get("lccn", ""), n.get("issueDate", ""), n.get("editionOrder", "1")))
+    return out
+
+
+def page_rows(xml: str) -> list[tuple]:
+    """(label, pos, href) of the OCR files of an issue; a file without an address has an empty one."""
+    root, out = ET.fromstring(xml), []
+    for n in root.iter():
+        if _name(n) == "file" and n.get("USE") == "ocr":
+            href = next((c.get("{http://www.w3.org/1999/xlink}href", "") for c in n.iter() if _name(c) == "FLocat"), "")
+            out.append((root.get("LABEL"), len(out), href))
+    return out
 
 
 def _mapped(df: DataFrame, column: str, one, schema: T.StructType, strict: bool) -> DataFrame:
@@ -110,3 +134,12 @@ def parse_alto(pages: DataFrame, column: str = "xml") -> DataFrame:
 def parse_tei(files: DataFrame, column: str = "xml") -> DataFrame:
     """One row for each well-formed file; malformed ones are skipped."""
     return _mapped(files, column, lambda x: [tei_row(x)], TEI, False)
+
+
+def parse_batch(batches: DataFrame, column: str = "xml") -> DataFrame:
+    return _mapped(batches, column, issue_rows, ISSUE, True)
+
+
+def parse_issue(issues: DataFrame, column: str = "xml") -> DataFrame:
+    """One row for each OCR file of each well-formed issue."""
+    return _mapped(issues, column, page_rows, PAGE, False)

@@ -3,7 +3,7 @@ import json
 
 import pytest
 from cairn.operators import audit
-from cairn.sources import catalogue, local, markup, paged, registry
+from cairn.sources import archive, catalogue, local, markup, newspapers, paged, registry, tei
 from pyspark.sql import functions as F
 
 
@@ -116,14 +116,14 @@ def test_markup(spark):
     assert markup.parse_alto(spark.createDataFrame([(1, alto)], "k int, xml string")).first().text == "Hello world"
     tei = "<TEI><title>T</title><author>A</author><author>A</author><term>s</term><p>one <note>two</note></p></TEI>"
     got = markup.parse_tei(spark.createDataFrame([(1, tei), (2, "<bad"), (3, None)], "k int, xml string")).collect()
-    assert [(r.k, r.title, r.authors, r.subjects, r.text) for r in got] == [(1, "T", ["A"], ["s"], "one two\n\ntwo")]
+    assert [(r.k, r.title, r.authors, r.subjects, r.text) for r in got] == [(1, "T", ["A", "A"], ["s"], "one two\n\ntwo")]
 
 
 def test_catalogue(spark):
     payloads = ['[{"url":"a"}]', '{"cols":["url","n"],"rows":[["b","1"]]}', '{"items":[{"url":"c"}]}', '{"x":1}']
     got = spark.createDataFrame([(p,) for p in payloads], "p string").select(catalogue.manifest_rows(F.col("p")).alias("r")).collect()
     assert [[dict(m) for m in r.r] for r in got] == [[{"url": "a"}], [{"url": "b", "n": "1"}], [{"url": "c"}], []]
-    files = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(f).alias("format"), F.lit(s).cast("bigint").alias("size")) for n, f, s in (("a.txt", "Text", 5), ("b.txt", "DjVuTXT", 50), ("c.pdf", "PDF", 1))])
+    files = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(f).cast("string").alias("format"), F.lit(s).cast("bigint").alias("size")) for n, f, s in (("a.txt", None, 5), ("b.txt", "DjVuTXT", 50), ("c.pdf", "PDF", 1))])
     assert spark.range(1).select(catalogue.preferred_file(files, 100)["name"], catalogue.preferred_file(files, 10)["name"], catalogue.preferred_file(files, 1)["name"]).collect()[0][:] == ("b.txt", "a.txt", None)
     row = lambda u: F.create_map(F.lit("object_key"), F.lit(u))
     assert spark.range(1).select(catalogue.file_url(row("//h/x")), catalogue.file_url(row("h/x")), catalogue.file_url(row("http://h/x"))).collect()[0][:] == ("https://h/x", "https://h/x", "http://h/x")
@@ -147,3 +147,52 @@ def test_audit(spark):
     v = spark.createDataFrame([("f", "x", 2), ("f", "y", 1), ("f", "z", 3), ("f", "z", 4)], "field string, value string, pos int")
     assert [r.value for r in audit.frequent_values(v, 2).orderBy("nth").collect()] == ["z", "y"]
     assert [r.period for r in audit.by_period(spark.createDataFrame([(1849,), (1850,), (1700,)], "y int"), F.col("y")).orderBy("y").collect()] == ["1800-1849", "1850-1879"]
+
+
+def test_newspaper_batch(spark):
+    batch = '<batch><issue lccn="sn1" issueDate="1900-01-02" editionOrder="1">..\\batch_x\\sn1\\1900/0001.xml</issue><issue lccn="sn2" issueDate="1900">/x/data/sn2/a.xml</issue><issue> </issue></batch>'
+    issues = newspapers.batch_issues(spark.createDataFrame([("https://b/batch/", batch)], "base string, xml string"))
+    got = {r.lccn: r for r in issues.collect()}
+    assert got["sn1"].url == "https://b/batch/sn1/1900/0001.xml" and got["sn2"].url == "https://b/batch/sn2/a.xml" and got["sn2"].edition == "1"
+    mets = '<mets LABEL="The Sun" xmlns:xlink="http://www.w3.org/1999/xlink"><file USE="ocr"><FLocat xlink:href="./p1.xml"/></file><file USE="ocr"/><file USE="image"><FLocat xlink:href="i.jp2"/></file><file USE="ocr"><FLocat xlink:href="p2.xml"/></file></mets>'
+    pages = newspapers.issue_pages(issues, spark.createDataFrame([(got["sn1"].url, mets), (got["sn2"].url, "<bad")], "url string, xml string"))
+    assert [(r.page, r.ocr_url) for r in pages.orderBy("page").collect()] == [(1, "https://b/batch/sn1/1900/p1.xml"), (2, "https://b/batch/sn1/1900/p2.xml")]
+    line = lambda t: f'<a><TextLine><String CONTENT="{t}"/></TextLine></a>'
+    docs = newspapers.page_documents(pages, spark.createDataFrame([("https://b/batch/sn1/1900/p1.xml", line("word " * 30)), ("https://b/batch/sn1/1900/p2.xml", line("short"))], "url string, xml string"))
+    assert [(r.title, r.url, r.genre) for r in docs.collect()] == [("The Sun, page 1", "https://www.loc.gov/resource/sn1/1900-01-02/ed-1/?sp=1", "newspaper_page")]
+
+
+def test_newspaper_items(spark):
+    long = "text " * 30
+    item = lambda **k: json.dumps({"id": "http://i", "title": "Daily", "genre": ["Newspapers"], "date": "1901", "location": ["ohio"], **k})
+    res = json.dumps([{"fulltext_file": "http://t/none", "files": [{"url": "http://t/b.txt"}, {"url": "x.pdf"}]}])
+    rows = [("http://i/1", item(), res), ("http://i/2", item(date="1950"), res), ("http://i/3", item(genre=["Periodicals"]), res), ("http://i/4", item(date=""), res), ("http://i/5", item(), "[]")]
+    texts = spark.createDataFrame([("http://t/none", "short"), ("http://t/b.txt", json.dumps({"k": {"full_text": long}}))], "url string, body string")
+    docs = newspapers.item_documents(spark.createDataFrame(rows, "item_url string, item string, resources string"), texts)
+    assert sorted((r.date, r.place, json.loads(r.metadata)["ocr_url"]) for r in docs.collect()) == [("", "ohio", "http://t/b.txt"), ("1901", "ohio", "http://t/b.txt")]
+
+
+def test_archive(spark):
+    found = spark.createDataFrame([("a", "1890", None, "T", None), ("b", "1990", None, "T", None), ("c", "1800", None, "T", "http://creativecommons.org/publicdomain/mark/1.0/"), ("", "1800", None, "T", None)], "identifier string, year string, date string, title string, licenseurl string")
+    files = [{"name": "x.pdf", "format": "PDF", "size": 1}, {"name": "x_djvu.txt", "format": "DjVuTXT", "size": 9}]
+    items = spark.createDataFrame([("a", "public domain", "Better", "1890", ["M"], files), ("c", "", "", "", [], files)], "identifier string, licenseurl string, title string, date string, creators array<string>, files array<struct<name:string,format:string,size:bigint>>")
+    texts = spark.createDataFrame([(f"https://archive.org/download/{i}/x_djvu.txt", "word " * 40) for i in "ac"], "url string, text string")
+    got = {r.id: r for r in archive.documents(found, items, texts, source="ia", country="spain", language="es", cutoff=1929).collect()}
+    assert got["ia:a"].title == "Better" and got["ia:c"].title == "T" and got["ia:c"].rights.startswith("http") and len(got) == 2
+
+
+def test_tei_documents_and_review_list(spark, tmp_path):
+    body = "<p>" + "word " * 40 + "</p>"
+    (tmp_path / "sub").mkdir()
+    for name, title, term in (("N1.xml", "A sermon", "Sermons"), ("N2.XML", "Poems on things", "Poetry"), ("sub/N3.xml", "Short", "x")):
+        (tmp_path / name).write_text(f"<TEI><title>{title}</title><author>A</author><publicationYear>1790</publicationYear><term>{term}</term>{body if 'N3' not in name else '<p>x</p>'}</TEI>")
+    (tmp_path / "N4.xml").write_text("<TEI><broken")
+    files = tei.read(spark, str(tmp_path))
+    assert [r.stem for r in files.orderBy("path").collect()] == ["N1", "N2", "N3"]
+    assert {r.id for r in tei.documents(files).collect()} == {"evans:N1"}
+    assert {r.id for r in tei.documents(files, review_candidates=True).collect()} == {"evans:N1", "evans:N2"}
+    out = tmp_path / "review.csv"
+    assert tei.write_review_list(files, str(out)) == (3, 1)
+    text = out.read_text(encoding="utf-8-sig")
+    assert text.splitlines()[0].startswith("tcp_id,title") and "N2,Poems on things,1790,A,Poetry" in text
+    assert tei.write_review_list(files.limit(0), str(out)) == (0, 0) and out.read_text(encoding="utf-8-sig").strip() == "tcp_id"
