@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -322,13 +322,13 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = END_ID, order: tuple[str, ...] = ("doc_id", "text"), shard_ids: int = SHARD_IDS, partitions: int | None = None) -> list[dict]:
-    """Writes all documents in ascending `order` as shard files and returns one row for each file, in that order.
+def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = END_ID, order: tuple[str, ...] = ("doc_id", "text"), shard_ids: int = SHARD_IDS, partitions: int | None = None) -> DataFrame:
+    """Writes all documents in ascending `order` as shard files; returns (file, start, n_ids), a row for each file.
 
     Documents are dealt by ranges, so that file order is document order; each task writes its own files under a name
     made of its partition and number, first to a temporary name, so a repeated task leaves the same files. A null text
     has only the end id; null ids come first; rows with equal keys keep any order among themselves and all stay.
-    An empty table writes no file. The driver holds one small row for each file.
+    An empty table writes no file. The list of files is a table beside them; the driver holds none of it.
     """
     a = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *[F.col(c).alias(f"__o{k}") for k, c in enumerate(order) if c not in ("doc_id", "text")])
     keys = [c if c in ("doc_id", "text") else f"__o{k}" for k, c in enumerate(order)]
@@ -383,12 +383,14 @@ def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = EN
 
     store, root = _store(folder)
     store.create_dir(root, recursive=True)
-    got = a.mapInArrow(run, "file string, part bigint, nth bigint, n_ids bigint").collect()
-    out, start = [], 0
-    for r in sorted(got, key=lambda r: (r.part, r.nth)):
-        out.append({"file": f"{folder}/{r.file}", "start": start, "n_ids": r.n_ids})
-        start += r.n_ids
-    return out
+    files = a.mapInArrow(run, "file string, part bigint, nth bigint, n_ids bigint")
+    files.write.parquet(f"{folder}/_files")
+    files = a.sparkSession.read.schema(files.schema).parquet(f"{folder}/_files")
+    # one row for each partition goes through one task, its files through the partition's own window
+    earlier = (Window.unboundedPreceding, -1)
+    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(*earlier)), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("nth").rowsBetween(*earlier)), F.lit(0))
+    return files.withColumn("inside", inside).join(parts, "part").select(F.concat(F.lit(f"{folder}/"), "file").alias("file"), (F.col("base") + F.col("inside")).alias("start"), "n_ids")
 
 
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -396,12 +398,11 @@ def _store(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
 
 
-def read(spark, shards: list[dict]) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and shard of each document, decoded from the files; one task for a few files."""
+def read(shards: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and shard of each document, decoded from the files that write() returned."""
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("shard", T.StringType())])
-    if not shards:
-        return spark.createDataFrame([], schema)
-    files = spark.createDataFrame([(s["file"], s["start"]) for s in shards], "file string, start bigint").repartition(min(len(shards), 4096))
+    # a number of its own keeps adaptive execution from gathering these small rows, each a file to decode, in one task
+    files = shards.select("file", "start").repartition(max(1, min(shards.count(), 100_000)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh_worker("tokens")
@@ -423,4 +424,4 @@ def encode(docs: DataFrame, *, tokenizer_path: str, folder: str | None = None, *
     """Writes docs and reads them back; see write() and read(). folder: None takes a new one in the shared folder."""
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    return read(spark, write(docs, folder, tokenizer_path=tokenizer_path, **kw))
+    return read(write(docs, folder, tokenizer_path=tokenizer_path, **kw))
