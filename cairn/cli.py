@@ -70,7 +70,10 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(index.build(local.read_jsonl(spark, a.corpus), a.index, HashingEmbedder(), target=a.target, overlap=a.overlap, country=a.country, content_mode=a.content_mode), ensure_ascii=False))
     elif a.verb == "query":
         chunks, vectors = spark.read.parquet(f"{a.index}/chunks"), spark.read.parquet(f"{a.index}/embeddings")
-        found = search.search(chunks, vectors, a.question, HashingEmbedder().query(a.question).tolist(), top_k=a.top_k, source=a.source, date_from=a.date_from, date_to=a.date_to, per_document=a.per_document)
+        with open(f"{a.index}/config.json", encoding="utf-8") as f:
+            size = json.load(f)["integrity"]
+        lexical = (spark.read.parquet(f"{a.index}/postings"), size["chunk_rows"], size["lexical_tokens"] / max(1, size["chunk_rows"]))
+        found = search.search(chunks, vectors, a.question, HashingEmbedder().query(a.question).tolist(), lexical_index=lexical, top_k=a.top_k, source=a.source, date_from=a.date_from, date_to=a.date_to, per_document=a.per_document)
         if a.prompt:
             print(search.context_prompt(a.question, found).first()["prompt"])
         else:

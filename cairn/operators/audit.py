@@ -17,10 +17,10 @@ def field_coverage(fields: DataFrame) -> DataFrame:
     null, the empty text and the empty list count as absent; 0, false and {} as present. The share is of all records,
     to one digit, half to even.
     """
-    total = fields.agg(F.count_distinct("record").alias("n"))
+    total = fields.agg(F.count_distinct("record").alias("n")).collect()[0]["n"]
     present = F.col("value").isNotNull() & ~F.col("value").isin("null", '""', "[]")
     counts = fields.groupBy("field").agg(F.count_if(present).alias("n_present"))
-    return counts.join(F.broadcast(total)).select("field", "n_present", F.bround(F.lit(100.0) * F.col("n_present") / F.col("n"), 1).alias("percent"))
+    return counts.select("field", "n_present", F.bround(F.lit(100.0) * F.col("n_present") / F.lit(max(1, total)), 1).alias("percent"))
 
 
 def frequent_values(values: DataFrame, top: int = TOP_VALUES) -> DataFrame:

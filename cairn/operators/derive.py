@@ -13,11 +13,13 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.classify import rights_eligible
 from ..functions.text import canonical_json, stable_id
+from ..session import stored
 
 # Fields that are derived, and default bounds.
 FIELDS = ("id", "title", "text", "place", "genre")
@@ -74,31 +76,79 @@ def pending(docs: DataFrame, state: DataFrame, output: DataFrame, method_key: st
     return keyed.join(done.select(F.col("document_id").alias("id"), "identity"), ["id", "identity"], "left_anti").select(*docs.columns, "identity")
 
 
-def batches(docs: DataFrame, *, size: int = 10, max_document: int = MAX_DOCUMENT_CHARS, max_batch: int = MAX_BATCH_CHARS, order: str = "pos", group: Column | None = None) -> DataFrame:
-    """(id, pos, chars, batch, batch_chars): greedy batches in order, bounded by rows and by characters of a JSON array.
+#: Documents that one task packs, about.
+PACKED_ROWS = 50_000
 
-    The running state is a fold over (pos, id, chars) structs of a group (default: all; 10^6 documents are 100 MB), with
-    texts left behind; give a group, such as the source, to pack a larger corpus in parallel. A document over a bound
-    fails the query.
+
+def batches(docs: DataFrame, *, size: int = 10, max_document: int = MAX_DOCUMENT_CHARS, max_batch: int = MAX_BATCH_CHARS, order: str = "pos", group: Column | None = None, task_rows: int = PACKED_ROWS) -> DataFrame:
+    """(id, pos, chars, batch, batch_chars, grp): greedy batches in order, bounded by rows and by characters of a JSON array.
+
+    Packing one sequence is a chain, but a task only has to know how many of its first rows (less than `size`) the batch
+    before it takes. So rows (texts left behind) are dealt by ranges of (group, order); each task packs its range for
+    every such beginning and returns the few results; the driver links them, with a few numbers for each range; a second
+    pass packs with the beginnings found. Equal orders go by id. A document over a bound fails the query.
     """
     if not 1 <= size <= MAX_BATCH:
         raise ValueError(f"size must be from 1 to {MAX_BATCH}")
     n = request_size()
     fits = F.when((n > max_document) | (n + 2 > max_batch), F.raise_error(F.concat(F.lit("document too long: "), F.col("id")))).otherwise(n)
-    a = docs.select(F.col(order).alias("pos"), "id", fits.alias("chars"), (group if group is not None else F.lit(0)).alias("grp"))
-    start = F.struct(F.lit(-1).alias("batch"), F.lit(0).alias("rows"), F.lit(0).alias("chars"), F.array().cast("array<int>").alias("of"))
-
-    def step(s: Column, d: Column) -> Column:
-        added = d["chars"] + F.when(s["rows"] > 0, 1).otherwise(0)
-        new = (s["batch"] < 0) | (s["rows"] >= size) | (s["chars"] + added > max_batch)
-        no = F.when(new, s["batch"] + 1).otherwise(s["batch"])
-        return F.struct(no.alias("batch"), F.when(new, 1).otherwise(s["rows"] + 1).alias("rows"), F.when(new, d["chars"] + 2).otherwise(s["chars"] + added).alias("chars"), F.array_append(s["of"], no).alias("of"))
-
-    listed = a.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("pos", "id", "chars"))).alias("l"))
-    dealt = listed.select("grp", F.explode(F.arrays_zip("l", F.aggregate("l", start, step, lambda s: s["of"]).alias("b"))).alias("x"))
-    rows = dealt.select("grp", F.col("x.l.pos").alias("pos"), F.col("x.l.id").alias("id"), F.col("x.l.chars").alias("chars"), F.col("x.b").alias("batch"))
-    w = Window.partitionBy("grp", "batch")
-    return rows.withColumn("batch_chars", F.sum("chars").over(w) + F.count("*").over(w) + 1).select("id", "pos", "chars", "batch", "batch_chars", *(["grp"] if group is not None else []))
+    a = docs.select((group if group is not None else F.lit("")).cast("string").alias("grp"), F.col(order).cast("bigint").alias("pos"), "id", fits.alias("chars"))
+    ranges = max(1, -(-a.select("pos").count() // task_rows))
+    a = stored(a.repartitionByRange(ranges, "grp", "pos", "id").sortWithinPartitions("grp", "pos", "id").withColumn("part", F.spark_partition_id()), "packing")
+
+    def beginnings(key: tuple, t: pa.Table) -> pa.Table:
+        grp, chars = _columns(t)
+        ends = [_pack(grp, chars, e, size, max_batch)[1] for e in range(min(size, len(grp)))]
+        own = json.dumps({"head": [[g, c] for g, c in zip(grp[:size], chars[:size], strict=True)], "n": len(grp), "ends": ends})
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "found": [own]})
+
+    links = {r["part"]: json.loads(r["found"]) for r in a.groupBy("part").applyInArrow(beginnings, "part int, found string").collect()}
+    # the open batch as [group, rows, chars, number]
+    opened: list | None = None
+    begin: dict[int, tuple[int, list | None]] = {}
+    for part in sorted(links):
+        x, e, now = links[part], 0, list(opened) if opened else None
+        while now and e < len(x["head"]) and x["head"][e][0] == now[0] and now[1] < size and now[2] + x["head"][e][1] + 1 <= max_batch:
+            now[1], now[2], e = now[1] + 1, now[2] + x["head"][e][1] + 1, e + 1
+        begin[part] = (e, opened)
+        if e < x["n"]:
+            g, rows, chars, number = x["ends"][e]
+            opened = [g, rows, chars, number + (now[3] + 1 if now and now[0] == g else 0)]
+        else:
+            opened = now
+
+    def pack(key: tuple, t: pa.Table) -> pa.Table:
+        grp, chars = _columns(t)
+        e, before = begin[key[0].as_py()]
+        of, _ = _pack(grp, chars, e, size, max_batch)
+        # batches of the group that was open before count on from there
+        first = [before[3] if k < e else b + (before[3] + 1 if before and before[0] == g else 0) for k, (g, b) in enumerate(zip(grp, of, strict=True))]
+        return t.select(["grp", "pos", "id", "chars"]).append_column("batch", pa.array(first, pa.int32()))
+
+    rows = a.groupBy("part").applyInArrow(pack, "grp string, pos bigint, id string, chars int, batch int")
+    total = rows.groupBy("grp", "batch").agg((F.sum("chars") + F.count("*") + 1).alias("batch_chars"))
+    return rows.join(total, ["grp", "batch"]).select("id", "pos", "chars", "batch", "batch_chars", *(["grp"] if group is not None else []))
+
+
+def _columns(t: pa.Table) -> tuple[list[str], list[int]]:
+    t = t.sort_by([("grp", "ascending"), ("pos", "ascending"), ("id", "ascending")])
+    return t.column("grp").to_pylist(), t.column("chars").to_pylist()
+
+
+def _pack(grp: list[str], chars: list[int], begin: int, size: int, most: int) -> tuple[list[int], list]:
+    """Batch numbers from row `begin` on, each group from 0 (rows before it get -1), and the open batch at the end.
+
+    The open batch: group, rows, characters, number.
+    """
+    out, g, rows, total, number = [-1] * begin, None, 0, 0, -1
+    for k in range(begin, len(grp)):
+        if grp[k] != g or rows >= size or total + chars[k] + 1 > most:
+            number = number + 1 if grp[k] == g else 0
+            g, rows, total = grp[k], 1, chars[k] + 2
+        else:
+            rows, total = rows + 1, total + chars[k] + 1
+        out.append(number)
+    return out, [g, rows, total, number]
 
 
 def merged(output: DataFrame, new: DataFrame) -> DataFrame:

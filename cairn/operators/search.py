@@ -124,9 +124,12 @@ def diversified(fused: DataFrame, top_k: int, per_document: int) -> DataFrame:
     return capped.orderBy(F.desc("score"), "seen").limit(max(1, top_k))
 
 
-def search(chunks: DataFrame, vectors: DataFrame, question: str, query_vector: list[float], *, top_k: int = 8, source: str = "", date_from: int | None = None, date_to: int | None = None, per_document: int = 2, tokenizer=None) -> DataFrame:
+def search(chunks: DataFrame, vectors: DataFrame, question: str, query_vector: list[float], *, top_k: int = 8, source: str = "", date_from: int | None = None, date_to: int | None = None, per_document: int = 2, tokenizer=None, lexical_index: tuple[DataFrame, int, float] | None = None) -> DataFrame:
     """Ranked chunks with score and dense_score.
 
+    lexical_index: (postings, chunks, mean length) of a built index, of which only the question's terms are read;
+    without it every chunk is tokenised.
+
     chunks: columns of CHUNK with pos, the row number that ties fall back to; vectors: (id, embedding). The dense list
     holds eligible chunks only; the lexical list is cut to 100 before chunks that aren't eligible leave it, and ranks
     are counted anew. The fused rows (150 at most for the default) are joined back to the chunks by a broadcast.
@@ -134,7 +137,8 @@ def search(chunks: DataFrame, vectors: DataFrame, question: str, query_vector: l
     ok = chunks.where(eligible(source, date_from, date_to))
     with_vectors = ok.select("id", "pos").join(vectors.select("id", "embedding"), "id")
     dense = dense_top(with_vectors, query_vector, max(50, 5 * top_k))
-    hits = lexical_top(chunks, query_terms(chunks.sparkSession, question, tokenizer))
+    terms = query_terms(chunks.sparkSession, question, tokenizer)
+    hits = lexical_top(chunks, terms) if lexical_index is None else lexical_top_indexed(*lexical_index, terms)
     lexical = hits.join(ok.select("id"), "id", "left_semi").withColumn("rank", F.row_number().over(Window.orderBy(F.desc("bm25"), "pos")))
     fused = reciprocal_ranks([dense, lexical])
     rows = chunks.join(F.broadcast(fused), "id")

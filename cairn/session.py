@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = Path(__file__).resolve().parent
 
@@ -25,6 +26,14 @@ def ship_package(spark: SparkSession) -> None:
     sc._cairn_shipped = True
 
 
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """df written to the folder that spark.checkpoint.dir names (/tmp/cairn-shared where it is unset) and read again."""
+    folder = (df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/cairn-shared").rstrip("/")
+    path = f"{folder}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(name: str = "cairn", cores: str = "*", **conf: str) -> SparkSession:
     """A local session with adaptive execution, UTC and as many shuffle partitions as small data need."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(name)

@@ -55,6 +55,17 @@ def test_batches_equal_a_model(spark):
         derive.batches(d, max_document=10).collect()
 
 
+def test_ranges_link_to_the_same_batches(spark):
+    rows = [(str(i), "abcde"[i * i % 5], i, "x" * (i * 7919 % 160)) for i in range(300)]
+    d = spark.createDataFrame(rows, "id string, source string, pos bigint, text string").withColumns({k: F.lit("") for k in ("title", "place", "genre", "language")})
+    for group in (None, F.col("source")):
+        one = sorted(map(tuple, derive.batches(d, size=6, max_batch=700, group=group).collect()))
+        assert len(one) == 300
+        for n in (3, 17, 100):
+            assert sorted(map(tuple, derive.batches(d, size=6, max_batch=700, group=group, task_rows=n).collect())) == one
+    assert derive.batches(d.limit(0)).count() == 0
+
+
 def test_run_is_resumable_and_idempotent(spark, tmp_path):
     d, m = docs(spark, 7), derive.Method("up", upper)
     run = derive.Run(spark, str(tmp_path))
