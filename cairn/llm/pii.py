@@ -87,11 +87,12 @@ def disclosures(docs: DataFrame, *, window: int = WINDOW, alpha: float = ALPHA,
     word counts, the one large shuffle, stays narrow; it is summed before the exchange. Terms have three characters
     at least and never lie inside an entity. Copies count as documents. An empty table discloses nothing.
     """
-    held = _near(_entities(_base(docs.select("text"))).where("size(__base) > 0"), window)
-    both = held.selectExpr("explode(array_distinct(transform(__near, y -> struct(y.entity AS entity, y.term AS term)))) AS x").select("x.*")
+    # outer generators, as a filter inferred for inner ones would compute their arrays a second time
+    held = _near(_entities(_base(docs.select("text"))), window)
+    both = held.selectExpr("explode_outer(array_distinct(transform(__near, y -> struct(y.entity AS entity, y.term AS term)))) AS x").where("x IS NOT NULL").select("x.*")
     both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
-    entities = held.selectExpr("explode(array_distinct(transform(__base, x -> xxhash64(x.m)))) AS entity").groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    words = docs.selectExpr(f"explode(array_distinct(transform(regexp_extract_all(lower(text), r'{TERM}', 0), w -> xxhash64(w)))) AS term")
+    entities = held.selectExpr("explode_outer(array_distinct(transform(__base, x -> xxhash64(x.m)))) AS entity").where("entity IS NOT NULL").groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+    words = docs.selectExpr(f"explode_outer(array_distinct(transform(regexp_extract_all(lower(text), r'{TERM}', 0), w -> xxhash64(w)))) AS term").where("term IS NOT NULL")
     counts = words.groupBy("term").agg(F.count("*").alias("n_term"))
     total = float(max(1, docs.agg(F.count("*").alias("n")).collect()[0]["n"]))
     out = both.join(entities, "entity").join(counts, "term")
@@ -108,7 +109,7 @@ def find(docs: DataFrame, disclosed: DataFrame, *, window: int = WINDOW) -> Data
     and hashes cross the exchange unless the caller keeps the text.
     """
     a = _near(_entities(_base(docs)), window)
-    pairs = _near(_entities(_base(docs.select("text"))).where("size(__base) > 0"), window).selectExpr("__key", "explode(__near) AS y").selectExpr("__key", "y.entity", "y.term").distinct()
+    pairs = _near(_entities(_base(docs.select("text"))), window).selectExpr("__key", "explode_outer(__near) AS y").where("y IS NOT NULL").selectExpr("__key", "y.entity", "y.term").distinct()
     hits = pairs.join(disclosed.select("entity", "term"), ["entity", "term"]).groupBy("__key").agg(F.collect_set(F.struct("entity", "term")).alias("__hits")).withColumnRenamed("__key", "__hit_key")
     a = a.join(hits, F.col("__key") == F.col("__hit_key"), "left")
     terms = "array_distinct(transform(filter(__near, y -> exists(coalesce(__hits, array()), h -> h.entity = y.entity AND h.term = y.term)), y -> struct(y.s AS s, 4 AS rank, 'term' AS kind, y.e AS e, cast(null as string) AS m)))"
