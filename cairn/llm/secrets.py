@@ -55,7 +55,8 @@ def fit(docs: DataFrame) -> list[float]:
     """
     a = _candidates(_base(docs))
     value = "regexp_extract(x.m, r'" + ASSIGN.replace("'", "\\x27") + "', 2)"
-    tokens = a.selectExpr(f"concat(transform(__assign, x -> struct(1 AS y, {value} AS v)), transform(concat(__access, __hex), x -> struct(1 AS y, x.m AS v)), transform(__cand, x -> struct(0 AS y, x.m AS v))) AS l").selectExpr("inline(l)")
+    tokens = a.selectExpr(f"concat(transform(__assign, x -> struct(1 AS y, {value} AS v)), transform(concat(__access, __hex), x -> struct(1 AS y, x.m AS v)), transform(__cand, x -> struct(0 AS y, x.m AS v))) AS l").selectExpr("inline_outer(l)")
+    # outer, as a filter inferred for an inner generator would compute the list a second time
     pairs = tokens.where("length(v) >= 2").selectExpr("y", "explode(transform(sequence(1, length(v) - 1), i -> substring(v, i, 2))) AS p")
     n = len(ALPHABET)
     counts = [[0.0] * (n * n) for _ in (0, 1)]
