@@ -35,7 +35,7 @@ _BLOCK = 512
 #: Ids that building and decoding move at a time.
 _STEP = 1 << 17
 #: Bytes of texts that are encoded at a time.
-_TEXT_BYTES = 1 << 22
+_TEXT_BYTES = 1 << 23
 
 
 class WaveletMatrix:
@@ -289,13 +289,16 @@ class Encoder:
             self._learn([words[k] for k in gaps])
             for k in gaps:
                 rows[k] = self.known[words[k]]
-        size = np.fromiter(map(len, rows), np.int64, len(rows)) // self.dtype.itemsize
-        first = np.cumsum(size) - size
+        # a batch holds far less than 2 ** 31 ids, unless one text alone does
+        kind = np.int32 if texts.nbytes < 1 << 29 else np.int64
+        size = np.fromiter(map(len, rows), kind, len(rows)) // kind(self.dtype.itemsize)
+        first = np.cumsum(size, dtype=kind) - size
         pool = np.frombuffer(b"".join(rows), self.dtype)
         per = size[at]
-        done = np.concatenate([[0], np.cumsum(per)])
-        ids = pool[np.repeat(first[at] - done[:-1], per) + np.arange(done[-1])] if len(at) else np.zeros(0, self.dtype)
-        counts = done[edges[1:]] - done[edges[:-1]]
+        done = np.zeros(len(per) + 1, kind)
+        np.cumsum(per, out=done[1:])
+        ids = pool[np.repeat(first[at] - done[:-1], per) + np.arange(done[-1], dtype=kind)] if len(at) else np.zeros(0, self.dtype)
+        counts = (done[edges[1:]] - done[edges[:-1]]).astype(np.int64)
         if len(odd):
             parts = np.split(ids, np.cumsum(counts)[:-1])
             for k in odd.tolist():
