@@ -35,7 +35,7 @@ _BLOCK = 512
 #: Ids that building and decoding move at a time.
 _STEP = 1 << 17
 #: Bytes of texts that are encoded at a time.
-_TEXT_BYTES = 1 << 23
+_TEXT_BYTES = 1 << 22
 
 
 class WaveletMatrix:
@@ -206,8 +206,9 @@ class Encoder:
     """
 
     def __init__(self, path: str, most_words: int = 900_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        self.blanks = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.tokenizer = Tokenizer.from_file(path)
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.mark, self.mark_id = next(iter(added.items()))
@@ -221,6 +222,16 @@ class Encoder:
         self.older: dict[str, bytes] = {}
         self.most = most_words
 
+    def _plain_ids(self, text: str) -> list[int]:
+        """Ids of plain pieces with blanks between them: nothing is left to normalise or to part but the blanks."""
+        t = self.tokenizer
+        whole = t.normalizer, t.pre_tokenizer
+        t.normalizer, t.pre_tokenizer = None, self.blanks
+        try:
+            return t.encode(text, add_special_tokens=False).ids
+        finally:
+            t.normalizer, t.pre_tokenizer = whole
+
     def _learn(self, words: list[str]) -> None:
         """Encodes unknown words; words met lately but pushed out of `known` come back from `older`."""
         fresh: dict[str, None] = {}
@@ -249,7 +260,7 @@ class Encoder:
         width, pieces = self.dtype.itemsize, list(plain)
         for k in range(0, len(pieces), 1000):
             part = pieces[k : k + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, self.dtype)
+            ids = np.array(self._plain_ids(" ".join(part)), self.dtype)
             cuts = np.flatnonzero(self.closing[ids]) + 1
             if len(cuts) != len(part):
                 raise ValueError("a plain piece was parted")
@@ -282,7 +293,7 @@ class Encoder:
         edges = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.slice(edges[0], edges[-1] - edges[0]).dictionary_encode()
         edges = edges - edges[0]
-        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        words, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         rows = list(map(self.known.get, words))
         gaps = [k for k, r in enumerate(rows) if r is None]
         if gaps:
