@@ -135,6 +135,37 @@ def test_leaks(spark):
     assert {r.doc_id for r in decontam.clean(docs, items).collect()} == set(range(200)) - {i for i, _ in got}
 
 
+def test_overlaps_equal_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        item, region = rng.integers(0, 6, rng.integers(1, 12)), rng.integers(0, 9, rng.integers(0, 60))
+        held, width = np.flatnonzero(np.isin(region, item)), decontam._width(len(item))
+        want = [sum(min(int((region[k : k + width] == x).sum()), int((item == x).sum())) for x in set(item.tolist())) for k in held]
+        assert decontam._overlaps(item, region[held], held, width).tolist() == want
+
+
+def test_best_span_equals_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(150):
+        n = int(rng.integers(3, 14))
+        item, region, answer = rng.integers(0, 8, n), rng.integers(0, 9, rng.integers(1, 80)), int(rng.integers(0, n))
+        spans = [region[k : k + decontam._width(n)] for k in range(len(region))]
+        both = [(decontam.common_subsequence(item, x) / n, decontam.common_subsequence(item[answer:], x) / (n - answer)) for x in spans]
+        got = decontam._checked(item, answer, region, 0, len(region))
+        assert decontam._leaked(*got) == any(decontam._leaked(*x) for x in both)
+        if decontam._leaked(*got):
+            assert got[0] == max(x[0] for x in both if decontam._leaked(*x))
+
+
+@pytest.mark.parametrize("run", [60, 400])
+def test_leak_beside_a_run_of_one_of_its_words(spark, run):
+    item = "alpha de bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november"
+    rows = [(0, "de " * run + item), (1, item + " de" * run), (2, "de " * run)] + [(10 + i, f"word{i} other{i % 7} de") for i in range(60)]
+    docs, items = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    got = {r.doc_id: r["__leaks"][0] for r in decontam.search(docs, decontam.fit(docs, items)).collect()}
+    assert sorted(got) == [0, 1] and all(x.lcs == 1 for x in got.values())
+
+
 def test_many_blocks_find_the_same(spark, monkeypatch):
     docs, items, _ = leaky(spark)
     pairs = lambda models: {(r.doc_id, x.item_id) for r in decontam.search(docs, models).collect() for x in r["__leaks"]}
