@@ -176,6 +176,29 @@ def test_many_blocks_find_the_same(spark, monkeypatch):
     assert len(models) == 3 and pairs(models) >= {p for p in one}
 
 
+def test_passages_cover_the_item():
+    w = [f"w{i}é" for i in range(200)]
+    for n in (1, 63, 64, 65, 80, 81, 200):
+        whole, *parts = decontam._passages("-- " + ", ".join(w[:n]) + ".")
+        assert whole.startswith("-- w0") and bool(parts) == (n > 64) and (not parts or {x for p in parts for x in p.split(", ")} == set(w[:n]))
+
+
+@pytest.mark.parametrize("n", [200, 600, 1000])
+def test_leaks_of_long_items(spark, n):
+    rng = random.Random(n)
+    syllables = ["th", "er", "an", "ou", "st", "le", "mi", "ka", "ro", "su"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(4))
+    items = [[word() for _ in range(n)] for _ in range(4)]
+    docs, truth = [(100 + i, " ".join(word() for _ in range(300))) for i in range(40)], set()
+    for i, item in enumerate(items):
+        own = [x if rng.random() > 0.3 else word() for x in item]  # seven words in ten stay, in order
+        for k, leak in ((2 * i, item), (2 * i + 1, own)):
+            docs.append((k, " ".join([word() for _ in range(57)] + leak + [word() for _ in range(90)])))
+            truth.add((k, i))
+    docs, items = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    assert {(r.doc_id, x.item_id) for r in decontam.search(docs, decontam.fit(docs, items)).collect() for x in r["__leaks"]} == truth
+
+
 def test_svd_spans_the_items(spark):
     _, items, _ = leaky(spark)
     weights = np.ones(decontam.BUCKETS)
