@@ -1,7 +1,7 @@
 """Toxicity: a noisy channel undoes leetspeak, spacing and repetition; the restored words are then scored.
 
 A suspicious piece of text becomes a lattice of letters: each character offers the letters it may stand for with the
-cost of that substitution, separators may vanish, and runs of one letter may shrink. Viterbi decoding under a trigram
+cost of that substitution, separators may vanish or part words, and runs of one letter may shrink. Viterbi decoding under a trigram
 model of characters, counted over all documents, picks the restored word. A sparse logistic model with non-negative
 weights over words and word beginnings, fitted on a bounded labelled sample, scores the plain and restored words.
 """
@@ -9,6 +9,7 @@ weights over words and word beginnings, fitted on a bounded labelled sample, sco
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,7 +32,7 @@ THRESHOLD = 0.7
 # What a character may stand for besides itself.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 SEPARATORS = " .-_*~'’,:"
-SUBSTITUTED, DROPPED, SHRUNK = math.log(0.2), math.log(0.3), math.log(0.3)
+SUBSTITUTED, DROPPED, SHRUNK, PARTED = math.log(0.2), math.log(0.3), math.log(0.3), math.log(0.3)
 
 _CLASSES = 64
 _CLASS = np.zeros(0x180, np.uint8)
@@ -41,9 +42,13 @@ _others = [c for c in range(0xAA, 0x180) if chr(c).isalpha() and chr(c).lower()
 for _k, _c in enumerate(_others):
     _CLASS[_c] = 27 + _k % 37
 _WORD = re.compile(r"[^\W\d_]+")
-_SPACED = re.compile(r"(?<!\w)[^\W\d_](?:[ .\-_*~]{1,2}[^\W\d_]){2,}(?!\w)")
-_TRIPLE = re.compile(r"\w*?([^\W\d_])\1\1\w*")
 _MIX = "".join(LEET)
+_SINGLE = r"(?!_)[\w" + re.escape("".join(c for c in LEET if not c.isdigit())) + "]"
+_SPACED = re.compile(rf"(?<!\w){_SINGLE}(?:[ .\-_*~]{{1,2}}{_SINGLE}){{2,}}(?!\w)")
+_RUN = re.compile(r"\w+")
+_DOUBLE, _TRIPLE = re.compile(r"([^\W\d_])\1"), re.compile(r"([^\W\d_])\1\1")
+#: Runs of characters after which decoding fixes the letters that all its states share.
+_FIXED = 64
 _ENDS = "\"'()[]{}<>.,;:!?-_*~|…“”«»"
 
 
@@ -89,8 +94,12 @@ def character_model(docs: DataFrame) -> np.ndarray:
     return np.log(counts / counts.sum(axis=2, keepdims=True)).astype(np.float32)
 
 
-def decode(piece: str, lm: np.ndarray) -> str:
-    """The likeliest letters behind a lower-case piece. Ties take the alphabetically first string."""
+def decode(piece: str, lm: np.ndarray, parted: bool = False) -> str:
+    """The likeliest letters behind a lower-case piece. Ties take the alphabetically first string.
+
+    parted: a separator may also end a word and begin the next, which a blank in the result shows. The time grows with
+    the length of the piece, as letters that all states share are taken out of the comparison.
+    """
     runs: list[tuple[str, int]] = []
     for c in piece:
         if runs and runs[-1][0] == c:
@@ -98,7 +107,11 @@ def decode(piece: str, lm: np.ndarray) -> str:
         else:
             runs.append((c, 1))
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for c, n in runs:
+    fixed: list[str] = []
+    for i, (c, n) in enumerate(runs):
+        if i % _FIXED == _FIXED - 1:
+            fixed.append(os.path.commonprefix([x for _, x in states.values()]))
+            states = {k: (p, x[len(fixed[-1]) :]) for k, (p, x) in states.items()}
         options: list[tuple[str, float]] = []
         if c.isalpha():
             options += [(c * n, 0.0)] if n <= 2 else [(c, SHRUNK), (c * 2, SHRUNK * 2)]
@@ -121,32 +134,41 @@ def decode(piece: str, lm: np.ndarray) -> str:
                 old = after.get((x, y))
                 if old is None or (-new[0], new[1]) < (-old[0], old[1]):
                     after[x, y] = new
+            if parted and c in SEPARATORS:
+                new = (p + PARTED + float(lm[a, b, 0]), s + " ")
+                old = after.get((0, 0))
+                if old is None or (-new[0], new[1]) < (-old[0], old[1]):
+                    after[0, 0] = new
         states = after
     best = min(((-(p + float(lm[a, b, 0])), s) for (a, b), (p, s) in states.items()), default=(0, ""))
-    return best[1]
+    return "".join(fixed) + best[1]
 
 
 def restored(text: str, lm: np.ndarray, cache: dict[str, str], spaced: bool = True, tripled: bool = True) -> set[str]:
-    """The words that decoding finds in the suspicious pieces of a text: mixed, stretched and spaced-out ones."""
+    """The words that decoding finds in the suspicious pieces of a text: mixed, stretched and spaced-out ones, whatever their length."""
     low = text.lower()
     pieces = []
     for w in {w for w in low.split() if not w.isalpha()}:
         core = w.strip(_ENDS) if w[:1] not in "@$!|" else w.rstrip(_ENDS)
-        if 3 <= len(core) <= 40 and not core.isalpha() and any(c.isalpha() for c in core) and any(c in _MIX or c in SEPARATORS for c in core):
+        if 3 <= len(core) and not core.isalpha() and any(c.isalpha() for c in core) and any(c in _MIX or c in SEPARATORS for c in core):
             pieces.append(core)
     if tripled:
-        pieces += [m.group(0) for m in _TRIPLE.finditer(low) if len(m.group(0)) <= 60]
+        pieces += [w for w in set(_RUN.findall(low)) if _TRIPLE.search(w)]
     if spaced:
-        pieces += [m.group(0) for m in _SPACED.finditer(low) if len(m.group(0)) <= 120]
-    out = set()
+        pieces += [m.group(0) for m in _SPACED.finditer(low) if any(c.isalpha() for c in m.group(0))]
+    pieces += [w for w in set(_WORD.findall(low)) if _DOUBLE.search(w)]
+    out: set[str] = set()
     for p in pieces:
         got = cache.get(p)
         if got is None:
-            if len(cache) > 200_000:
-                cache.clear()
-            got = cache[p] = decode(p, lm)
-        if got:
-            out.add(got)
+            got = decode(p, lm)
+            if not p.isalpha():  # both readings, as one long word or as several
+                got = " ".join({got, *decode(p, lm, True).split()})
+            if len(p) <= 120:
+                if len(cache) > 200_000:
+                    cache.clear()
+                cache[p] = got
+        out.update(got.split())
     return out
 
 
@@ -215,7 +237,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample_rows
 
 
 def suspects(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For each text: does it hold a letter three times in a row; three single letters between separators?"""
+    """For each text: does it hold a letter three times in a row; three single letters between separators?
+
+    A quick look at the bytes: letters of several bytes and what stands for a letter aren't seen. Scores don't rely on it.
+    """
     raw, starts, ends = text_buffer(column)
     triple, spaced = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
     wide = np.zeros(256, bool)
@@ -261,12 +286,11 @@ def score(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",),
         heads = {x[1:]: v for x, v in model.weights.items() if x[0] == "^"}
         fours, fives = frozenset(x for x in heads if len(x) == 4), frozenset(x for x in heads if len(x) == 5)
         for b in batches:
-            triple, spaced = suspects(b.column(width))
             out = np.zeros(b.num_rows)
             for i, value in enumerate(b.column(width)):
                 t = value.as_py() or ""
                 words = set(_WORD.findall(t.lower()))
-                words |= restored(t, model.lm, cache, bool(spaced[i]), bool(triple[i]))
+                words |= restored(t, model.lm, cache)
                 z = model.bias + sum(model.weights[x] for x in plain & words)
                 z += sum(heads[x] for x in fours & {x[:4] for x in words if len(x) > 4}) + sum(heads[x] for x in fives & {x[:5] for x in words if len(x) > 5})
                 out[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))

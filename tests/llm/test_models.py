@@ -67,6 +67,43 @@ def test_decoding():
     assert toxicity.decode("...", lm) == "" and toxicity.decode("", lm) == ""
 
 
+def letters(*words):
+    counts = np.full((64, 64, 64), 0.1)
+    for w in words * 20:
+        c = toxicity.classes_of("  " + w + "  ").astype(int)
+        for a, b, d in zip(c, c[1:], c[2:], strict=False):
+            counts[a, b, d] += 1
+    return np.log(counts / counts.sum(axis=2, keepdims=True))
+
+
+def test_whole_lattice_is_decoded():
+    lm = letters("you", "are", "a", "moron", "idiot", "stupid", "the", "other", "idééfixe")
+    find = lambda t: toxicity.restored(t, lm, {})
+    for text, words in (
+        ("you m 0 r 0 n", {"moron"}),
+        ("an i d 1 o t.", {"idiot"}),
+        ("you are a m o r o n", {"moron"}),
+        ("a s t u p i d  m 0 r o n", {"stupid", "moron"}),
+        ("the.1d10t", {"the", "idiot"}),
+        ("an idiiot", {"idiot"}),
+        ("an id" + "i" * 90 + "ot", {"idiot"}),
+        ("m o r o n " * 40, {"moron"}),
+        ("other-" * 20 + "1d10t", {"other", "idiot"}),
+        ("ÉÉÉ idÉÉÉÉfixe", {"idééfixe"}),
+    ):
+        assert words <= find(text), (text, find(text))
+    assert find("1 2 3 4, the other") == set()
+
+
+def test_long_pieces_are_decoded_as_a_whole(monkeypatch):
+    lm = letters("you", "are", "a", "moron", "idiot", "stupid", "the", "other")
+    rng = random.Random(4)
+    pieces = ["".join(rng.choice("idotmrn10|! .-") for _ in range(rng.randint(1, 300))) for _ in range(60)]
+    got = [toxicity.decode(p, lm, k) for p in pieces for k in (False, True)]
+    monkeypatch.setattr(toxicity, "_FIXED", 10**9)
+    assert got == [toxicity.decode(p, lm, k) for p in pieces for k in (False, True)]
+
+
 def test_suspects():
     triple, spaced = toxicity.suspects(pa.array(["aaa b", "a b", None, "x y z", "é é é q", "ab cd ef", "1.1.1", ""]))
     # a text at the edge of its neighbour may be looked at for nothing, but none is missed
