@@ -1,12 +1,12 @@
 """Personal data: fixed patterns plus information-theoretic sanitisation, with DataFrame functions only.
 
-A protected entity is a value that the patterns find. A term beside it discloses the entity if the pointwise mutual
-information of both over the corpus, as a share of the entity's information content, reaches a threshold:
+A protected entity is a value that the patterns find. A term discloses the entity if the pointwise mutual information
+of both over the corpus, as a share of the entity's information content, reaches a threshold:
 
     PMI(t; e) = log2(N * n(t, e) / (n(t) * n(e))),  IC(e) = log2(N / n(e)),  disclosed if PMI >= alpha * IC
 
-n counts documents. n(t) is counted over every word of every document; n(t, e) over the words within `window` words
-of the entity. Disclosing terms become spans of kind `term` in the documents that hold the entity.
+n counts documents: n(t) those with the word, n(t, e) those with both, wherever they stand. Every occurrence of a
+disclosing term becomes a span of kind `term` in the documents that hold the entity.
 """
 
 from __future__ import annotations
@@ -25,8 +25,6 @@ CARD = r"[0-9](?:(?![\x20-](?![0-9]))[0-9\x20-])*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
 
-#: Words on either side of an entity that can disclose it.
-WINDOW = 5
 #: Share of the entity's information content beyond which a term discloses it.
 ALPHA = 0.9
 #: Documents that hold both at least.
@@ -63,56 +61,60 @@ def _entities(a: DataFrame) -> DataFrame:
 
 #: Words of the corpus statistics: runs of letters and digits that begin with a letter.
 TERM = r"\p{L}[\p{L}\p{N}]*"
-#: Code points on either side of an entity in which its words are sought.
-CONTEXT = 200
 
 
-def _near(a: DataFrame, window: int) -> DataFrame:
-    """Adds __near: array<struct<entity,term,s,e>>, the words beside each entity with their places; __key: hash of the text."""
-    spans = lambda x: regex_spans(x, TERM)
-    before, after = f"substring(__t, greatest(1, x.s + 1 - {CONTEXT}), least(x.s, {CONTEXT}))", f"substring(__t, x.e + 1, {CONTEXT})"
-    side = lambda text, take, shift: f"transform(array({text}), c -> transform(transform(array({spans('c')}), l -> {take})[0], y -> struct(xxhash64(x.m) AS entity, xxhash64(lower(y.m)) AS term, y.s + {shift} AS s, y.e + {shift} AS e, length(y.m) AS n)))[0]"
-    left = side(before, f"slice(l, greatest(1, size(l) + 1 - {window}), {window})", f"greatest(0, x.s - {CONTEXT})")
-    right = side(after, f"slice(l, 1, {window})", "x.e")
-    inside = "exists(__base, b -> b.s < y.e AND y.s < b.e)"
-    near = f"array_distinct(filter(flatten(transform(__base, x -> concat({left}, {right}))), y -> y.n >= 3 AND NOT {inside}))"
-    empty = "cast(array() as array<struct<entity:bigint,term:bigint,s:int,e:int,n:int>>)"
-    return a.withColumns({"__near": F.expr(f"CASE WHEN size(__base) > 0 THEN {near} ELSE {empty} END"), "__key": F.xxhash64("__t")})
+def _terms(a: DataFrame) -> DataFrame:
+    """Adds __terms: array<struct<term,s,e>>, the words outside the entities of a text that has any; __key: hash of the text."""
+    words = f"transform(array({regex_spans('__t', TERM)}), l -> transform(l, y -> struct(xxhash64(lower(y.m)) AS term, y.s AS s, y.e AS e)))[0]"
+    # the entities are bound first: inside the filter they would be sought again for each word
+    outside = f"transform(array(__base), d -> filter({words}, y -> NOT exists(d, b -> b.s < y.e AND y.s < b.e)))[0]"
+    empty = "cast(array() as array<struct<term:bigint,s:int,e:int>>)"
+    return a.withColumns({"__terms": F.expr(f"CASE WHEN size(__base) > 0 THEN {outside} ELSE {empty} END"), "__key": F.xxhash64("__t")})
 
 
-def disclosures(docs: DataFrame, *, window: int = WINDOW, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+def _held(docs: DataFrame) -> DataFrame:
+    """(__key, entity, __own): each entity of each document, once, with the document's distinct terms."""
+    a = _terms(_entities(_base(docs.select("text"))))
+    # outer generators, as a filter inferred for inner ones would compute their arrays a second time
+    a = a.selectExpr("__key", "array_distinct(transform(__terms, y -> y.term)) AS __own", "explode_outer(array_distinct(transform(__base, x -> xxhash64(x.m)))) AS entity")
+    return a.where("entity IS NOT NULL")
+
+
+def disclosures(docs: DataFrame, *, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """(entity, term, n_both, n_term, n_entity, pmi): terms that disclose an entity, from counts over all documents.
 
-    Entities and terms are 64-bit hashes (xxhash64) of the value and of the lower-cased word, so that the table of
-    word counts, the one large shuffle, stays narrow; it is summed before the exchange. Terms have three characters
-    at least and never lie inside an entity. Copies count as documents. An empty table discloses nothing.
+    Entities and terms are 64-bit hashes (xxhash64) of the value and of the lower-cased word, so that the tables of
+    counts, the large shuffles, stay narrow; they are summed before the exchange. Pairs are counted only for entities
+    that `support` documents hold. Terms may have any length and never lie inside an entity. Copies count as
+    documents. An empty table discloses nothing.
     """
-    # outer generators, as a filter inferred for inner ones would compute their arrays a second time
-    held = _near(_entities(_base(docs.select("text"))), window)
-    both = held.selectExpr("explode_outer(array_distinct(transform(__near, y -> struct(y.entity AS entity, y.term AS term)))) AS x").where("x IS NOT NULL").select("x.*")
-    both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
-    entities = held.selectExpr("explode_outer(array_distinct(transform(__base, x -> xxhash64(x.m)))) AS entity").where("entity IS NOT NULL").groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+    found = _entities(_base(docs.select("text"))).selectExpr("explode_outer(array_distinct(transform(__base, x -> xxhash64(x.m)))) AS entity").where("entity IS NOT NULL")
+    entities = found.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+    both = _held(docs).join(entities, "entity").selectExpr("entity", "n_entity", "explode_outer(__own) AS term").where("term IS NOT NULL")
+    both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity")).where(F.col("n_both") >= support)
     words = docs.selectExpr(f"explode_outer(array_distinct(transform(regexp_extract_all(lower(text), r'{TERM}', 0), w -> xxhash64(w)))) AS term").where("term IS NOT NULL")
     counts = words.groupBy("term").agg(F.count("*").alias("n_term"))
     total = float(max(1, docs.agg(F.count("*").alias("n")).collect()[0]["n"]))
-    out = both.join(entities, "entity").join(counts, "term")
+    out = both.join(counts, "term")
     out = out.withColumn("pmi", F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))))
     keep = (F.col("pmi") > 0) & (F.col("pmi") >= F.lit(alpha) * F.log2(F.lit(total) / F.col("n_entity")))
     return out.where(keep).select("entity", "term", "n_both", "n_term", "n_entity", "pmi")
 
 
-def find(docs: DataFrame, disclosed: DataFrame, *, window: int = WINDOW) -> DataFrame:
+def find(docs: DataFrame, disclosed: DataFrame) -> DataFrame:
     """docs with __spans: array<struct<s,rank,kind,e,m>> by start, then kind as listed.
 
-    Base spans always stay; spans of kind `term` are the disclosing words beside an entity of the same text. Positions
-    are code points, ends exclusive. A null or empty text has no spans; repeated rows keep their own. Only keys, places
-    and hashes cross the exchange unless the caller keeps the text.
+    Base spans always stay; spans of kind `term` are all occurrences of the words that disclose an entity of the same
+    text. Positions are code points, ends exclusive. A null or empty text has no spans; repeated rows keep their own.
+    Only keys and hashes cross the exchange unless the caller keeps the text.
     """
-    a = _near(_entities(_base(docs)), window)
-    pairs = _near(_entities(_base(docs.select("text"))), window).selectExpr("__key", "explode_outer(__near) AS y").where("y IS NOT NULL").selectExpr("__key", "y.entity", "y.term").distinct()
-    hits = pairs.join(disclosed.select("entity", "term"), ["entity", "term"]).groupBy("__key").agg(F.collect_set(F.struct("entity", "term")).alias("__hits")).withColumnRenamed("__key", "__hit_key")
+    a = _terms(_entities(_base(docs)))
+    known = disclosed.select("entity", "term")
+    # documents without an entity that anything discloses send no terms
+    pairs = _held(docs).join(known.select("entity").distinct(), "entity", "left_semi").selectExpr("__key", "entity", "explode_outer(__own) AS term").where("term IS NOT NULL")
+    hits = pairs.join(known, ["entity", "term"]).groupBy("__key").agg(F.collect_set("term").alias("__hits")).withColumnRenamed("__key", "__hit_key")
     a = a.join(hits, F.col("__key") == F.col("__hit_key"), "left")
-    terms = "array_distinct(transform(filter(__near, y -> exists(coalesce(__hits, array()), h -> h.entity = y.entity AND h.term = y.term)), y -> struct(y.s AS s, 4 AS rank, 'term' AS kind, y.e AS e, cast(null as string) AS m)))"
+    terms = "transform(filter(__terms, y -> array_contains(__hits, y.term)), y -> struct(y.s AS s, 4 AS rank, 'term' AS kind, y.e AS e, cast(null as string) AS m))"
     spans = F.expr(f"CASE WHEN __hits IS NULL THEN __base ELSE array_sort(concat(__base, {terms})) END")
     return a.select(*docs.columns, spans.alias("__spans"))
 

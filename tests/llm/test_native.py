@@ -90,6 +90,41 @@ def test_disclosing_terms(spark):
     assert "zorblatt" not in texts[0] and "[EMAIL]" in texts[0] and "[WORD]" in texts[0] and " and the others" in texts[0] and texts[10] == rows[4][1]
 
 
+def test_disclosing_terms_anywhere_in_the_document(spark):
+    far = "and the others were not there " * 60
+    rows = [(i, f"zorblatt {far}mail joe@x.org {far}\n\nthen Zorblatt and 王明 again {i}") for i in range(4)] + [(10 + i, f"{far} mail then again {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    texts = {r.doc_id: r.text for r in pii.sanitised(pii.find(docs, pii.disclosures(docs))).collect()}
+    assert texts[0] == f"[WORD] {far}mail [EMAIL] {far}\n\nthen [WORD] and [WORD] again 0" and texts[10] == rows[4][1]
+
+
+def test_disclosures_equal_brute_force(spark):
+    rng = random.Random(5)
+    people = [(f"p{k}@x.org", f"name{k}", "李" + "王张刘"[k]) for k in range(3)]
+    texts = []
+    for _ in range(120):
+        w = [rng.choice(["a", "bb", "ccc", "ddd", "eee"]) for _ in range(rng.randint(0, 40))]
+        for p in rng.sample(people, rng.choice([0, 0, 0, 1, 2])):
+            for x in p:
+                w += [x] * rng.choice([1, 1, 1, 1, 1, 1, 1, 2, 2, 0])
+        rng.shuffle(w)
+        texts.append(" ".join(w))
+    words = [{x for x in t.split(" ") if x and "@" not in x} for t in texts]
+    inner = [{x for m in t.split(" ") if "@" in m for x in re.findall(r"[a-z][a-z0-9]*", m)} for t in texts]
+    log = lambda x: __import__("math").log2(x)
+    want = set()
+    for e in {p[0] for p in people}:
+        held = [k for k, t in enumerate(texts) if e in t.split(" ")]
+        for t in set().union(*words):
+            both, n = sum(t in words[k] for k in held), sum(t in a | b for a, b in zip(words, inner, strict=True))
+            if len(held) >= 3 and both >= 3 and log(120 * both / (n * len(held))) > 0 and log(120 * both / (n * len(held))) >= 0.9 * log(120 / len(held)):
+                want.add((e, t, both, n))
+    names = spark.createDataFrame([(x,) for x in {p[0] for p in people} | set().union(*words)], "x string").selectExpr("x", "xxhash64(x) AS h")
+    of = {r.h: r.x for r in names.collect()}
+    got = {(of[r.entity], of[r.term], r.n_both, r.n_term) for r in pii.disclosures(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert got == want and want
+
+
 def counts(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     c = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
