@@ -1,23 +1,26 @@
 """Mixing sources to target weights by Pfair scheduling, with DataFrame functions only.
 
 Each source is cut into blocks. Block j of a source with weight w may not begin before slot floor(j / w) and must end
-by slot ceil((j + 1) / w). Weights are rounded to k/Q; earliest deadline first over one period of Q slots gives a
-table of Q rows, and every further period repeats it, so a block's slot is (j div k) * Q + table[source, j mod k] and
-no task ever walks the schedule. In every prefix of slots each source is less than one block from its share. A source
-that runs out leaves its later slots empty, which keeps the ratio of the others.
+by slot ceil((j + 1) / w), with w the exact target. The driver places every block, earliest deadline first, in a table
+of one row a block, so no task ever walks the schedule. In every prefix of slots each source is less than one block from
+its share until it runs out; then its slots stay empty, which keeps the ratio of the others. A caller may ask for weights
+rounded to k/Q instead: one period of Q slots gives a table of Q rows that every further period repeats, and a block's
+slot is (j div k) * Q + table[source, j mod k].
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of a block.
 BLOCK_ROWS = 64
-#: Slots of a period at least; with more sources the period grows to four slots for each.
+#: Slots of a period at least, where weights are rounded; with more sources the period grows to four slots for each.
 PERIOD = 1000
 #: Rows that are ranked together, about.
 RANK_ROWS = 1000
@@ -59,23 +62,57 @@ def pattern(shares: dict[str | None, int]) -> list[tuple[str | None, int, int, i
     return out
 
 
+def targets(weights: dict[str | None, float]) -> dict[str | None, Fraction]:
+    """Shares that sum to 1, exact for the weights as they are written in decimals."""
+    own = {k: Fraction(repr(float(w))) for k, w in weights.items() if w and w > 0}
+    total = sum(own.values())
+    return {k: w / total for k, w in own.items()}
+
+
+def placed(blocks: dict[str | None, int], shares: dict[str | None, Fraction]) -> list[tuple[str | None, int, int, int, int]]:
+    """(source, j, slot, release, deadline) of every block: at each slot the released block with the earliest deadline.
+
+    Feasible since the shares sum to 1 and blocks that a source lacks only free slots. Slots that nothing can fill are
+    skipped, so the time grows with the blocks, however small a share is.
+    """
+    out, ready, waiting, t = [], [], [], 0
+    for name in shares:
+        if blocks.get(name):
+            heapq.heappush(waiting, (0, str(name), name is not None, name, 0))
+    while waiting or ready:
+        if not ready:
+            t = max(t, waiting[0][0])
+        while waiting and waiting[0][0] <= t:
+            r, text, some, name, j = heapq.heappop(waiting)
+            d = -(-(j + 1) * shares[name].denominator // shares[name].numerator)
+            heapq.heappush(ready, (d, d - r, text, some, name, j, r))
+        d, _, text, some, name, j, r = heapq.heappop(ready)
+        out.append((name, j, t, r, d))
+        t += 1
+        if j + 1 < blocks[name]:
+            heapq.heappush(waiting, ((j + 1) * shares[name].denominator // shares[name].numerator, text, some, name, j + 1))
+    return out
+
+
 def root_weights(counts: dict[str | None, int], power: float = 0.5) -> dict[str | None, float]:
     """Target weights in proportion to count ** power: small sources gain, large ones lose."""
     return {k: n**power for k, n in counts.items()}
 
 
-def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, *, block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
+def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, *, block_rows: int = BLOCK_ROWS, period: int | None = None) -> DataFrame:
     """docs with __block, __slot, __release, __deadline (bigint) and __in_block (int); every row stays.
 
     weights: target by source; None takes the square root of the sources' counts. A source without a weight comes
     after all slots of the others, in blocks of its own. The order inside a source is by hash of doc_id, then doc_id,
     then text. A null source is a source; null ids come first among equal hashes. Nothing depends on one key's rows
     meeting in one task: rows are ranked inside hash ranges and the ranges' counts are summed. An empty table gives
-    no rows. The number of sources must be small enough for the driver (one count for each).
+    no rows. The number of sources must be small enough for the driver (one count for each), and so must that of blocks
+    (five numbers for each) unless a period is given, to which the weights are then rounded.
     """
     spark = docs.sparkSession
     totals = {r["source"]: r["n"] for r in docs.groupBy("source").agg(F.count("*").alias("n")).collect()}
-    shares = quantised(root_weights(totals) if weights is None else {k: w for k, w in weights.items() if k in totals}, period)
+    own = root_weights(totals) if weights is None else {k: w for k, w in weights.items() if k in totals}
+    shares = {} if period is None else quantised(own, period)
     q = sum(shares.values())
     rows = pattern(shares)
     code = lambda k: "null" if k is None else "'" + str(k).replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -83,11 +120,11 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, *,
     for name, _, t, _, _ in rows:
         slots.setdefault(name, []).append(f"{t}L")
     known = ", ".join(
-        f"named_struct('k', cast({code(k)} as string), 'share', {f'{shares[k]}L' if k in shares else 'cast(null as bigint)'}, 'slots', {f'array({", ".join(slots[k])})' if k in slots else 'cast(null as array<bigint>)'}, 'ranges', {1 + n // RANK_ROWS})"
-        for k, n in totals.items()
+        f"named_struct('k', cast({code(k)} as string), 'share', {f'{shares[k]}L' if k in shares else 'cast(null as bigint)'}, 'slots', {f'array({", ".join(slots[k])})' if k in slots else 'cast(null as array<bigint>)'}, 'ranges', {1 + n // RANK_ROWS}, 'code', {i}L)"
+        for i, (k, n) in enumerate(totals.items())
     )
-    none = "array(named_struct('k', '', 'share', 0L, 'slots', array(0L), 'ranges', 1))"
-    table = spark.sql(f"SELECT x.* FROM (SELECT explode({f'array({known})' if known else none}) AS x)").selectExpr("k AS __k", "share AS __share", "slots AS __slots", "ranges AS __ranges")
+    none = "array(named_struct('k', '', 'share', 0L, 'slots', array(0L), 'ranges', 1, 'code', 0L))"
+    table = spark.sql(f"SELECT x.* FROM (SELECT explode({f'array({known})' if known else none}) AS x)").selectExpr("k AS __k", "share AS __share", "slots AS __slots", "ranges AS __ranges", "code AS __code")
     # one row for each source, of which the driver already has the counts
     a = docs.join(F.broadcast(table), F.col("source").cast("string").eqNullSafe(F.col("__k")))
     a = a.withColumn("__h", F.xxhash64("doc_id")).withColumn("__r", F.pmod(F.shiftrightunsigned("__h", 20), F.col("__ranges").cast("bigint")))
@@ -99,6 +136,14 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, *,
     small = sum(1 + n // RANK_ROWS for n in totals.values()) <= 100_000
     ranked = ranked.join(F.broadcast(offsets) if small else offsets, F.col("__k").eqNullSafe(F.col("__s")) & (F.col("__r") == F.col("__o")))
     ranked = ranked.withColumn("__nth", F.col("__rank") + F.col("__before")).withColumn("__block", F.expr(f"__nth div {block_rows}"))
+    if period is None:
+        code_of = {k: i for i, k in enumerate(totals)}
+        blocks = placed({k: -(-n // block_rows) for k, n in totals.items()}, targets(own))
+        last = 1 + max((t for _, _, t, _, _ in blocks), default=-1)
+        columns = zip(*[(code_of[k], *x) for k, *x in blocks], strict=True) if blocks else [()] * 5
+        at = spark.createDataFrame(pa.table({k: pa.array(x, pa.int64()) for k, x in zip(("__c", "__b", "__slot", "__release", "__deadline"), columns, strict=True)}))
+        ranked = ranked.join(F.broadcast(at) if len(blocks) <= 100_000 else at, (F.col("__code") == F.col("__c")) & (F.col("__block") == F.col("__b")), "left")
+        return ranked.select(*docs.columns, "__block", F.expr(f"coalesce(__slot, {last}L + __block)").alias("__slot"), "__release", "__deadline", F.expr(f"cast(__nth % {block_rows} as int)").alias("__in_block"))
     last = max([0, *(-(-(-(-totals[k] // block_rows)) // n) * q for k, n in shares.items())])
     return ranked.select(
         *docs.columns,

@@ -167,6 +167,17 @@ def test_schedule_deviates_less_than_a_block(weights):
         assert all(abs(done[k] - (t + 1) * n / q) < 1 for k, n in shares.items())
 
 
+@pytest.mark.parametrize("weights", [{"a": 0.5, "b": 0.3, "c": 0.15, "d": 0.05}, {"a": 0.6, "b": 0.4, "c": 1e-5}, {"a": 2**0.5, "b": 3**0.5, "c": 0.01, "d": 7.0}])
+def test_schedule_keeps_to_the_targets(spark, weights):
+    total, counts = sum(weights.values()), {"a": 3000, "b": 1500, "c": 3, "d": 300}
+    docs = spark.createDataFrame([(i, k, "t") for k in weights for i in range(counts[k])], "doc_id bigint, source string, text string")
+    blocks = {(r.source, r["__slot"]) for r in mixing.schedule(docs, weights, block_rows=1).collect()}
+    assert len({t for _, t in blocks}) == len(blocks) == sum(counts[k] for k in weights)
+    for k, w in weights.items():  # the block of place j stands less than one block from its share, before it and after it
+        for j, t in enumerate(sorted(t for s, t in blocks if s == k)):
+            assert abs(j - t * w / total) < 1 + 1e-9 and abs(j + 1 - (t + 1) * w / total) < 1 + 1e-9
+
+
 def test_mixing_keeps_all_rows(spark, awkward):
     a = mixing.schedule(awkward, {"a": 2.0, "b": 1.0}, block_rows=2, period=12).collect()
     assert len(a) == 9 and len({(r.source, r["__block"], r["__in_block"]) for r in a}) == 9
