@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +34,53 @@ def fresh_worker(name: str) -> None:
                 release()
 
 
+def lean(name: str) -> Callable:
+    """For a function of Arrow batches: frees what other operators keep, and gives unused memory back when a task ends.
+
+    Workers stay for later tasks while the executor's Java part works, so that what they hold idle adds to its peak.
+    """
+
+    def wrap(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+        @functools.wraps(run)
+        def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            fresh_worker(name)
+            try:
+                yield from run(batches)
+            finally:
+                give_back()
+
+        return out
+
+    return wrap
+
+
+def give_back() -> None:
+    """Returns memory that the allocators of this process hold unused to the system, where they can."""
+    _POW.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """A column name like each of `names` that docs hasn't."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or /tmp/cairn-shared where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, /tmp/cairn-shared, but only on a local master."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "/tmp/cairn-shared"
     return found.rstrip("/")
 

@@ -8,6 +8,7 @@ import pytest
 from cairn.llm import neardup, tokens
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 PATH = tokens and __import__("cairn.llm.queries", fromlist=["tokenizer_path"]).tokenizer_path()
 
@@ -53,11 +54,14 @@ def test_classes_and_links_equal_brute_force(spark):
     rng.shuffle(texts)
     rows = list(enumerate(texts))
     want, degree, reps, sets = brute(rows)
-    got = {r.doc_id: r for r in neardup.classes_of(spark.createDataFrame(rows, "doc_id bigint, text string"), leaf=12).collect()}
-    assert len(got) == len(rows)
-    assert all(got[i].class_id == want[i] for i in want)
-    assert sum(got[i].n_links == degree[reps[w]] for i, (w, _) in sets.items() if w) >= 0.99 * len([1 for w, _ in sets.values() if w])
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    ends = sum(degree[reps[w]] for w, _ in sets.values() if w)
+    for leaf, block in ((12, 512), (4, 16)):  # the second parts the large group into blocks that meet each other
+        got = {r.doc_id: r for r in neardup.classes_of(docs, leaf=leaf, block=block).collect()}
+        assert len(got) == len(rows)
+        assert all(got[i].class_id == want[i] for i in want)
+        assert all(got[i].n_links <= degree[reps[w]] for i, (w, _) in sets.items() if w)
+        assert sum(got[i].n_links for i, (w, _) in sets.items() if w) >= 0.99 * ends
     assert sorted(r.doc_id for r in neardup.one_of_each(docs).collect()) == sorted(set(want.values()))
 
 
@@ -87,6 +91,41 @@ def test_components(spark):
     assert all(got.get(x, x) == find(x) for x in root)
 
 
+def test_many_rows_without_an_id(spark):
+    texts = [" ".join(f"w{k % 40}x{i}" for i in range(30)) for k in range(80)] + ["none of these words are twins"] * 20
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
+    feats = neardup.features(docs)
+    wanted = feats.groupBy("node").agg(*[F.first(c).alias(c) for c in ("doc_id", "hash", "sig")])
+    assert neardup.shingle_sets(docs, wanted).count() == 41
+    assert neardup.classes_of(docs).count() == 100 and neardup.one_of_each(docs).count() == 41
+
+
+def test_tries_know_the_longest_shared_prefix(spark):
+    rng = np.random.default_rng(5)
+    sigs = rng.integers(0, 3, (300, neardup.TREES, neardup.PART)).astype(np.uint32)
+    rows = [(bytes([k // 256, k % 256]), sigs[k].tobytes()) for k in range(300)]
+    for least in (1, 4):
+        got = {(r.node, r.t): r.shared for r in neardup.tries(spark.createDataFrame(rows, "node binary, sig binary"), least).collect()}
+        edges = 0
+        for t in range(neardup.TREES):
+            same = (sigs[:, None, t] == sigs[None, :, t]).cumprod(axis=2).sum(axis=2)
+            np.fill_diagonal(same, 0)
+            for k, want in enumerate(same.max(axis=1).tolist()):
+                found = got.get((rows[k][0], t), 0)
+                assert found == want or found == neardup.PART or (found == 0 and want < least)
+                edges += found == neardup.PART != want
+        assert edges <= 2 * 4  # the ends of four ranges
+
+
+def test_recall_is_measured_by_band():
+    none = np.zeros(neardup.BINS)
+    assert neardup.measured_recall(none, 4) == neardup.met(0.8, 4) and neardup.measured_recall(none, 6) == neardup.met(0.8, 6)
+    low, high = none.copy(), none + 1
+    low[0] = 5
+    assert abs(neardup.measured_recall(low, 5) - neardup.met(0.8, 5)) < 1e-12
+    assert neardup.met(0.8, 5) < neardup.measured_recall(high, 5) < 1
+
+
 def test_prefix_length_meets_the_recall():
     d = neardup.prefix_length(0.8, 0.9995)
     assert 1 - (1 - 0.8**d) ** neardup.TREES >= 0.9995 > 1 - (1 - 0.8 ** (d + 1)) ** neardup.TREES
