@@ -195,9 +195,12 @@ def tries(classes: DataFrame, least: int) -> DataFrame:
 
 
 def nodes_of(forest: DataFrame, depth: int) -> DataFrame:
-    """(node, t, p, n): the trie nodes with company at that depth, p: hash of trie and prefix, n: classes below it."""
-    rows = forest.where(F.col("shared") >= depth).selectExpr("node", "t", f"xxhash64(t, substring(label, 1, {4 * depth})) AS p")
-    company = rows.groupBy("p").agg(F.count("*").alias("n")).where("n >= 2")
+    """(node, t, p, n): the trie nodes with company at that depth, p: hash of trie and prefix, n: classes below it.
+
+    Nodes with only one child are left out, as in a path-compressed trie: all their classes share a longer prefix.
+    """
+    rows = forest.where(F.col("shared") >= depth).selectExpr("node", "t", f"xxhash64(t, substring(label, 1, {4 * depth})) AS p", f"substring(label, {4 * depth + 1}, 4) AS next")
+    company = rows.groupBy("p").agg(F.count("*").alias("n"), F.min("next").alias("lo"), F.max("next").alias("hi")).where("n >= 2" if depth == PART else "lo < hi")
     return rows.join(company, "p").select("node", "t", "p", "n")
 
 
@@ -223,11 +226,11 @@ def block_links(nodes: DataFrame, sets: DataFrame, depth: int, *, leaf: int = LE
     """
     large = nodes.where(F.col("n") > leaf)
     # of every class with a large node: in which tries its node is large
-    own = nodes.join(large.select("node").distinct(), "node").groupBy("node").agg(F.collect_set(F.when(F.col("n") > leaf, F.col("t"))).alias("m"))
     big = F.expr(f"transform(sequence(0, {TREES - 1}), t -> array_contains(m, t))")
+    own = large.groupBy("node").agg(F.collect_set("t").alias("m")).select("node", big.alias("big")).join(sets, "node")
     dealt = large.withColumns({"nb": F.ceil(F.col("n") / block).cast("int"), "h": F.xxhash64("node", F.lit(9))}).withColumn("k", F.expr("cast(pmod(h, nb) as int)"))
     dealt = dealt.selectExpr("node", "t", "p", "k", "explode(sequence(0, nb - 1)) AS x").selectExpr("node", "t", "p", "k", "least(k, x) AS i", "greatest(k, x) AS j")
-    rows = dealt.join(own.select("node", big.alias("big")), "node").join(sets, "node")
+    rows = dealt.join(own, "node")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         t, i, j = key[0].as_py(), key[2].as_py(), key[3].as_py()
@@ -389,8 +392,7 @@ def classes_of(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float
     reps = stored(reps.select("node", F.col("x.doc_id").alias("rep"), F.col("x.hash").alias("hash"), "n_copies", "sig"), "classes")
     least = prefix_length(similarity, recall)
     forest = stored(tries(reps.select("node", "sig"), least), "forest")
-    # classes with company at the shortest prefix that may be needed
-    wanted = nodes_of(forest, least).select("node").distinct().join(reps, "node")
+    wanted = forest.select("node").distinct().join(reps, "node")
     sets = stored(shingle_sets(docs, wanted.select("node", F.col("rep").alias("doc_id"), "hash", "sig")), "shingles")
     found, links, blocks = np.zeros(BINS), [], []
     for depth in range(PART, least - 1, -1):
