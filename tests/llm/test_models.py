@@ -203,14 +203,34 @@ def test_leak_beside_a_run_of_one_of_its_words(spark, run):
     assert sorted(got) == [0, 1] and all(x.lcs == 1 for x in got.values())
 
 
-def test_many_blocks_find_the_same(spark, monkeypatch):
+def test_many_scans_find_the_same(spark, monkeypatch):
     docs, items, _ = leaky(spark)
     pairs = lambda models: {(r.doc_id, x.item_id) for r in decontam.search(docs, models).collect() for x in r["__leaks"]}
-    one = pairs(decontam.fit(docs, items))
-    monkeypatch.setattr(decontam, "BLOCK_ITEMS", 7)
-    monkeypatch.setattr(decontam, "SCAN_ITEMS", 14)
-    models = decontam.fit(docs, items)
-    assert len(models) == 3 and pairs(models) >= {p for p in one}
+    one, kept = pairs(decontam.fit(docs, items)), {r.doc_id for r in decontam.clean(docs, items).collect()}
+    monkeypatch.setattr(decontam, "SCAN_ITEMS", 10)
+    assert pairs(decontam.fit(docs, items)) == one and {r.doc_id for r in decontam.clean(docs, items).collect()} == kept
+    assert len(list(decontam.fit(docs, items))) > 1 and not list(decontam.fit(docs, items.limit(0)))
+
+
+def test_equal_and_missing_item_ids(spark):
+    texts = ["one two three four five six seven eight nine ten", "red green blue white black pink brown grey gold lime", "a1 b2 c3 d4 e5 f6 g7 h8 i9 j0 k1"]
+    docs = spark.createDataFrame([(k, f"some words before {t} and some after") for k, t in enumerate(texts)] + [(9, "nothing of it")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (None, texts[2])], "item_id bigint, text string")
+    got = {r.doc_id: r["__leaks"][0].item_id for r in decontam.search(docs, decontam.fit(docs, items)).collect()}
+    assert got == {0: 1, 1: 1, 2: None}
+
+
+def test_a_long_text_counts_once(spark, monkeypatch):
+    from cairn.llm import common
+
+    monkeypatch.setattr(decontam, "STEP_BYTES", 1000)
+    monkeypatch.setattr(decontam, "OVERLAP", 100)
+    docs = spark.createDataFrame([(1, "alpha beta " * 400), (2, "alpha"), (3, None), (4, "gamma " * 500)], "doc_id bigint, text string")
+    column = docs.toArrow()["text"].combine_chunks()
+    assert sum(1 for _ in decontam._steps(column)) > 5
+    frequency, n = decontam.document_frequencies(docs)
+    place = lambda w: int(decontam._hashes(w)[0]) & (decontam.BUCKETS - 1)
+    assert (frequency[place("alpha")], frequency[place("beta")], frequency[place("gamma")], n) == (2, 1, 1, 4) and common.STEP_BYTES > 1000
 
 
 def test_passages_cover_the_item():
@@ -236,11 +256,67 @@ def test_leaks_of_long_items(spark, n):
     assert {(r.doc_id, x.item_id) for r in decontam.search(docs, decontam.fit(docs, items)).collect() for x in r["__leaks"]} == truth
 
 
-def test_svd_spans_the_items(spark):
+def dense(texts, weights, feats):
+    out = np.zeros((len(texts), len(feats)))
+    for k, (at, v) in enumerate(decontam._vectors(pa.array(texts), weights)):
+        p = np.searchsorted(feats, at)
+        ok = (p < len(feats)) & (feats[np.minimum(p, len(feats) - 1)] == at)
+        out[k, p[ok]] = v[ok]
+    return out
+
+
+def test_svd_equals_the_dense_one(spark):
     _, items, _ = leaky(spark)
+    texts = [r.text for r in items.collect()]
+    weights = np.ones(decontam.BUCKETS)
+    rows = spark.createDataFrame([(3.0, t) for t in texts[:10]] + [(1.0, t) for t in texts[10:]], "weight double, text string").repartition(4)
+    feats, basis = decontam.randomised_svd(rows, weights, 8)
+    a = dense(texts, weights, feats)
+    a[:10] *= 3
+    assert basis.shape == (len(feats), 8) and np.allclose(basis.T @ basis, np.eye(8), atol=1e-4)
+    best = (np.linalg.svd(a)[1][:8] ** 2).sum()
+    assert 0.97 * best <= ((a @ basis) ** 2).sum() <= best * 1.0001
+
+
+def test_candidates_equal_brute_force(spark):
+    docs, items, _ = leaky(spark)
+    model = next(decontam.fit(docs, items))
+    for own, h, of in decontam._steps(pa.array([r.text for r in docs.orderBy("doc_id").limit(60).collect()])):
+        count = np.bincount(of, minlength=len(own))
+        got = {(int(d), int(k), int(i)): float(c) for d, k, i, c in zip(*decontam.candidates(h, of, count, model), strict=True)}
+        want, first = {}, np.concatenate([[0], np.cumsum(count)[:-1]])
+        for d in range(len(own)):
+            for k in range(-(-int(count[d]) // 16)):
+                at = (h[first[d] : first[d] + count[d]][16 * k : 16 * k + 32] & np.uint64(decontam.BUCKETS - 1)).astype(np.int64)
+                half = [(at[:16] if x == 0 else at[16:]) for x in (0, 1)]
+                norm = np.sqrt(sum((model.weights[x] ** 2).sum() for x in half))
+                sims = model.basis[model.rows[at]].sum(axis=0) @ model.latent.T / max(norm, 1e-9)
+                for i in np.flatnonzero(sims >= 0.25 * model.least):
+                    want[d, k, int(i)] = float(sims[i])
+        assert got.keys() ^ want.keys() <= {x for x in got.keys() | want.keys() if abs((got.get(x) or want[x]) - 0.25 * model.least[x[2]]) < 1e-4}
+        assert all(abs(got[x] - want[x]) < 1e-4 for x in got.keys() & want.keys())
+        assert model.latent.shape[1] <= len(model.owner) // 2
+
+
+def test_latent_space_finds_synonyms_that_shared_words_miss(spark):
+    rng = random.Random(6)
+    # each concept has two words, which the documents use side by side; each topic has twelve concepts
+    topics = [[(f"car{t}x{c}", f"auto{t}x{c}") for c in range(12)] for t in range(30)]
+    docs = [(n, " ".join(w for c in rng.sample(topics[n % 30], 10) for w in rng.sample(c, 2))) for n in range(900)]
+    items = [(t, " ".join(c[0] for c in topic)) for t, topic in enumerate(topics)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    model = next(decontam.fit(frame, spark.createDataFrame(items, "item_id bigint, text string")))
+    other = [" ".join(c[1] for c in topic) for topic in topics]  # no word in common with the item
+    found = hit = 0
+    for own, h, of in decontam._steps(pa.array(other)):
+        d, _, passage, _ = decontam.candidates(h, of, np.bincount(of, minlength=len(own)), model)
+        pairs = {(int(own[a]), model.ids[model.owner[b]]) for a, b in zip(d, passage, strict=True)}
+        hit += len({a for a, b in pairs if a == b})
+        found += len(pairs)
+    assert hit >= 27 and found <= 300
     weights = np.ones(decontam.BUCKETS)
-    feats, basis, latent = decontam.randomised_svd(items, weights, 256)
-    assert np.allclose(basis.T @ basis, np.eye(basis.shape[1]), atol=1e-6) and all(abs(np.linalg.norm(v) - 1) < 1e-3 for v in latent.values())
+    feats = np.unique(np.concatenate([a for a, _ in decontam._vectors(pa.array([t for _, t in items] + other), weights)]))
+    assert (np.diag(dense([t for _, t in items], weights, feats) @ dense(other, weights, feats).T) < 0.1).all()
 
 
 @pytest.mark.parametrize("empty", [False, True])
@@ -253,5 +329,6 @@ def test_awkward_rows(spark, awkward, labels, empty):
     assert quality_cnn.score(docs, quality_cnn.fit(docs, labs), keep=tuple(docs.columns)).count() == n
     found = decontam.search(docs, decontam.fit(docs, items), keep=("doc_id", "score")).collect()
     assert sorted(str(r.doc_id) for r in found) == ([] if empty else ["4", "4", "None"])
+    assert decontam.clean(docs, items).count() == (0 if empty else 6)
     assert decontam.clean(docs, items.limit(0)).count() == n and decontam.clean(docs, items).columns == docs.columns
     assert F.col("x") is not None
