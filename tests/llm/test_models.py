@@ -181,6 +181,24 @@ def test_overlaps_equal_brute_force():
         assert decontam._overlaps(item, region[held], held, width).tolist() == want
 
 
+def test_overlap_of_regions_is_the_most_of_their_spans(spark):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(12)]
+    items = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(3, 20)))) for k in range(12)]
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id bigint, text string")
+    model = next(decontam.fit(docs, spark.createDataFrame(items, "item_id bigint, text string")))
+    h = decontam._hashes(" ".join(rng.choice([*words, "x", "y", "z"]) for _ in range(400)))
+    regions = [(k % len(model.words), a, a + rng.randint(1, 90)) for k, a in enumerate(rng.randrange(300) for _ in range(200))]
+    item, start, stop = (np.array(x) for x in zip(*regions, strict=True))
+    width = np.array([decontam._width(len(model.words[i])) for i in item])
+    got = decontam.most_overlap(h, start, stop, item, width, model)
+    for k, (i, a, b) in enumerate(regions):
+        region = h[a:b]
+        held = np.flatnonzero(np.isin(region, model.words[i]))
+        want = decontam._overlaps(model.words[i], region[held], held, int(width[k])).max() if len(held) else 0
+        assert got[k] == want
+
+
 def test_best_span_equals_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(150):
