@@ -130,7 +130,7 @@ def regex_spans(text: str, pattern: str) -> str:
     """
     p = "r'" + pattern.replace("'", "\\x27") + "'"
     hits = f"regexp_extract_all({text}, {p}, 0)"
-    pairs = f"zip_with(slice(split({text}, {p}, -1), 1, size({hits})), {hits}, (g, m) -> struct(length(g) AS g, length(m) AS n, m AS m))"
+    pairs = f"transform(array({hits}), r -> zip_with(slice(split({text}, {p}, -1), 1, size(r)), r, (g, m) -> struct(length(g) AS g, length(m) AS n, m AS m)))[0]"
     block = "slice(x, b * 256 + 1, 256)"
     starts = f"aggregate(sequence(0, cast((size(x) - 1) div 256 as int)), array(0), (a, b) -> array_append(a, element_at(a, -1) + aggregate({block}, 0, (t, y) -> t + y.g + y.n)))"
     inner = (
@@ -142,6 +142,44 @@ def regex_spans(text: str, pattern: str) -> str:
     return f"CASE WHEN {text} rlike {p} THEN transform(array({pairs}), x -> {body})[0] ELSE {empty} END"
 
 
+def packed(docs: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """(row, t): the kept columns of docs (all by default) as one struct, and the text, empty for null. No name can clash."""
+    return docs.select(F.struct(*[_own(docs, c) for c in (docs.columns if keep is None else keep)]).alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
+
+
+def _own(docs: DataFrame, name: str) -> Column:
+    return docs["`" + name.replace("`", "``") + "`"]
+
+
+def unpacked(frame: DataFrame, **made: Column) -> DataFrame:
+    """The columns of `row` and those made; a column of the row that has the name of one made gives way to it."""
+    names = {c.lower() for c in made}
+    own = [c for c in frame.schema["row"].dataType.names if c.lower() not in names]
+    return frame.select(*[F.col("row").getField(c).alias(c) for c in own], *[x.alias(c) for c, x in made.items()])
+
+
+def running_max(values: str, lowest: str) -> str:
+    """SQL for the greatest of each element of an array and those before it, in blocks of 256; lowest: of its type."""
+    block = "slice(rx, rb * 256 + 1, 256)"
+    blocks = "sequence(0, cast((size(rx) - 1) div 256 as int))"
+    heads = f"aggregate({blocks}, array({lowest}), (ra, rb) -> array_append(ra, greatest(element_at(ra, -1), array_max({block}))))"
+    inner = f"slice(aggregate({block}, array(element_at(rp, rb + 1)), (ra, ry) -> array_append(ra, greatest(element_at(ra, -1), ry))), 2, 256)"
+    return f"transform(array({values}), rx -> transform(array({heads}), rp -> flatten(transform({blocks}, rb -> {inner})))[0])[0]"
+
+
+def outside(items: str, spans: str, kind: str) -> str:
+    """SQL for the items array<struct<s,e,m>>, m of that type, that overlap none of the spans array<struct<s,e,...>>.
+
+    Items are in order and don't overlap each other. One sorted sweep: the work grows with both numbers, not their product.
+    """
+    merged = f"array_sort(concat(transform({spans}, x -> struct(x.s AS s, 0 AS k, x.e AS e, cast(null as {kind}) AS m)), transform({items}, x -> struct(x.s AS s, 1 AS k, x.e AS e, x.m AS m))))"
+    ended = running_max("transform(ol, x -> if(x.k = 0, x.e, -1))", "-1")
+    begun = f"reverse({running_max('transform(reverse(ol), x -> if(x.k = 0, -x.s, -2147483647))', '-2147483647')})"
+    free = "filter(transform(ol, (x, i) -> struct(x AS x, ow.a[i] AS a, ow.b[i] AS b)), z -> z.x.k = 1 AND z.a <= z.x.s AND -z.b >= z.x.e)"
+    body = f"transform(array({merged}), ol -> transform(array(struct({ended} AS a, {begun} AS b)), ow -> transform({free}, z -> struct(z.x.s AS s, z.x.e AS e, z.x.m AS m)))[0])[0]"
+    return f"CASE WHEN size({spans}) = 0 THEN {items} ELSE {body} END"
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column without a copy: bytes, start offsets, end offsets. Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, regex_spans
+from .common import outside, packed, regex_spans, running_max, unpacked
 
 # The base patterns, written so that no input makes them backtrack. A run is entered at its start (or
 # where the last match ended), which finds the same leftmost matches.
@@ -41,100 +41,107 @@ def _luhn(x: str) -> str:
     return f"exists(array({_digits(x)}), d -> length(d) BETWEEN 14 AND 19 AND {total} % 10 = 0)"
 
 
-def _base(docs: DataFrame) -> DataFrame:
-    a = docs.withColumn("__t", F.coalesce(F.col("text"), F.lit("")))
-    empty = "cast(array() as array<struct<s:int,e:int,m:string>>)"
-    return a.select(
-        *docs.columns,
-        "__t",
-        F.expr(f"CASE WHEN contains(__t, '@') THEN {regex_spans('__t', EMAIL)} ELSE {empty} END").alias("__email"),
-        F.expr(f"CASE WHEN __t rlike '[0-9][.][0-9]' THEN filter({regex_spans('__t', IP)}, x -> x.m rlike r'{IP_FITS}') ELSE {empty} END").alias("__ip"),
-        F.expr(f"CASE WHEN __t rlike '[0-9]{{2}}|[0-9][ -][0-9]' THEN filter({regex_spans('__t', CARD)}, x -> length(x.m) >= 14 AND {_luhn('x.m')}) ELSE {empty} END").alias("__card"),
-        F.expr(f"CASE WHEN contains(__t, '+') THEN filter({regex_spans('__t', PHONE)}, x -> length({_digits('x.m')}) BETWEEN 10 AND 15) ELSE {empty} END").alias("__phone"),
-    )
-
-
-def _entities(a: DataFrame) -> DataFrame:
-    part = lambda k, r: f"transform(__{k}, x -> struct(x.s AS s, {r} AS rank, '{k}' AS kind, x.e AS e, x.m AS m))"
-    return a.withColumn("__base", F.expr("array_sort(concat(" + ", ".join(part(k, r) for r, k in enumerate(KINDS[:4])) + "))"))
-
-
 #: Words of the corpus statistics: runs of letters and digits that begin with a letter.
 TERM = r"\p{L}[\p{L}\p{N}]*"
 
 
-def _terms(a: DataFrame) -> DataFrame:
-    """Adds __terms: array<struct<term,s,e>>, the words outside the entities of a text that has any; __key: hash of the text."""
-    words = f"transform(array({regex_spans('__t', TERM)}), l -> transform(l, y -> struct(xxhash64(lower(y.m)) AS term, y.s AS s, y.e AS e)))[0]"
-    # the entities are bound first: inside the filter they would be sought again for each word
-    outside = f"transform(array(__base), d -> filter({words}, y -> NOT exists(d, b -> b.s < y.e AND y.s < b.e)))[0]"
-    empty = "cast(array() as array<struct<term:bigint,s:int,e:int>>)"
-    return a.withColumns({"__terms": F.expr(f"CASE WHEN size(__base) > 0 THEN {outside} ELSE {empty} END"), "__key": F.xxhash64("__t")})
+def scan(docs: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """(row, key, base, terms): the kept columns of docs as a struct, a hash of the text, its base spans as
+    array<struct<s,rank,kind,e,m>> in order, and, where there are any, the words outside them as array<struct<s,e,m>>, m a
+    hash of the lower-cased word. A null or empty text has none.
+
+    A caller that counts and finds on the same documents writes this table once, without the text.
+    """
+    empty = "cast(array() as array<struct<s:int,e:int,m:string>>)"
+    a = packed(docs, keep).select(
+        "row",
+        "t",
+        F.expr(f"CASE WHEN contains(t, '@') THEN {regex_spans('t', EMAIL)} ELSE {empty} END").alias("email"),
+        F.expr(f"CASE WHEN t rlike '[0-9][.][0-9]' THEN filter({regex_spans('t', IP)}, x -> x.m rlike r'{IP_FITS}') ELSE {empty} END").alias("ip"),
+        F.expr(f"CASE WHEN t rlike '[0-9]{{2}}|[0-9][ -][0-9]' THEN filter({regex_spans('t', CARD)}, x -> length(x.m) >= 14 AND {_luhn('x.m')}) ELSE {empty} END").alias("card"),
+        F.expr(f"CASE WHEN contains(t, '+') THEN filter({regex_spans('t', PHONE)}, x -> length({_digits('x.m')}) BETWEEN 10 AND 15) ELSE {empty} END").alias("phone"),
+    )
+    part = lambda k, r: f"transform({k}, x -> struct(x.s AS s, {r} AS rank, '{k}' AS kind, x.e AS e, x.m AS m))"
+    a = a.select("row", "t", F.expr("array_sort(concat(" + ", ".join(part(k, r) for r, k in enumerate(KINDS[:4])) + "))").alias("base"))
+    words = f"transform({regex_spans('t', TERM)}, x -> struct(x.s AS s, x.e AS e, xxhash64(lower(x.m)) AS m))"
+    free = f"transform(array(struct({words} AS w, base AS b)), c -> {outside('c.w', 'c.b', 'bigint')})[0]"
+    none = "cast(array() as array<struct<s:int,e:int,m:bigint>>)"
+    return a.select("row", F.xxhash64("t").alias("key"), "base", F.expr(f"CASE WHEN size(base) > 0 THEN {free} ELSE {none} END").alias("terms"))
 
 
-def _held(docs: DataFrame) -> DataFrame:
-    """(__key, entity, __own): each entity of each document, once, with the document's distinct terms."""
-    a = _terms(_entities(_base(docs.select("text"))))
+def _held(scanned: DataFrame) -> DataFrame:
+    """(key, entity, own): each entity of each document, once, with the document's distinct terms."""
     # outer generators, as a filter inferred for inner ones would compute their arrays a second time
-    a = a.selectExpr("__key", "array_distinct(transform(__terms, y -> y.term)) AS __own", "explode_outer(array_distinct(transform(__base, x -> xxhash64(x.m)))) AS entity")
+    a = scanned.selectExpr("key", "array_distinct(transform(terms, x -> x.m)) AS own", "explode_outer(array_distinct(transform(base, x -> xxhash64(x.m)))) AS entity")
     return a.where("entity IS NOT NULL")
 
 
-def disclosures(docs: DataFrame, *, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+def disclosures(docs: DataFrame, *, alpha: float = ALPHA, support: int = SUPPORT, scanned: DataFrame | None = None) -> DataFrame:
     """(entity, term, n_both, n_term, n_entity, pmi): terms that disclose an entity, from counts over all documents.
 
     Entities and terms are 64-bit hashes (xxhash64) of the value and of the lower-cased word, so that the tables of
     counts, the large shuffles, stay narrow; they are summed before the exchange. Pairs are counted only for entities
     that `support` documents hold. Terms may have any length and never lie inside an entity. Copies count as
-    documents. An empty table discloses nothing.
+    documents. An empty table discloses nothing. scanned: scan() of the same documents, if it is there already.
     """
-    found = _entities(_base(docs.select("text"))).selectExpr("explode_outer(array_distinct(transform(__base, x -> xxhash64(x.m)))) AS entity").where("entity IS NOT NULL")
-    entities = found.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    both = _held(docs).join(entities, "entity").selectExpr("entity", "n_entity", "explode_outer(__own) AS term").where("term IS NOT NULL")
+    held = _held(scan(docs, ()) if scanned is None else scanned)
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+    both = held.join(entities, "entity").selectExpr("entity", "n_entity", "explode_outer(own) AS term").where("term IS NOT NULL")
     both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity")).where(F.col("n_both") >= support)
     words = docs.selectExpr(f"explode_outer(array_distinct(transform(regexp_extract_all(lower(text), r'{TERM}', 0), w -> xxhash64(w)))) AS term").where("term IS NOT NULL")
     counts = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    total = float(max(1, docs.agg(F.count("*").alias("n")).collect()[0]["n"]))
+    total = float(max(1, docs.count()))
     out = both.join(counts, "term")
     out = out.withColumn("pmi", F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))))
-    keep = (F.col("pmi") > 0) & (F.col("pmi") >= F.lit(alpha) * F.log2(F.lit(total) / F.col("n_entity")))
-    return out.where(keep).select("entity", "term", "n_both", "n_term", "n_entity", "pmi")
+    kept = (F.col("pmi") > 0) & (F.col("pmi") >= F.lit(alpha) * F.log2(F.lit(total) / F.col("n_entity")))
+    return out.where(kept).select("entity", "term", "n_both", "n_term", "n_entity", "pmi")
 
 
-def find(docs: DataFrame, disclosed: DataFrame) -> DataFrame:
-    """docs with __spans: array<struct<s,rank,kind,e,m>> by start, then kind as listed.
+def find(docs: DataFrame, disclosed: DataFrame, *, scanned: DataFrame | None = None) -> DataFrame:
+    """docs with __personal: array<struct<s,rank,kind,e,m>> by start, then kind as listed.
 
     Base spans always stay; spans of kind `term` are all occurrences of the words that disclose an entity of the same
     text. Positions are code points, ends exclusive. A null or empty text has no spans; repeated rows keep their own.
-    Only keys and hashes cross the exchange unless the caller keeps the text.
+    A column of docs named __personal gives way. scanned: scan() of the same documents, whose kept columns then come out.
     """
-    a = _terms(_entities(_base(docs)))
+    a = scan(docs) if scanned is None else scanned
     known = disclosed.select("entity", "term")
     # documents without an entity that anything discloses send no terms
-    pairs = _held(docs).join(known.select("entity").distinct(), "entity", "left_semi").selectExpr("__key", "entity", "explode_outer(__own) AS term").where("term IS NOT NULL")
-    hits = pairs.join(known, ["entity", "term"]).groupBy("__key").agg(F.collect_set("term").alias("__hits")).withColumnRenamed("__key", "__hit_key")
-    a = a.join(hits, F.col("__key") == F.col("__hit_key"), "left")
-    terms = "transform(filter(__terms, y -> array_contains(__hits, y.term)), y -> struct(y.s AS s, 4 AS rank, 'term' AS kind, y.e AS e, cast(null as string) AS m))"
-    spans = F.expr(f"CASE WHEN __hits IS NULL THEN __base ELSE array_sort(concat(__base, {terms})) END")
-    return a.select(*docs.columns, spans.alias("__spans"))
+    pairs = _held(a).join(known.select("entity").distinct(), "entity", "left_semi").selectExpr("key", "entity", "explode_outer(own) AS term").where("term IS NOT NULL")
+    hits = pairs.join(known, ["entity", "term"]).groupBy("key").agg(F.collect_set("term").alias("hits"))
+    a = a.join(hits, "key", "left")
+    # in order of hash, a word is a hit if the last hit at or before it has its hash
+    merged = "array_sort(concat(transform(hits, x -> struct(x AS h, 0 AS k, 0 AS s, 0 AS e)), transform(terms, x -> struct(x.m AS h, 1 AS k, x.s AS s, x.e AS e))))"
+    lowest = "cast(-9223372036854775808 as bigint)"
+    last = running_max(f"transform(l, x -> if(x.k = 0, x.h, {lowest}))", lowest)
+    own = f"transform(array({merged}), l -> transform(array({last}), g -> filter(transform(l, (x, i) -> struct(x AS x, g[i] AS g)), z -> z.x.k = 1 AND z.g = z.x.h))[0])[0]"
+    terms = f"transform({own}, z -> struct(z.x.s AS s, 4 AS rank, 'term' AS kind, z.x.e AS e, cast(null as string) AS m))"
+    return unpacked(a, __personal=F.expr(f"CASE WHEN hits IS NULL THEN base ELSE array_sort(concat(base, {terms})) END"))
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """doc_id, counts of the base kinds, the hash of the base spans and all spans as text."""
+    """doc_id, counts of the base kinds, the hash of the base spans and all spans as text: a row for each of find()'s.
+
+    A row without spans has zeros, the hash of the empty text and an empty text; a null doc_id stays null.
+    """
     text = lambda l: f"array_join(transform({l}, x -> concat(x.kind, ':', x.s, ':', x.e)), ',')"
     return found.select(
         "doc_id",
-        *[F.expr(f"cast(size(filter(__spans, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in KINDS[:4]],
-        F.expr(f"sha2({text('filter(__spans, x -> x.rank < 4)')}, 256)").alias("base_sha256"),
-        F.expr(text("__spans")).alias("spans"),
-        F.expr("cast(size(filter(__spans, x -> x.kind = 'term')) as bigint)").alias("n_term"),
+        *[F.expr(f"cast(size(filter(__personal, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in KINDS[:4]],
+        F.expr(f"sha2({text('filter(__personal, x -> x.rank < 4)')}, 256)").alias("base_sha256"),
+        F.expr(text("__personal")).alias("spans"),
+        F.expr("cast(size(filter(__personal, x -> x.kind = 'term')) as bigint)").alias("n_term"),
+        F.expr("cast(size(__personal) as bigint)").alias("n_spans"),
     )
 
 
 def sanitised(found: DataFrame) -> DataFrame:
-    """The texts with entities removed (their kind stays in brackets) and disclosing terms generalised to [WORD]."""
-    own = [c for c in found.columns if c != "__spans"]
+    """The texts with entities removed (their kind stays in brackets) and disclosing terms generalised to [WORD].
+
+    Overlapping spans are replaced as one. Other columns stay, null texts stay null.
+    """
+    own = [c for c in found.columns if c != "__personal"]
     fill = "CASE WHEN x.kind = 'term' THEN '[WORD]' ELSE concat('[', upper(x.kind), ']') END"
     step = f"named_struct('out', CASE WHEN x.s >= a.at THEN concat(a.out, substring(coalesce(text, ''), a.at + 1, x.s - a.at), {fill}) ELSE a.out END, 'at', greatest(a.at, x.e))"
-    body = f"aggregate(__spans, named_struct('out', '', 'at', 0), (a, x) -> {step}, a -> concat(a.out, substring(text, a.at + 1)))"
+    body = f"aggregate(__personal, named_struct('out', '', 'at', 0), (a, x) -> {step}, a -> concat(a.out, substring(text, a.at + 1)))"
     return found.select(*[F.expr(body).alias("text") if c == "text" else F.col(c) for c in own])

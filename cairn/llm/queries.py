@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, langid, mixing, neardup, pii, quality_cnn, quality_rules, secrets, tokens, toxicity
-from .common import held_out
+from .common import held_out, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,12 +34,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return secrets.digest(secrets.find(docs, secrets.fit(docs)))
+    scanned = stored(secrets.scan(docs, ("doc_id",)), "secrets")
+    return secrets.digest(secrets.find(docs, secrets.fit(docs, scanned=scanned), scanned=scanned))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.digest(pii.find(docs, pii.disclosures(docs)))
+    scanned = stored(pii.scan(docs, ("doc_id",)), "personal")
+    return pii.digest(pii.find(docs, pii.disclosures(docs, scanned=scanned), scanned=scanned))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

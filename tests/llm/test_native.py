@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from cairn.llm import mixing, pii, quality_rules, secrets
@@ -49,6 +50,52 @@ def test_secret_spans_equal_brute_force(spark):
         assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest() and r.spans == want
 
 
+def test_long_inputs_take_linear_work(spark):
+    rng = random.Random(9)
+    token = "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(1_000_000))
+    many = " ".join(f"u{k}@x.org word{k % 50}" for k in range(20_000))
+    docs = spark.createDataFrame([(1, f"see {token} there"), (2, "token=abcdef0123 " + " ".join(f"abcdefghijklmnopqrst{k} api_key: {k}aaaaaaaa" for k in range(5000)))], "doc_id int, text string")
+    began = time.time()
+    got = {r.doc_id: r for r in secrets.digest(secrets.find(docs, secrets.fit(docs))).collect()}
+    assert got[1].spans in ("", "markov:4:1000004") and got[2].n_assign == 5001
+    people = spark.createDataFrame([(k, many) for k in range(3)] + [(9, "word1 word2")], "doc_id int, text string")
+    found = pii.digest(pii.find(people, pii.disclosures(people))).collect()
+    assert [r.n_email for r in found] == [20_000] * 3 + [0] or sorted(r.n_email for r in found) == [0] + [20_000] * 3
+    assert time.time() - began < 120
+
+
+def test_markov_scores_equal_brute_force(spark):
+    rng = random.Random(8)
+    n = len(secrets.ALPHABET)
+    table = [rng.uniform(-2, 2) for _ in range(n * n)]
+    tokens = ["".join(rng.choice(secrets.ALPHABET) for _ in range(rng.randint(16, 60))) for _ in range(80)]
+    docs = spark.createDataFrame([(k, f"x {t} y") for k, t in enumerate(tokens)], "doc_id int, text string")
+    for r in secrets.find(docs, table, threshold=-9.0).collect():
+        for x in r["__secrets"]:
+            if x.kind == "markov":
+                at = [secrets.ALPHABET.index(c) for c in x.m]
+                assert abs(x.score - sum(table[a * n + b] for a, b in zip(at, at[1:], strict=False)) / (len(at) - 1)) < 1e-6
+    counted = secrets._pairs(secrets.scan(docs), "transform(cand, x -> x.m)")
+    want = collections.Counter()
+    for t in tokens:
+        if re.search("[A-Za-z]", t) and not re.search("[0-9a-f]{24}", t):
+            want.update(zip(t, t[1:], strict=False))
+    assert {(secrets.ALPHABET[k // n], secrets.ALPHABET[k % n]): v for k, v in enumerate(counted) if v} == want
+
+
+def test_names_of_other_operators_may_stand_beside(spark, awkward, labels):
+    a = awkward.withColumns({"__secrets": F.lit(1), "__personal": F.lit("x"), "row": F.lit(2), "t": F.lit(3), "key": F.lit(4), "base": F.lit(5), "__n_words": F.lit("y"), "__slot": F.lit(0), "__w": F.lit(1), "__k": F.lit(1)})
+    a = secrets.find(a, secrets.fit(a))
+    a = pii.find(a, pii.disclosures(a))
+    rules = quality_rules.fit(a, labels)
+    a = quality_rules.verdicts(quality_rules.verdicts(a, rules), rules)
+    a = mixing.schedule(mixing.schedule(a, {"a": 1.0, "b": 1.0}), {"a": 1.0})
+    assert len(set(a.columns)) == len(a.columns) and a.count() == 9
+    r = a.where("doc_id = 7").first()
+    assert (r.row, r.t, r.key, r.base, r["__n_words"], r["__w"]) == (2, 3, 4, 5, 9, 1) and r["__secrets"] == r["__personal"] == []
+    assert quality_rules.keep_good(a, labels).columns == a.columns and mixing.mixed_order(a).columns == a.columns
+
+
 def test_markov_models_tell_random_from_ordinary(spark):
     rng = random.Random(3)
     secret = lambda n: "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(n))
