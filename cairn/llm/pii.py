@@ -71,9 +71,10 @@ def scan(docs: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
 
 def _held(scanned: DataFrame) -> DataFrame:
     """(key, entity, own): each entity of each document, once, with the document's distinct terms."""
-    # outer generators, as a filter inferred for inner ones would compute their arrays a second time
-    a = scanned.selectExpr("key", "array_distinct(transform(terms, x -> x.m)) AS own", "explode_outer(array_distinct(transform(base, x -> xxhash64(x.m)))) AS entity")
-    return a.where("entity IS NOT NULL")
+    # the lists come first, as what stands beside a generator is computed for each row that it makes; outer generators,
+    # as a filter inferred for inner ones would compute the lists a second time
+    a = scanned.selectExpr("key", "array_distinct(transform(terms, x -> x.m)) AS own", "array_distinct(transform(base, x -> xxhash64(x.m))) AS entities")
+    return a.selectExpr("key", "own", "explode_outer(entities) AS entity").where("entity IS NOT NULL")
 
 
 def disclosures(docs: DataFrame, *, alpha: float = ALPHA, support: int = SUPPORT, scanned: DataFrame | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, held_out, labelled_sample
+from .common import BLANK, held_out, labelled_sample, packed, unpacked
 
 #: Rows of labelled statistics that a list is fitted on at most.
 SAMPLE_ROWS = 20_000
@@ -30,7 +30,8 @@ FEATURES = {
 
 
 def with_counts(docs: DataFrame) -> DataFrame:
-    """docs with the base counts and helper counts of each whole text, as columns with prefix __.
+    """docs with the base counts and helper counts of each whole text, as columns with prefix __; columns of docs with
+    their names give way.
 
     A null text has no words. Lines are split at U+000A; a line counts as a duplicate if it has a word and equals an
     earlier line. Repeated words are those inside a 5-word window that occurs twice or more, first ones included: the
@@ -38,27 +39,26 @@ def with_counts(docs: DataFrame) -> DataFrame:
     xxhash64 of the windows' word hashes (64 bits): the longest texts have some 10^5 windows, so that two different
     windows of one text agree with a chance under 10^-9.
     """
-    t = "coalesce(text, '')"
-    a = docs.withColumns({"__w": F.expr(f"filter(split({t}, r'{BLANK}+', -1), w -> w != '')"), "__l": F.expr(f"filter(split({t}, '\\n', -1), l -> l rlike r'[^\\x20\\x09-\\x0D]')")})
-    a = a.withColumn("__h", F.expr("transform(__w, w -> xxhash64(w))"))
-    grams = "transform(sequence(0, size(__h) - 5), i -> xxhash64(__h[i], __h[i + 1], __h[i + 2], __h[i + 3], __h[i + 4]))"
-    a = a.withColumn("__g", F.expr(f"CASE WHEN size(__h) >= 5 THEN {grams} ELSE cast(array() as array<bigint>) END"))
+    a = packed(docs).withColumns({"w": F.expr(f"filter(split(t, r'{BLANK}+', -1), w -> w != '')"), "l": F.expr("filter(split(t, '\\n', -1), l -> l rlike r'[^\\x20\\x09-\\x0D]')")})
+    a = a.withColumn("h", F.expr("transform(w, w -> xxhash64(w))"))
+    grams = "transform(sequence(0, size(h) - 5), i -> xxhash64(h[i], h[i + 1], h[i + 2], h[i + 3], h[i + 4]))"
+    a = a.withColumn("g", F.expr(f"CASE WHEN size(h) >= 5 THEN {grams} ELSE cast(array() as array<bigint>) END"))
     # positions sorted by window hash; a position repeats if a neighbour has the same hash
-    order = "sort_array(transform(__g, (h, i) -> struct(h AS h, i AS i)))"
+    order = "sort_array(transform(g, (h, i) -> struct(h AS h, i AS i)))"
     marked = "zip_with(zip_with(o, concat(array(cast(null as struct<h:bigint,i:int>)), slice(o, 1, size(o) - 1)), (c, p) -> struct(c.i AS i, c.h AS h, coalesce(c.h = p.h, false) AS m)), concat(slice(o, 2, size(o) - 1), array(cast(null as struct<h:bigint,i:int>))), (c, n) -> CASE WHEN c.m OR coalesce(c.h = n.h, false) THEN c.i END)"
     places = f"transform(array({order}), o -> sort_array(filter({marked}, i -> i IS NOT NULL)))[0]"
     covered = f"aggregate({places}, named_struct('n', 0L, 'to', 0), (a, i) -> named_struct('n', a.n + i + 5 - greatest(i, a.to), 'to', i + 5), a -> a.n)"
-    return a.select(
-        *docs.columns,
-        F.expr("cast(size(__w) as bigint)").alias("__n_words"),
-        F.expr("aggregate(__w, 0L, (a, w) -> a + length(w))").alias("__word_chars"),
-        F.expr(f"cast(length({t}) - length(regexp_replace({t}, r'[#*$%&|<>]+', '')) as bigint)").alias("__n_symbols"),
-        F.expr("cast(size(__l) - size(array_distinct(__l)) as bigint)").alias("__n_dup_lines"),
-        F.expr(f"CASE WHEN size(__g) > size(array_distinct(__g)) THEN {covered} ELSE 0L END").alias("__n_repeat_words"),
-        F.expr("cast(size(__l) as bigint)").alias("__n_lines"),
-        F.expr(f"cast(length({t}) - length(regexp_replace({t}, r'\\p{{Lu}}+', '')) as bigint)").alias("__n_upper"),
-        F.expr(f"cast(length({t}) - length(regexp_replace({t}, r'[!?;:]+', '')) as bigint)").alias("__n_marks"),
-        F.expr("cast(size(array_distinct(__h)) as bigint)").alias("__n_distinct"),
+    return unpacked(
+        a,
+        __n_words=F.expr("cast(size(w) as bigint)"),
+        __word_chars=F.expr("aggregate(w, 0L, (a, w) -> a + length(w))"),
+        __n_symbols=F.expr("cast(length(t) - length(regexp_replace(t, r'[#*$%&|<>]+', '')) as bigint)"),
+        __n_dup_lines=F.expr("cast(size(l) - size(array_distinct(l)) as bigint)"),
+        __n_repeat_words=F.expr(f"CASE WHEN size(g) > size(array_distinct(g)) THEN {covered} ELSE 0L END"),
+        __n_lines=F.expr("cast(size(l) as bigint)"),
+        __n_upper=F.expr("cast(length(t) - length(regexp_replace(t, r'\\p{Lu}+', '')) as bigint)"),
+        __n_marks=F.expr("cast(length(t) - length(regexp_replace(t, r'[!?;:]+', '')) as bigint)"),
+        __n_distinct=F.expr("cast(size(array_distinct(h)) as bigint)"),
     )
 
 
@@ -177,14 +177,19 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS, l
 
 
 def verdicts(docs: DataFrame, rules: DecisionList) -> DataFrame:
-    """docs with __counts, base_failed and kept as columns __base_failed and __kept; no shuffle. Clashing names can't occur: own columns begin with two underscores."""
+    """docs with the counts of with_counts(), __base_failed and __kept (never null); no shuffle. Columns of docs with those
+    names give way. A null or empty text fails the base rules; repeated rows get equal verdicts."""
     a = with_counts(docs)
     a = a.withColumn("__base_failed", F.expr("__n_words < 10 OR 100 * __n_repeat_words > 20 * __n_words"))
     return a.withColumn("__kept", F.when(F.col("__base_failed"), F.lit(False)).otherwise(rules.expression()))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns: a filter that neither reorders nor repeats rows."""
+    """The documents that pass, with their own columns: a filter that neither reorders nor repeats rows.
+
+    Null and empty texts go; repeated rows stay or go together; labels that are null, or of unknown ids, teach nothing.
+    """
+    own = docs.select(F.struct("*").alias("row"), "doc_id", "text")
     # a filter on the verdict itself would be pushed below the projections that compute it and repeat their expressions
-    a = verdicts(docs, fit(docs, labels)).select(*docs.columns, F.explode_outer(F.array("__kept")).alias("__stays"))
-    return a.where("__stays").select(*docs.columns)
+    a = verdicts(own, fit(own, labels)).select("row", F.explode_outer(F.array("__kept")).alias("stays"))
+    return a.where("stays").select("row.*")

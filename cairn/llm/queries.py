@@ -21,9 +21,9 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its block, slot, release and deadline under square-root weights."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", F.lit(None).cast("string").alias("text"))
+    docs = _table(spark, sf_dir, "documents")
     own = {f"__{k}": k for k in ("block", "slot", "release", "deadline", "in_block")}
-    return mixing.schedule(docs).select("doc_id", "source", *[F.col(a).alias(b) for a, b in own.items()])
+    return mixing.schedule(docs, keep=("doc_id", "source")).select("doc_id", "source", *[F.col(a).alias(b) for a, b in own.items()])
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

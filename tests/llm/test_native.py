@@ -92,7 +92,7 @@ def test_names_of_other_operators_may_stand_beside(spark, awkward, labels):
     a = mixing.schedule(mixing.schedule(a, {"a": 1.0, "b": 1.0}), {"a": 1.0})
     assert len(set(a.columns)) == len(a.columns) and a.count() == 9
     r = a.where("doc_id = 7").first()
-    assert (r.row, r.t, r.key, r.base, r["__n_words"], r["__w"]) == (2, 3, 4, 5, 9, 1) and r["__secrets"] == r["__personal"] == []
+    assert (r.row, r.t, r.key, r.base, r["__n_words"], r["__w"]) == (2, 3, 4, 5, 10, 1) and r["__secrets"] == r["__personal"] == []
     assert quality_rules.keep_good(a, labels).columns == a.columns and mixing.mixed_order(a).columns == a.columns
 
 
@@ -201,17 +201,27 @@ def test_decision_list():
     assert len(quality_rules.learn(noise, ("n_words",)).rules) <= 1
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.dictionaries(st.one_of(st.none(), st.text("abc", max_size=3)), st.floats(0.01, 100), min_size=1, max_size=12))
-def test_schedule_deviates_less_than_a_block(weights):
-    shares = mixing.quantised(weights, 60)
-    q = sum(shares.values())
-    rows = mixing.pattern(shares)
-    assert sorted(t for _, _, t, _, _ in rows) == list(range(q)) and all(r <= t < d for _, _, t, r, d in rows)
-    done = dict.fromkeys(shares, 0)
-    for t, name in enumerate(x[0] for x in sorted(rows, key=lambda x: x[2])):
-        done[name] += 1
-        assert all(abs(done[k] - (t + 1) * n / q) < 1 for k, n in shares.items())
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.one_of(st.none(), st.text("abc", max_size=3)), st.floats(0.001, 100), min_size=1, max_size=12), st.integers(1, 4))
+def test_schedule_deviates_less_than_a_block_from_the_targets(weights, scale):
+    shares = mixing.targets(weights)
+    assert sum(shares.values()) == 1
+    horizon = 400 * scale
+    rows = mixing.placed({k: int(w * horizon) + 2 for k, w in shares.items()}, shares)
+    assert all(r <= t < d for _, _, t, r, d in rows) and len({t for _, _, t, _, _ in rows}) == len(rows)
+    done, filled = dict.fromkeys(shares, 0), {t: name for name, _, t, _, _ in rows}
+    for t in range(horizon):  # no source runs out before the horizon, so every slot is filled
+        done[filled[t]] += 1
+        assert all(abs(done[k] - (t + 1) * w) < 1 for k, w in shares.items())
+
+
+@pytest.mark.parametrize("weights", [{"a": 1000, "b": 1, "c": 1}, {"a": 0.7, "b": 0.1, "c": 0.1, "d": 0.1}, {f"s{k}": (k + 2) ** 0.5 for k in range(8)}])
+def test_schedule_keeps_to_the_targets_for_long(weights):
+    shares = mixing.targets(weights)
+    rows = mixing.placed({k: int(w * 20_000) + 2 for k, w in shares.items()}, shares)
+    for k, w in shares.items():
+        for j, t in enumerate(sorted(t for s, _, t, _, _ in rows if s == k and t < 20_000)):
+            assert abs(j - t * w) < 1 and abs(j + 1 - (t + 1) * w) < 1
 
 
 @pytest.mark.parametrize("weights", [{"a": 0.5, "b": 0.3, "c": 0.15, "d": 0.05}, {"a": 0.6, "b": 0.4, "c": 1e-5}, {"a": 2**0.5, "b": 3**0.5, "c": 0.01, "d": 7.0}])
@@ -226,7 +236,7 @@ def test_schedule_keeps_to_the_targets(spark, weights):
 
 
 def test_mixing_keeps_all_rows(spark, awkward):
-    a = mixing.schedule(awkward, {"a": 2.0, "b": 1.0}, block_rows=2, period=12).collect()
+    a = mixing.schedule(awkward, {"a": 2.0, "b": 1.0}, block_rows=2).collect()
     assert len(a) == 9 and len({(r.source, r["__block"], r["__in_block"]) for r in a}) == 9
     known = [r for r in a if r.source in ("a", "b")]
     assert all(r["__release"] <= r["__slot"] < r["__deadline"] for r in known)
@@ -236,9 +246,18 @@ def test_mixing_keeps_all_rows(spark, awkward):
     assert mixing.schedule(awkward.limit(0)).count() == 0 and mixing.mixed_order(awkward.limit(0)).count() == 0
 
 
+def test_blocks_grow_so_that_their_number_stays(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)
+    docs = spark.range(2000).selectExpr("cast(null as bigint) AS doc_id", "concat('s', id % 3) AS source", "concat('t', id) AS text")
+    rows = mixing.schedule(docs).collect()
+    assert len({(r.source, r["__block"]) for r in rows}) <= 13 and max(r["__in_block"] for r in rows) == 199
+    assert len({(r.source, r["__block"], r["__in_block"]) for r in rows}) == 2000
+
+
 def test_mixing_of_many_rows(spark):
     docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "x").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("source"), F.lit("t").alias("text"))
     rows = mixing.schedule(docs).collect()
+    assert [r.doc_id for r in sorted(rows, key=lambda r: (r["__block"], r["__in_block"])) if r.source == "x"] == sorted(range(0, 9000, 3), key=lambda i: (hashlib.md5(f"{i}:t".encode()).hexdigest()[:15], i))
     for s, n in collections.Counter(r.source for r in rows).items():
         assert sorted((r["__block"], r["__in_block"]) for r in rows if r.source == s) == [(k // 64, k % 64) for k in range(n)]
     slots = collections.defaultdict(set)
