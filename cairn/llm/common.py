@@ -106,15 +106,33 @@ def labelled_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
     return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def sampled_texts(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_chars: int) -> list[tuple[str, int]]:
-    """(text, label) of a bounded labelled sample on the driver: `rows` ids at most, texts over max_chars left out.
+#: Bytes of labelled texts that the driver fits on at most.
+SAMPLE_BYTES = 48 << 20
 
-    Both bounds concern fitting only; scoring covers every row and whole texts.
+
+def sampled_texts(docs: DataFrame, labels: DataFrame, label: str, rows: int, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
+    """(text, label) of a bounded labelled sample on the driver: whole texts of `rows` ids at most, in hash order.
+
+    Texts of any length take part; those with which the sample would pass most_bytes are left out. Both bounds concern
+    fitting only; scoring covers every row and whole texts. Null texts and ids without a text are left out, of rows with
+    one id the first by text stays.
     """
     ids = labelled_sample(labels, label, rows)
-    own = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    got = own.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "y").toArrow().sort_by("doc_id")
-    return list(zip(got["text"].to_pylist(), got["y"].to_pylist(), strict=True))
+    own = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "y")).alias("x"))
+    got = stored(own.select("doc_id", "x.*", F.octet_length("x.text").alias("n"), F.xxhash64("doc_id").alias("h")), "sample")
+    picked, room = [], most_bytes
+    for r in sorted(got.select("doc_id", "n", "h").collect(), key=lambda r: (r["h"], str(r["doc_id"]))):
+        if r["n"] <= room:
+            picked.append(r["doc_id"])
+            room -= r["n"]
+    chosen = set(picked)
+    texts = {r["doc_id"]: (r["text"], r["y"]) for r in got.select("doc_id", "text", "y").toLocalIterator() if r["doc_id"] in chosen}
+    return [texts[i] for i in picked]
+
+
+def kept_names(keep: tuple[str, ...], *made: str) -> list[str]:
+    """The kept columns but those that have the name of a made one, which give way."""
+    return [c for c in keep if c.lower() not in made]
 
 
 def literal_doubles(values) -> str:

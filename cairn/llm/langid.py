@@ -5,6 +5,7 @@ Features are byte trigrams of lower-cased letters (anything else is one blank) h
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,11 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import STEP_BYTES, groups_of, held_out, lowered, text_buffer
+from .common import STEP_BYTES, groups_of, held_out, kept_names, lean, lowered, text_buffer, unused
 
 BUCKETS = 4096
 #: Rows that centroids are fitted on at most, shared by all languages.
 SAMPLE_ROWS = 2400
+#: Rows of a language that are drawn at least, about, however many languages there are.
+LEAST_ROWS = 30
 #: Centroids of a language.
 CLUSTERS = 3
 #: Cosine to the nearest centroid under which a text counts as none of the learned languages.
@@ -104,6 +107,7 @@ def fit(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, k: int = CLUSTERS) -
     if not sizes:
         return Model(np.zeros(BUCKETS, np.float32), np.zeros((0, BUCKETS), np.float32), (), None)
 
+    @lean("langid")
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for b in batches:
@@ -119,7 +123,7 @@ def fit(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, k: int = CLUSTERS) -
     idf = np.log1p(total / (1 + df)).astype(np.float32) + np.float32(0.1)
     share = F.lit(0)
     for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, int(min(1.0, sample_rows / len(sizes) / n) * (1 << 20))).otherwise(share)
+        share = F.when(F.col("lang") == lang, math.ceil(min(1.0, max(sample_rows / len(sizes), LEAST_ROWS) / n) * (1 << 20))).otherwise(share)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -150,12 +154,16 @@ def predict(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",
 
     __lang is the nearest learned language, `und` for a null text, a text without a letter, or where no language was
     learned. A text like none of the centroids (cosine under reject_below) keeps its nearest language and is marked
-    __rejected. Ties take the first language by name. Repeated rows get equal results.
+    __rejected. Ties take the first language by name. Repeated rows get equal results. Kept columns with the names of the
+    results give way.
     """
-    own = docs.select(*keep, F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("__letters"), F.col("text").alias("__text"))
+    keep = kept_names(keep, "__lang", "__score", "__rejected", "__cluster")
+    letters, text = unused(docs, "letters", "text")
+    own = docs.select(*keep, F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias(letters), F.col("text").alias(text))
     width = len(keep)
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType()), T.StructField("__rejected", T.BooleanType()), T.StructField("__cluster", T.IntegerType())])
 
+    @lean("langid")
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, "und"], object)
         for b in batches:

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sampled_texts, text_buffer
+from .common import kept_names, lean, sampled_texts, text_buffer, unused
 
-#: Bounds of fitting: labelled rows, and characters of a text that is fitted on.
-SAMPLE_ROWS, SAMPLE_CHARS = 6000, 20_000
+#: Labelled rows that the network is fitted on at most; see also common.SAMPLE_BYTES.
+SAMPLE_ROWS = 6000
 FILTERS, WIDTH, STRIDE = 24, 6, 3
 CHUNK, OVERLAP = 768, 96
 _PLACES = (CHUNK - WIDTH) // STRIDE + 1
@@ -143,16 +143,19 @@ def scores(column: pa.Array, m: Model) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Trained on the driver from a bounded labelled sample outside the held-out third."""
-    return train(sampled_texts(docs, labels, label, sample_rows, SAMPLE_CHARS))
+    return train(sampled_texts(docs, labels, label, sample_rows))
 
 
 def score(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns of docs with __score (0 to 1); no shuffle, every row stays. Null and empty texts are one empty chunk."""
+    """The kept columns of docs with __score (0 to 1); no shuffle, every row stays. Null and empty texts are one empty chunk,
+    repeated rows get equal scores. A kept column named __score gives way."""
+    keep = kept_names(keep, "__score")
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("__score", T.DoubleType())])
     width = len(keep)
 
+    @lean("quality_cnn")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(scores(b.column(width), model))], schema.names)
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias(unused(docs, "text")[0])).mapInArrow(run, schema)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh_worker, groups_of, on_other_work, shared_dir, text_buffer
+from .common import groups_of, lean, on_other_work, shared_dir, text_buffer
 
 MAGIC = b"WMX1"
 #: The id after each document.
@@ -349,8 +349,8 @@ def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = EN
     a = a.repartitionByRange(partitions, *keys[:1]) if partitions else a.repartitionByRange(*keys[:1])
     a = a.sortWithinPartitions(*keys).select("doc_id", "text", F.spark_partition_id().alias("__p"))
 
+    @lean("tokens")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_worker("tokens")
         enc = encoder(tokenizer_path)
         store, root = _store(folder)
         held: list[np.ndarray] = []
@@ -418,8 +418,8 @@ def read(shards: DataFrame) -> DataFrame:
     # a number of its own keeps adaptive execution from gathering these small rows, each a file to decode, in one task
     files = shards.select("file", "start").repartition(max(1, min(shards.count(), 100_000)))
 
+    @lean("tokens")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_worker("tokens")
         for b in batches:
             for file, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 store, path = _store(file)

@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import STEP_BYTES, fresh_worker, groups_of, sampled_texts, text_buffer
+from .common import STEP_BYTES, groups_of, kept_names, lean, sampled_texts, text_buffer, unused
 
-#: Bounds of fitting: labelled rows, and characters of a text that is fitted on.
-SAMPLE_ROWS, SAMPLE_CHARS = 9_000, 20_000
+#: Labelled rows that the word weights are fitted on at most; see also common.SAMPLE_BYTES.
+SAMPLE_ROWS = 9_000
 #: Toxic sample texts that a word must stand in to get a weight.
 LEAST_TEXTS = 3
 #: A score from which a text is predicted to be toxic.
@@ -31,6 +31,8 @@ THRESHOLD = 0.7
 
 # What a character may stand for besides itself.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
+# Letters of other scripts that look like Latin ones.
+LOOKALIKES = {"а": "a", "е": "e", "і": "i", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u"}
 SEPARATORS = " .-_*~'’,:"
 SUBSTITUTED, DROPPED, SHRUNK, PARTED = math.log(0.2), math.log(0.3), math.log(0.3), math.log(0.3)
 
@@ -46,6 +48,8 @@ _MIX = "".join(LEET)
 _SINGLE = r"(?!_)[\w" + re.escape("".join(c for c in LEET if not c.isdigit())) + "]"
 _SPACED = re.compile(rf"(?<!\w){_SINGLE}(?:[ .\-_*~]{{1,2}}{_SINGLE}){{2,}}(?!\w)")
 _RUN = re.compile(r"\w+")
+_LOOKALIKE = re.compile("[" + "".join(LOOKALIKES) + "]")
+_LATIN = re.compile("[a-z]")
 _DOUBLE, _TRIPLE = re.compile(r"([^\W\d_])\1"), re.compile(r"([^\W\d_])\1\1")
 #: Runs of characters after which decoding fixes the letters that all its states share.
 _FIXED = 64
@@ -64,6 +68,7 @@ def character_model(docs: DataFrame) -> np.ndarray:
     Each task sums its own table before the exchange; the driver gets 262,144 counts at most. Add-0.1 smoothing.
     """
 
+    @lean("toxicity")
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_CLASSES**3, np.int64)
         for b in batches:
@@ -94,6 +99,21 @@ def character_model(docs: DataFrame) -> np.ndarray:
     return np.log(counts / counts.sum(axis=2, keepdims=True)).astype(np.float32)
 
 
+def options_of(c: str, n: int) -> list[tuple[str, float]]:
+    """What n times the character c may stand for: letters and their cost (log-probability of the channel)."""
+    out: list[tuple[str, float]] = []
+    if c.isalpha():
+        out += [(c * n, 0.0)] if n <= 2 else [(c, SHRUNK), (c * 2, SHRUNK * 2)]
+        if n == 2:
+            out.append((c, SHRUNK * 4))
+    for x in LEET.get(c) or LOOKALIKES.get(c, ""):
+        out += [(x * n, SUBSTITUTED * n)] if n <= 2 else []
+        out += [(x, SUBSTITUTED + SHRUNK)] if n > 1 else []
+    if c in SEPARATORS or c in "!|+(" or c.isdigit():
+        out.append(("", DROPPED * (1 if c in SEPARATORS else 10)))
+    return out or [("", DROPPED * 2)]
+
+
 def decode(piece: str, lm: np.ndarray, parted: bool = False) -> str:
     """The likeliest letters behind a lower-case piece. Ties take the alphabetically first string.
 
@@ -112,19 +132,10 @@ def decode(piece: str, lm: np.ndarray, parted: bool = False) -> str:
         if i % _FIXED == _FIXED - 1:
             fixed.append(os.path.commonprefix([x for _, x in states.values()]))
             states = {k: (p, x[len(fixed[-1]) :]) for k, (p, x) in states.items()}
-        options: list[tuple[str, float]] = []
-        if c.isalpha():
-            options += [(c * n, 0.0)] if n <= 2 else [(c, SHRUNK), (c * 2, SHRUNK * 2)]
-            if n == 2:
-                options.append((c, SHRUNK * 4))
-        for x in LEET.get(c, ""):
-            options += [(x * n, SUBSTITUTED * n)] if n <= 2 else []
-            options += [(x, SUBSTITUTED + SHRUNK)] if n > 1 else []
-        if c in SEPARATORS or c in "!|+(" or c.isdigit():
-            options.append(("", DROPPED * (1 if c in SEPARATORS else 10)))
+        options = options_of(c, n)
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (p, s) in states.items():
-            for letters, cost in options or [("", DROPPED * 2)]:
+            for letters, cost in options:
                 x, y, q = a, b, p + cost
                 for ch in letters:
                     k = int(_CLASS[ord(ch)]) if ord(ch) < 0x180 else 0
@@ -157,6 +168,8 @@ def restored(text: str, lm: np.ndarray, cache: dict[str, str], spaced: bool = Tr
     if spaced:
         pieces += [m.group(0) for m in _SPACED.finditer(low) if any(c.isalpha() for c in m.group(0))]
     pieces += [w for w in set(_WORD.findall(low)) if _DOUBLE.search(w)]
+    if _LOOKALIKE.search(low):
+        pieces += [w for w in set(_WORD.findall(low)) if _LOOKALIKE.search(w) and _LATIN.search(w)]
     out: set[str] = set()
     for p in pieces:
         got = cache.get(p)
@@ -233,7 +246,7 @@ def train(samples: list[tuple[str, int]], lm: np.ndarray, *, steps: int = 200) -
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Model:
     """The character model from all documents, the word weights from a bounded labelled sample outside the held-out third."""
-    return train(sampled_texts(docs, labels, label, sample_rows, SAMPLE_CHARS), character_model(docs))
+    return train(sampled_texts(docs, labels, label, sample_rows), character_model(docs))
 
 
 def suspects(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -274,13 +287,15 @@ def suspects(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def score(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
     """The kept columns of docs with __score (0 to 1) and __predicted; no shuffle, every row stays.
 
-    Whole texts are read. A null or empty text scores the model's bias. Repeated rows get equal scores.
+    Whole texts are read. A null or empty text scores the model's bias. Repeated rows get equal scores. Kept columns
+    with the names of the results give way.
     """
+    keep = kept_names(keep, "__score", "__predicted")
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("__score", T.DoubleType()), T.StructField("__predicted", T.IntegerType())])
     width = len(keep)
 
+    @lean("toxicity")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_worker("toxicity")
         cache: dict[str, str] = {}
         plain = frozenset(x for x in model.weights if x[0] != "^")
         heads = {x[1:]: v for x, v in model.weights.items() if x[0] == "^"}
@@ -296,4 +311,4 @@ def score(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",),
                 out[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(out), pa.array((out >= threshold).astype(np.int32))], schema.names)
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias(unused(docs, "text")[0])).mapInArrow(run, schema)

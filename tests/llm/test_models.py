@@ -1,11 +1,14 @@
+import itertools
 import random
+import re
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from cairn.llm import decontam, langid, quality_cnn, toxicity
-from cairn.llm.common import held_out, words_of
+from cairn.llm.common import held_out, sampled_texts, words_of
 from pyspark.sql import functions as F
 
 WORDS = {"en": ["the", "thing", "and", "with", "other", "sheep"], "de": ["der", "schlich", "und", "mit", "zweig", "über"], "fr": ["le", "eaux", "et", "avec", "ménage", "où"]}
@@ -95,6 +98,83 @@ def test_whole_lattice_is_decoded():
     assert find("1 2 3 4, the other") == set()
 
 
+def test_decoding_equals_all_paths_of_the_lattice():
+    lm = letters("you", "are", "a", "moron", "idiot", "stupid", "the", "other")
+    rng = random.Random(6)
+    code = lambda ch: int(toxicity._CLASS[ord(ch)]) if ord(ch) < 0x180 else 0
+    for _ in range(150):
+        piece = "".join(rng.choice("idotmrn10|!@ .-о") for _ in range(rng.randint(1, 7)))
+        runs = [(m.group(0)[0], len(m.group(0))) for m in re.finditer(r"(.)\1*", piece)]
+        best = None
+        for path in itertools.product(*(toxicity.options_of(c, n) for c, n in runs)):
+            word = "".join(x for x, _ in path)
+            at = [0, 0, *map(code, word), 0]
+            p = sum(cost for _, cost in path) + sum(float(lm[a, b, c]) for a, b, c in zip(at, at[1:], at[2:], strict=False))
+            best = max(best or (p, word), (p, word), key=lambda x: x[0])
+        got = toxicity.decode(piece, lm)
+        at = [0, 0, *map(code, got), 0]
+        assert got == best[1] or abs(best[0] - max(sum(c for _, c in path) + sum(float(lm[a, b, c]) for a, b, c in zip(at, at[1:], at[2:], strict=False)) for path in itertools.product(*(toxicity.options_of(c, n) for c, n in runs)) if "".join(x for x, _ in path) == got)) < 1e-6
+
+
+def test_letters_that_look_like_others():
+    lm = letters("you", "are", "moron", "idiot", "the", "other")
+    assert "moron" in toxicity.restored("you mоrоn", lm, {}) and toxicity.restored("это слово", lm, {}) == set()
+
+
+def test_long_words_take_linear_work():
+    lm = letters("you", "are", "moron", "idiot", "the", "other")
+    began = time.time()
+    toxicity.restored("ab" * 200_000 + "ccc " + "a.b-" * 20_000 + " " + "x y " * 20_000, lm, {})
+    assert time.time() - began < 60
+
+
+def test_language_scores_equal_brute_force(spark):
+    docs, _, rows = corpus(spark)
+    model = langid.fit(docs)
+    texts = ["the thing and with", "Der Schlich, und", "où", "x", "12 !"]
+    table = langid._TABLES
+    got = langid.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model).orderBy("doc_id").collect()
+    for r, text in zip(got, texts, strict=True):
+        raw = b" " + text.lower().encode() + b" "
+        v = np.zeros(langid.BUCKETS)
+        for a, b, c in zip(raw, raw[1:], raw[2:], strict=False):
+            if langid._LETTER[b]:
+                v[int(table[0][a]) ^ int(table[1][b]) ^ int(table[2][c])] += 1
+        v *= model.idf
+        if not v.any():
+            assert r["__lang"] == "und" and r["__score"] == 0
+            continue
+        sims = model.centroids @ (v / np.linalg.norm(v))
+        assert r["__lang"] == model.languages[int(np.argmax(sims))] and abs(r["__score"] - max(0, sims.max())) < 1e-5
+
+
+def test_network_equals_a_direct_convolution():
+    rng = np.random.default_rng(4)
+    m = quality_cnn.train([("abc def " * 30, 1), ("x!! " * 40, 0)] * 6, steps=10)
+    for n in (0, 5, 700, 769, 3000):
+        raw = rng.integers(1, 255, n).astype(np.uint8)
+        chunks = []
+        step = quality_cnn.CHUNK - quality_cnn.OVERLAP
+        for a in range(0, max(1, n - quality_cnn.OVERLAP), step):
+            x = np.zeros(quality_cnn.CHUNK, np.uint8)
+            x[: len(raw[a : a + quality_cnn.CHUNK])] = raw[a : a + quality_cnn.CHUNK]
+            places = [sum(m.tables[k][x[p + k]] for k in range(quality_cnn.WIDTH)) + m.bias for p in range(0, quality_cnn.CHUNK - quality_cnn.WIDTH + 1, quality_cnn.STRIDE)]
+            chunks.append(np.maximum(np.max(places, axis=0), 0))
+        f = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0)])
+        want = 1 / (1 + np.exp(-(f @ m.out[:-1] + m.out[-1])))
+        column = pa.array([bytes(raw)], pa.binary())
+        assert abs(quality_cnn.scores(column, m)[0] - want) < 1e-4
+
+
+def test_sample_has_long_texts_and_keeps_its_bound(spark):
+    docs = spark.createDataFrame([(i, "w" * (50_000 if i % 2 else 10)) for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    all_rows = sampled_texts(docs, labels, "toxic", 1000)
+    assert {len(t) for t, _ in all_rows} == {10, 50_000} and all((len(t) > 10) == bool(y) for t, y in all_rows)
+    some = sampled_texts(docs, labels, "toxic", 1000, 120_000)
+    assert 50_000 in {len(t) for t, _ in some} and sum(len(t) for t, _ in some) <= 120_000 and len(some) < len(all_rows)
+
+
 def test_long_pieces_are_decoded_as_a_whole(monkeypatch):
     lm = letters("you", "are", "a", "moron", "idiot", "stupid", "the", "other")
     rng = random.Random(4)
@@ -342,6 +422,9 @@ def test_awkward_rows(spark, awkward, labels, empty):
     docs, labs = (awkward.limit(0), labels.limit(0)) if empty else (awkward, labels)
     n = 0 if empty else 9
     items = spark.createDataFrame([(1, "the cat sat on the mat and the dog ran away from it"), (1, None), (None, "x y z"), (2, "")], "item_id bigint, text string")
+    taken = docs.withColumns({"__lang": F.lit(1), "__SCORE": F.lit(2), "text_": F.lit(3), "letters": F.lit(4)})
+    for a in (langid.predict(taken, langid.fit(taken), keep=tuple(taken.columns)), toxicity.score(taken, toxicity.fit(taken, labs), keep=tuple(taken.columns)), quality_cnn.score(taken, quality_cnn.fit(taken, labs), keep=tuple(taken.columns))):
+        assert len({c.lower() for c in a.columns}) == len(a.columns) and a.count() == n and (empty or a.first()["letters"] == 4)
     assert langid.predict(docs, langid.fit(docs), keep=tuple(docs.columns)).count() == n
     assert toxicity.score(docs, toxicity.fit(docs, labs), keep=tuple(docs.columns)).count() == n
     assert quality_cnn.score(docs, quality_cnn.fit(docs, labs), keep=tuple(docs.columns)).count() == n
@@ -349,4 +432,3 @@ def test_awkward_rows(spark, awkward, labels, empty):
     assert sorted(str(r.doc_id) for r in found) == ([] if empty else ["4", "4", "None"])
     assert decontam.clean(docs, items).count() == (0 if empty else 6)
     assert decontam.clean(docs, items.limit(0)).count() == n and decontam.clean(docs, items).columns == docs.columns
-    assert F.col("x") is not None
