@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import decontam, langid, mixing, neardup, pii, quality_cnn, quality_rules, secrets, tokens, toxicity
 from .common import held_out, stored
+from .sql import ORACLE  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,4 +83,3 @@ def tokenizer_path() -> str:
 
 
 QUERIES = {f.__name__: f for f in (op1_langid, op2_mixing, op3_toxicity, op4_secrets, op5_pii, op6_quality_rules, op7_token_files, op8_ngram_jaccard, op9_decontam, op10_quality_cnn)}
-ORACLE: dict[str, str] = {}
