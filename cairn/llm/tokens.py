@@ -336,18 +336,19 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = END_ID, order: tuple[str, ...] = ("doc_id", "text"), shard_ids: int = SHARD_IDS, partitions: int | None = None) -> DataFrame:
+def write(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int = END_ID, order: tuple[str, ...] = ("doc_id",), shard_ids: int = SHARD_IDS, partitions: int | None = None) -> DataFrame:
     """Writes all documents in ascending `order` as shard files; returns (file, start, n_ids), a row for each file.
 
     Documents are dealt by ranges, so that file order is document order; each task writes its own files under a name
     made of its partition and number, first to a temporary name, so a repeated task leaves the same files. A null text
-    has only the end id; null ids come first; rows with equal keys keep any order among themselves and all stay.
-    An empty table writes no file. The list of files is a table beside them; the driver holds none of it.
+    has only the end id; null ids come first; rows with equal keys are in order of a hash of the text, so that those of
+    one id, or without one, don't meet in one task; all stay. An empty table writes no file. Other columns of docs play
+    no part. The list of files is a table beside them; the driver holds none of it.
     """
-    a = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *[F.col(c).alias(f"__o{k}") for k, c in enumerate(order) if c not in ("doc_id", "text")])
-    keys = [c if c in ("doc_id", "text") else f"__o{k}" for k, c in enumerate(order)]
-    a = a.repartitionByRange(partitions, *keys[:1]) if partitions else a.repartitionByRange(*keys[:1])
-    a = a.sortWithinPartitions(*keys).select("doc_id", "text", F.spark_partition_id().alias("__p"))
+    a = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *[F.col(c).alias(f"o{k}") for k, c in enumerate(order)], F.xxhash64("text").alias("h"))
+    keys = [*(f"o{k}" for k in range(len(order))), "h"]
+    a = a.repartitionByRange(partitions, *keys) if partitions else a.repartitionByRange(*keys)
+    a = a.sortWithinPartitions(*keys).select("doc_id", "text", F.spark_partition_id().alias("p"))
 
     @lean("tokens")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
