@@ -18,38 +18,38 @@ from cairn.session import ship_package
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the learned decision list keep."""
+    """Documents that the base rules and the learned decision list keep; null and empty texts go, see keep_good()."""
     return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one with the least doc_id."""
+    """One document of each class of near copies: the one with the least doc_id, a null one last; see one_of_each()."""
     ship_package(spark)
     return neardup.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts stay, see clean()."""
     ship_package(spark)
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, in files ordered by the slots of the mix."""
+    """Every document, in files ordered by the slots of the mix; a null source is a source, see schedule()."""
     return mixing.mixed_order(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the order of the mix, which is the row order of the files that hold docs, and their contents.
 
-    A DataFrame that no files hold is written in order of doc_id.
+    A DataFrame that no files hold is written in order of doc_id, null ids first. A null text has only the end id.
     """
     ship_package(spark)
     try:
-        docs = docs.selectExpr("*", "_metadata.file_name AS __file", "_metadata.row_index AS __row")
-        order = ("__file", "__row")
+        docs = docs.selectExpr("doc_id", "text", "_metadata.file_name AS file", "_metadata.row_index AS place")
+        order = ("file", "place")
     except AnalysisException:
-        order = ("doc_id", "text")
+        order = ("doc_id",)
     return tokens.encode(docs, tokenizer_path=tokenizer_path(), order=order)
 
 
