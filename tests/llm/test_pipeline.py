@@ -48,3 +48,19 @@ def test_stages(spark, tmp_path):
 def test_stage_on_no_rows(spark, stage, tmp_path):
     sf = "/root/testdata/sf0.001"
     assert stage(spark, spark.read.parquet(f"{sf}/documents.parquet").limit(0), sf).count() == 0
+
+
+@pytest.mark.parametrize("name,stage", pipeline.STAGES)
+def test_stage_on_awkward_rows(spark, awkward, name, stage, tmp_path):
+    """Nulls in all columns, empty and long texts, repeated rows and columns with clashing names."""
+    sf = "/root/testdata/sf0.001"
+    docs = awkward.withColumnRenamed("score", "__slot").withColumnRenamed("n", "file")
+    docs.write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    stage(spark, docs, sf).write.parquet(str(tmp_path / "out"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    ids = sorted(str(r.doc_id) for r in got.collect())
+    if name != "token_files":
+        assert got.columns == docs.columns
+    want = {"quality_rules": None, "ngram_jaccard_join": ["1", "2", "4", "5", "6", "7", "8"]}.get(name, sorted(["1", "2", "4", "4", "5", "6", "7", "8", "None"]))
+    assert ids == want if want else not {"1", "2", "8"} & set(ids)
