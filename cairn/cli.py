@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions.text import earliest_year
 from .operators import audit, index, search
 from .operators.derive import FIELDS, batches, validated
-from .operators.embed import HashingEmbedder
+from .operators.embed import HashingEmbedder, query_vector
 from .session import local_session, ship_package
 from .sources import local, registry
 
@@ -43,6 +43,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--date-to", type=int)
     s.add_argument("--per-document", type=int, default=2)
     s.add_argument("--prompt", action="store_true")
+    s.add_argument("--country")
+    s.add_argument("--content-mode")
     s = sub.add_parser("derive-plan", help="batches that a derivation would run; runs nothing")
     s.add_argument("corpus")
     s.add_argument("country")
@@ -71,9 +73,11 @@ def main(argv: list[str] | None = None) -> int:
     elif a.verb == "query":
         chunks, vectors = spark.read.parquet(f"{a.index}/chunks"), spark.read.parquet(f"{a.index}/embeddings")
         with open(f"{a.index}/config.json", encoding="utf-8") as f:
-            size = json.load(f)["integrity"]
+            config = json.load(f)
+        index.check_index(config, a.country, a.content_mode)
+        size = config["integrity"]
         lexical = (spark.read.parquet(f"{a.index}/postings"), size["chunk_rows"], size["lexical_tokens"] / max(1, size["chunk_rows"]))
-        found = search.search(chunks, vectors, a.question, HashingEmbedder().query(a.question).tolist(), lexical_index=lexical, top_k=a.top_k, source=a.source, date_from=a.date_from, date_to=a.date_to, per_document=a.per_document)
+        found = search.search(chunks, vectors, a.question, query_vector(spark, HashingEmbedder(), a.question), lexical_index=lexical, top_k=a.top_k, source=a.source, date_from=a.date_from, date_to=a.date_to, per_document=a.per_document)
         if a.prompt:
             print(search.context_prompt(a.question, found).first()["prompt"])
         else:

@@ -142,6 +142,7 @@ def class_prefix(call_number: Column) -> Column:
 
 def model_prefixes(model: Column) -> Column:
     """struct<query, document>: what retrieval models want before a query and a passage."""
+    # Names of models and their prefixes.
     low = F.lower(model)
     e5 = low.rlike(r"(?:^|[/_-])(?:multilingual-)?e5(?:$|[/_-])")
     bge = low == "baai/bge-small-en-v1.5"

@@ -10,15 +10,21 @@ from ..functions.text import UNSPACED, paragraphs, stable_id, words
 
 def word_windows(x: Column, target: int, overlap: int) -> Column:
     """Windows of `target` words that overlap, joined by blanks; the last ones may be shorter."""
-    w = words(x)
-    last = F.greatest(F.lit(0), F.size(w) - overlap - 1)
-    return F.transform(F.sequence(F.lit(0), last, F.lit(target - overlap)), lambda i: F.array_join(F.slice(w, i + 1, F.lit(target)), " "))
+    return _windows(words(x), target, overlap, " ")
 
 
 def char_windows(x: Column, target: int, overlap: int) -> Column:
     """Windows of `target` code points that overlap."""
-    last = F.greatest(F.lit(0), F.length(x) - overlap - 1)
-    return F.transform(F.sequence(F.lit(0), last, F.lit(target - overlap)), lambda i: F.substring(x, i + 1, F.lit(target)))
+    return _windows(F.filter(F.split(x, ""), lambda c: c != ""), target, overlap, "")
+
+
+def _windows(parts: Column, target: int, overlap: int, glue: str) -> Column:
+    def cut(p: Column) -> Column:
+        last = F.greatest(F.lit(0), F.size(p) - overlap - 1)
+        return F.transform(F.sequence(F.lit(0), last, F.lit(target - overlap)), lambda i: F.array_join(F.slice(p, i + 1, F.lit(target)), glue))
+
+    # the parts are bound first: inside the windows they would be made again for each
+    return F.element_at(F.transform(F.array(parts), cut), 1)
 
 
 def chunk_texts(text: Column, target: int = 350, overlap: int = 50) -> Column:

@@ -7,7 +7,10 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import model_prefixes
 
 
 class Embedder(Protocol):
@@ -43,10 +46,17 @@ class HashingEmbedder:
         return self._one(self.query_prefix + text)
 
 
+def query_vector(spark: SparkSession, embedder: Embedder, question: str) -> list[float]:
+    """The vector of a question, with what the model wants before one."""
+    prefix = spark.range(1).select(model_prefixes(F.lit(embedder.name))["query"]).first()[0]
+    return np.asarray(embedder.query(prefix + question)).tolist()
+
+
 def embed(chunks: DataFrame, embedder: Embedder, *, batch: int = 32) -> DataFrame:
     """(id, embedding array<float>) of each chunk; texts reach the embedder in batches, one after another in a task.
 
-    A result of another shape than one vector a text fails the query. A null text is embedded as an empty one.
+    A result of another shape than one vector a text fails the query. A null text is embedded as an empty one. What the
+    model wants before a passage stands before each text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,4 +70,5 @@ def embed(chunks: DataFrame, embedder: Embedder, *, batch: int = 32) -> DataFram
                 rows += part.tolist()
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float32()))], ["id", "embedding"])
 
-    return chunks.select("id", "text").mapInArrow(run, "id string, embedding array<float>")
+    text = F.concat(model_prefixes(F.lit(embedder.name))["document"], F.coalesce("text", F.lit("")))
+    return chunks.select("id", text.alias("text")).mapInArrow(run, "id string, embedding array<float>")

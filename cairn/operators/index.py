@@ -72,7 +72,7 @@ def build(docs: DataFrame, path: str, embedder: Embedder, *, target: int = 350,
         excluded.write.parquet(f"{staging}/excluded_chunks")
         chunks = spark.read.parquet(f"{staging}/chunks")
         embed(chunks, embedder).write.parquet(f"{staging}/embeddings")
-        postings(chunks).repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{staging}/postings")
+        postings(chunks).repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.parquet(f"{staging}/postings")
         shutil.rmtree(f"{staging}/numbered", ignore_errors=True)
         config = {**configuration(spark, staging), "model": embedder.name, "target_words": target, "overlap_words": overlap}
         with open(f"{staging}/config.json", "w", encoding="utf-8") as f:

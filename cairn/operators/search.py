@@ -12,8 +12,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import first_year, folded, index_tokens, search_terms
+from ..session import stored
 
 K1, B, LEXICAL_ROWS, RRF_K = 1.2, 0.75, 100, 60
+# The texts of the prompt.
+INSTRUCTIONS = (
+    "Answer the historical question using only the evidence below. Cite claims with [S1], [S2], etc. "
+    "Distinguish contemporaneous evidence from recollection, report disagreement, and say when the "
+    "evidence is insufficient. Answer in the language of the question and do not generalize from a small sample."
+)
+DETAILS = ("Country: ", " | Language: ", " | Content mode: ", " | Document ID: ")
+WARNING = "\nMACHINE TRANSLATION: verify wording and quotations against native document "
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -50,8 +59,12 @@ def postings(chunks: DataFrame) -> DataFrame:
     """
     both = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
     tokens = F.concat(index_tokens(F.coalesce("text", F.lit(""))), index_tokens(F.coalesce("title", F.lit(""))), index_tokens(F.array_join(search_terms(both), " ")))
-    a = chunks.select("id", "pos", tokens.alias("tokens")).withColumn("length", F.size("tokens"))
-    return a.select("id", "pos", "length", F.explode("tokens").alias("term")).groupBy("id", "pos", "length", "term").agg(F.count("*").cast("int").alias("tf")).select("term", "id", "pos", "tf", "length")
+    a = chunks.select("id", "pos", F.array_sort(tokens).alias("tokens")).withColumn("length", F.size("tokens"))
+    # equal tokens stand side by side: where each term begins, and where the next one does
+    first = F.filter(F.transform("tokens", lambda t, i: F.when((i == 0) | (t != F.try_element_at(F.col("tokens"), i)), i)), lambda i: i.isNotNull())
+    a = a.withColumn("first", first)
+    runs = F.transform("first", lambda i, k: F.struct(F.element_at(F.col("tokens"), i + 1).alias("term"), (F.coalesce(F.try_element_at(F.col("first"), k + 2), F.col("length")) - i).alias("tf")))
+    return a.select("id", "pos", "length", F.explode(runs).alias("x")).select("x.term", "id", "pos", "x.tf", "length")
 
 
 def _equals(term: str):
@@ -65,7 +78,8 @@ def lexical_scores(chunks: DataFrame, query_terms: list[str]) -> DataFrame:
     both = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
     tokens = F.concat(index_tokens(F.coalesce("text", F.lit(""))), index_tokens(F.coalesce("title", F.lit(""))), index_tokens(F.array_join(search_terms(both), " ")))
     a = chunks.select("id", "pos", tokens.alias("tokens"))
-    a = a.select("id", "pos", F.size("tokens").alias("length"), *[F.size(F.filter("tokens", _equals(t))).alias(f"f{k}") for k, t in enumerate(distinct)])
+    # texts are tokenised once: statistics and scores read the few numbers of each row
+    a = stored(a.select("id", "pos", F.size("tokens").alias("length"), *[F.size(F.filter("tokens", _equals(t))).alias(f"f{k}") for k, t in enumerate(distinct)]), "frequencies")
     stats = a.agg(F.count("*").alias("n"), F.avg("length").alias("avg"), *[F.count_if(F.col(f"f{k}") > 0).alias(f"n{k}") for k in range(len(distinct))]).collect()[0]
     return _scored(a, stats["n"], stats["avg"] or 1.0, {t: (f"f{k}", stats[f"n{k}"]) for k, t in enumerate(distinct)}, wanted)
 
@@ -135,16 +149,16 @@ def search(chunks: DataFrame, vectors: DataFrame, question: str, query_vector: l
     are counted anew. The fused rows (150 at most for the default) are joined back to the chunks by a broadcast.
     """
     ok = chunks.where(eligible(source, date_from, date_to))
-    with_vectors = ok.select("id", "pos").join(vectors.select("id", "embedding"), "id")
-    dense = dense_top(with_vectors, query_vector, max(50, 5 * top_k))
+    q = F.array(*[F.lit(float(x)) for x in query_vector])
+    scores = vectors.select("id", dot(F.col("embedding"), q).alias("dense_score"))  # products, not vectors, meet the chunks
+    dense = scores.join(ok.select("id", "pos"), "id").orderBy(F.desc("dense_score"), "pos").limit(max(50, 5 * top_k))
+    dense = dense.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("dense_score"), "pos")))
     terms = query_terms(chunks.sparkSession, question, tokenizer)
     hits = lexical_top(chunks, terms) if lexical_index is None else lexical_top_indexed(*lexical_index, terms)
     lexical = hits.join(ok.select("id"), "id", "left_semi").withColumn("rank", F.row_number().over(Window.orderBy(F.desc("bm25"), "pos")))
     fused = reciprocal_ranks([dense, lexical])
     rows = chunks.join(F.broadcast(fused), "id")
     top = diversified(rows, top_k, per_document)
-    q = F.array(*[F.lit(float(x)) for x in query_vector])
-    scores = vectors.select("id", dot(F.col("embedding"), q).alias("dense_score"))
     return scores.join(F.broadcast(top), "id").orderBy(F.desc("score"), "seen")
 
 
@@ -152,16 +166,10 @@ def context_prompt(question: str, results: DataFrame) -> DataFrame:
     """One row, one text: instructions, the question and the numbered evidence. results: ordered by score and seen."""
     nth = results.withColumn("__n", F.row_number().over(Window.orderBy(F.desc("score"), "seen")))
     mode = F.coalesce("content_mode", F.lit("native"))
-    details = F.concat(F.lit("Country: "), F.coalesce("country", F.lit("unknown")), F.lit(" | Language: "), F.coalesce("language", F.lit("unknown")), F.lit(" | Content mode: "), mode, F.lit(" | Document ID: "), F.coalesce("document_id", F.lit("unknown")))
+    details = F.concat(F.lit(DETAILS[0]), F.coalesce("country", F.lit("unknown")), F.lit(DETAILS[1]), F.coalesce("language", F.lit("unknown")), F.lit(DETAILS[2]), mode, F.lit(DETAILS[3]), F.coalesce("document_id", F.lit("unknown")))
     native = F.coalesce(F.get_json_object("metadata", "$.translation_provenance.source_document_id"), F.lit("unknown"))
-    warning = F.when(mode == "english_translation", F.concat(F.lit("\nMACHINE TRANSLATION: verify wording and quotations against native document "), native, F.lit("."))).otherwise("")
+    warning = F.when(mode == "english_translation", F.concat(F.lit(WARNING), native, F.lit("."))).otherwise("")
     date = F.coalesce(F.nullif("date", F.lit("")), F.lit("undated"))
     entry = F.concat(F.lit("[S"), F.col("__n"), F.lit("] "), F.col("title"), F.lit(" ("), date, F.lit(")\n"), details, warning, F.lit("\nURL: "), F.col("url"), F.lit("\n"), F.col("text"))
     listed = nth.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__n", entry.alias("e")))), lambda x: x["e"]), "\n\n").alias("evidence"))
-    # Fixed value: the instructions of the prompt.
-    head = (
-        "Answer the historical question using only the evidence below. Cite claims with [S1], [S2], etc. "
-        "Distinguish contemporaneous evidence from recollection, report disagreement, and say when the "
-        "evidence is insufficient. Answer in the language of the question and do not generalize from a small sample."
-    )
-    return listed.select(F.concat(F.lit(f"{head}\n\nQUESTION:\n{question}\n\nEVIDENCE:\n"), F.col("evidence")).alias("prompt"))
+    return listed.select(F.concat(F.lit(f"{INSTRUCTIONS}\n\nQUESTION:\n{question}\n\nEVIDENCE:\n"), F.col("evidence")).alias("prompt"))

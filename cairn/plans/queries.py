@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, text
 from ..operators import audit, chunking, derive, search
+from ..session import stored
 from ..sources import catalogue, markup, paged
 
 QUESTION = "the thing and the erhation of That"
@@ -135,7 +136,7 @@ def bm25_topk(spark, d):
 def bm25_indexed(spark, d):
     """The same ranking from the inverted index."""
     c = documents(spark, d)
-    index = search.postings(c)
+    index = stored(search.postings(c).sortWithinPartitions("term"), "postings")
     stats = index.groupBy("id").agg(F.first("length").alias("l")).agg(F.avg("l").alias("a")).collect()[0]
     top = search.lexical_top_indexed(index, c.count(), stats["a"], search.query_terms(spark, QUESTION))
     return top.select("id", F.round("bm25", 6).alias("bm25"))
@@ -203,7 +204,7 @@ def page_numbers(spark, d):
 
 
 def oai_records(spark, d):
-    """Every benchmark item as a record of a catalogue page, parsed back. (XML: no SQL form.)"""
+    """Every benchmark item as a record of a catalogue page, parsed back."""
     b = table(spark, d, "benchmark")
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     xml = F.concat(
@@ -259,10 +260,7 @@ _HAS = lambda col, terms: " OR ".join(f"contains({col}, '{t}')" for t in terms)
 _RX = lambda col, pats, flags="i": " OR ".join(f"regexp_matches({col}, '{p}', '{flags}')" for p in pats)
 _CNT = lambda col, pats, flags="i": " + ".join(f"(regexp_matches({col}, '{p}', '{flags}'))::int" for p in pats)
 _REQ = f"""'{{"genre":"","id":"' || doc_id || '","place":"","text":"' || {_ESC.format('text')} || '","title":"' || {_sql_cycle(TITLES)} || '"}}'"""
-_PROMPT_HEAD = (
-    "Answer the historical question using only the evidence below. Cite claims with [S1], [S2], etc. Distinguish contemporaneous evidence from recollection, report disagreement, and say when the "
-    "evidence is insufficient. Answer in the language of the question and do not generalize from a small sample."
-)
+_PROMPT_HEAD = search.INSTRUCTIONS
 
 ORACLE: dict[str, str] = {
     "clean_texts": f"SELECT doc_id, md5({_CLEANED}) AS h, length({_CLEANED}) AS n FROM documents",
@@ -332,6 +330,7 @@ ORACLE: dict[str, str] = {
         SELECT period, o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key FROM p WHERE period IS NOT NULL GROUP BY ALL""",
     "first_urls": "WITH p AS (SELECT regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host, url, page_id FROM pages) SELECT host, min_by(url, page_id) AS url, min(page_id) AS pos FROM p GROUP BY host",
     "page_numbers": "SELECT conv_id AS issue, turn AS pos, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS page FROM conversations WHERE role = 'user' AND text <> ''",
+    "oai_records": f"SELECT item_id, 'oai:' || item_id AS oai_identifier, 't1' AS token, length({_CLEANED.replace(_CLEAN, 'text')}) AS n FROM benchmark",
     "unfetched_urls": "SELECT DISTINCT url, sha256(url) AS key FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE length(html) > 3000)",
 }
 

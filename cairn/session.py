@@ -13,9 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 _ROOT = Path(__file__).resolve().parent
 
 
+#: Rows of an Arrow batch at most: texts may be long, and a batch is held several times on its way to a worker and back.
+BATCH_ROWS = 1000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, which may not have it on their path. Repeated calls do nothing."""
+    """Sends this package to the Python workers, which may not have it on their path, and bounds the session's Arrow batches.
+
+    Repeated calls do nothing more.
+    """
     sc = spark.sparkContext
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if getattr(sc, "_cairn_shipped", False):
         return
     to = Path(tempfile.mkdtemp(prefix="cairn-")) / "cairn_package.zip"
@@ -27,8 +36,13 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:
-    """df written to the folder that spark.checkpoint.dir names (/tmp/cairn-shared where it is unset) and read again."""
-    folder = (df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/cairn-shared").rstrip("/")
+    """df written to the folder that spark.checkpoint.dir names and read again; on a local master it may be unset."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not df.sparkSession.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = "/tmp/cairn-shared"
+    folder = folder.rstrip("/")
     path = f"{folder}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

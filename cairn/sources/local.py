@@ -31,7 +31,10 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT,
 
 
 def write_jsonl(df: DataFrame, path: str, *, append: bool = False) -> None:
-    """JSON Lines. Appending never removes duplicates; else the folder is replaced once the new files are whole."""
+    """JSON Lines. Appending never removes duplicates; else the new folder takes the place of the old one once it is whole.
+
+    The old folder steps aside and goes last; if the new one can't be put in place, the old one comes back.
+    """
     if append:
         df.write.mode("append").json(path)
         return
@@ -40,9 +43,17 @@ def write_jsonl(df: DataFrame, path: str, *, append: bool = False) -> None:
     jvm = df.sparkSession._jvm
     new, old = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
     fs = new.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-    fs.delete(old, True)
+    aside = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".old")
+    there = fs.exists(old)
+    if there:
+        fs.delete(aside, True)
+        if not fs.rename(old, aside):
+            raise RuntimeError(f"can't move {path} aside")
     if not fs.rename(new, old):
+        if there:
+            fs.rename(aside, old)
         raise RuntimeError(f"can't put {path} in place")
+    fs.delete(aside, True)
 
 
 def local_export(spark: SparkSession, root: str, *, source: str, country: str, language: str, cutoff: int, rights_override: str = "", max_bytes: int = MAX_BYTES) -> DataFrame:

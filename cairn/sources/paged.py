@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.classify import rights_eligible
-from ..functions.text import earliest_year, text_url
-from .markup import oai_rows
+from ..functions.text import clean_text, earliest_year, first_value, stable_id, text_url
+from ..schemas import as_documents
+from . import markup
 
 MAX_PAGES = 100
 RETRIED = (500, 502, 503, 504)
@@ -78,11 +79,12 @@ def fetch(url: str, *, cache: str | None = None, timeout: float = 60, attempts:
 
 
 class PagedCatalogue(DataSource):
-    """spark.read.format("paged_catalogue"): ListRecords pages as (identifier, fields, page, nth).
+    """spark.read.format("paged_catalogue"): the pages of a catalogue as (set, page, xml); see catalogue_records().
 
     Options: path (endpoint), set, prefix (oai_dc), cache, per_minute, replay (a folder of page-<n>.xml in place of the
-    network). A chain of pages is one partition, as each page names the next; several sets are read in parallel by
-    giving them comma-separated. At most 100 pages of a set.
+    network), pages (100 at most for each set, unless it says otherwise), rest (`fail`, the default, or `ignore`, for a set
+    that has more). A chain of pages is one partition, as each page names the next; several sets are read in parallel by
+    giving them comma-separated, and share per_minute.
     """
 
     @classmethod
@@ -90,7 +92,7 @@ class PagedCatalogue(DataSource):
         return "paged_catalogue"
 
     def schema(self) -> str:
-        return "set string, identifier string, fields map<string,array<string>>, page int, nth int"
+        return "set string, page int, xml string"
 
     def reader(self, schema) -> DataSourceReader:
         return _Pages(dict(self.options))
@@ -105,8 +107,10 @@ class _Pages(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         o, name, token = self.options, partition.value, ""
-        pace = Pace(float(o["per_minute"])) if o.get("per_minute") else None
-        for page in range(MAX_PAGES):
+        # partitions know nothing of each other, so each takes its part of the limit
+        pace = Pace(float(o["per_minute"]) / len(self.partitions())) if o.get("per_minute") else None
+        join = "&" if "?" in o.get("path", "") else "?"
+        for page in range(int(o.get("pages", MAX_PAGES))):
             if o.get("replay"):
                 file = os.path.join(o["replay"], name, f"page-{page}.xml")
                 if not os.path.exists(file):
@@ -115,14 +119,18 @@ class _Pages(DataSourceReader):
                     xml = f.read()
             else:
                 query = {"verb": "ListRecords", "resumptionToken": token} if token else {"verb": "ListRecords", "metadataPrefix": o.get("prefix", "oai_dc"), **({"set": name} if name else {})}
-                xml = fetch(f"{o['path']}?{urllib.parse.urlencode(query)}", cache=o.get("cache") or None, pace=pace)
-            rows = oai_rows(xml)
-            for identifier, fields, _, nth in rows:
-                if nth >= 0:
-                    yield name, identifier, dict(fields), page, nth
-            token = rows[0][2]
+                xml = fetch(f"{o['path']}{join}{urllib.parse.urlencode(query)}", cache=o.get("cache") or None, pace=pace)
+            yield name, page, xml
+            token = markup.page_token(xml)
             if not token:
                 return
+        if o.get("rest", "fail") != "ignore":
+            raise RuntimeError(f"set {name!r} has more pages than the option allows")
+
+
+def catalogue_records(pages: DataFrame) -> DataFrame:
+    """(other columns, identifier, fields, nth) of the records of catalogue pages that aren't deleted."""
+    return markup.parse_oai(pages).where("nth >= 0").drop("token").withColumnRenamed("oai_identifier", "identifier")
 
 
 def eligible_records(records: DataFrame, cutoff: int) -> DataFrame:
@@ -132,6 +140,26 @@ def eligible_records(records: DataFrame, cutoff: int) -> DataFrame:
     return a.where((F.col("year") <= cutoff) & (F.col("text_url") != "") & rights_eligible(F.col("rights")))
 
 
+def record_documents(records: DataFrame, texts: DataFrame, *, source: str, endpoint: str, country: str, language: str, cutoff: int, caution: str = "", least: int = 100, max_bytes: int = 20_000_000) -> DataFrame:
+    """Documents of eligible records whose text has `least` characters and max_bytes at most.
+
+    records: (identifier, fields); texts: (url, text), of which an address that isn't there has none. The address of a
+    document is its first identifier that is one, else that of the text; its id is a hash of the catalogue's identifier.
+    """
+    a = eligible_records(records, cutoff).join(texts.select(F.col("url").alias("text_url"), clean_text(F.col("text")).alias("text")), "text_url")
+    a = a.where((F.length("text") >= least) & (F.octet_length("text") <= max_bytes))
+    get = lambda k: F.coalesce(F.try_element_at("fields", F.lit(k)), F.array().cast("array<string>"))
+    joined = lambda k: F.array_join(get(k), " | ")
+    url = F.coalesce(F.try_element_at(F.filter(get("identifier"), lambda v: v.startswith("http://") | v.startswith("https://")), F.lit(1)), F.col("text_url"))
+    own = F.coalesce(F.nullif("identifier", F.lit("")), url)
+    meta = F.to_json(F.struct(F.lit("oai-pmh").alias("protocol"), F.col("identifier").alias("oai_identifier"), F.lit(endpoint).alias("oai_endpoint"), "text_url", F.lit(cutoff).alias("publication_year_filter"), F.lit(caution).alias("rights_caution"), F.col("fields").alias("dc")))
+    out = a.select(
+        F.concat(F.lit(f"{source}:"), stable_id(own)).alias("id"), F.lit(source).alias("source"), F.coalesce(F.nullif(first_value(get("title")), F.lit("")), own).alias("title"), "text", url.alias("url"), joined("date").alias("date"),
+        F.concat(get("creator"), get("contributor")).alias("authors"), joined("coverage").alias("place"), joined("type").alias("genre"), "rights", F.lit(country).alias("country"), F.lit(language).alias("language"), meta.alias("metadata"),
+    )
+    return as_documents(out)
+
+
 def unfetched(urls: DataFrame, bronze: DataFrame) -> DataFrame:
     """Addresses whose text isn't in the bronze table yet, keyed by sha256(url)."""
     return urls.withColumn("key", F.sha2("url", 256)).join(bronze.select("key"), "key", "left_anti")

@@ -49,3 +49,12 @@ def test_edges(spark):
         with pytest.raises(ValueError):
             chunk_texts(F.col("text"), *bad)
     assert [len(c.split()) for c in spark.range(1).select(chunk_texts(F.lit("word " * 1000)).alias("c")).collect()[0].c] == [350, 350, 350, 100]
+
+
+def test_a_paragraph_of_very_many_words(spark):
+    import time
+
+    began = time.time()
+    text = " ".join(f"w{i}" for i in range(400_000))
+    got = spark.createDataFrame([(text,), ("字" * 200_000,)], "t string").select(chunk_texts(F.col("t"), 50, 10).alias("c")).collect()
+    assert [len(r.c) for r in got] == [10_000, 5000] and got[0].c[1].split()[0] == "w40" and time.time() - began < 60

@@ -74,11 +74,20 @@ def test_paged_catalogue(spark, tmp_path):
     (tmp_path / "page-1.xml").write_text(PAGE.format(RECORD.format("", "o3", "3", no), ""))
     (tmp_path / "page-2.xml").write_text(PAGE.format(RECORD.format("", "o4", "4", ok), ""))
     paged.register(spark)
-    rows = spark.read.format("paged_catalogue").option("replay", str(tmp_path)).load()
+    pages = spark.read.format("paged_catalogue").option("replay", str(tmp_path))
+    rows = paged.catalogue_records(pages.load())
+    with pytest.raises(Exception, match="more pages"):
+        pages.option("pages", 1).load().count()
+    assert pages.option("pages", 1).option("rest", "ignore").load().count() == 1
     assert [r.identifier for r in rows.orderBy("page", "nth").collect()] == ["o1", "o3"]
     kept = paged.eligible_records(rows, 1900).collect()
     assert [(r.identifier, r.text_url, r.title, r.year) for r in kept] == [("o1", "http://x/1.txt", "A b", 1850)]
     assert paged.eligible_records(rows, 1800).count() == 0
+    texts = spark.createDataFrame([("http://x/1.txt", "word " * 40)], "url string, text string")
+    kw = {"source": "s", "endpoint": "e", "country": "spain", "language": "es", "cutoff": 1900}
+    d = paged.record_documents(rows, texts, **kw).collect()
+    assert [(r.title, r.url, r.date, r.country, json.loads(r.metadata)["oai_identifier"]) for r in d] == [("A b", "http://x/1.txt", "1850", "spain", "o1")]
+    assert paged.record_documents(rows, texts.limit(0), **kw).count() == 0
 
 
 class Reply(io.BytesIO):
