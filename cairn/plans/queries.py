@@ -9,6 +9,7 @@ from ..functions import classify, text
 from ..operators import audit, chunking, derive, search
 from ..session import stored
 from ..sources import catalogue, markup, paged
+from . import corpus
 
 QUESTION = "the thing and the erhation of That"
 
@@ -335,6 +336,10 @@ ORACLE: dict[str, str] = {
 }
 
 
+QUERIES |= corpus.QUERIES
+ORACLE |= corpus.ORACLE
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: documents are cleaned, chunked, ranked by BM25, and the best chunks come with their citation."""
     docs = documents(spark, sf_dir).withColumn("text", text.clean_text(F.col("text")))
