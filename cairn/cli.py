@@ -71,12 +71,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.verb == "build":
         print(json.dumps(index.build(local.read_jsonl(spark, a.corpus), a.index, HashingEmbedder(), target=a.target, overlap=a.overlap, country=a.country, content_mode=a.content_mode), ensure_ascii=False))
     elif a.verb == "query":
-        chunks, vectors = spark.read.parquet(f"{a.index}/chunks"), spark.read.parquet(f"{a.index}/embeddings")
-        with open(f"{a.index}/config.json", encoding="utf-8") as f:
-            config = json.load(f)
-        index.check_index(config, a.country, a.content_mode)
-        size = config["integrity"]
-        lexical = (spark.read.parquet(f"{a.index}/postings"), size["chunk_rows"], size["lexical_tokens"] / max(1, size["chunk_rows"]))
+        chunks, vectors, lexical = index.open_index(spark, a.index, a.country, a.content_mode)
         found = search.search(chunks, vectors, a.question, query_vector(spark, HashingEmbedder(), a.question), lexical_index=lexical, top_k=a.top_k, source=a.source, date_from=a.date_from, date_to=a.date_to, per_document=a.per_document)
         if a.prompt:
             print(search.context_prompt(a.question, found).first()["prompt"])

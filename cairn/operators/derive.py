@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -17,9 +15,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..files import Files, utc_now
 from ..functions.classify import rights_eligible
 from ..functions.text import canonical_json, stable_id
 from ..session import stored
+from ..sources.local import write_jsonl
 
 # Fields that are derived, and default bounds.
 FIELDS = ("id", "title", "text", "place", "genre")
@@ -168,47 +168,68 @@ def checked_reply(asked: list[dict[str, str]], got: list[dict[str, str]]) -> lis
     return [by_id[r["id"]] for r in asked]
 
 
+def unique_rows(output: DataFrame) -> DataFrame:
+    """output, if every row has an id and no id and no source_document_id stands twice; else it raises."""
+    bad = output.agg(
+        F.count_if(F.coalesce(F.col("id"), F.lit("")) == "").alias("rows without an id"),
+        (F.count("id") - F.count_distinct("id")).alias("repeated ids"),
+        (F.count("source_document_id") - F.count_distinct("source_document_id")).alias("repeated source documents"),
+    ).collect()[0].asDict()
+    if any(bad.values()):
+        raise RuntimeError("refusing derived rows: " + ", ".join(f"{n} {k}" for k, n in bad.items() if n))
+    return output
+
+
 class Run:
-    """Files of a derived corpus under a directory: output and state as Parquet, versioned, and one JSON marker.
+    """Files of a derived corpus under a directory: rows and state as Parquet, a folder for each batch, and one JSON marker.
 
-    A batch is marked before it runs; then the output is written, then the state, then the marker goes to the new
-    versions in one atomic replace. A marker that is still in flight stops the next run until retry is allowed.
+    A batch is marked before it runs; then its rows are written, then its state, then the marker counts it in one
+    atomic replace. Folders that the marker doesn't count are as if they weren't there and are written anew. Each batch
+    writes its own rows only; readers take the last row of a source document. A marker that is still in flight stops
+    the next run until retry is allowed; one that can't be read, or of another method's corpus, raises.
     """
 
     OUTPUT = "id string, source_document_id string, title string, text string, place string, genre string, language string, content_mode string, identity string, method string"
     STATE = "document_id string, identity string, derived_id string"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-        os.makedirs(path, exist_ok=True)
-        self.marker = {"version": None, "in_flight": None, "batches": []}
-        if os.path.exists(f"{path}/marker.json"):
-            with open(f"{path}/marker.json", encoding="utf-8") as f:
-                self.marker = json.load(f)
+        self.spark, self.path, self.files = spark, path, Files(spark)
+        self.files.make(path)
+        self.marker = {"in_flight": None, "batches": []}
+        if self.files.exists(f"{path}/marker.json") or self.files.exists(f"{path}/.marker.json.old"):
+            try:
+                self.marker = self.files.read_json(f"{path}/marker.json")
+            except ValueError as e:
+                raise RuntimeError("the marker can't be read") from e
+            if not isinstance(self.marker, dict) or not isinstance(self.marker.get("batches"), list) or "in_flight" not in self.marker:
+                raise RuntimeError("the marker is malformed")
 
     def _commit(self) -> None:
-        own = f"{self.path}/.marker.{uuid.uuid4().hex}"
-        with open(own, "w", encoding="utf-8") as f:
-            json.dump(self.marker, f, ensure_ascii=False, indent=2)
-            f.flush()
-            os.fsync(f.fileno())
-        os.replace(own, f"{self.path}/marker.json")
+        self.files.write_json(f"{self.path}/marker.json", self.marker)
 
     def table(self, name: str) -> DataFrame:
-        schema = self.OUTPUT if name == "output" else self.STATE
-        if not self.marker["version"]:
+        """`output` or `state` as committed: the last row of each source document."""
+        schema, key = (self.OUTPUT, "source_document_id") if name == "output" else (self.STATE, "document_id")
+        n = len(self.marker["batches"])
+        if not n:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}-{self.marker['version']}")
+        a = self.spark.read.schema(f"{schema}, seq int").parquet(f"{self.path}/{name}").where(F.col("seq") < n)
+        names = [c for c in a.columns if c != "seq"]
+        return a.groupBy(F.col(key).alias("k")).agg(F.max_by(F.struct(*names), "seq").alias("x")).select("x.*")
+
+    def publish(self, path: str) -> None:
+        """The output as JSON Lines in place of what is there, after unique_rows()."""
+        write_jsonl(unique_rows(self.table("output")), path)
 
     def plan(self, docs: DataFrame, method: Method, **bounds) -> DataFrame:
-        todo = pending(docs, self.table("state"), self.table("output"), method.key)
+        todo = pending(docs, self.table("state"), unique_rows(self.table("output")), method.key)
         return batches(todo, **bounds)
 
     def execute(self, docs: DataFrame, method: Method, *, limit: int | None = None, retry: bool = False, max_input: int = MAX_INPUT_CHARS, **bounds) -> int:
         """Derives what is pending, batch by batch; returns the number of rows. Over max_input characters it raises."""
         if self.marker["in_flight"] and not retry:
             raise RuntimeError(f"batch {self.marker['in_flight']['batch_id']} may have run; look at it or allow a retry")
-        todo = pending(docs, self.table("state"), self.table("output"), method.key)
+        todo = pending(docs, self.table("state"), unique_rows(self.table("output")), method.key)
         if limit is not None:
             todo = todo.orderBy("pos").limit(max(0, limit))
         dealt = batches(todo, **bounds)
@@ -216,13 +237,14 @@ class Run:
         if sum(s["chars"] for s in sizes) > max_input:
             raise ValueError("the planned input is over the ceiling")
         keyed = todo.join(dealt.select("id", "batch"), "id").select("pos", "batch", "identity", *FIELDS)
-        keyed.write.mode("overwrite").parquet(f"{self.path}/todo")
+        # a batch reads its own row groups: rows lie in order of the batches
+        keyed.repartitionByRange("batch", "pos").sortWithinPartitions("batch", "pos").write.mode("overwrite").parquet(f"{self.path}/todo")
         keyed, done = self.spark.read.parquet(f"{self.path}/todo"), 0
         for s in sizes:
             rows = [r.asDict() for r in keyed.where(F.col("batch") == s["batch"]).orderBy("pos").collect()]
             asked = [{k: r[k] or "" for k in FIELDS} for r in rows]
             batch_id = hashlib.sha256("\x1f".join([method.key, *(r["identity"] for r in rows)]).encode()).hexdigest()[:24]
-            self.marker["in_flight"] = {"batch_id": batch_id, "ids": [r["id"] for r in rows]}
+            self.marker["in_flight"] = {"batch_id": batch_id, "ids": [r["id"] for r in rows], "since": utc_now()}
             self._commit()
             got = checked_reply(asked, method.run(asked))
             own = self.spark.createDataFrame(
@@ -230,12 +252,10 @@ class Run:
                 "source_document_id string, title string, text string, place string, genre string, identity string",
             )
             own = own.select(F.concat(F.lit("derived:"), stable_id(F.lit(method.name), F.col("source_document_id"), F.col("identity"))).alias("id"), "*", F.lit("en").alias("language"), F.lit("english_translation").alias("content_mode"), F.lit(method.key).alias("method"))
-            version = uuid.uuid4().hex
-            merged(self.table("output"), own).write.parquet(f"{self.path}/output-{version}")
-            state = own.select(F.col("source_document_id").alias("document_id"), "identity", F.col("id").alias("derived_id"))
-            old = self.table("state").join(state.select("document_id"), "document_id", "left_anti")
-            old.select("document_id", "identity", "derived_id").unionByName(state).write.parquet(f"{self.path}/state-{version}")
-            self.marker = {"version": version, "in_flight": None, "batches": [*self.marker["batches"], {"batch_id": batch_id, "rows": len(rows)}]}
+            seq = len(self.marker["batches"])
+            unique_rows(own).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/output/seq={seq}")
+            own.select(F.col("source_document_id").alias("document_id"), "identity", F.col("id").alias("derived_id")).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/state/seq={seq}")
+            self.marker = {"in_flight": None, "batches": [*self.marker["batches"], {"batch_id": batch_id, "rows": len(rows), "completed": utc_now()}]}
             self._commit()
             done += len(rows)
         return done

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import json
-import os
-import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..files import Files, beside
 from ..functions.classify import serial_decision
 from .chunking import chunk_documents
 from .embed import Embedder, embed
@@ -54,7 +52,7 @@ def build(docs: DataFrame, path: str, embedder: Embedder, *, target: int = 350,
     leave the old index as it was.
     """
     spark = docs.sparkSession
-    staging = f"{os.path.dirname(path) or '.'}/.{os.path.basename(path)}.staging.{uuid.uuid4().hex}"
+    files, staging = Files(spark), beside(path, f"staging.{uuid.uuid4().hex}")
     try:
         kept, excluded = split_serials(chunk_documents(guarded(docs, country, content_mode), target, overlap))
         numbered(kept).write.parquet(f"{staging}/numbered")
@@ -73,13 +71,12 @@ def build(docs: DataFrame, path: str, embedder: Embedder, *, target: int = 350,
         chunks = spark.read.parquet(f"{staging}/chunks")
         embed(chunks, embedder).write.parquet(f"{staging}/embeddings")
         postings(chunks).repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.parquet(f"{staging}/postings")
-        shutil.rmtree(f"{staging}/numbered", ignore_errors=True)
+        files.delete(f"{staging}/numbered")
         config = {**configuration(spark, staging), "model": embedder.name, "target_words": target, "overlap_words": overlap}
-        with open(f"{staging}/config.json", "w", encoding="utf-8") as f:
-            json.dump(config, f, ensure_ascii=False, indent=2)
-        promote(staging, path)
+        files.write_json(f"{staging}/config.json", config)
+        promote(files, staging, path)
     finally:
-        shutil.rmtree(staging, ignore_errors=True)
+        files.delete(staging)
     return config
 
 
@@ -100,6 +97,14 @@ def configuration(spark: SparkSession, path: str) -> dict:
     }
 
 
+def open_index(spark: SparkSession, path: str, country: str | None = None, content_mode: str | None = None) -> tuple[DataFrame, DataFrame, tuple[DataFrame, int, float]]:
+    """(chunks, vectors, lexical index) of a written index for search(); raises unless it holds that country and mode alone."""
+    config = Files(spark).read_json(f"{path}/config.json")
+    check_index(config, country, content_mode)
+    n, tokens = config["integrity"]["chunk_rows"], config["integrity"]["lexical_tokens"]
+    return spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/embeddings"), (spark.read.parquet(f"{path}/postings"), n, tokens / max(1, n))
+
+
 def check_index(config: dict, country: str | None = None, content_mode: str | None = None) -> None:
     """Raises unless the index holds exactly that country and content mode."""
     for name, want in (("countries", country), ("content_modes", content_mode)):
@@ -107,21 +112,22 @@ def check_index(config: dict, country: str | None = None, content_mode: str | No
             raise ValueError(f"index {name} mismatch: expected {want}, found {config.get(name)}")
 
 
-def promote(staging: str, path: str) -> None:
+def promote(files: Files, staging: str, path: str) -> None:
     """Puts a staged directory in place of the old one; if that fails the old one comes back. A stale backup raises."""
-    backup = f"{os.path.dirname(path) or '.'}/.{os.path.basename(path)}.backup"
-    if os.path.exists(backup):
+    backup = beside(path, "backup")
+    if files.exists(backup):
         raise RuntimeError(f"refusing to overwrite a stale backup: {backup}")
-    if not os.path.exists(path):
-        os.replace(staging, path)
-        return
-    os.replace(path, backup)
+    there = files.exists(path)
+    if there:
+        files.move(path, backup)
     try:
-        os.replace(staging, path)
+        files.move(staging, path)
     except BaseException:
-        os.replace(backup, path)
+        if there:
+            files.move(backup, path)
         raise
-    shutil.rmtree(backup)
+    if there:
+        files.delete(backup)
 
 
 def add_positions(rows: DataFrame, *order: str) -> DataFrame:

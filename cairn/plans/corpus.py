@@ -272,7 +272,7 @@ ORACLE: dict[str, str] = {
         SELECT 'ia:' || doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'Better' ELSE 'T' END AS title, r AS rights FROM a WHERE y <= 1929 AND {_OK('r')} AND length({_tidy('text')}) >= 100""",
     "oai_documents": f"SELECT 's:' || substr(sha256('o' || item_id), 1, 24) AS id, 'c. 1850' AS date, 'A|B' AS authors, 'http://x/' || item_id || '.txt' AS url, 'Public domain' AS rights, length({_tidy('text || chr(32) || text')}) AS n FROM benchmark WHERE item_id % 4 <> 0 AND item_id % 5 <> 0 AND length({_tidy('text || chr(32) || text')}) >= 100",
     "newspaper_issues": "SELECT 'https://b/' || page_id || '/' AS base, 'https://b/' || page_id || '/sn1/' || page_id || '.xml' AS url, 'sn1' AS lccn, '1900-01-02' AS date, '1' AS edition FROM pages",
-    "newspaper_pages": rf"""WITH t AS (SELECT item_id, {_tidy("array_to_string(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''), ' ') || chr(10) || 'end'")} AS t FROM benchmark)
+    "newspaper_pages": rf"""WITH t AS (SELECT item_id, {_tidy(r"array_to_string(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''), ' ') || chr(10) || 'end'")} AS t FROM benchmark)
         SELECT 'Sun, page 1' AS title, 'https://www.loc.gov/resource/sn' || item_id || '/1900-01-02/ed-1/?sp=1' AS url, length(t) AS n FROM t WHERE length(t) >= 100""",
     "tei_texts": rf"""SELECT item_id, 'T ' || item_id AS title, 2::bigint AS n_authors, 1::bigint AS n_subjects, '9' AS words,
         md5({_tidy(r"trim(regexp_replace(text || ' n n', '\s+', ' ', 'g')) || chr(10) || chr(10) || 'n n'")}) AS h FROM benchmark""",

@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from cairn.files import Files
 from cairn.operators import derive, index
 from cairn.operators.embed import HashingEmbedder
 from cairn.schemas import as_documents
@@ -28,10 +29,17 @@ def test_build_guard_promote(spark, tmp_path):
         index.build(docs(spark).drop("pos"), path, HashingEmbedder(8), country="france")
     with pytest.raises(ValueError):
         index.build(docs(spark, 0).drop("pos"), path, HashingEmbedder(8))
-    assert json.load(open(path + "/config.json")) == before and [p for p in os.listdir(tmp_path) if p.startswith(".")] == []
+    assert json.load(open(path + "/config.json")) == before and [p for p in os.listdir(tmp_path) if p.startswith(".") and not p.endswith(".crc")] == []
     os.makedirs(tmp_path / ".index.backup")
     with pytest.raises(RuntimeError):
-        index.promote(path, path)
+        index.promote(Files(spark), path, path)
+    os.rmdir(tmp_path / ".index.backup")
+    with pytest.raises(RuntimeError):  # nothing is staged: the old index comes back
+        index.promote(Files(spark), str(tmp_path / "none"), path)
+    assert json.load(open(path + "/config.json")) == before
+    with pytest.raises(ValueError):
+        index.open_index(spark, path, "france")
+    assert index.open_index(spark, path, "spain")[0].count() == 4
 
 
 def upper(batch):
@@ -90,6 +98,22 @@ def test_malformed_replies_write_nothing_and_need_a_retry(spark, tmp_path, reply
     assert again.execute(d, derive.Method("m", upper), retry=True) == 2
 
 
+def test_output_is_checked(spark, tmp_path):
+    run = derive.Run(spark, str(tmp_path / "run"))
+    run.execute(docs(spark, 3), derive.Method("up", upper))
+    run.publish(str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).count() == 3
+    rows = run.table("output")
+    for bad in (rows.unionByName(rows), rows.withColumn("id", F.lit("")), rows.withColumn("source_document_id", F.lit("1"))):
+        with pytest.raises(RuntimeError, match="refusing"):
+            derive.unique_rows(bad)
+    for text in ("{", "[]", "{}"):
+        (tmp_path / "run" / "marker.json").write_text(text)
+        (tmp_path / "run" / ".marker.json.crc").unlink(missing_ok=True)
+        with pytest.raises(RuntimeError, match="marker"):
+            derive.Run(spark, str(tmp_path / "run"))
+
+
 def test_validation(spark):
     assert derive.validated(docs(spark), "spain", "es").count() == 5
     for bad in (docs(spark, rights="All rights reserved"), docs(spark, country="france"), docs(spark).unionByName(docs(spark))):
