@@ -1,4 +1,4 @@
-"""python -m cairn.cli VERB: list-sources, harvest, build, query, derive-plan, audit."""
+"""python -m cairn.cli VERB: list-sources, harvest, build, query, derive-plan, derive, audit, review."""
 
 from __future__ import annotations
 
@@ -8,12 +8,13 @@ import sys
 
 from pyspark.sql import functions as F
 
+from .files import Files, utc_now
 from .functions.text import earliest_year
-from .operators import audit, index, search
-from .operators.derive import FIELDS, batches, validated
+from .operators import audit, index, responses, search
+from .operators.derive import FIELDS, Method, Run, batches, validated
 from .operators.embed import HashingEmbedder, query_vector
 from .session import local_session, ship_package
-from .sources import local, registry
+from .sources import harvest, local, registry, tei
 
 
 def parser() -> argparse.ArgumentParser:
@@ -21,9 +22,12 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="verb", required=True)
     s = sub.add_parser("list-sources")
     s.add_argument("registry")
-    s = sub.add_parser("harvest", help="documents of a local export, appended or replaced")
-    for name in ("registry", "country", "source", "root", "out"):
+    s = sub.add_parser("harvest", help="documents of a country's source, from an export or by its protocol, appended or replaced")
+    for name in ("registry", "country", "source"):
         s.add_argument(name)
+    s.add_argument("root", help="folder of the export; - asks the source itself")
+    s.add_argument("out")
+    s.add_argument("--limit", type=int)
     s.add_argument("--rights-override", default="")
     s.add_argument("--max-bytes", type=int, default=local.MAX_BYTES)
     s.add_argument("--append", action="store_true")
@@ -50,8 +54,19 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("country")
     s.add_argument("language")
     s.add_argument("--size", type=int, default=10)
+    s = sub.add_parser("review", help="the list of TEI texts to review, as CSV")
+    s.add_argument("root")
+    s.add_argument("out")
+    s = sub.add_parser("derive", help="runs what is pending through a remote model; needs --execute")
+    for name in ("corpus", "country", "language", "run", "out", "model", "instructions"):
+        s.add_argument(name)
+    s.add_argument("--size", type=int, default=10)
+    s.add_argument("--limit", type=int)
+    s.add_argument("--retry", action="store_true")
+    s.add_argument("--execute", action="store_true")
     s = sub.add_parser("audit", help="coverage of the fields and documents by period")
     s.add_argument("corpus")
+    s.add_argument("--report", help="a JSON file for the figures")
     return p
 
 
@@ -66,8 +81,12 @@ def main(argv: list[str] | None = None) -> int:
     elif a.verb == "harvest":
         m = registry.country(spark, a.country, a.registry)
         registry.usable_source(m, a.source)
-        docs = local.local_export(spark, a.root, source=a.source, country=a.country, language=m["language"], cutoff=m["publication_cutoff"], rights_override=a.rights_override, max_bytes=a.max_bytes)
-        local.write_jsonl(docs, a.out, append=a.append)
+        options = {"max_bytes": a.max_bytes}
+        docs = harvest.collect_country(spark, {**m, "id": a.country}, m["sources"][a.source], input_root=None if a.root == "-" else a.root, rights_override=a.rights_override, limit=a.limit, **options)
+        if a.append:
+            print(json.dumps({"added": harvest.add_new(docs, a.out)}))
+        else:
+            local.write_jsonl(docs, a.out)
     elif a.verb == "build":
         print(json.dumps(index.build(local.read_jsonl(spark, a.corpus), a.index, HashingEmbedder(), target=a.target, overlap=a.overlap, country=a.country, content_mode=a.content_mode), ensure_ascii=False))
     elif a.verb == "query":
@@ -80,12 +99,27 @@ def main(argv: list[str] | None = None) -> int:
     elif a.verb == "derive-plan":
         docs = validated(local.read_jsonl(spark, a.corpus), a.country, a.language).withColumn("pos", F.monotonically_increasing_id())
         show(batches(docs.select("pos", "language", *FIELDS), size=a.size).groupBy("batch").agg(F.count("*").alias("documents"), F.max("batch_chars").alias("characters")).orderBy("batch"))
+    elif a.verb == "review":
+        n, listed = tei.write_review_list(tei.read(spark, a.root), a.out)
+        print(json.dumps({"files": n, "listed": listed}))
+    elif a.verb == "derive":
+        docs = validated(local.read_jsonl(spark, a.corpus), a.country, a.language).withColumn("pos", F.monotonically_increasing_id())
+        client = responses.Client(a.model, a.instructions, execute=a.execute)
+        run = Run(spark, a.run)
+        n = run.execute(docs, Method(a.model, client.run, a.instructions, client.settings()), size=a.size, limit=a.limit, retry=a.retry)
+        run.publish(a.out)
+        print(json.dumps({"derived": n, "requests": client.log}))
     else:
         docs = local.read_jsonl(spark, a.corpus)
         names = [c for c in docs.columns if c != "id"]
         fields = docs.select(F.col("id").alias("record"), F.explode(F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.to_json(F.array(F.col(c).cast("string"))) for c in names]))).alias("field", "v"))
-        show(audit.field_coverage(fields.select("record", "field", F.regexp_replace("v", r"\A\[|\]\z", "").alias("value"))))
-        show(audit.by_period(docs, earliest_year(F.array(F.coalesce("date", F.lit(""))))).groupBy("period").count().orderBy("period"))
+        coverage = audit.field_coverage(fields.select("record", "field", F.regexp_replace("v", r"\A\[|\]\z", "").alias("value"))).orderBy("field")
+        periods = audit.by_period(docs, earliest_year(F.array(F.coalesce("date", F.lit(""))))).groupBy("period").count().orderBy("period")
+        show(coverage)
+        show(periods)
+        if a.report:
+            rows = lambda df: [r.asDict() for r in df.collect()]
+            Files(spark).write_json(a.report, {"at": utc_now(), "fields": rows(coverage), "periods": rows(periods)})
     return 0
 
 

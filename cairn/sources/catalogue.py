@@ -27,15 +27,18 @@ def file_url(row: Column) -> Column:
     return F.when(first.rlike("^(https?:)?//"), with_scheme(first)).otherwise(F.concat(F.lit("https://"), F.regexp_replace(first, "^/+", "")))
 
 
-def with_records(files: DataFrame, records: DataFrame, keys: list[str]) -> DataFrame:
+def with_records(files: DataFrame, records: DataFrame, keys: list[str], item: Column | None = None) -> DataFrame:
     """files (url) left-joined to records on the last segment of any of the records' keys; the last record of a key wins.
 
+    item: a file's key; the last segment of its address without .txt unless it is given.
+
     records needs pos. Both sides are dealt by the segment; one row of a key remains before the join.
     """
     each = records.select("*", F.explode(F.array_distinct(F.filter(F.array(*[last_segment(F.col(k)) for k in keys]), lambda s: s.isNotNull() & (s != "")))).alias("__item"))
     names = [c for c in records.columns]
     last = each.groupBy("__item").agg(F.max_by(F.struct(*names), "pos").alias("record"))
-    item = F.regexp_replace(last_segment(F.col("url")), r"\.txt\z", "")
+    if item is None:
+        item = F.regexp_replace(last_segment(F.col("url")), r"\.txt\z", "")
     return files.withColumn("__item", item).join(last, "__item", "left").drop("__item")
 
 

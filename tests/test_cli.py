@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from cairn import cli
 from test_sources import export
 
@@ -18,6 +20,15 @@ def test_harvest_build_query(spark, tmp_path, capsys):
     assert cli.main(["query", index, "historia pueblo", "--top-k", "2"]) == 0
     assert cli.main(["query", index, "historia", "--prompt"]) == 0
     assert cli.main(["derive-plan", out, "spain", "es"]) == 0
-    assert cli.main(["audit", out]) == 0
+    assert cli.main(["audit", out, "--report", str(tmp_path / "r.json")]) == 0
+    assert json.loads((tmp_path / "r.json").read_text())["periods"] == [{"period": "1880-1909", "count": 3}]
+    assert cli.main(["harvest", str(registry), "spain", "s", export(root), str(tmp_path / "more"), "--append", "--limit", "2"]) == 0
+    (tmp_path / "tei").mkdir()
+    (tmp_path / "tei" / "a.xml").write_text("<TEI><title>Poems</title><term>Poetry</term><p>x</p></TEI>")
+    assert cli.main(["review", str(tmp_path / "tei"), str(tmp_path / "r.csv")]) == 0
+    with pytest.raises(ValueError, match="no collector"):
+        cli.main(["harvest", str(registry), "spain", "s", "-", out])
+    with pytest.raises(RuntimeError, match="execute"):
+        cli.main(["derive", out, "spain", "es", str(tmp_path / "run"), str(tmp_path / "derived"), "m", "i"])
     text = capsys.readouterr().out
-    assert '"status": "enabled"' in text and '"chunks": 3' in text and "Historia del pueblo" in text and "QUESTION:\nhistoria" in text and '"documents": 3' in text and '"period": "1880-1909"' in text
+    assert '"added": 2' in text and '"listed": 1' in text and '"status": "enabled"' in text and '"chunks": 3' in text and "Historia del pueblo" in text and "QUESTION:\nhistoria" in text and '"documents": 3' in text and '"period": "1880-1909"' in text
