@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, neardup, pii, quality_cnn, quality_rules, secrets, tokens, toxicity
+from . import decontam, langid, mixing, neardup, negatives, pages, pii, quality_cnn, quality_rules, ranked, secrets, tokens, toxicity
 from .common import held_out, stored
 from .sql import ORACLE  # noqa: F401
 
@@ -75,6 +75,24 @@ def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("doc_id", held_out().alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item; see ranked.build() and search() for nulls, ties and repeated rows."""
+    docs, bench = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return ranked.top_documents(docs, bench).select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to three hard negatives for each anchor and positive; see negatives.mine() for nulls, ties and repeated rows."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", label), anchors=F.col("vec_id") % 50 == 0)
+
+
+def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its main text; null and empty pages have an empty one; see pages.extract()."""
+    return pages.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", F.col("__text").alias("text"), F.col("__n_chars").alias("n_chars"))
+
+
 def tokenizer_path() -> str:
     """The vocabulary of the token files, from the installed package of public tokenizers."""
     import public_tokenizers
@@ -82,4 +100,4 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_mixing, op3_toxicity, op4_secrets, op5_pii, op6_quality_rules, op7_token_files, op8_ngram_jaccard, op9_decontam, op10_quality_cnn)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_mixing, op3_toxicity, op4_secrets, op5_pii, op6_quality_rules, op7_token_files, op8_ngram_jaccard, op9_decontam, op10_quality_cnn, op11_ranked_search, op12_hard_negatives, op13_page_text)}

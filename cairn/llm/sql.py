@@ -64,4 +64,44 @@ FROM words LEFT JOIN classes ON len(words.w) > 0 AND classes.t = array_to_string
 LEFT JOIN roots ON roots.rep = classes.rep LEFT JOIN degrees ON degrees.rep = classes.rep
 """
 
-ORACLE = {"op2_mixing": OP2, "op8_ngram_jaccard": OP8}
+#: Every document scored for every item; see ranked.search().
+OP11 = """
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t, row_number() OVER () AS k FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t, row_number() OVER () AS q FROM benchmark
+), whole AS (
+    SELECT count(*) FILTER (len(t) > 0) AS nd, sum(len(t))::bigint AS l FROM docs
+), tfs AS (
+    SELECT k, doc_id, term, count(*) AS tf, any_value(n) AS n FROM (SELECT k, doc_id, len(t) AS n, unnest(t) AS term FROM docs) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(nd) + 2)::double / (2 * count(*) + 1)))::bigint AS w FROM tfs, whole GROUP BY term
+), wanted AS (
+    SELECT q, item_id, term, count(*) AS c FROM (SELECT q, item_id, unnest(t) AS term FROM items) GROUP BY ALL
+), scores AS (
+    SELECT q, item_id, k, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nd) // l))))::bigint AS score
+    FROM wanted JOIN weights USING (term) JOIN tfs USING (term), whole GROUP BY ALL
+)
+SELECT item_id, rank::int AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, k) AS rank FROM scores WHERE score > 0
+) WHERE rank <= 20
+"""
+
+#: Integer products of every anchor with every row; see negatives.mine().
+OP12 = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS v, row_number() OVER () AS k
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.k AS ak, a.vec_id AS anchor_id, b.k AS bk, b.vec_id AS id, a.label = b.label AS same, list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::bigint AS score
+    FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.k <> b.k
+), positives AS (
+    SELECT ak, anchor_id, bk, id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY ak ORDER BY score DESC, id NULLS LAST, bk) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::int AS rank, n.id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.ak = p.ak AND NOT n.same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.ak, p.bk ORDER BY n.score DESC, n.id NULLS LAST, n.bk) QUALIFY row_number() OVER w <= 3
+"""
+
+ORACLE = {"op2_mixing": OP2, "op8_ngram_jaccard": OP8, "op11_ranked_search": OP11, "op12_hard_negatives": OP12}
