@@ -29,6 +29,8 @@ MEMBERS = POSITIVES + 1
 ANCHOR_BLOCK, ROW_BLOCK = 4096, 8192
 #: Anchors that are compared with a block of rows at a time.
 _STEP = 128
+#: Share of the pairs at which those left are looked at one by one.
+_FEW = 0.2
 #: Numbers of the sampled vectors that the rotation is fitted on, about.
 FIT_NUMBERS = 1_000_000
 #: Scaled components are below this, so that products of 512 components and more fit into 64 bits.
@@ -68,29 +70,29 @@ def matrix(lists: pa.ChunkedArray, dim: int) -> np.ndarray:
 
 
 class Pairs:
-    """Products of anchors and rows, bounded from their leading rotated components."""
+    """Products of anchors and rows, accumulated over rotated components, leading ones first, with bounds of what is left."""
 
     def __init__(self, a: np.ndarray, b: np.ndarray, axes: np.ndarray):
         self.a, self.b, self.dim = a, b, len(axes)
         self.ra, self.rb = a @ axes, b @ axes
-        self.steps = sorted({max(1, self.dim // 4), max(1, self.dim // 2)})
+        self.steps = sorted({-(-self.dim * k // 8) for k in (2, 4, 6, 7, 8)})
         self.na, self.nb = (self._norms(x) for x in (self.ra, self.rb))
 
     def _norms(self, r: np.ndarray) -> dict[int, np.ndarray]:
         """Norms of what is left after each step; at 0 the whole norms."""
         return {k: np.sqrt((r[:, k:] ** 2).sum(1)) for k in (0, *self.steps)}
 
-    def first(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Products of the first leading components of anchors i and rows j, and how far the whole product can be off."""
-        k = self.steps[0]
-        off = np.outer(self.na[k][i], self.nb[k][j]) + SLACK * np.outer(self.na[0][i], self.nb[0][j]) + SLACK
-        return self.ra[i, :k] @ self.rb[j, :k].T, off
-
-    def next(self, i: np.ndarray, j: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The products after the next step, pair by pair, and how far they can be off."""
-        k, m = self.steps[0], self.steps[-1]
-        off = self.na[m][i] * self.nb[m][j] + SLACK * self.na[0][i] * self.nb[0][j] + SLACK
-        return part + np.einsum("ij,ij->i", self.ra[i, k:m], self.rb[j, k:m]), off
+    def bounds(self, i: np.ndarray, j: np.ndarray):
+        """(lower, upper, last) bounds of the products of anchors i and rows j after each step whose bounds can tell pairs apart."""
+        part, before = np.zeros((len(i), len(j))), 0
+        for k in self.steps:
+            part += self.ra[i, before:k] @ self.rb[j, before:k].T
+            before = k
+            left = np.median(self.na[k][i]) * np.median(self.nb[k][j])
+            if k < self.dim and left > part[:8].std():
+                continue  # the residual is wider than the products differ
+            off = np.outer(self.na[k][i], self.nb[k][j]) + SLACK * np.outer(self.na[0][i], self.nb[0][j]) + SLACK
+            yield part - off, part + off, k == self.dim
 
     def exact(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         return np.einsum("ij,ij->i", self.a[i], self.b[j])
@@ -102,16 +104,21 @@ def _kth(low: np.ndarray, k: int) -> np.ndarray:
 
 
 def best_same(pairs: Pairs, la: np.ndarray, lb: np.ndarray, count: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, row class, score) of all pairs of one label that can be among an anchor's MEMBERS best in this block."""
+    """(anchor, row class, score) of all pairs of one label that can be among an anchor's MEMBERS best in this block.
+
+    count: gets the number of pairs whose whole products are made.
+    """
     out = []
     for label in np.unique(la):
         own, rows = np.flatnonzero(la == label), np.flatnonzero(lb == label)
         for s in range(0, len(own), _STEP) if len(rows) else ():
             i = own[s : s + _STEP]
-            part, off = pairs.first(i, rows)
-            least = _kth(part - off, MEMBERS)
-            x, y = np.nonzero(part + off >= least[:, None])
-            out.append(_verified(pairs, i[x], rows[y], part[x, y], least[x], np.full(len(x), np.inf), count))
+            for lower, upper, last in pairs.bounds(i, rows):
+                need = upper >= _kth(lower, MEMBERS)[:, None]
+                if last or need.mean() < _FEW:
+                    break
+            x, y = np.nonzero(need)
+            out.append(_verified(pairs, i[x], rows[y], count))
     return _joined(out)
 
 
@@ -121,34 +128,37 @@ def best_other(pairs: Pairs, la: np.ndarray, lb: np.ndarray, scores: np.ndarray,
     scores: an anchor's positive scores, a row each, filled up by the last.
     """
     out, low, high = [], -(-LOW * scores // 100), HIGH * scores // 100
+    rows = np.arange(len(lb))
     for s in range(0, len(la), _STEP):
         i = np.arange(s, min(len(la), s + _STEP))
-        rows = np.arange(len(lb))
-        part, off = pairs.first(i, rows)
-        off[la[i][:, None] == lb[rows][None, :]] = np.nan  # no bound of an equal label passes a comparison
-        lower, upper = part - off, part + off
-        need, least = np.zeros(part.shape, bool), np.full(len(i), np.inf)
+        other = la[i][:, None] != lb[None, :]
+        for lower, upper, last in pairs.bounds(i, rows):
+            near = (upper >= low[i].min(1)[:, None]) & (lower <= high[i].max(1)[:, None]) & other
+            if last or near.mean() < _FEW:
+                break
+        x, y = np.nonzero(near)
+        lo, up = lower[x, y], upper[x, y]
+        order = np.lexsort((-lo, x))
+        x, y, lo, up = x[order], y[order], lo[order], up[order]
+        begin = np.searchsorted(x, np.arange(len(i)))
+        need = np.zeros(len(x), bool)
         for k in range(scores.shape[1]):
-            lo, hi = low[i, k][:, None], high[i, k][:, None]
-            floor = np.maximum(lo[:, 0], _kth(np.where((lower >= lo) & (upper <= hi), lower, -np.inf), NEGATIVES))
-            need |= (upper >= floor[:, None]) & (lower <= hi) & (lo <= hi)
-            least = np.minimum(least, floor)
-        x, y = np.nonzero(need)
-        out.append(_verified(pairs, i[x], rows[y], part[x, y], least[x], high[i].max(1)[x], count))
+            a, b = low[i, k], high[i, k]
+            sure = (lo >= a[x]) & (up <= b[x])
+            before = np.concatenate(([0], np.cumsum(sure)))
+            third = np.flatnonzero(sure & (before[1:] - before[begin[x]] == NEGATIVES))  # of the pairs surely in range
+            least = a.astype(np.float64)
+            least[x[third]] = np.maximum(least[x[third]], lo[third])
+            need |= (up >= least[x]) & (lo <= b[x]) & (a <= b)[x]
+        out.append(_verified(pairs, i[x[need]], rows[y[need]], count))
     return _joined(out)
 
 
-def _verified(pairs: Pairs, i: np.ndarray, j: np.ndarray, part: np.ndarray, least: np.ndarray, most: np.ndarray, count: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs whose bounds after the next step still meet least..most, with exact scores. count: adds pairs verified."""
-    done = []
-    for s in range(0, len(i), 1 << 15):
-        a, b = i[s : s + (1 << 15)], j[s : s + (1 << 15)]
-        part_, off = pairs.next(a, b, part[s : s + (1 << 15)])
-        stay = (part_ + off >= least[s : s + (1 << 15)]) & (part_ - off <= most[s : s + (1 << 15)])
-        a, b = a[stay], b[stay]
-        count[0] += len(a)
-        done.append((a, b, pairs.exact(a, b)))
-    return _joined(done)
+def _verified(pairs: Pairs, i: np.ndarray, j: np.ndarray, count: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs with their integer products, a bounded number at a time."""
+    count[0] += len(i)
+    each = [pairs.exact(i[s : s + (1 << 15)], j[s : s + (1 << 15)]) for s in range(0, len(i), 1 << 15)]
+    return i, j, np.concatenate([np.zeros(0, np.int64), *each])
 
 
 def _joined(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

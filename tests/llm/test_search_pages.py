@@ -132,14 +132,14 @@ def test_bounds_discard_most_pairs_and_hold(spark):
     a, b = (np.floor(256 * (rng.normal(size=(n, 32)) * 0.8 ** np.arange(32)) @ axes.T).astype(np.int64) for n in (40, 3000))
     pairs = negatives.Pairs(a, b, np.linalg.eigh((b.T @ b).astype(float))[1][:, ::-1])
     i, j = np.arange(40), np.arange(3000)
-    exact, (part, off) = a @ b.T, pairs.first(i, j)
-    assert (np.abs(exact - part) <= off).all()
-    x, y = np.repeat(i, 3000), np.tile(j, 40)
-    part2, off2 = pairs.next(x, y, part.ravel())
-    assert (np.abs(exact.ravel() - part2) <= off2).all() and off2.mean() < off.mean()
+    exact, wide = a @ b.T, []
+    for lower, upper, _ in pairs.bounds(np.arange(40), np.arange(3000)):
+        assert (lower <= exact).all() and (exact <= upper).all()
+        wide.append((upper - lower).mean())
+    assert len(wide) > 1 and wide == sorted(wide, reverse=True)
     label, count = np.zeros(40, np.int64), [0]
     found = negatives.best_same(pairs, label, np.zeros(3000, np.int64), count)
-    assert count[0] < 0.05 * exact.size  # whole products of less than a twentieth of the pairs
+    assert count[0] < 0.01 * exact.size  # whole products of less than a hundredth of the pairs
     for k in range(40):
         assert sorted(found[2][found[0] == k])[-6:] == sorted(exact[k])[-6:]
 
