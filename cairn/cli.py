@@ -1,4 +1,4 @@
-"""python -m cairn.cli VERB: list-sources, harvest, build, query, derive-plan, derive, audit, review."""
+"""python -m cairn.cli VERB: list-sources, harvest, collect, build, query, derive-plan, derive, audit, review."""
 
 from __future__ import annotations
 
@@ -31,6 +31,21 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--rights-override", default="")
     s.add_argument("--max-bytes", type=int, default=local.MAX_BYTES)
     s.add_argument("--append", action="store_true")
+    s = sub.add_parser("collect", help="documents of a collection, in its order: " + ", ".join(sorted(harvest.COLLECTIONS)) + ", or batches")
+    s.add_argument("name")
+    s.add_argument("out")
+    s.add_argument("--limit", type=int)
+    s.add_argument("--replies", help="a table of replies: what it has isn't fetched again, and new replies are added")
+    s.add_argument("--query", default="", help="newspapers: what the search looks for")
+    s.add_argument("--date-from", type=int, default=1900)
+    s.add_argument("--date-to", type=int, default=1929)
+    s.add_argument("--listing", help="letters: a file of their list; books: a file of the catalogue's records")
+    s.add_argument("--manifest", help="books: a file of the list of files")
+    s.add_argument("--root", help="TEI: the folder of the files")
+    s.add_argument("--base", action="append", default=[], help="batches: the address of a batch's data; may be repeated")
+    s.add_argument("--uncertain", action="store_true", help="books and TEI: those that the rules aren't sure of, too")
+    s.add_argument("--max-bytes", type=int, default=local.MAX_BYTES)
+    s.add_argument("--append", action="store_true")
     s = sub.add_parser("build")
     s.add_argument("corpus")
     s.add_argument("index")
@@ -87,6 +102,12 @@ def main(argv: list[str] | None = None) -> int:
             print(json.dumps({"added": harvest.add_new(docs, a.out)}))
         else:
             local.write_jsonl(docs, a.out)
+    elif a.verb == "collect":
+        docs = harvest.collect_named(spark, a.name, replies=a.replies, limit=a.limit, query=a.query, date_from=a.date_from, date_to=a.date_to, listing=a.listing, manifest=a.manifest, root=a.root, bases=a.base, uncertain=a.uncertain, max_bytes=a.max_bytes)
+        if a.append:
+            print(json.dumps({"added": harvest.add_new(docs, a.out)}))
+        else:
+            local.write_jsonl(docs, a.out)
     elif a.verb == "build":
         print(json.dumps(index.build(local.read_jsonl(spark, a.corpus), a.index, HashingEmbedder(), target=a.target, overlap=a.overlap, country=a.country, content_mode=a.content_mode), ensure_ascii=False))
     elif a.verb == "query":

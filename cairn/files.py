@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from datetime import UTC, datetime
@@ -23,6 +24,17 @@ class Files:
         fs, p = self._at(path)
         return fs.exists(p)
 
+    def fingerprint(self, *paths: str) -> str:
+        """16 hex digits that change when a file at or below the paths is added, removed or written anew."""
+        seen = []
+        for path in paths:
+            fs, p = self._at(path)
+            files = fs.listFiles(p, True) if fs.exists(p) else None
+            while files is not None and files.hasNext():
+                f = files.next()
+                seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:16]
+
     def make(self, path: str) -> None:
         fs, p = self._at(path)
         fs.mkdirs(p)

@@ -1,4 +1,4 @@
-"""Building and publishing an index: chunks, excluded chunks, vectors, postings and a one-row configuration."""
+"""Building and publishing an index: chunks, excluded chunks, vectors, blocks of postings and a one-row configuration."""
 
 from __future__ import annotations
 
@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from ..files import Files, beside
 from ..functions.classify import serial_decision
+from . import blocks
 from .chunking import chunk_documents
 from .embed import Embedder, embed
-from .search import postings
 
 # Sources whose chunks are checked for serial fiction, and the version of the layout.
 NEWSPAPER_SOURCES = ("loc_chronicling_america", "chronicling_america")
-LAYOUT = 2
+LAYOUT = 3
 
 
 def guarded(docs: DataFrame, country: str | None = None, content_mode: str | None = None) -> DataFrame:
@@ -58,21 +58,20 @@ def build(docs: DataFrame, path: str, embedder: Embedder, *, target: int = 350,
         numbered(kept).write.parquet(f"{staging}/numbered")
         a = spark.read.parquet(f"{staging}/numbered")
         sizes = {r["__p"]: r["n"] for r in a.groupBy("__p").agg(F.count("*").alias("n")).collect()}
-        offset, total = F.lit(0).cast("bigint"), 0
-        pairs = []
+        total, rows = 0, []
         for p in sorted(sizes):
-            pairs += [F.lit(p), F.lit(total).cast("bigint")]
+            rows.append((p, total))
             total += sizes[p]
         if not total:
             raise ValueError("no chunks to index")
-        offset = F.element_at(F.create_map(*pairs), F.col("__p"))
-        a.withColumn("pos", offset + F.col("__n")).drop("__p", "__n").write.parquet(f"{staging}/chunks")
+        offsets = F.broadcast(spark.createDataFrame(rows, "__p int, __first bigint"))  # a row a partition
+        a.join(offsets, "__p").withColumn("pos", F.col("__first") + F.col("__n")).drop("__p", "__n", "__first").write.parquet(f"{staging}/chunks")
         excluded.write.parquet(f"{staging}/excluded_chunks")
         chunks = spark.read.parquet(f"{staging}/chunks")
         embed(chunks, embedder).write.parquet(f"{staging}/embeddings")
-        postings(chunks).repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.parquet(f"{staging}/postings")
+        lexical = blocks.write(chunks, staging)
         files.delete(f"{staging}/numbered")
-        config = {**configuration(spark, staging), "model": embedder.name, "target_words": target, "overlap_words": overlap}
+        config = {**configuration(spark, staging, lexical), "model": embedder.name, "target_words": target, "overlap_words": overlap}
         files.write_json(f"{staging}/config.json", config)
         promote(files, staging, path)
     finally:
@@ -80,12 +79,14 @@ def build(docs: DataFrame, path: str, embedder: Embedder, *, target: int = 350,
     return config
 
 
-def configuration(spark: SparkSession, path: str) -> dict:
-    """Counts and distinct countries, languages and modes of a written index; vectors must match the chunks one to one."""
+def configuration(spark: SparkSession, path: str, lexical: dict) -> dict:
+    """Counts and distinct countries, languages and modes of a written index; vectors must match the chunks one to one.
+
+    lexical: what blocks.write() has counted.
+    """
     chunks, vectors = spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/embeddings")
     c = chunks.agg(F.count("*").alias("n"), *[F.sort_array(F.collect_set(k)).alias(k) for k in ("country", "language", "content_mode")]).collect()[0]
     v = vectors.agg(F.count("*").alias("n"), F.min(F.size("embedding")).alias("low"), F.max(F.size("embedding")).alias("high")).collect()[0]
-    lexical = spark.read.parquet(f"{path}/postings").select("id", "length").distinct().agg(F.count("*").alias("n"), F.sum("length").alias("l")).collect()[0]
     if v["n"] != c["n"] or v["low"] != v["high"]:
         raise ValueError(f"embedding mismatch: {c['n']} chunks, {v['n']} vectors of {v['low']} to {v['high']} dimensions")
     one = lambda x: x[0] if len(x) == 1 else None
@@ -93,16 +94,16 @@ def configuration(spark: SparkSession, path: str) -> dict:
         "schema_version": LAYOUT, "chunks": c["n"], "country": one(c["country"]), "content_mode": one(c["content_mode"]),
         "countries": c["country"], "languages": c["language"], "content_modes": c["content_mode"],
         "excluded_chunks": spark.read.parquet(f"{path}/excluded_chunks").count(),
-        "integrity": {"chunk_rows": c["n"], "embedding_rows": v["n"], "embedding_dimensions": v["low"], "lexical_rows": lexical["n"], "lexical_tokens": lexical["l"] or 0},
+        "integrity": {"chunk_rows": c["n"], "embedding_rows": v["n"], "embedding_dimensions": v["low"], "lexical_rows": lexical["lexical_rows"], "lexical_tokens": lexical["lexical_tokens"]},
     }
 
 
-def open_index(spark: SparkSession, path: str, country: str | None = None, content_mode: str | None = None) -> tuple[DataFrame, DataFrame, tuple[DataFrame, int, float]]:
+def open_index(spark: SparkSession, path: str, country: str | None = None, content_mode: str | None = None) -> tuple[DataFrame, DataFrame, blocks.BlockIndex]:
     """(chunks, vectors, lexical index) of a written index for search(); raises unless it holds that country and mode alone."""
     config = Files(spark).read_json(f"{path}/config.json")
     check_index(config, country, content_mode)
     n, tokens = config["integrity"]["chunk_rows"], config["integrity"]["lexical_tokens"]
-    return spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/embeddings"), (spark.read.parquet(f"{path}/postings"), n, tokens / max(1, n))
+    return spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/embeddings"), blocks.opened(spark, path, n, tokens)
 
 
 def check_index(config: dict, country: str | None = None, content_mode: str | None = None) -> None:

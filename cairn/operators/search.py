@@ -52,10 +52,10 @@ def dense_top(vectors: DataFrame, query: list[float], k: int, *, key: str = "id"
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("dense_score"), pos)))
 
 
-def postings(chunks: DataFrame) -> DataFrame:
-    """(term, id, pos, tf, length): the inverted index of text, title and their search terms.
+def token_runs(chunks: DataFrame) -> DataFrame:
+    """(id, pos, length, runs): the tokens of text, title and their search terms, counted: array<struct<term, tf>> by term.
 
-    Term counts are made inside each row, so building needs no shuffle. A chunk without a token isn't in it.
+    Counts are made inside each row, so they need no shuffle. A chunk without a token has no runs.
     """
     both = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
     tokens = F.concat(index_tokens(F.coalesce("text", F.lit(""))), index_tokens(F.coalesce("title", F.lit(""))), index_tokens(F.array_join(search_terms(both), " ")))
@@ -64,7 +64,7 @@ def postings(chunks: DataFrame) -> DataFrame:
     first = F.filter(F.transform("tokens", lambda t, i: F.when((i == 0) | (t != F.try_element_at(F.col("tokens"), i)), i)), lambda i: i.isNotNull())
     a = a.withColumn("first", first)
     runs = F.transform("first", lambda i, k: F.struct(F.element_at(F.col("tokens"), i + 1).alias("term"), (F.coalesce(F.try_element_at(F.col("first"), k + 2), F.col("length")) - i).alias("tf")))
-    return a.select("id", "pos", "length", F.explode(runs).alias("x")).select("x.term", "id", "pos", "x.tf", "length")
+    return a.select("id", "pos", "length", runs.alias("runs"))
 
 
 def _equals(term: str):
@@ -109,19 +109,6 @@ def lexical_top(chunks: DataFrame, terms: list[str], k: int = LEXICAL_ROWS) -> D
     return lexical_scores(chunks, terms).orderBy(F.desc("bm25"), "pos").limit(k)
 
 
-def lexical_top_indexed(index: DataFrame, n: int, average: float, terms: list[str], k: int = LEXICAL_ROWS) -> DataFrame:
-    """lexical_top() from the inverted index: only the terms' rows are read (a pushed filter), summed by chunk."""
-    counts = {t: terms.count(t) for t in set(terms)}
-    own = index.where(F.col("term").isin(*counts)) if counts else index.where(F.lit(False))
-    df = {r["term"]: r["n"] for r in own.groupBy("term").agg(F.count("*").alias("n")).collect()}
-    weight = F.lit(0.0)
-    for t, d in df.items():
-        idf = math.log((n - d + 0.5) / (d + 0.5))
-        weight = F.when(F.col("term") == t, F.lit((idf if idf > 0 else 1e-6) * counts[t])).otherwise(weight)
-    part = weight * (F.col("tf") * (K1 + 1)) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / (average or 1.0)))
-    return own.groupBy("id", "pos").agg(F.sum(part).alias("bm25")).orderBy(F.desc("bm25"), "pos").limit(k)
-
-
 def reciprocal_ranks(rankings: list[DataFrame], key: str = "id", k: int = RRF_K) -> DataFrame:
     """(key, score, seen): sum of 1 / (k + rank) over (key, rank) lists; seen orders ties, earlier lists first."""
     parts = [r.select(key, (1 / (k + F.col("rank"))).alias("part"), (F.lit(i * 1_000_000) + F.col("rank")).alias("at")) for i, r in enumerate(rankings)]
@@ -138,11 +125,11 @@ def diversified(fused: DataFrame, top_k: int, per_document: int) -> DataFrame:
     return capped.orderBy(F.desc("score"), "seen").limit(max(1, top_k))
 
 
-def search(chunks: DataFrame, vectors: DataFrame, question: str, query_vector: list[float], *, top_k: int = 8, source: str = "", date_from: int | None = None, date_to: int | None = None, per_document: int = 2, tokenizer=None, lexical_index: tuple[DataFrame, int, float] | None = None) -> DataFrame:
+def search(chunks: DataFrame, vectors: DataFrame, question: str, query_vector: list[float], *, top_k: int = 8, source: str = "", date_from: int | None = None, date_to: int | None = None, per_document: int = 2, tokenizer=None, lexical_index=None) -> DataFrame:
     """Ranked chunks with score and dense_score.
 
-    lexical_index: (postings, chunks, mean length) of a built index, of which only the question's terms are read;
-    without it every chunk is tokenised.
+    lexical_index: a BlockIndex of the chunks, of which only the question's terms are read, and of these the blocks that
+    can matter; without it every chunk is tokenised.
 
     chunks: columns of CHUNK with pos, the row number that ties fall back to; vectors: (id, embedding). The dense list
     holds eligible chunks only; the lexical list is cut to 100 before chunks that aren't eligible leave it, and ranks
@@ -150,16 +137,19 @@ def search(chunks: DataFrame, vectors: DataFrame, question: str, query_vector: l
     """
     ok = chunks.where(eligible(source, date_from, date_to))
     q = F.array(*[F.lit(float(x)) for x in query_vector])
-    scores = vectors.select("id", dot(F.col("embedding"), q).alias("dense_score"))  # products, not vectors, meet the chunks
-    dense = scores.join(ok.select("id", "pos"), "id").orderBy(F.desc("dense_score"), "pos").limit(max(50, 5 * top_k))
+    product = dot(F.col("embedding"), q).alias("dense_score")
+    dense = vectors.select("id", product).join(ok.select("id", "pos"), "id").orderBy(F.desc("dense_score"), "pos").limit(max(50, 5 * top_k))
     dense = dense.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("dense_score"), "pos")))
+    from . import blocks  # it builds on this module
+
     terms = query_terms(chunks.sparkSession, question, tokenizer)
-    hits = lexical_top(chunks, terms) if lexical_index is None else lexical_top_indexed(*lexical_index, terms)
+    hits = lexical_top(chunks, terms) if lexical_index is None else blocks.top(lexical_index, terms)
     lexical = hits.join(ok.select("id"), "id", "left_semi").withColumn("rank", F.row_number().over(Window.orderBy(F.desc("bm25"), "pos")))
     fused = reciprocal_ranks([dense, lexical])
     rows = chunks.join(F.broadcast(fused), "id")
     top = diversified(rows, top_k, per_document)
-    return scores.join(F.broadcast(top), "id").orderBy(F.desc("score"), "seen")
+    last = vectors.join(F.broadcast(top), "id")  # top_k rows
+    return last.withColumn("dense_score", product).drop("embedding").orderBy(F.desc("score"), "seen")
 
 
 def context_prompt(question: str, results: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, records, text
 from ..operators import derive, embed, index, search
 from ..schemas import as_documents
-from ..sources import archive, catalogue, local, newspapers, paged, registry
+from ..sources import archive, catalogue, harvest, local, newspapers, paged, registry
 from ..sources import markup as xml
 
 RIGHTS = ["Public Domain", "All rights reserved", "CC BY-SA 4.0", ""]
@@ -207,19 +207,48 @@ def registry_sources(spark, d):
 
 
 def export_documents(spark, d):
-    """A local export of all benchmark items: records and their text files, filtered and read."""
-    root = _own(spark, "export")
-    os.makedirs(f"{root}/t")
-    with open(f"{root}/records.jsonl", "w", encoding="utf-8") as f:
-        for r in table(spark, d, "benchmark").collect():
-            k = r.item_id
-            kind = "xml" if k % 3 == 0 else "txt"
-            body = r.text + " " + r.text
-            with open(f"{root}/t/{k}.{kind}", "w", encoding="utf-8") as g:
-                g.write("<a><p>" + body.replace("&", "&amp;").replace("<", "&lt;") + "</p></a>" if kind == "xml" else body)
-            f.write(json.dumps({"id": str(k), "source": ["s", "", "z"][k % 5 % 3], "path": f"t/{k}.{kind}", "title": "T", "date": DATES[k % 5], "url": "u", "rights": RIGHTS[k % 4]}) + "\n")
-    got = local.local_export(spark, root, source="s", country="spain", language="es", cutoff=1929)
-    return got.select("id", "date", "rights", "country")
+    """A local export of all benchmark items: records and their text and XML files, filtered and read."""
+    root, a = _own(spark, "export"), table(spark, d, "benchmark").withColumn("kind", F.when(F.col("item_id") % 3 == 0, "xml").otherwise("txt"))
+    body = F.concat_ws(" ", "text", "text")
+    # one file an item, in a folder that says whose
+    each = a.select("item_id", "kind", body.alias("t"))
+    each.where("kind = 'xml'").drop("kind").write.partitionBy("item_id").format("xml").options(rowTag="p", rootTag="a").save(f"{root}/xml")
+    each.where("kind = 'txt'").drop("kind").write.partitionBy("item_id").text(f"{root}/txt")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{root}/xml", f"{root}/txt"]).select(F.regexp_extract("path", "/((xml|txt)/item_id=[0-9]+/[^/]+)$", 1).alias("path"), F.regexp_extract("path", "/item_id=([0-9]+)/", 1).cast("bigint").alias("item_id"))
+    source = F.element_at(F.array(*map(F.lit, ["s", "", "z"])), (F.col("item_id") % 5 % 3 + 1).cast("int"))
+    records = a.join(files, "item_id").select(F.col("item_id").cast("string").alias("id"), source.alias("source"), "path", F.when(F.col("item_id") % 2 == 0, "T").otherwise("").alias("title"), _cycle(DATES, "item_id").alias("date"), F.lit("u").alias("url"), _cycle(RIGHTS, "item_id").alias("rights"))
+    records.write.json(f"{root}/records.jsonl")
+    got = local.local_export(spark, root, source="s", country="spain", language="es", cutoff=1929, protocol="local")
+    meta = lambda k: F.get_json_object("metadata", f"$.{k}").alias(k)
+    return got.select("id", F.when(F.col("title").startswith("part-"), "file").otherwise(F.col("title")).alias("title"), F.md5("text").alias("h"), "date", "rights", "country", meta("local_record_id"), meta("rights_status"), meta("protocol"))
+
+
+_SPAIN = {"id": "spain", "language": "es", "publication_cutoff": 1929, "cutoff_note": ""}
+
+
+def _archive(spark, d, limit):
+    """A harvest of all documents as items of an archive, through recorded replies: a paged search, items and texts."""
+    a = table(spark, d, "documents").where("doc_id IS NOT NULL")
+    hit = F.struct(F.col("doc_id").cast("string").alias("identifier"), _cycle(DATES).alias("year"), F.concat(F.lit("T"), "doc_id").alias("title"), _cycle(RIGHTS).alias("licenseurl"))
+    pages = a.groupBy(F.expr("doc_id div 100").alias("page")).agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", hit.alias("m")))), lambda x: x["m"])).alias("hits"))  # a hundred rows each
+    n = a.agg(F.max("doc_id")).first()[0] + 1
+    replies = pages.select(F.concat(F.lit("page="), F.col("page") + 1).alias("key"), F.concat(F.lit(f'{{"response":{{"numFound":{n},"docs":'), "hits", F.lit("}}")).alias("text"))
+    replies = replies.unionByName(a.select(F.concat(F.lit("https://archive.org/metadata/"), "doc_id").alias("key"), F.lit('{"metadata":{},"files":[{"name":"a.pdf"},{"name":"b.txt"}]}').alias("text")))
+    replies = replies.unionByName(a.select(F.concat(F.lit("https://archive.org/download/"), "doc_id", F.lit("/b.txt")).alias("key"), "text"))
+    fetch = harvest.recorded(replies, lambda url: F.coalesce(F.nullif(F.regexp_extract(url, r"&(page=\d+)\z", 1), F.lit("")), url))
+    source = {"id": "ia", "protocol": "internet-archive", "endpoint": "https://search", "options": {"query": "q"}}
+    got = harvest.collect_country(spark, _SPAIN, source, fetch=fetch, limit=limit, rows=100)
+    return got.select("id", "title", "date", "rights", F.length("text").cast("bigint").alias("n"))
+
+
+def archive_harvest(spark, d):
+    """Every eligible item of a paged search of an archive."""
+    return _archive(spark, d, None)
+
+
+def archive_first(spark, d):
+    """The first forty eligible items in the order of the search; nothing past them is fetched: the limit is the operator."""
+    return _archive(spark, d, 40)
 
 
 def page_documents(spark, d):
@@ -240,7 +269,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         document_rows, eligible_rows, serial_chunks, books, letters, archive_documents, oai_documents, newspaper_issues, newspaper_pages, tei_texts, value_rules, resource_urls, manifest_urls,
-        catalogue_values, identities, prefixes, vector_norms, built_index, jsonl_rows, registry_sources, export_documents, page_documents, source_limit,
+        catalogue_values, identities, prefixes, vector_norms, built_index, jsonl_rows, registry_sources, export_documents, archive_harvest, archive_first, page_documents, source_limit,
     )
 }
 
@@ -260,6 +289,8 @@ _KINDS = "['Annual report of x', 'A novel of y', 'Untitled'][doc_id % 3 + 1]"
 _JSON = """'{"genre":"","id":"' || doc_id || '","place":"","text":"' || {t} || '","title":"t"}'""".replace("{t}", "replace(replace(replace(replace(text, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(9), '\\t')")
 _FULL = """'{"genre":"","id":"' || doc_id || '","language":"' || lang || '","place":"","text":"' || """ + "replace(replace(replace(replace(text, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(9), '\\t')" + """ || '","title":"t"}'"""
 
+_HARVEST = f"SELECT 'ia:' || doc_id AS id, 'T' || doc_id AS title, {_YEAR.format(_list(DATES))}::varchar AS date, {_list(RIGHTS)} AS rights, length({_tidy('text')}) AS n FROM documents WHERE {_YEAR.format(_list(DATES))} <= 1929 AND {_OK(_list(RIGHTS))} AND length({_tidy('text')}) >= 100"
+
 ORACLE: dict[str, str] = {
     "document_rows": f"SELECT cast(doc_id AS varchar) AS id, {_SRC} AS source, md5(text) AS h, {_list(DATES)} AS date, 0::bigint AS n_authors, '' AS place, '' AS genre, '' AS rights, 'america' AS country, lang AS language, 'native' AS content_mode, '{{}}' AS metadata FROM documents",
     "eligible_rows": f"SELECT cast(doc_id AS varchar) AS id FROM documents WHERE doc_id % 2 = 0 AND coalesce({_YEAR.format(_list(DATES))} BETWEEN 1890 AND 1899, true)",
@@ -291,8 +322,11 @@ ORACLE: dict[str, str] = {
     "jsonl_rows": f"SELECT cast(doc_id AS varchar) AS id, {_SRC} AS source, md5(text) AS h, {_list(DATES)} AS date, 'america' AS country FROM documents",
     "registry_sources": """WITH c AS (SELECT CASE WHEN n_nationkey = 3 THEN 'america' ELSE replace(lower(n_name), '_', '-') END AS country, n_nationkey FROM nation)
         SELECT country, 's' AS source, ['enabled', 'disabled', 'conditional'][n_nationkey % 3 + 1] AS status, row_number() OVER (ORDER BY country <> 'america', country) - 1 AS nth FROM c""",
-    "export_documents": f"""WITH a AS (SELECT item_id, text || ' ' || text AS t, {_list(DATES, 'item_id')} AS date, {_list(RIGHTS, 'item_id')} AS rights FROM benchmark WHERE ['s', '', 'z'][item_id % 5 % 3 + 1] <> 'z')
-        SELECT 's:' || item_id AS id, date, rights, 'spain' AS country FROM a WHERE {_YEAR.format('date')} <= 1929 AND {_OK('rights')} AND length({_tidy('t')}) >= 100""",
+    "export_documents": f"""WITH a AS (SELECT item_id, {_tidy("text || ' ' || text")} AS t, {_list(DATES, 'item_id')} AS date, {_list(RIGHTS, 'item_id')} AS rights FROM benchmark WHERE ['s', '', 'z'][item_id % 5 % 3 + 1] <> 'z')
+        SELECT 'spain:s:' || substr(sha256(item_id::varchar), 1, 24) AS id, CASE WHEN item_id % 2 = 0 THEN 'T' ELSE 'file' END AS title, md5(t) AS h, date, rights, 'spain' AS country, item_id::varchar AS local_record_id, 'source_record' AS rights_status, 'local' AS protocol
+        FROM a WHERE {_YEAR.format('date')} <= 1929 AND {_OK('rights')} AND length(t) >= 100""",
+    "archive_harvest": _HARVEST,
+    "archive_first": f"SELECT * EXCLUDE (doc_id) FROM (SELECT * FROM ({_HARVEST.replace('SELECT', 'SELECT doc_id,', 1)}) ORDER BY doc_id LIMIT 40)",
     "page_documents": f"SELECT 'http://i/' || doc_id AS url, {_list(['1901', '1950', ''])} AS date, 'newspaper_page' AS genre FROM documents WHERE doc_id % 3 <> 0 AND {_list(['1901', '1950', ''])} <> '1950' AND length({_tidy('text')}) >= 100",
     "source_limit": "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 25",
 }

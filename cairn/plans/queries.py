@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify, text
-from ..operators import audit, chunking, derive, search
-from ..session import stored
-from ..sources import catalogue, markup, paged
+from ..operators import audit, blocks, chunking, derive, search
+from ..session import shared_folder
+from ..sources import bronze, catalogue, markup
 from . import corpus
 
 QUESTION = "the thing and the erhation of That"
@@ -134,12 +136,21 @@ def bm25_topk(spark, d):
     return top.select("id", F.round("bm25", 6).alias("bm25"))
 
 
+def _lexical_index(spark, d) -> blocks.BlockIndex:
+    """The stored index of all documents; the first query that needs it writes it."""
+    return blocks.kept(documents(spark, d), f"{shared_folder(spark)}/lexical-index", f"{d}/documents.parquet")
+
+
+def lexical_index(spark, d):
+    """Every term of the stored index with its documents, occurrences and blocks."""
+    index = _lexical_index(spark, d)
+    held = index.blocks.groupBy("term").agg(F.sum(F.aggregate("postings", F.lit(0).cast("bigint"), lambda t, p: t + p["tf"])).alias("occurrences"), F.count("*").alias("blocks"))
+    return index.terms.join(held, "term").select("term", "df", "occurrences", "blocks")
+
+
 def bm25_indexed(spark, d):
-    """The same ranking from the inverted index."""
-    c = documents(spark, d)
-    index = stored(search.postings(c).sortWithinPartitions("term"), "postings")
-    stats = index.groupBy("id").agg(F.first("length").alias("l")).agg(F.avg("l").alias("a")).collect()[0]
-    top = search.lexical_top_indexed(index, c.count(), stats["a"], search.query_terms(spark, QUESTION))
+    """The same ranking from the stored index, of which blocks that can't matter aren't read."""
+    top = blocks.top(_lexical_index(spark, d), search.query_terms(spark, QUESTION))
     return top.select("id", F.round("bm25", 6).alias("bm25"))
 
 
@@ -147,7 +158,7 @@ def hybrid_search(spark, d):
     """Fused ranking of documents that have a vector, in a range of years, at most two of a source."""
     c = documents(spark, d).withColumn("document_id", F.col("source"))
     v = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("id"), "embedding")
-    r = search.search(c, v, QUESTION, _query_vector(spark, d), top_k=8, date_from=1700, date_to=2000)
+    r = search.search(c, v, QUESTION, _query_vector(spark, d), top_k=8, date_from=1700, date_to=2000, lexical_index=_lexical_index(spark, d))
     return r.select("id", F.round("score", 9).alias("score"), F.round("dense_score", 6).alias("dense_score"), "document_id")
 
 
@@ -217,15 +228,18 @@ def oai_records(spark, d):
 
 
 def unfetched_urls(spark, d):
+    """Addresses of pages that a table of replies, which has the long ones, doesn't have."""
     p = table(spark, d, "pages")
-    return paged.unfetched(p.select("url").distinct(), p.where(F.length("html") > 3000).select(F.sha2("url", 256).alias("key"))).select("url", "key")
+    replies = bronze.Bronze(spark, f"{shared_folder(spark)}/replies-{uuid.uuid4().hex}")
+    replies.add(p.where(F.length("html") > 3000).select("url", F.col("html").alias("text")))
+    return replies.missing(p.select("url"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         clean_texts, stable_ids, years, search_terms, word_chunks, packed_chunks, rights, book_decisions, periodical_decisions, serial_decisions, field_coverage,
-        frequent_values, dense_topk, bm25_topk, bm25_indexed, hybrid_search, context_prompt, derive_pending, derive_batches, derive_merge, catalogue_join, period_audit,
+        frequent_values, dense_topk, bm25_topk, lexical_index, bm25_indexed, hybrid_search, context_prompt, derive_pending, derive_batches, derive_merge, catalogue_join, period_audit,
         first_urls, page_numbers, oai_records, unfetched_urls,
     )
 }
@@ -305,6 +319,8 @@ ORACLE: dict[str, str] = {
     "dense_topk": """WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 7), s AS (SELECT vec_id, list_inner_product(embedding::double[], e::double[]) AS x FROM embeddings, q)
         SELECT vec_id, round(x, 6) AS dense_score, row_number() OVER (ORDER BY x DESC, vec_id) AS rank FROM s ORDER BY x DESC, vec_id LIMIT 50""",
     "bm25_topk": _BM25,
+    "lexical_index": f"""WITH d AS ({_DOCS}), t AS (SELECT doc_id, unnest(list_concat({_TOK.format('text')}, {_TOK.format('title')}, list_transform(list_distinct(regexp_extract_all(title || ' ' || text, '[\\p{{L}}\\p{{N}}]+')), lambda z: strip_accents(lower(z))))) AS term FROM d)
+        SELECT term, count(DISTINCT doc_id) AS df, count(*) AS occurrences, count(DISTINCT doc_id // {blocks.RANGE}) AS blocks FROM t GROUP BY term""",
     "bm25_indexed": _BM25,
     "hybrid_search": f"""WITH {_bm25_sql(_TERMS)}, q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 7),
         ok AS (SELECT * FROM d WHERE coalesce({_YEAR} BETWEEN 1700 AND 2000, true)),

@@ -22,8 +22,8 @@ REGISTRY = T.StructType(
 )
 
 
-def as_documents(df: DataFrame) -> DataFrame:
-    """df in the shape of DOCUMENT: missing optional columns get their defaults, a null in one is its default too.
+def as_documents(df: DataFrame, *keep: str) -> DataFrame:
+    """df in the shape of DOCUMENT, and the columns to keep beside it: missing optional columns get their defaults, a null in one is its default too.
 
     A missing required column raises; a null in one fails the query when that row is read.
     """
@@ -36,4 +36,4 @@ def as_documents(df: DataFrame) -> DataFrame:
         out.append((F.coalesce(F.col(c).cast("string"), F.lit(default)) if c in df.columns else F.lit(default)).alias(c))
     authors = F.coalesce(F.col("authors"), F.array()) if "authors" in df.columns else F.array()
     out.append(authors.cast("array<string>").alias("authors"))
-    return df.select(*out).select(*[f.name for f in DOCUMENT.fields])
+    return df.select(*out, *keep).select(*[f.name for f in DOCUMENT.fields], *keep)

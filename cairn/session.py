@@ -35,15 +35,19 @@ def ship_package(spark: SparkSession) -> None:
     sc._cairn_shipped = True
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """df written to the folder that spark.checkpoint.dir names and read again; on a local master it may be unset."""
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; on a local master it may be unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not df.sparkSession.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "/tmp/cairn-shared"
-    folder = folder.rstrip("/")
-    path = f"{folder}/{what}-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """df written to the shared folder and read again: cuts lineage, and survives lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

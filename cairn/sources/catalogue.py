@@ -42,26 +42,40 @@ def with_records(files: DataFrame, records: DataFrame, keys: list[str], item: Co
     return files.withColumn("__item", item).join(last, "__item", "left").drop("__item")
 
 
-def books(files: DataFrame, texts: DataFrame, *, max_bytes: int = 20_000_000, uncertain: bool = False, last_year: int = 1929) -> DataFrame:
-    """Rows of with_records() that are texts, not fiction, of a year up to last_year or unknown, with texts of 100 characters.
+def wanted_books(files: DataFrame, *, max_bytes: int = 20_000_000, uncertain: bool = False, last_year: int = 1929) -> DataFrame:
+    """Rows of with_records() that are texts in size, not fiction, of a year up to last_year or unknown, with their decision.
 
-    files: (url, size, record<title, subjects, call_numbers, date>); texts: (url, text). A missing size passes.
+    These filters need no text, so nothing else is worth a fetch. files: (url, size, record<title, subjects, call_numbers,
+    date>). A missing size passes.
     """
     a = files.where(F.col("url").endswith(".txt") & (F.coalesce(F.col("size"), F.lit(0)) <= max_bytes))
     a = a.withColumn("decision", book_decision(F.col("record.title"), F.col("record.subjects"), F.col("record.call_numbers")))
     kept = ["nonfiction", "uncertain"] if uncertain else ["nonfiction"]
-    a = a.where(F.col("decision.status").isin(*kept) & F.coalesce(first_year(F.col("record.date")) <= last_year, F.lit(True)))
-    return a.join(texts.select("url", clean_text(F.col("text")).alias("text")), "url").where(F.length("text") >= 100)
+    return a.where(F.col("decision.status").isin(*kept) & F.coalesce(first_year(F.col("record.date")) <= last_year, F.lit(True)))
 
 
-def letters(records: DataFrame, bodies: DataFrame, *, last_year: int = 1929) -> DataFrame:
-    """Dated records of a document collection with their bodies of 80 characters: id founders:<api id>.
+def with_texts(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows with the cleaned text of their address, if it has 100 characters. texts: (url, text)."""
+    return wanted.join(texts.select("url", clean_text(F.col("text")).alias("text")), "url").where(F.length("text") >= 100)
+
+
+def books(files: DataFrame, texts: DataFrame, *, max_bytes: int = 20_000_000, uncertain: bool = False, last_year: int = 1929) -> DataFrame:
+    """wanted_books() with texts of 100 characters."""
+    return with_texts(wanted_books(files, max_bytes=max_bytes, uncertain=uncertain, last_year=last_year), texts)
 
-    records: (title, permalink, project, authors, date_from); bodies: (api_id, content). Records without a date or of a
-    later year are left out, unknown years stay.
+
+def dated_letters(records: DataFrame, *, last_year: int = 1929) -> DataFrame:
+    """Dated records of a document collection with their api_id; later years are left out, unknown ones stay.
+
+    records: (title, permalink, project, authors, date_from) and more.
     """
     dated = records.where((F.coalesce("date_from", F.lit("")) != "") & F.col("permalink").contains("/documents/") & F.coalesce(first_year(F.col("date_from")) <= last_year, F.lit(True)))
-    keyed = dated.withColumn("api_id", F.substring_index("permalink", "/documents/", -1))
+    return dated.withColumn("api_id", F.regexp_replace(F.substring_index("permalink", "/documents/", -1), "^/+|/+$", ""))
+
+
+def letters(records: DataFrame, bodies: DataFrame, *, last_year: int = 1929) -> DataFrame:
+    """dated_letters() with their bodies of 80 characters: id founders:<api id>. bodies: (api_id, content)."""
+    keyed = dated_letters(records, last_year=last_year)
     return keyed.join(bodies.select("api_id", clean_text(F.col("content")).alias("text")), "api_id").where(F.length("text") >= 80).withColumn("id", F.concat(F.lit("founders:"), F.col("api_id")))
 
 

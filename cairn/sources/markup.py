@@ -29,16 +29,17 @@ TEI_PARAGRAPHS = ("p", "head", "l", "item", "note")
 TEI_HEADER = ("publisher", "pubPlace", "language", "wordCount", "pageCount", "defectRate", "finalGrade", "tcp", "stc")
 
 
-def scan(xml: str, names: Iterable[str], scopes: Iterable[str] = (), spaces: Iterable[str] = ()) -> list[dict]:
+def scan(xml: str | bytes, names: Iterable[str], scopes: Iterable[str] = (), spaces: Iterable[str] = ()) -> list[dict]:
     """The elements of those names (or of those namespaces), and the root's attributes as an element named #root.
 
+    The name #text asks for one more element at the end, all text of the document, its pieces stripped and parted by blanks.
     Raises ET.ParseError if the document is malformed.
     """
     names, scopes, spaces = set(names), set(scopes), set(spaces)
     found: list[dict] = []
     around: list[int] = [-1]  # the scope at each depth
     opened: list[tuple[dict, ET.Element] | None] = []
-    for event, node in ET.iterparse(io.BytesIO(xml.encode()), events=("start", "end")):
+    for event, node in ET.iterparse(io.BytesIO(xml if isinstance(xml, bytes) else xml.encode()), events=("start", "end")):
         if not isinstance(node.tag, str):
             continue
         space, _, name = node.tag.rpartition("}")
@@ -58,7 +59,10 @@ def scan(xml: str, names: Iterable[str], scopes: Iterable[str] = (), spaces: Ite
             own = opened.pop()
             if own:
                 own[0]["text"] = "".join(node.itertext())
-            if not opened and found[0]["text"] is None and len(found) == 1:
+            if not opened and "#text" in names:
+                pieces = (v.strip() for v in node.itertext())
+                found.append({"nth": len(found), "name": "#text", "space": "", "scope": -1, "attributes": [], "text": " ".join(v for v in pieces if v)})
+            elif not opened and found[0]["text"] is None and len(found) == 1:
                 found[0]["text"] = " ".join(node.itertext())  # nothing asked for is there: all text
     return found
 
@@ -158,12 +162,12 @@ def parse_tei(files: DataFrame, column: str = "xml") -> DataFrame:
 
 
 def parse_batch(batches: DataFrame, column: str = "xml") -> DataFrame:
-    """(other columns, path, lccn, date, edition) of the issues that a batch lists. A malformed list fails the query."""
+    """(other columns, path, lccn, date, edition, nth) of the issues that a batch lists. A malformed list fails the query."""
     a = elements(batches, ("issue",), column=column, strict=True)
     own = [c for c in a.columns if c != "elements"]
     a = a.select(*own, F.explode(F.filter("elements", lambda e: e["name"] == "issue")).alias("e")).withColumn("path", strip(F.col("e.text"))).where("path != ''")
     get = lambda k, d: F.coalesce(F.try_element_at("e.attributes", F.lit(k)), F.lit(d))
-    return a.select(*own, "path", get("lccn", "").alias("lccn"), get("issueDate", "").alias("date"), get("editionOrder", "1").alias("edition"))
+    return a.select(*own, "path", get("lccn", "").alias("lccn"), get("issueDate", "").alias("date"), get("editionOrder", "1").alias("edition"), F.col("e.nth").alias("nth"))
 
 
 def parse_issue(issues: DataFrame, column: str = "xml") -> DataFrame:

@@ -11,6 +11,7 @@ from ..schemas import as_documents
 from . import markup
 from .catalogue import page_numbers
 
+# The name of the source, its rights notice and its genre.
 SOURCE, LEAST = "loc_chronicling_america", 100
 NOTICE = "Library of Congress Chronicling America rights statement applies"
 
@@ -23,10 +24,10 @@ def relative_path(path: Column) -> Column:
 
 
 def batch_issues(batches: DataFrame) -> DataFrame:
-    """(base, url, lccn, date, edition) of the issues of each batch. batches: (base, xml)."""
+    """(base, url, lccn, date, edition, nth) of the issues of each batch, nth rising as the batch lists them. batches: (base, xml)."""
     a = markup.parse_batch(batches)
     base = F.concat(F.regexp_replace("base", "/+$", ""), F.lit("/"))
-    return a.select(base.alias("base"), F.concat(base, relative_path(F.col("path"))).alias("url"), "lccn", "date", "edition")
+    return a.select(base.alias("base"), F.concat(base, relative_path(F.col("path"))).alias("url"), "lccn", "date", "edition", "nth")
 
 
 def issue_pages(issues: DataFrame, replies: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def issue_pages(issues: DataFrame, replies: DataFrame) -> DataFrame:
     n = page_numbers(a)
     folder = F.concat(F.regexp_extract("url", r"\A(.*)/[^/]*\z", 1), F.lit("/"))
     label = F.coalesce("label", F.concat(F.lit("Newspaper issue "), "date"))
-    return n.select("base", "url", "lccn", "date", "edition", label.alias("label"), "page", F.concat(folder, F.regexp_replace("href", r"\A\./", "")).alias("ocr_url"))
+    return n.select("base", "url", "lccn", "date", "edition", *[c for c in ("nth",) if c in n.columns], label.alias("label"), "page", F.concat(folder, F.regexp_replace("href", r"\A\./", "")).alias("ocr_url"))
 
 
 def page_documents(pages: DataFrame, replies: DataFrame) -> DataFrame:
@@ -44,8 +45,9 @@ def page_documents(pages: DataFrame, replies: DataFrame) -> DataFrame:
     a = pages.join(ocr, "ocr_url").where(F.length("text") >= LEAST)
     url = F.concat(F.lit("https://www.loc.gov/resource/"), "lccn", F.lit("/"), "date", F.lit("/ed-"), "edition", F.lit("/?sp="), "page")
     meta = F.to_json(F.struct("ocr_url", "lccn", F.col("edition").alias("edition_number"), F.col("page").alias("page_number"), F.col("base").alias("batch_data_url"), F.lit("newspaper").alias("nonfiction_status"), F.lit("high").alias("nonfiction_confidence")))
-    out = a.select(F.concat(F.lit("chronicling:"), stable_id(url)).alias("id"), F.lit(SOURCE).alias("source"), F.concat("label", F.lit(", page "), "page").alias("title"), "text", url.alias("url"), "date", F.lit("newspaper_page").alias("genre"), F.lit(NOTICE).alias("rights"), meta.alias("metadata"))
-    return as_documents(out)
+    keep = [c for c in ("pos",) if c in a.columns]
+    out = a.select(F.concat(F.lit("chronicling:"), stable_id(url)).alias("id"), F.lit(SOURCE).alias("source"), F.concat("label", F.lit(", page "), "page").alias("title"), "text", url.alias("url"), "date", F.lit("newspaper_page").alias("genre"), F.lit(NOTICE).alias("rights"), meta.alias("metadata"), *keep)
+    return as_documents(out, *keep)
 
 
 def candidate_urls(resources: Column) -> Column:
@@ -63,6 +65,14 @@ def _list(item: Column, *keys: str) -> Column:
     return F.concat(*[one(k) for k in keys])
 
 
+def newspapers_of(items: DataFrame, date_from: int = 1900, date_to: int = 1929) -> DataFrame:
+    """Items that are newspapers of a year in range or unknown, with decision and date: those whose texts are worth a fetch."""
+    it = F.col("item")
+    decided = periodical_decision(F.get_json_object(it, "$.title"), _list(it, "subject", "subjects"), _list(it, "genre"), _list(it, "format", "original_format"))
+    date = F.coalesce(F.try_element_at(_list(it, "date"), F.lit(1)), F.try_element_at(_list(it, "dates"), F.lit(1)), F.lit(""))
+    return items.withColumns({"decision": decided, "date": date}).where((F.col("decision.status") == "newspaper") & F.coalesce(first_year(F.col("date")).between(date_from, date_to), F.lit(True)))
+
+
 def item_documents(items: DataFrame, texts: DataFrame, *, date_from: int = 1900, date_to: int = 1929, max_bytes: int = 20_000_000) -> DataFrame:
     """Documents of catalogue items that are newspapers, of a year in range or unknown, with a text of 100 characters.
 
@@ -70,9 +80,7 @@ def item_documents(items: DataFrame, texts: DataFrame, *, date_from: int = 1900,
     value. The first candidate address with a long enough text wins; metadata filters come before the texts.
     """
     it = F.col("item")
-    decided = periodical_decision(F.get_json_object(it, "$.title"), _list(it, "subject", "subjects"), _list(it, "genre"), _list(it, "format", "original_format"))
-    date = F.coalesce(F.try_element_at(_list(it, "date"), F.lit(1)), F.try_element_at(_list(it, "dates"), F.lit(1)), F.lit(""))
-    a = items.withColumns({"decision": decided, "date": date}).where((F.col("decision.status") == "newspaper") & F.coalesce(first_year(F.col("date")).between(date_from, date_to), F.lit(True)))
+    a = newspapers_of(items, date_from, date_to)
     each = a.select("item_url", F.posexplode(candidate_urls(F.col("resources"))).alias("nth", "text_url"))
     wrapped = F.get_json_object(F.regexp_extract("body", r'(?s)\A\s*\{\s*"[^"]*"\s*:\s*(\{.*\})\s*\}\s*\z', 1), "$.full_text")
     body = clean_text(F.when(F.ltrim("body").startswith("{"), F.coalesce(wrapped, F.lit(""))).otherwise(F.col("body")))
@@ -81,9 +89,10 @@ def item_documents(items: DataFrame, texts: DataFrame, *, date_from: int = 1900,
     a = a.join(best, "item_url")
     url = F.coalesce(F.get_json_object(it, "$.id"), F.col("item_url"))
     meta = F.to_json(F.struct(F.col("x.text_url").alias("ocr_url"), F.col("decision.status").alias("nonfiction_status"), F.col("decision.confidence").alias("nonfiction_confidence"), F.col("decision.reasons").alias("classification_reasons"), *[_list(it, k).alias(k) for k in ("newspaper_title", "location_city", "location_county", "location_state", "location_country", "subject", "genre", "call_number", "language")]))
+    keep = [c for c in ("pos",) if c in a.columns]
     first = lambda k, d: F.coalesce(F.try_element_at(_list(it, k), F.lit(1)), F.lit(d))
     out = a.select(
-        F.concat(F.lit("chronicling:"), stable_id(url, F.col("item_url"))).alias("id"), F.lit(SOURCE).alias("source"), F.coalesce(F.get_json_object(it, "$.title"), F.lit("Newspaper page")).alias("title"), F.col("x.text").alias("text"),
-        url.alias("url"), "date", first("location", "").alias("place"), F.lit("newspaper_page").alias("genre"), first("rights_advisory", "Library of Congress rights statement applies").alias("rights"), meta.alias("metadata"),
+        F.concat(F.lit("chronicling:"), stable_id(url)).alias("id"), F.lit(SOURCE).alias("source"), F.coalesce(F.get_json_object(it, "$.title"), F.lit("Newspaper page")).alias("title"), F.col("x.text").alias("text"),
+        url.alias("url"), "date", first("location", "").alias("place"), F.lit("newspaper_page").alias("genre"), first("rights_advisory", "Library of Congress rights statement applies").alias("rights"), meta.alias("metadata"), *keep,
     )
-    return as_documents(out)
+    return as_documents(out, *keep)

@@ -21,15 +21,16 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     return a.withColumn("reasons", review_reasons(F.col("title"), F.col("subjects")))
 
 
-def documents(files: DataFrame, *, review_candidates: bool = False) -> DataFrame:
-    """Documents with 100 characters; those with a reason for review only if asked for."""
+def documents(files: DataFrame, *, review_candidates: bool = False, limit: int | None = None) -> DataFrame:
+    """Documents with 100 characters, the first `limit` by path; those with a reason for review only if asked for."""
     a = files.where(F.length("text") >= 100)
     if not review_candidates:
         a = a.where(F.size("reasons") == 0)
     status = F.when(F.size("reasons") > 0, "review_candidate").otherwise("retained")
     meta = F.to_json(F.struct(F.col("path").alias("local_xml"), "subjects", "header", status.alias("nonfiction_status"), F.col("reasons").alias("classification_reasons")))
-    out = a.select(F.concat(F.lit("evans:"), "stem").alias("id"), F.lit("evans_tcp").alias("source"), "title", "text", F.concat(F.lit("https://texts.earlyprint.org/works/"), "stem").alias("url"), "date", "authors", F.lit("early_american_imprint").alias("genre"), F.lit("Public-domain Evans-TCP transcription").alias("rights"), meta.alias("metadata"))
-    return as_documents(out)
+    out = a.select(F.concat(F.lit("evans:"), "stem").alias("id"), F.lit("evans_tcp").alias("source"), "title", "text", F.concat(F.lit("https://texts.earlyprint.org/works/"), "stem").alias("url"), "date", "authors", F.lit("early_american_imprint").alias("genre"), F.lit("Public-domain Evans-TCP transcription").alias("rights"), meta.alias("metadata"), "path")
+    out = as_documents(out, "path").orderBy("path")
+    return (out if limit is None else out.limit(limit)).drop("path")
 
 
 def review_list(files: DataFrame) -> DataFrame:

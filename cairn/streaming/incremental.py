@@ -30,3 +30,8 @@ def derive_stream(docs: DataFrame, run_path: str, method: Method, checkpoint: st
         Run(batch.sparkSession, run_path).execute(batch.withColumn("pos", F.monotonically_increasing_id()), method)
 
     return docs.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def append_pages(pages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Appends the pages of a catalogue's stream as Parquet, each once; started again, it goes on from the checkpoint."""
+    return pages.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).start()

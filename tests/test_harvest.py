@@ -3,7 +3,7 @@ import json
 
 import pytest
 from cairn.operators import responses
-from cairn.sources import harvest, paged, registry
+from cairn.sources import harvest, paged
 from pyspark.sql import functions as F
 
 LONG = "word " * 40
@@ -36,7 +36,12 @@ def test_dispatch(spark):
         harvest.collect_country(spark, SPAIN, {"id": "s", "protocol": "ftp", "endpoint": "e", "options": {}})
     with pytest.raises(ValueError, match="positive"):
         harvest.collect_country(spark, SPAIN, {"id": "s", "protocol": "oai-pmh", "endpoint": "e", "options": {}}, limit=0)
-    assert registry.status is not None
+    with pytest.raises(ValueError, match="unknown source"):
+        harvest.collect_named(spark, "nothing")
+    with pytest.raises(ValueError, match="address"):
+        harvest.collect_named(spark, "batches")
+    with pytest.raises(ValueError, match="folder"):
+        harvest.collect_named(spark, "evans")
 
 
 def test_catalogue_harvest(spark):
@@ -50,14 +55,14 @@ def test_catalogue_harvest(spark):
 
 def test_archive_harvest(spark):
     source = {"id": "ia", "protocol": "internet-archive", "endpoint": "https://s", "options": {"query": "q"}}
-    found = {"response": {"docs": [{"identifier": "a", "year": "1890", "title": "T", "licenseurl": "public domain"}, {"identifier": "b", "year": 1990}]}}
+    found = {"response": {"numFound": 2, "docs": [{"identifier": "a", "year": "1890", "title": "T", "licenseurl": "public domain", "creator": "Z", "subject": ["s", "t"]}, {"identifier": "b", "year": 1990}]}}
     item = {"metadata": {"title": "Better", "creator": ["M", "N"]}, "files": [{"name": "x.pdf", "format": "PDF"}, {"name": "x_djvu.txt", "format": "DjVuTXT", "size": "9"}]}
 
     def fetch(u):
         return harvest.replayed({"https://archive.org/metadata/a": json.dumps(item), "https://archive.org/metadata/b": json.dumps(item), "https://archive.org/download/a/x_djvu.txt": LONG, **{r.url: json.dumps(found) for r in u.collect() if r.url.startswith("https://s?q=q&")}})(u)
 
     got = harvest.collect_country(spark, SPAIN, source, fetch=fetch, limit=5).collect()
-    assert [(r.id, r.title, r.authors) for r in got] == [("ia:a", "Better", ["M", "N"])]
+    assert [(r.id, r.title, r.authors, json.loads(r.metadata)["subjects"], json.loads(r.metadata)["rights_caution"]) for r in got] == [("ia:a", "Better", ["M", "N"], ["s", "t"], "n")]
 
 
 def test_collections(spark):

@@ -1,3 +1,6 @@
+import random
+
+from cairn.operators import blocks
 from cairn.operators import search as s
 from cairn.operators.embed import HashingEmbedder, embed
 from pyspark.sql import functions as F
@@ -9,15 +12,47 @@ def chunks(spark, rows):
     return spark.createDataFrame([(i, i, k, t, x, src, d, "u", "native", "{}", "c", "l") for k, (i, t, x, src, d) in enumerate(rows)], COLUMNS)
 
 
-def test_case_doubles_and_index_agrees(spark):
+def test_case_doubles_and_index_agrees(spark, tmp_path):
     c = chunks(spark, [("a", "", "food market", "s", ""), ("b", "", "food food other words", "s", ""), ("c", "", "nothing", "s", "")])
     once = {r.id: r.bm25 for r in s.lexical_scores(c, s.query_terms(spark, "food")).collect()}
     twice = {r.id: r.bm25 for r in s.lexical_scores(c, s.query_terms(spark, "Food food")).collect()}
     assert twice == {k: 2 * v for k, v in once.items()}
-    index = s.postings(c)
-    stats = index.groupBy("id").agg(F.first("length").alias("l")).agg(F.avg("l")).collect()[0][0]
-    other = {r.id: r.bm25 for r in s.lexical_top_indexed(index, 3, stats, s.query_terms(spark, "Food food")).collect()}
-    assert all(abs(other[k] - twice[k]) < 1e-12 for k in twice)
+    index = blocks.kept(c, str(tmp_path / "index"), str(tmp_path))
+    other = {r.id: r.bm25 for r in blocks.top(index, s.query_terms(spark, "Food food")).collect()}
+    assert set(other) == set(twice) and all(abs(other[k] - twice[k]) < 1e-12 for k in twice)
+
+
+def test_blocks_rank_as_all_chunks_do_and_read_less(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(blocks, "FIRST_RANGES", 1)
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(400)]
+    weights = [1 / (k + 1) for k in range(400)]
+    # neighbouring chunks have words in common, as those of one document do
+    texts = [" ".join(rng.choices(words, weights, k=rng.randint(5, 60)) + [f"topic{k // 150}"] * rng.randint(0, 4)) for k in range(3000)]
+    c = chunks(spark, [(str(k), "", t, "s", "") for k, t in enumerate(texts)] + [("none", "", "", "s", "")])
+    index = blocks.kept(c, str(tmp_path / "index"), str(tmp_path / "absent"))
+    assert index.n == 3001 and index.blocks.agg(F.max("n")).first()[0] <= blocks.RANGE
+    for question, k in (("topic7 w300", 20), ("w0 topic3 topic3", 10), ("w1 w2 w399", 100), ("w5", 5000), ("absent", 5), ("", 5)):
+        terms, log = s.query_terms(spark, question), {}
+        got = [(r.id, round(r.bm25, 9)) for r in blocks.top(index, terms, k, log).collect()]
+        assert got == [(r.id, round(r.bm25, 9)) for r in s.lexical_top(c, terms, k).orderBy(F.desc("bm25"), "pos").collect()]
+        assert log["scored"] <= log["postings"]
+        if question == "w0 topic3 topic3":  # elsewhere w0 alone can't reach the tenth score
+            assert log["scored"] < 0.3 * log["postings"]
+    plan = blocks.top(index, ["w0"], 5)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan
+
+
+def test_a_kept_index_is_written_anew_when_its_input_changes(spark, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "index")
+    source.mkdir()
+    (source / "a").write_text("x")
+    one = chunks(spark, [("a", "", "food", "s", "")])
+    assert blocks.kept(one, path, str(source)).n == 1
+    two = chunks(spark, [("a", "", "food", "s", ""), ("b", "", "food", "s", "")])
+    assert blocks.kept(two, path, str(source)).n == 1  # as the files are the same
+    (source / "b").write_text("y")
+    assert blocks.kept(two, path, str(source)).n == 2
 
 
 def test_accents_and_unspaced_scripts(spark):

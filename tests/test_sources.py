@@ -1,3 +1,4 @@
+import hashlib
 import io
 import json
 
@@ -36,16 +37,38 @@ def export(tmp_path, **over):
 
 
 def test_local_export(spark, tmp_path):
-    kw = {"source": "s", "country": "spain", "language": "es", "cutoff": 1929}
-    got = {r.id: r for r in local.local_export(spark, export(tmp_path), **kw).collect()}
-    assert sorted(got) == ["s:1", "s:2", "s:7"] and "Texto & más palabras" in got["s:2"].text
+    kw = {"source": "s", "country": "spain", "language": "es", "cutoff": 1929, "caution": "c", "protocol": "p"}
+    got = {json.loads(r.metadata)["local_record_id"]: r for r in local.local_export(spark, export(tmp_path), **kw).collect()}
+    assert sorted(got) == ["1", "2", "7"] and got["2"].text.startswith("Texto & más palabras palabras")
+    assert got["1"].id == "spain:s:" + hashlib.sha256(b"1").hexdigest()[:24]
+    assert json.loads(got["1"].metadata) == {"protocol": "p", "local_export": True, "local_record_id": "1", "source_file": "t/a.txt", "publication_year_filter": 1929, "rights_status": "source_record", "rights_caution": "c"}
     assert local.local_export(spark, export(tmp_path), **kw, rights_override="operator").count() == 4
+    with pytest.raises(ValueError, match="blank"):
+        local.local_export(spark, export(tmp_path), **kw, rights_override=" ")
     assert local.local_export(spark, export(tmp_path), **kw, max_bytes=10).count() == 0
+    assert [json.loads(r.metadata)["local_record_id"] for r in local.local_export(spark, export(tmp_path), **kw, limit=2).collect()] == ["1", "2"]
     for bad in ("../x.txt", "/etc/passwd", "", "t/../../x"):
         with pytest.raises(Exception, match="path must be"):
             local.local_export(spark, export(tmp_path, path=bad), **kw).collect()
 
 
+def test_local_export_reads_xml_as_xml(spark, tmp_path):
+    kw = {"source": "s", "country": "spain", "language": "es", "cutoff": 1929}
+    export(tmp_path)
+    (tmp_path / "t" / "c.TEI").write_bytes("<?xml version='1.0' encoding='ISO-8859-1'?><a>\n  caf&#233; señor <![CDATA[a < b and c > d, kept words]]><!-- no -->".encode("latin-1") + b"<p>x</p>" * 60 + b"</a>")
+    rec = {"id": "", "path": "./t/x/../c.TEI", "title": "", "date": "1898, again 1850", "url": "u", "rights": "Public domain"}
+    (tmp_path / "records.jsonl").write_text(json.dumps(rec))
+    got = local.local_export(spark, str(tmp_path), **kw).collect()
+    assert [(r.title, r.date, r.id) for r in got] == [("c", "1898, again 1850", "spain:s:" + hashlib.sha256(b"./t/x/../c.TEI").hexdigest()[:24])]
+    assert got[0].text.startswith("café señor a < b and c > d, kept words x x x")
+    (tmp_path / "t" / "c.TEI").write_text("<a>" + "x" * 200)
+    with pytest.raises(Exception, match="ParseError|no element"):
+        local.local_export(spark, str(tmp_path), **kw).collect()
+    (tmp_path / "records.jsonl").write_text(json.dumps({**rec, "path": "t/a.txt", "url": ""}))
+    with pytest.raises(Exception, match="without an address"):
+        local.local_export(spark, str(tmp_path), **kw).collect()
+
+
 def test_registry(spark, tmp_path):
     for name, sources in (("spain", [{"id": "a", "name": "A", "protocol": "oai-pmh", "endpoint": "e", "rights_note": "r", "options": {"status": "conditional"}}, {"id": "b", "name": "B", "protocol": "p", "endpoint": "e", "rights_note": "r"}]), ("america", [])):
         (tmp_path / name).mkdir()
