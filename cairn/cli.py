@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import re
 import sys
 
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from .functions.text import earliest_year
 from .operators import audit, index, responses, search
 from .operators.derive import FIELDS, Method, Run, batches, validated
 from .operators.embed import HashingEmbedder, query_vector
-from .session import local_session, ship_package
+from .session import local_session, ship_package, stored
 from .sources import harvest, local, registry, tei
 
 
@@ -79,6 +80,9 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--limit", type=int)
     s.add_argument("--retry", action="store_true")
     s.add_argument("--execute", action="store_true")
+    s = sub.add_parser("audit-newspapers", help="a sample of the newspapers' records in four periods: a report and, beside it, the records")
+    s.add_argument("report", help="a JSON file; the records go to <its name>_records.jsonl")
+    s.add_argument("--per-period", type=int, default=15)
     s = sub.add_parser("audit", help="coverage of the fields and documents by period")
     s.add_argument("corpus")
     s.add_argument("--report", help="a JSON file for the figures")
@@ -123,10 +127,17 @@ def main(argv: list[str] | None = None) -> int:
     elif a.verb == "review":
         n, listed = tei.write_review_list(tei.read(spark, a.root), a.out)
         print(json.dumps({"files": n, "listed": listed}))
+    elif a.verb == "audit-newspapers":
+        records, errors = harvest.newspaper_sample(spark, a.per_period)
+        records = stored(records, "sample")
+        report = {**audit.field_report(records), "periods": [f"{lo}-{hi}" for lo, hi in audit.PERIODS], "errors": errors, "important_limitation": audit.LIMITATION}
+        Files(spark).write_json(a.report, report)
+        records.orderBy("pos").select("item").write.mode("overwrite").text(re.sub(r"(?<=[^/])[.][^./]*$", "", a.report) + "_records.jsonl")
+        print(json.dumps({"records": report["records"], "errors": errors}, ensure_ascii=False))
     elif a.verb == "derive":
         docs = validated(local.read_jsonl(spark, a.corpus), a.country, a.language).withColumn("pos", F.monotonically_increasing_id())
         client = responses.Client(a.model, a.instructions, execute=a.execute)
-        run = Run(spark, a.run)
+        run = Run(spark, a.run, a.country)
         n = run.execute(docs, Method(a.model, client.run, a.instructions, client.settings()), size=a.size, limit=a.limit, retry=a.retry)
         run.publish(a.out)
         print(json.dumps({"derived": n, "requests": client.log}))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
+from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
@@ -93,6 +94,24 @@ class Files:
         self.write(path, json.dumps(value, ensure_ascii=False, indent=2, default=str))
 
 
+def kept_folder(files: Files, path: str, inputs: tuple[str, ...], tag: str, write: Callable[[str], None]) -> str:
+    """A folder below path that write() has filled for the inputs (files or folders) as they are now; filled if it isn't there.
+
+    It is filled aside and put in place when it is whole, so that another session sees all of it or nothing.
+    """
+    own = f"{path.rstrip('/')}/{files.fingerprint(*inputs)}-{tag}"
+    if not files.exists(own):
+        staging = f"{path.rstrip('/')}/.{uuid.uuid4().hex}"
+        try:
+            files.make(staging)
+            write(staging)
+            if not files.exists(own):
+                files.move(staging, own)
+        finally:
+            files.delete(staging)
+    return own
+
+
 def beside(path: str, suffix: str) -> str:
     """A hidden name next to a path, for staging and backups."""
     folder, _, name = path.rstrip("/").rpartition("/")

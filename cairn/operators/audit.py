@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.records import strings_in
+
 #: Values listed for a field.
 TOP_VALUES = 25
 # Periods of the sample.
@@ -30,6 +32,32 @@ def frequent_values(values: DataFrame, top: int = TOP_VALUES) -> DataFrame:
     return counts.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= top).select("field", "value", "n", "nth")
 
 
+def record_fields(records: DataFrame, column: str = "item") -> DataFrame:
+    """(record, field, value as JSON text): the fields of records that are JSON objects. records: (pos, item)."""
+    each = records.select(F.col("pos").alias("record"), F.explode(F.from_json(column, "map<string,variant>")).alias("field", "v"))
+    return each.select("record", "field", F.to_json("v").alias("value"))
+
+
+#: Fields of records whose frequent values a report lists.
+SELECTED = ("genre", "language", "type")
+# Fixed value: what a report on newspapers says of itself.
+LIMITATION = "Metadata describes newspaper issues/pages, not article genre; serialized fiction cannot be filtered reliably without OCR/layout classification."
+
+
+def field_report(records: DataFrame, column: str = "item") -> dict:
+    """Number of records, coverage of their fields, and the most frequent values of SELECTED. records: (pos, item as JSON).
+
+    All counts are made in Spark; the driver gets a row a field, and TOP_VALUES for each selected one.
+    """
+    fields = record_fields(records, column)
+    n = records.count()
+    coverage = {r["field"]: {"count": r["n_present"], "percent": r["percent"]} for r in field_coverage(fields).where("n_present > 0").orderBy("field").collect()}
+    parts = [fields.where(F.col("field") == k).select("record", "field", F.posexplode(strings_in(F.col("value"))).alias("nth", "value")) for k in SELECTED]
+    values = parts[0].unionByName(parts[1]).unionByName(parts[2]).select("field", "value", (F.col("record") * (1 << 20) + F.col("nth")).alias("pos"))
+    top = frequent_values(values).orderBy("field", "nth").collect()
+    return {"records": n, "field_coverage": coverage, "selected_values": {k: {r["value"]: r["n"] for r in top if r["field"] == k} for k in SELECTED}}
+
+
 def by_period(rows: DataFrame, year: Column, periods=PERIODS) -> DataFrame:
     """rows with period ('from-to'), those of years outside all periods left out; periods may not overlap."""
     label = F.lit(None).cast("string")
@@ -45,5 +73,18 @@ def first_of_each(rows: DataFrame, key: str, pos: str) -> DataFrame:
     return rows.groupBy(F.col(key).alias("__k")).agg(least, F.min(pos).alias(pos)).select("x.*", pos)
 
 
+def first_seen(rows: DataFrame, raw: str, key: str, pos: str) -> DataFrame:
+    """The rows that a reader keeps who looks a row's raw value up among the keys kept so far, and then keeps its key.
+
+    A raw value that differs from its key is never found, so its row always stays; one that is its key stays if it is the
+    first row of that key. Only the first place of each key is shuffled, combined in the tasks before. A row with a null or
+    empty raw value is left out.
+    """
+    a = rows.where(F.coalesce(F.col(raw), F.lit("")) != "")
+    first = a.groupBy(F.col(key).alias("__key")).agg(F.min(pos).alias("__first"))
+    kept = a.where(F.col(raw) != F.col(key)).unionByName(a.where(F.col(raw) == F.col(key)).join(first, (F.col(key) == F.col("__key")) & (F.col(pos) == F.col("__first")), "left_semi"))
+    return kept.select(*rows.columns)
+
+
 def secure(url: Column) -> Column:
     return F.regexp_replace(url, "^http://", "https://")

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import dataclasses
 import math
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import Files
+from ..files import Files, kept_folder
 from ..session import stored
 from .search import K1, LEXICAL_ROWS, B, token_runs
 
@@ -67,21 +66,10 @@ def opened(spark: SparkSession, path: str, n: int, tokens: int) -> BlockIndex:
 
 
 def kept(chunks: DataFrame, path: str, *inputs: str) -> BlockIndex:
-    """The index of chunks below path, written unless it is there for the inputs (files or folders) as they are now.
-
-    It is written aside and put in place when it is whole, so that another session sees all of it or nothing.
-    """
+    """The index of chunks below path, written unless it is there for the inputs (files or folders) as they are now."""
     spark = chunks.sparkSession
     files = Files(spark)
-    own = f"{path.rstrip('/')}/{files.fingerprint(*inputs)}-{RANGE}"
-    if not files.exists(own):
-        staging = f"{path.rstrip('/')}/.{uuid.uuid4().hex}"
-        try:
-            files.write_json(f"{staging}/config.json", write(chunks, staging))
-            if not files.exists(own):
-                files.move(staging, own)
-        finally:
-            files.delete(staging)
+    own = kept_folder(files, path, inputs, f"blocks-{RANGE}", lambda to: files.write_json(f"{to}/config.json", write(chunks, to)))
     config = files.read_json(f"{own}/config.json")
     return opened(spark, own, config["lexical_chunks"], config["lexical_tokens"])
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,8 @@ from ..functions.text import canonical_json, stable_id
 from ..session import stored
 from ..sources.local import write_jsonl
 
+#: Layout of a run's files; segments it may have, and rows of a file of a merged one, about.
+VERSION, SEGMENTS, SEGMENT_ROWS = 3, 16, 200_000
 # Fields that are derived, and default bounds.
 FIELDS = ("id", "title", "text", "place", "genre")
 MAX_BATCH, MAX_DOCUMENT_CHARS, MAX_BATCH_CHARS, MAX_INPUT_CHARS = 50, 100_000, 200_000, 10_000_000
@@ -168,6 +171,35 @@ def checked_reply(asked: list[dict[str, str]], got: list[dict[str, str]]) -> lis
     return [by_id[r["id"]] for r in asked]
 
 
+def digest(rows: list[dict[str, str]]) -> str:
+    """SHA-256 of the canonical JSON of rows."""
+    return hashlib.sha256(json.dumps(rows, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
+@dataclass(frozen=True)
+class Reply:
+    """What a method may return in place of plain rows: the rows and what it says of them, which is checked."""
+
+    rows: list[dict[str, str]]
+    input_sha256: str
+    output_sha256: str
+    response_id: str = ""
+    model: str = ""
+    usage: dict = field(default_factory=dict)
+
+
+def verified(asked: list[dict[str, str]], got: Reply | list[dict[str, str]]) -> Reply:
+    """The checked rows in order of the request with both hashes; hashes of a Reply that differ from these raise."""
+    rows = checked_reply(asked, got.rows if isinstance(got, Reply) else got)
+    if not isinstance(got, Reply):
+        return Reply(rows, digest(asked), digest(rows))
+    if got.input_sha256 != digest(asked):
+        raise RuntimeError("the reply is to another input: its input hash differs")
+    if got.output_sha256 != digest(rows):
+        raise RuntimeError("the reply's output hash differs from its rows")
+    return replace(got, rows=rows)
+
+
 def unique_rows(output: DataFrame) -> DataFrame:
     """output, if every row has an id and no id and no source_document_id stands twice; else it raises."""
     bad = output.agg(
@@ -181,41 +213,73 @@ def unique_rows(output: DataFrame) -> DataFrame:
 
 
 class Run:
-    """Files of a derived corpus under a directory: rows and state as Parquet, a folder for each batch, and one JSON marker.
+    """Files of a derived corpus under a directory: segments of rows as Parquet, and one JSON marker that lists them.
+
+    A batch is marked before it runs; then its rows are written as a new segment, then the marker lists it in one atomic
+    replace. Segments that the marker doesn't list are as if they weren't there. Readers take the last row of a source
+    document. Small segments are merged into larger ones, each of which is about as large as all that are newer, so that a
+    row is written anew a few times only, and files and marker stay small, however many batches there were.
 
-    A batch is marked before it runs; then its rows are written, then its state, then the marker counts it in one
-    atomic replace. Folders that the marker doesn't count are as if they weren't there and are written anew. Each batch
-    writes its own rows only; readers take the last row of a source document. A marker that is still in flight stops
-    the next run until retry is allowed; one that can't be read, or of another method's corpus, raises.
+    A marker that is still in flight stops the next run until retry is allowed; one that can't be read, or of another
+    country, raises. Each row carries the hash of what was derived, and its batch's hashes of input and output; a row that
+    has changed since, or that stands twice in one batch, raises when the rows are read.
     """
 
     OUTPUT = "id string, source_document_id string, title string, text string, place string, genre string, language string, content_mode string, identity string, method string"
     STATE = "document_id string, identity string, derived_id string"
+    ROWS = f"{OUTPUT}, seq bigint, batch_id string, row_sha256 string, input_sha256 string, output_sha256 string, response_id string, model string, usage string, completed string"
+    DERIVED = "batch_id string, source_document_id string, title string, text string, place string, genre string, identity string, input_sha256 string, output_sha256 string, response_id string, model string, usage string, completed string"
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, country: str | None = None):
         self.spark, self.path, self.files = spark, path, Files(spark)
         self.files.make(path)
-        self.marker = {"in_flight": None, "batches": []}
+        self.marker = {"version": VERSION, "country": country, "in_flight": None, "segments": [], "next": 0, "batches": 0}
         if self.files.exists(f"{path}/marker.json") or self.files.exists(f"{path}/.marker.json.old"):
             try:
                 self.marker = self.files.read_json(f"{path}/marker.json")
             except ValueError as e:
                 raise RuntimeError("the marker can't be read") from e
-            if not isinstance(self.marker, dict) or not isinstance(self.marker.get("batches"), list) or "in_flight" not in self.marker:
+            if not isinstance(self.marker, dict) or self.marker.get("version") != VERSION or not isinstance(self.marker.get("segments"), list) or "in_flight" not in self.marker:
                 raise RuntimeError("the marker is malformed")
+            if country is not None and self.marker.get("country") not in (None, country):
+                raise ValueError(f"the run belongs to {self.marker['country']}, not {country}")
 
-    def _commit(self) -> None:
+    def _commit(self, **changes) -> None:
+        self.marker = {**self.marker, **changes}
         self.files.write_json(f"{self.path}/marker.json", self.marker)
 
+    def _read(self, segments: list[dict]) -> DataFrame:
+        """The rows of segments as they were written; a changed row raises."""
+        if not segments:
+            return self.spark.createDataFrame([], self.ROWS)
+        a = self.spark.read.schema(self.ROWS).parquet(*[f"{self.path}/segments/{s['name']}" for s in segments])
+        changed = F.raise_error(F.concat(F.lit("refusing a derived row that has changed: "), F.coalesce("id", F.lit("null"))))
+        return a.withColumn("row_sha256", F.when(F.col("row_sha256") == row_hash(), F.col("row_sha256")).otherwise(changed))
+
+    def _last(self, rows: DataFrame) -> DataFrame:
+        """The last row of each source document; one that stands twice in a batch raises."""
+        names = [c for c in rows.columns if c != "source_document_id"]
+        last = rows.groupBy("source_document_id").agg(F.max_by(F.struct(*names), "seq").alias("x"), F.count("*").alias("n"), F.count_distinct("seq").alias("m"))
+        twice = F.raise_error(F.concat(F.lit("refusing a source document that stands twice in a batch: "), "source_document_id"))
+        own = F.when(F.col("n") == F.col("m"), F.col("source_document_id")).otherwise(twice)
+        return last.select(own.alias("source_document_id"), "x.*").select(*rows.columns)
+
     def table(self, name: str) -> DataFrame:
         """`output` or `state` as committed: the last row of each source document."""
-        schema, key = (self.OUTPUT, "source_document_id") if name == "output" else (self.STATE, "document_id")
-        n = len(self.marker["batches"])
-        if not n:
-            return self.spark.createDataFrame([], schema)
-        a = self.spark.read.schema(f"{schema}, seq int").parquet(f"{self.path}/{name}").where(F.col("seq") < n)
-        names = [c for c in a.columns if c != "seq"]
-        return a.groupBy(F.col(key).alias("k")).agg(F.max_by(F.struct(*names), "seq").alias("x")).select("x.*")
+        rows = self._last(self._read(self.marker["segments"]))
+        if name == "output":
+            return rows.where("row_sha256 IS NOT NULL").select(*[c.split()[0] for c in self.OUTPUT.split(", ")])
+        return rows.where("row_sha256 IS NOT NULL").select(F.col("source_document_id").alias("document_id"), "identity", F.col("id").alias("derived_id"))
+
+    def verify(self) -> int:
+        """The number of batches whose rows, all of them there, give the batch's hash of output.
+
+        A batch of which a later one has replaced rows isn't whole and doesn't count.
+        """
+        rows = self._read(self.marker["segments"])
+        form = F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("source_document_id", derived_json().alias("j")))), lambda x: x["j"]), ","), F.lit("]"))
+        whole = rows.groupBy("batch_id", "output_sha256").agg(F.sha2(form, 256).alias("own"))  # rows of one batch
+        return whole.agg(F.count_if(F.col("own") == F.col("output_sha256")).alias("n")).first()["n"]
 
     def publish(self, path: str) -> None:
         """The output as JSON Lines in place of what is there, after unique_rows()."""
@@ -225,37 +289,91 @@ class Run:
         todo = pending(docs, self.table("state"), unique_rows(self.table("output")), method.key)
         return batches(todo, **bounds)
 
-    def execute(self, docs: DataFrame, method: Method, *, limit: int | None = None, retry: bool = False, max_input: int = MAX_INPUT_CHARS, **bounds) -> int:
-        """Derives what is pending, batch by batch; returns the number of rows. Over max_input characters it raises."""
+    def _append(self, derived: DataFrame, method: Method, n_batches: int) -> int:
+        """Writes derived rows as a segment and lists it; returns their number."""
+        seq, name = self.marker["next"], f"seq-{self.marker['next']}"
+        rows = derived.withColumns({"id": F.concat(F.lit("derived:"), stable_id(F.lit(method.name), F.col("source_document_id"), F.col("identity"))), "language": F.lit("en"), "content_mode": F.lit("english_translation"), "method": F.lit(method.key), "seq": F.lit(seq).cast("bigint"), "row_sha256": row_hash()})
+        rows.select(*[c.split()[0] for c in self.ROWS.split(", ")]).write.mode("overwrite").parquet(f"{self.path}/segments/{name}")
+        n = unique_rows(self._read([{"name": name}])).count()
+        self._commit(in_flight=None, segments=[*self.marker["segments"], {"name": name, "rows": n}], next=seq + 1, batches=self.marker["batches"] + n_batches)
+        self.compact()
+        return n
+
+    def compact(self, most: int | None = None) -> None:
+        """Merges the newest segments while there are more than `most` (SEGMENTS): as many as aren't larger than those after them."""
+        most = SEGMENTS if most is None else most
+        segments = self.marker["segments"]
+        if len(segments) <= most:
+            return
+        k, total = len(segments), 0
+        while k > 0 and (len(segments) - k < most or segments[k - 1]["rows"] <= 2 * total):
+            k, total = k - 1, total + segments[k - 1]["rows"]
+        merged, name = segments[k:], f"merged-{self.marker['next']}-{uuid.uuid4().hex[:8]}"
+        self._last(self._read(merged)).repartition(max(1, -(-total // SEGMENT_ROWS)), "source_document_id").write.parquet(f"{self.path}/segments/{name}")
+        n = self._read([{"name": name}]).count()
+        self._commit(segments=[*segments[:k], {"name": name, "rows": n}])
+        for s in merged:
+            self.files.delete(f"{self.path}/segments/{s['name']}")
+
+    def execute(self, docs: DataFrame, method: Method, *, limit: int | None = None, retry: bool = False, max_input: int = MAX_INPUT_CHARS, bulk: bool = False, **bounds) -> int:
+        """Derives what is pending, batch by batch; returns the number of rows. Over max_input characters it raises.
+
+        bulk: all batches run on the executors in one job, and are one segment; nothing of them is on the driver. A task
+        that is lost runs its batches again, so the method must bear that. Else a batch at a time runs on the driver,
+        marked in flight, and none runs twice unasked.
+        """
         if self.marker["in_flight"] and not retry:
             raise RuntimeError(f"batch {self.marker['in_flight']['batch_id']} may have run; look at it or allow a retry")
         todo = pending(docs, self.table("state"), unique_rows(self.table("output")), method.key)
         if limit is not None:
             todo = todo.orderBy("pos").limit(max(0, limit))
         dealt = batches(todo, **bounds)
-        sizes = [r.asDict() for r in dealt.groupBy("batch").agg(F.max("batch_chars").alias("chars")).orderBy("batch").collect()]
-        if sum(s["chars"] for s in sizes) > max_input:
-            raise ValueError("the planned input is over the ceiling")
-        keyed = todo.join(dealt.select("id", "batch"), "id").select("pos", "batch", "identity", *FIELDS)
+        keyed = todo.join(dealt.select("id", "batch", "batch_chars"), "id").select("pos", "batch", "batch_chars", "identity", *FIELDS)
         # a batch reads its own row groups: rows lie in order of the batches
         keyed.repartitionByRange("batch", "pos").sortWithinPartitions("batch", "pos").write.mode("overwrite").parquet(f"{self.path}/todo")
-        keyed, done = self.spark.read.parquet(f"{self.path}/todo"), 0
-        for s in sizes:
-            rows = [r.asDict() for r in keyed.where(F.col("batch") == s["batch"]).orderBy("pos").collect()]
-            asked = [{k: r[k] or "" for k in FIELDS} for r in rows]
-            batch_id = hashlib.sha256("\x1f".join([method.key, *(r["identity"] for r in rows)]).encode()).hexdigest()[:24]
-            self.marker["in_flight"] = {"batch_id": batch_id, "ids": [r["id"] for r in rows], "since": utc_now()}
-            self._commit()
-            got = checked_reply(asked, method.run(asked))
-            own = self.spark.createDataFrame(
-                [(r["id"], g["title"], g["text"], g["place"], g["genre"], r["identity"]) for r, g in zip(rows, got, strict=True)],
-                "source_document_id string, title string, text string, place string, genre string, identity string",
-            )
-            own = own.select(F.concat(F.lit("derived:"), stable_id(F.lit(method.name), F.col("source_document_id"), F.col("identity"))).alias("id"), "*", F.lit("en").alias("language"), F.lit("english_translation").alias("content_mode"), F.lit(method.key).alias("method"))
-            seq = len(self.marker["batches"])
-            unique_rows(own).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/output/seq={seq}")
-            own.select(F.col("source_document_id").alias("document_id"), "identity", F.col("id").alias("derived_id")).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/state/seq={seq}")
-            self.marker = {"in_flight": None, "batches": [*self.marker["batches"], {"batch_id": batch_id, "rows": len(rows), "completed": utc_now()}]}
-            self._commit()
-            done += len(rows)
+        keyed = self.spark.read.parquet(f"{self.path}/todo")
+        each = keyed.groupBy("batch").agg(F.max("batch_chars").alias("chars"))
+        planned = each.agg(F.count("*").alias("n"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars")).first()
+        if planned["chars"] > max_input:
+            raise ValueError("the planned input is over the ceiling")
+        if not planned["n"]:
+            return 0
+        if bulk:
+            self._commit(in_flight={"batch_id": f"all {planned['n']}", "since": utc_now()})
+            run = lambda table: pa.Table.from_pylist(_derived(table.sort_by("pos").to_pylist(), method), _ARROW)
+            return self._append(keyed.groupBy("batch").applyInArrow(run, self.DERIVED), method, planned["n"])
+        done = 0
+        for b in each.select("batch").orderBy("batch").toLocalIterator():
+            rows = [r.asDict() for r in keyed.where(F.col("batch") == b["batch"]).orderBy("pos").collect()]
+            self._commit(in_flight={"batch_id": batch_key(rows, method), "ids": [r["id"] for r in rows], "since": utc_now()})
+            done += self._append(self.spark.createDataFrame(pa.Table.from_pylist(_derived(rows, method), _ARROW)).coalesce(1), method, 1)
         return done
+
+
+_ARROW = pa.schema([(c.split()[0], pa.string()) for c in Run.DERIVED.split(", ")])
+
+
+def batch_key(rows: list[dict], method: Method) -> str:
+    """24 hex digits of a batch: its method and the identities of its rows in order."""
+    return hashlib.sha256("\x1f".join([method.key, *(r["identity"] for r in rows)]).encode()).hexdigest()[:24]
+
+
+def _derived(rows: list[dict], method: Method) -> list[dict[str, str]]:
+    """The checked rows of one batch, in order of the source documents' ids, as Run.DERIVED has them."""
+    asked = [{k: r[k] or "" for k in FIELDS} for r in rows]
+    reply = verified(asked, method.run(asked))
+    own = {"batch_id": batch_key(rows, method), "input_sha256": reply.input_sha256, "response_id": reply.response_id, "model": reply.model, "usage": json.dumps(reply.usage, sort_keys=True), "completed": utc_now()}
+    by_id = {r["id"]: (r, g) for r, g in zip(rows, reply.rows, strict=True)}
+    ordered = [by_id[i] for i in sorted(by_id)]
+    own["output_sha256"] = digest([g for _, g in ordered])  # in an order that the rows themselves have
+    return [{**own, "source_document_id": r["id"], "identity": r["identity"], **{k: g[k] for k in FIELDS if k != "id"}} for r, g in ordered]
+
+
+def derived_json() -> Column:
+    """The canonical JSON of what was derived of a row of Run."""
+    return canonical_json(id=F.col("source_document_id"), **{k: F.col(k) for k in FIELDS if k != "id"})
+
+
+def row_hash() -> Column:
+    """SHA-256 of what was derived, of the row's identity and of its batch."""
+    return F.sha2(F.concat_ws("\x1f", derived_json(), "identity", "batch_id", "input_sha256", "output_sha256"), 256)

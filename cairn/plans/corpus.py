@@ -149,7 +149,7 @@ def manifest_urls(spark, d):
 
 def catalogue_values(spark, d):
     """Values of nested records, from the record and from its item."""
-    r = F.concat(F.lit('{"subject":["'), "source", F.lit('"," a ",["b"]],"subjects":{"k":1},"item":{"subject":"c","call_number":null,"language":7}}'))
+    r = F.concat(F.lit('{"subject":["'), "source", F.lit('"," a ",["b",[[[[["deep",null,{"z":[1],"y":{"n":2}}]]]]]],true],"subjects":{"k":1},"item":{"subject":"c","call_number":null,"language":7}}'))
     f = records.catalogue_fields(r)
     return table(spark, d, "documents").select("doc_id", F.array_join(f["subjects"], "|").alias("subjects"), F.size(f["call_numbers"]).cast("bigint").alias("n_call_numbers"), F.array_join(f["languages"], "|").alias("languages"))
 
@@ -312,7 +312,7 @@ ORACLE: dict[str, str] = {
         doc_id || {_list(['.txt?x=1', '', '.TEXT', '.pdf'])} AS segment, CASE WHEN doc_id % 4 IN (0, 2) THEN u ELSE 'http://r.txt' END AS text_url FROM a""",
     "resource_urls": "SELECT doc_id, 'http://f/1' || CASE WHEN doc_id % 2 = 0 THEN '|http://t/' || doc_id || '.txt' ELSE '' END || '|http://f/' || doc_id || '.txt' AS urls FROM documents",
     "manifest_urls": "SELECT doc_id, 0 AS nth, 'https://h/' || doc_id AS url FROM documents UNION ALL SELECT doc_id, 1, NULL FROM documents WHERE doc_id % 3 = 2",
-    "catalogue_values": "SELECT doc_id, source || '|a|b|c|k' AS subjects, 0::bigint AS n_call_numbers, '7' AS languages FROM documents",
+    "catalogue_values": "SELECT doc_id, source || '|a|b|deep|z|y|True|c|k' AS subjects, 0::bigint AS n_call_numbers, '7' AS languages FROM documents",
     "identities": f"SELECT cast(doc_id AS varchar) AS id, sha256({_FULL}) AS source_hash, sha256(sha256({_FULL}) || chr(31) || 'm') AS identity, length({_JSON}) AS chars FROM documents",
     "prefixes": "SELECT vec_id, ['query: ', 'Represent this sentence for searching relevant passages: ', ''][vec_id % 3 + 1] AS query, ['passage: ', '', ''][vec_id % 3 + 1] AS document FROM embeddings",
     "vector_norms": "SELECT cast(doc_id AS varchar) AS id, 16::bigint AS n, 1.0::double AS norm FROM documents",

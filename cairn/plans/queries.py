@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify, text
-from ..operators import audit, blocks, chunking, derive, search
+from ..operators import audit, blocks, chunking, derive, pivots, search
 from ..session import shared_folder
-from ..sources import bronze, catalogue, markup
+from ..sources import bronze, catalogue, harvest, markup
 from . import corpus
 
 QUESTION = "the thing and the erhation of That"
@@ -130,6 +130,14 @@ def dense_topk(spark, d):
     return top.select("vec_id", F.round("dense_score", 6).alias("dense_score"), F.col("rank").cast("bigint").alias("rank"))
 
 
+def dense_pivots(spark, d):
+    """The same from a stored index of blocks around pivots, of which blocks that can't matter aren't read."""
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("vec_id").alias("pos"), "embedding")
+    index = pivots.kept(v, f"{shared_folder(spark)}/pivot-index", f"{d}/embeddings.parquet", rows=256)
+    top = pivots.top(index, _query_vector(spark, d), 50)
+    return top.select(F.col("id").alias("vec_id"), F.round("dense_score", 6).alias("dense_score"))
+
+
 def bm25_topk(spark, d):
     c = documents(spark, d)
     top = search.lexical_top(c, search.query_terms(spark, QUESTION))
@@ -210,6 +218,13 @@ def first_urls(spark, d):
     return audit.first_of_each(p.select("host", "url", F.col("page_id").alias("pos")), "host", "pos")
 
 
+def seen_urls(spark, d):
+    """Addresses that a reader keeps who looks them up as they are and stores them rewritten."""
+    host = F.element_at(F.array(F.lit("http://www.loc.gov/"), F.lit("https://www.loc.gov/"), F.lit("http://x.org/")), (F.col("page_id") % 7 % 3 + 1).cast("int"))
+    p = table(spark, d, "pages").select(F.col("page_id").alias("pos"), F.concat(host, (F.col("page_id") % 40).cast("string")).alias("raw"))
+    return audit.first_seen(p.withColumn("url", harvest.canonical_item(F.col("raw"))), "raw", "url", "pos")
+
+
 def page_numbers(spark, d):
     c = table(spark, d, "conversations").select(F.col("conv_id").alias("issue"), F.col("turn").alias("pos"), F.when(F.col("role") == "user", F.col("text")).alias("href"))
     return catalogue.page_numbers(c).select("issue", "pos", F.col("page").cast("bigint").alias("page"))
@@ -239,8 +254,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         clean_texts, stable_ids, years, search_terms, word_chunks, packed_chunks, rights, book_decisions, periodical_decisions, serial_decisions, field_coverage,
-        frequent_values, dense_topk, bm25_topk, lexical_index, bm25_indexed, hybrid_search, context_prompt, derive_pending, derive_batches, derive_merge, catalogue_join, period_audit,
-        first_urls, page_numbers, oai_records, unfetched_urls,
+        frequent_values, dense_topk, dense_pivots, bm25_topk, lexical_index, bm25_indexed, hybrid_search, context_prompt, derive_pending, derive_batches, derive_merge, catalogue_join, period_audit,
+        first_urls, seen_urls, page_numbers, oai_records, unfetched_urls,
     )
 }
 
@@ -318,6 +333,8 @@ ORACLE: dict[str, str] = {
         c AS (SELECT field, value, count(*) AS n, row_number() OVER (PARTITION BY field ORDER BY count(*) DESC, min(pos)) AS nth FROM v GROUP BY field, value) SELECT * FROM c WHERE nth <= 25""",
     "dense_topk": """WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 7), s AS (SELECT vec_id, list_inner_product(embedding::double[], e::double[]) AS x FROM embeddings, q)
         SELECT vec_id, round(x, 6) AS dense_score, row_number() OVER (ORDER BY x DESC, vec_id) AS rank FROM s ORDER BY x DESC, vec_id LIMIT 50""",
+    "dense_pivots": """WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 7), s AS (SELECT vec_id, list_inner_product(embedding::double[], e::double[]) AS x FROM embeddings, q)
+        SELECT vec_id, round(x, 6) AS dense_score FROM s ORDER BY x DESC, vec_id LIMIT 50""",
     "bm25_topk": _BM25,
     "lexical_index": f"""WITH d AS ({_DOCS}), t AS (SELECT doc_id, unnest(list_concat({_TOK.format('text')}, {_TOK.format('title')}, list_transform(list_distinct(regexp_extract_all(title || ' ' || text, '[\\p{{L}}\\p{{N}}]+')), lambda z: strip_accents(lower(z))))) AS term FROM d)
         SELECT term, count(DISTINCT doc_id) AS df, count(*) AS occurrences, count(DISTINCT doc_id // {blocks.RANGE}) AS blocks FROM t GROUP BY term""",
@@ -346,6 +363,8 @@ ORACLE: dict[str, str] = {
     "period_audit": """WITH o AS (SELECT *, year(o_orderdate) - 100 AS y FROM orders), p AS (SELECT *, CASE WHEN y BETWEEN 1800 AND 1849 THEN '1800-1849' WHEN y BETWEEN 1850 AND 1879 THEN '1850-1879' WHEN y BETWEEN 1880 AND 1909 THEN '1880-1909' WHEN y BETWEEN 1910 AND 1929 THEN '1910-1929' END AS period FROM o)
         SELECT period, o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key FROM p WHERE period IS NOT NULL GROUP BY ALL""",
     "first_urls": "WITH p AS (SELECT regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host, url, page_id FROM pages) SELECT host, min_by(url, page_id) AS url, min(page_id) AS pos FROM p GROUP BY host",
+    "seen_urls": """WITH p AS (SELECT page_id AS pos, ['http://www.loc.gov/', 'https://www.loc.gov/', 'http://x.org/'][page_id % 7 % 3 + 1] || (page_id % 40) AS raw FROM pages), r AS (SELECT *, replace(raw, 'http://www.loc.gov/', 'https://www.loc.gov/') AS url FROM p)
+        SELECT pos, raw, url FROM r WHERE raw <> url OR NOT EXISTS (SELECT 1 FROM r e WHERE e.url = r.url AND e.pos < r.pos)""",
     "page_numbers": "SELECT conv_id AS issue, turn AS pos, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS page FROM conversations WHERE role = 'user' AND text <> ''",
     "oai_records": f"SELECT item_id, 'oai:' || item_id AS oai_identifier, 't1' AS token, length({_CLEANED.replace(_CLEAN, 'text')}) AS n FROM benchmark",
     "unfetched_urls": "SELECT DISTINCT url, sha256(url) AS key FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE length(html) > 3000)",

@@ -37,3 +37,16 @@ def as_documents(df: DataFrame, *keep: str) -> DataFrame:
     authors = F.coalesce(F.col("authors"), F.array()) if "authors" in df.columns else F.array()
     out.append(authors.cast("array<string>").alias("authors"))
     return df.select(*out, *keep).select(*[f.name for f in DOCUMENT.fields], *keep)
+
+
+def place_of(kind: str, root: str, country: str, mode: str) -> str:
+    """Where a country's `corpus` or `index` of a mode (native or english) lies below root; america's native ones have no mode."""
+    names = {"corpus": ("corpus", ".jsonl"), "index": ("index", "")}
+    name, end = names[kind]
+    own = "" if (country, mode) == ("america", "native") else f".{mode}"
+    return f"{root.rstrip('/')}/{country}/data/{name}{own}{end}"
+
+
+def content_mode(mode: str) -> str:
+    """The content_mode of documents of a mode."""
+    return "native" if mode == "native" else "english_translation"

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.records import catalogue_fields, strings
 from ..functions.text import clean_text, stable_id
+from ..operators import audit
 from ..schemas import as_documents
 from ..session import stored
 from . import archive, catalogue, leases, local, markup, newspapers, ordered, paged, tei
@@ -272,6 +273,30 @@ def newspaper_search(spark: SparkSession, fetch: Fetch = fetched, *, query: str
     return search_replies(spark, f"{NEWSPAPER_SEARCH}?{urllib.parse.urlencode(asked)}", fetch, total="$.pagination.of", rows=rows, key="sp")
 
 
+def canonical_item(url: Column) -> Column:
+    """An item's address with the scheme that the service gives today."""
+    return F.replace(url, F.lit("http://www.loc.gov/"), F.lit("https://www.loc.gov/"))
+
+
+def newspaper_sample(spark: SparkSession, per_period: int, fetch: Fetch = fetched) -> tuple[DataFrame, list[str]]:
+    """(records, errors): the items (pos, item as JSON) of a search of each of audit.PERIODS, and which searches failed.
+
+    Addresses are kept by audit.first_seen() in the order of the periods and their replies.
+    """
+    asked = [(k, f"{lo}-{hi}", f"{NEWSPAPER_SEARCH}?{urllib.parse.urlencode({'fo': 'json', 'c': per_period, 'dates': f'{lo}/{hi}', 'at': 'results'})}") for k, (lo, hi) in enumerate(audit.PERIODS)]
+    searches = spark.createDataFrame(asked, "period int, label string, url string")
+    replies = stored(searches.join(fetch(searches.select("url")), "url", "left"), "searches")
+    shape = F.from_json(F.get_json_object("text", "$.results"), "array<map<string,string>>")
+    good = shape.isNotNull()
+    errors = [f"{r['label']}: {r['error'] or 'no results'}" for r in replies.where(~good).orderBy("period").collect()]  # a row a period
+    found = replies.where(good).select("period", F.posexplode(shape).alias("nth", "m"))
+    raw = F.coalesce(F.nullif(F.try_element_at("m", F.lit("id")), F.lit("")), F.try_element_at("m", F.lit("url")))
+    urls = audit.first_seen(found.select(raw.alias("raw"), canonical_item(raw).alias("item_url"), _place(F.col("period"), F.col("nth")).alias("pos")), "raw", "item_url", "pos")
+    urls = stored(urls.withColumn("url", F.concat("item_url", F.when(F.contains("item_url", F.lit("?")), "&").otherwise("?"), F.lit("fo=json&at=item,resources"))), "sample")
+    items = _there(fetch(urls.select("url"))).join(urls, "url")
+    return items.select("pos", F.coalesce(F.get_json_object("text", "$.item"), "text").alias("item")).orderBy("pos"), errors
+
+
 def newspaper_documents(search: DataFrame | Iterator[DataFrame], fetch: Fetch = fetched, *, limit: int | None = None, date_from: int = 1900, date_to: int = 1929, max_bytes: int = local.MAX_BYTES) -> DataFrame:
     """Documents of newspaper pages in the order of search replies. search: (text), JSON with results, or blocks of such with page."""
 

@@ -108,8 +108,8 @@ def client(reply, **over):
 
 def test_strict_client():
     c = client(envelope(list(reversed(ASKED))))
-    assert c.run(ASKED) == ASKED and c.log[0]["response_id"] == "r1" and c.log[0]["input_sha256"] == c.log[0]["output_sha256"]
-    assert client(envelope(output=[], output_text=json.dumps({"translations": ASKED}))).run(ASKED) == ASKED
+    assert c.run(ASKED).rows == ASKED and c.log[0]["response_id"] == "r1" and c.log[0]["input_sha256"] == c.log[0]["output_sha256"]
+    assert client(envelope(output=[], output_text=json.dumps({"translations": ASKED}))).run(ASKED).rows == ASKED
     with pytest.raises(RuntimeError, match="execute"):
         client(envelope(), execute=False).run(ASKED)
 

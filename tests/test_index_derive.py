@@ -86,6 +86,61 @@ def test_run_is_resumable_and_idempotent(spark, tmp_path):
     assert out.count() == 7 and out.where("source_document_id = '2'").first().text == "new" and out.where("source_document_id = '3'").first().title == "T3"
 
 
+def test_many_batches_leave_few_files_and_a_small_marker(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(derive, "SEGMENTS", 3)
+    d, m = docs(spark, 16), derive.Method("up", upper)
+    run = derive.Run(spark, str(tmp_path), "spain")
+    sizes = []
+    for k in range(2):  # every document twice: the second time its text has changed
+        now = d.withColumn("text", F.concat("text", F.lit(" " * k + "x" * k)))
+        assert run.execute(now, m, size=1) == 16
+        sizes.append(len((tmp_path / "marker.json").read_text()))
+    assert run.marker["batches"] == 32 and len(run.marker["segments"]) <= 3 and len(os.listdir(tmp_path / "segments")) <= 3
+    assert sizes[1] <= sizes[0] + 20 and sum(s["rows"] for s in run.marker["segments"]) <= 32
+    again = derive.Run(spark, str(tmp_path), "spain")
+    out = again.table("output")
+    assert out.count() == 16 and out.where("text LIKE '% x'").count() == 16
+    again.compact(most=0)
+    assert again.marker["segments"][0]["rows"] == 16 and derive.Run(spark, str(tmp_path)).table("output").count() == 16
+    assert again.execute(now, m) == 0
+    with pytest.raises(ValueError, match="belongs to spain"):
+        derive.Run(spark, str(tmp_path), "france")
+
+
+def test_bulk_gives_what_one_batch_at_a_time_gives(spark, tmp_path):
+    d, m = docs(spark, 30), derive.Method("up", lambda rows: [{**r, "title": r["title"].upper()} for r in reversed(rows)])
+    one, all_ = derive.Run(spark, str(tmp_path / "a")), derive.Run(spark, str(tmp_path / "b"))
+    assert one.execute(d, m, size=10) == all_.execute(d, m, size=10, bulk=True) == 30
+    assert sorted(map(tuple, one.table("output").collect())) == sorted(map(tuple, all_.table("output").collect()))
+    assert one.verify() == all_.verify() == 3 and len(all_.marker["segments"]) == 1 and all_.marker["batches"] == 3
+    assert all_.execute(d, m, bulk=True) == 0
+    with pytest.raises(ValueError, match="ceiling"):
+        derive.Run(spark, str(tmp_path / "c")).execute(d, m, bulk=True, max_input=10)
+
+
+def test_changed_or_repeated_rows_raise(spark, tmp_path):
+    run = derive.Run(spark, str(tmp_path / "run"))
+    run.execute(docs(spark, 3), derive.Method("up", upper))
+    name = run.marker["segments"][0]["name"]
+    path = str(tmp_path / "run" / "segments" / name)
+    good = spark.createDataFrame(spark.read.parquet(path).collect(), run.ROWS)
+    for bad, what in ((good.withColumn("text", F.lit("other")), "has changed"), (good.unionByName(good), "twice in a batch")):
+        bad.write.mode("overwrite").parquet(path)
+        with pytest.raises(Exception, match=what):
+            derive.Run(spark, str(tmp_path / "run")).table("output").collect()
+    good.write.mode("overwrite").parquet(path)
+    assert run.table("output").count() == 3 and run.verify() == 1
+
+
+@pytest.mark.parametrize("over", [{"input_sha256": "0"}, {"output_sha256": "0"}])
+def test_replies_whose_hashes_differ_raise(spark, tmp_path, over):
+    def reply(rows):
+        return derive.Reply(**{"rows": rows, "input_sha256": derive.digest(rows), "output_sha256": derive.digest(rows), **over})
+
+    with pytest.raises(RuntimeError, match="hash"):
+        derive.Run(spark, str(tmp_path)).execute(docs(spark, 2), derive.Method("m", reply))
+
+
 @pytest.mark.parametrize("reply", [lambda b: b[:-1], lambda b: b + b[:1], lambda b: [{**r, "x": "1"} for r in b], lambda b: [{**r, "text": 1} for r in b], lambda b: "no", lambda b: [{**r, "id": "z"} for r in b], lambda b: [{"id": r["id"]} for r in b]])
 def test_malformed_replies_write_nothing_and_need_a_retry(spark, tmp_path, reply):
     d, run = docs(spark, 2), derive.Run(spark, str(tmp_path))

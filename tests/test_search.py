@@ -1,6 +1,7 @@
 import random
 
-from cairn.operators import blocks
+import numpy as np
+from cairn.operators import blocks, pivots
 from cairn.operators import search as s
 from cairn.operators.embed import HashingEmbedder, embed
 from pyspark.sql import functions as F
@@ -79,3 +80,34 @@ def test_search_filters_and_prompt(spark):
     text = s.context_prompt("Q?", got).first().prompt
     assert "[S1]" in text and "(undated)" in text and "Document ID: a" in text and "MACHINE TRANSLATION" not in text
     assert s.search(c, v, "", e.query("").tolist(), top_k=2).count() == 2
+
+
+def clustered(n, dim=16, seed=4):
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(12, dim)) * 3
+    return [(str(k), k, [float(np.float32(x)) for x in centre[k % 12] + rng.normal(size=dim) * 0.3]) for k in range(n)]
+
+
+def test_pivots_give_the_nearest_and_read_few_blocks(spark, tmp_path):
+    rows = clustered(4000)
+    v = spark.createDataFrame(rows, "id string, pos bigint, embedding array<float>").repartition(4)
+    index = pivots.kept(v, str(tmp_path / "p"), str(tmp_path / "none"), rows=100)
+    assert index.blocks.agg(F.max("n")).first()[0] < 400
+    for k, q in ((10, rows[7][2]), (100, rows[30][2]), (1, [0.0] * 16), (5000, rows[1][2])):
+        log = {}
+        got = [(r.id, round(r.dense_score, 9)) for r in pivots.top(index, q, k, log).collect()]
+        assert got == [(r.id, round(r.dense_score, 9)) for r in s.dense_top(v, q, k).orderBy("rank").collect()]
+        if k == 10:
+            assert log["read"] < 0.4 * log["blocks"]
+
+
+def test_pivots_of_awkward_vectors(spark, tmp_path):
+    same = [1.0, 0.0, 2.0]
+    rows = [(str(k), k, same) for k in range(300)] + [("short", 300, [5.0]), ("none", 301, None), ("empty", 302, []), ("part", 303, [None, 1.0, None])]
+    v = spark.createDataFrame(rows, "id string, pos bigint, embedding array<float>")
+    index = pivots.kept(v, str(tmp_path / "p"), rows=20)
+    assert index.blocks.agg(F.max("n")).first()[0] < 100  # equal vectors don't meet in one block
+    got = [(r.id, r.dense_score) for r in pivots.top(index, [1.0, 1.0, 0.0], 400).collect()]
+    assert got == [("short", 5.0), *[(str(k), 1.0) for k in range(300)], ("part", 1.0), ("empty", 0.0)]
+    nothing = pivots.kept(v.limit(0), str(tmp_path / "q"), str(tmp_path / "none"))
+    assert pivots.top(nothing, [1.0], 5).count() == 0

@@ -1,10 +1,13 @@
 import hashlib
 import io
 import json
+import random
 
 import pytest
+from cairn import schemas
+from cairn.functions import records
 from cairn.operators import audit
-from cairn.sources import archive, catalogue, local, markup, newspapers, paged, registry, tei
+from cairn.sources import archive, catalogue, harvest, local, markup, newspapers, paged, registry, tei
 from pyspark.sql import functions as F
 
 
@@ -228,3 +231,54 @@ def test_tei_documents_and_review_list(spark, tmp_path):
     text = out.read_text(encoding="utf-8-sig")
     assert text.splitlines()[0].startswith("tcp_id,title") and "N2,Poems on things,1790,A,Poetry" in text
     assert tei.write_review_list(files.limit(0), str(out)) == (0, 0) and out.read_text(encoding="utf-8-sig").strip() == "tcp_id"
+
+
+def test_values_at_any_depth(spark):
+    deep = "[" * 50 + '"deep"' + "]" * 50
+    values = {deep: ["deep"], "null": [], '"a\\"[b"': ['a"[b'], "7": ["7"], "1.50": ["1.50"], "true": ["True"], '{"z": [1, {"q": 2}], "a": "x: {"}': ["z", "a"], '[1, null, "", {"k": null}, [["m"], {}], "é\\u00e9"]': ["1", "", "k", "m", "éé"], "[]": [], "{}": []}
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert {r.v: r.x for r in df.select("v", records.strings_in(F.col("v")).alias("x")).collect()} == values
+    got = spark.createDataFrame([('{"subject":["b",["a",{"y":1,"c":2}]," "],"subjects":"[x]","item":{"subject":"b","subjects":null}}',), (None,), ("{",)], "r string").select(records.both_levels(F.col("r"), "subject", "subjects").alias("x")).collect()
+    assert [r.x for r in got] == [["b", "a", "y", "c", "[x]"], [], []]
+
+
+def test_seen_addresses_equal_a_sequential_reader(spark):
+    rng = random.Random(2)
+    for n in (0, 1, 60):
+        urls = [rng.choice(["http://www.loc.gov/", "https://www.loc.gov/", "http://x/", ""]) + str(rng.randint(0, 6)) if rng.random() > 0.1 else rng.choice([None, ""]) for _ in range(n)]
+        seen, want = set(), []
+        for k, raw in enumerate(urls):
+            if not raw or raw in seen:
+                continue
+            seen.add(raw.replace("http://www.loc.gov/", "https://www.loc.gov/"))
+            want.append(k)
+        rows = spark.createDataFrame(list(enumerate(urls)), "pos bigint, raw string").withColumn("url", harvest.canonical_item(F.col("raw")))
+        assert sorted(r.pos for r in audit.first_seen(rows, "raw", "url", "pos").collect()) == want
+
+
+def test_sample_of_newspapers(spark):
+    searches = {"1800/1849": {"results": [{"id": "http://www.loc.gov/a"}, {"url": "https://www.loc.gov/b?x=1"}, {}]}, "1850/1879": {"results": [{"id": "https://www.loc.gov/a"}, {"id": "http://www.loc.gov/c"}]}, "1910/1929": {"results": []}}
+    items = {"a": {"item": {"genre": ["Newspapers", "x"], "language": "english", "title": "", "n": 0}}, "b": {"genre": "Newspapers", "language": ["french", "english"], "it's": 1}}
+
+    def fetch(urls):
+        table = {}
+        for r in urls.collect():
+            part = next((v for k, v in searches.items() if f"dates={k.replace('/', '%2F')}" in r.url), None)
+            name = r.url.split("loc.gov/")[1][0]
+            if part is not None:
+                table[r.url] = json.dumps(part)
+            elif r.url.endswith("fo=json&at=item,resources") and name in items:
+                table[r.url] = json.dumps(items[name])
+        return harvest.replayed(table)(urls)
+
+    records_, errors = harvest.newspaper_sample(spark, 3, fetch)
+    assert [json.loads(r.item).get("language") for r in records_.collect()] == ["english", ["french", "english"]]
+    assert errors == ["1880-1909: not recorded"]
+    report = audit.field_report(records_)
+    assert report["records"] == 2 and report["field_coverage"] == {"genre": {"count": 2, "percent": 100.0}, "it's": {"count": 1, "percent": 50.0}, "language": {"count": 2, "percent": 100.0}, "n": {"count": 1, "percent": 50.0}}
+    assert report["selected_values"] == {"genre": {"Newspapers": 2, "x": 1}, "language": {"english": 2, "french": 1}, "type": {}}
+
+
+def test_places():
+    assert schemas.place_of("corpus", "d/", "america", "native") == "d/america/data/corpus.jsonl" and schemas.place_of("corpus", "d", "spain", "english") == "d/spain/data/corpus.english.jsonl"
+    assert schemas.place_of("index", "d", "america", "english") == "d/america/data/index.english" and schemas.content_mode("english") == "english_translation" and schemas.content_mode("native") == "native"
