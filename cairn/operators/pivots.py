@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..files import Files, kept_folder
 from ..session import stored
@@ -84,7 +85,7 @@ def write(vectors: DataFrame, path: str, *, rows: int = BLOCK_ROWS) -> dict:
             at, far = _nearest(_matrix(b.column(2), dim), pivots)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at.astype(np.int32)), pa.array(far)], [*b.schema.names, "pivot", "far"])
 
-    placed = stored(own.mapInArrow(run, own.schema.add("pivot", "int").add("far", "double")), "placed")
+    placed = stored(own.mapInArrow(run, T.StructType([*own.schema.fields, T.StructField("pivot", T.IntegerType()), T.StructField("far", T.DoubleType())])), "placed")
     parts = placed.groupBy("pivot").agg(F.ceil(F.count("*") / rows).cast("int").alias("parts"))  # PIVOTS rows at most
     centres = spark.createDataFrame([(k, p.tolist()) for k, p in enumerate(pivots)], "pivot int, centre array<double>")
     dealt = placed.join(F.broadcast(parts), "pivot").withColumn("block", F.col("pivot").cast("bigint") * (1 << 32) + F.pmod(F.xxhash64("id", "pos"), F.col("parts")))
