@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import outside, packed, regex_spans, running_max, unpacked
+from .common import outside, packed, regex_spans, running_max, stored, unpacked
 
 # The base patterns, written so that no input makes them backtrack. A run is entered at its start (or
 # where the last match ended), which finds the same leftmost matches.
@@ -69,47 +69,72 @@ def scan(docs: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
     return a.select("row", F.xxhash64("t").alias("key"), "base", F.expr(f"CASE WHEN size(base) > 0 THEN {free} ELSE {none} END").alias("terms"))
 
 
-def _held(scanned: DataFrame) -> DataFrame:
-    """(key, entity, own): each entity of each document, once, with the document's distinct terms."""
-    # the lists come first, as what stands beside a generator is computed for each row that it makes; outer generators,
-    # as a filter inferred for inner ones would compute the lists a second time
-    a = scanned.selectExpr("key", "array_distinct(transform(terms, x -> x.m)) AS own", "array_distinct(transform(base, x -> xxhash64(x.m))) AS entities")
-    return a.selectExpr("key", "own", "explode_outer(entities) AS entity").where("entity IS NOT NULL")
+def _texts(scanned: DataFrame) -> DataFrame:
+    """(key, m, own, entities): each text with an entity once, its number of rows, its distinct words and entities."""
+    a = scanned.where("size(base) > 0").selectExpr("key", "array_distinct(transform(terms, x -> x.m)) AS own", "array_distinct(transform(base, x -> xxhash64(x.m))) AS entities")
+    return a.groupBy("key").agg(F.count("*").alias("m"), F.first("own").alias("own"), F.first("entities").alias("entities"))
 
 
-def disclosures(docs: DataFrame, *, alpha: float = ALPHA, support: int = SUPPORT, scanned: DataFrame | None = None) -> DataFrame:
-    """(entity, term, n_both, n_term, n_entity, pmi): terms that disclose an entity, from counts over all documents.
+def _grouped(held: DataFrame, value: str, support: int) -> DataFrame:
+    """(value, n, class): the values that `support` rows hold. held: (key, m, value). Values of equal sets of texts have one
+    class, a hash of the number of rows and of two sums over the texts."""
+    sums = held.groupBy(value).agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.pmod(F.xxhash64("key"), F.lit(2147483647))).alias("s"), F.bit_xor(F.xxhash64("key", F.lit("x"))).alias("x"))
+    return sums.where(F.col("n") >= support).select(value, "n", F.xxhash64("n", "s", "x").alias(f"{value}_class"))
+
+
+def disclosing(docs: DataFrame, *, alpha: float = ALPHA, support: int = SUPPORT, scanned: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(terms, members): the terms that disclose the entities of a class, and the entities of each class.
 
-    Entities and terms are 64-bit hashes (xxhash64) of the value and of the lower-cased word, so that the tables of
-    counts, the large shuffles, stay narrow; they are summed before the exchange. Pairs are counted only for entities
-    that `support` documents hold. Terms may have any length and never lie inside an entity. Copies count as
-    documents. An empty table discloses nothing. scanned: scan() of the same documents, if it is there already.
+    terms: (entity_class, term, n_both, n_term, n_entity, pmi); members: (entity, entity_class). Counts are over all rows
+    of docs. Only sets of texts matter to them, so entities that the same texts hold are one class, and so are terms: a
+    contact list of n addresses and n words that stands in several documents makes one pair, not n * n. Pairs are counted
+    only for entities and terms that `support` rows hold. Entities and terms are 64-bit hashes (xxhash64) of the value and
+    of the lower-cased word. Terms may have any length and never lie inside an entity. Copies count as documents. An empty
+    table discloses nothing. scanned: scan() of the same documents, if it is there already.
     """
-    held = _held(scan(docs, ()) if scanned is None else scanned)
-    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    both = held.join(entities, "entity").selectExpr("entity", "n_entity", "explode_outer(own) AS term").where("term IS NOT NULL")
-    both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity")).where(F.col("n_both") >= support)
+    texts = stored(_texts(scan(docs, ()) if scanned is None else scanned), "entity-texts")
+    # the lists come first, as what stands beside a generator is computed for each row that it makes
+    held = texts.selectExpr("key", "m", "explode_outer(entities) AS entity").where("entity IS NOT NULL")
+    members = stored(_grouped(held, "entity", support), "entity-classes")
+    classes = held.join(members, "entity").select("key", "m", "entity_class").distinct()
+    near = texts.join(classes.select("key").distinct(), "key", "left_semi").selectExpr("key", "m", "explode_outer(own) AS term").where("term IS NOT NULL")
+    terms = stored(_grouped(near, "term", support), "term-classes")
+    both = classes.join(near.join(terms, "term").select("key", "term_class").distinct(), "key").groupBy("entity_class", "term_class").agg(F.sum("m").alias("n_both")).where(F.col("n_both") >= support)
     words = docs.selectExpr(f"explode_outer(array_distinct(transform(regexp_extract_all(lower(text), r'{TERM}', 0), w -> xxhash64(w)))) AS term").where("term IS NOT NULL")
     counts = words.groupBy("term").agg(F.count("*").alias("n_term"))
     total = float(max(1, docs.count()))
-    out = both.join(counts, "term")
+    sizes = members.groupBy("entity_class").agg(F.first("n").alias("n_entity"))
+    out = both.join(terms.select("term", "term_class"), "term_class").join(counts, "term").join(sizes, "entity_class")
     out = out.withColumn("pmi", F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))))
     kept = (F.col("pmi") > 0) & (F.col("pmi") >= F.lit(alpha) * F.log2(F.lit(total) / F.col("n_entity")))
-    return out.where(kept).select("entity", "term", "n_both", "n_term", "n_entity", "pmi")
+    return out.where(kept).select("entity_class", "term", "n_both", "n_term", "n_entity", "pmi"), members.select("entity", "entity_class")
+
+
+def disclosures(docs: DataFrame, *, alpha: float = ALPHA, support: int = SUPPORT, scanned: DataFrame | None = None) -> DataFrame:
+    """(entity, term, n_both, n_term, n_entity, pmi): disclosing() with a row for each entity of a class, for reports; the
+    rows grow with entities times terms, so find() takes disclosing() itself as well."""
+    terms, members = disclosing(docs, alpha=alpha, support=support, scanned=scanned)
+    return members.join(terms, "entity_class").select("entity", "term", "n_both", "n_term", "n_entity", "pmi")
 
 
-def find(docs: DataFrame, disclosed: DataFrame, *, scanned: DataFrame | None = None) -> DataFrame:
+def find(docs: DataFrame, disclosed: DataFrame | tuple[DataFrame, DataFrame], *, scanned: DataFrame | None = None) -> DataFrame:
     """docs with __personal: array<struct<s,rank,kind,e,m>> by start, then kind as listed.
 
     Base spans always stay; spans of kind `term` are all occurrences of the words that disclose an entity of the same
     text. Positions are code points, ends exclusive. A null or empty text has no spans; repeated rows keep their own.
-    A column of docs named __personal gives way. scanned: scan() of the same documents, whose kept columns then come out.
+    A column of docs named __personal gives way. disclosed: disclosing() or disclosures(). scanned: scan() of the same
+    documents, whose kept columns then come out.
     """
     a = scan(docs) if scanned is None else scanned
-    known = disclosed.select("entity", "term")
-    # documents without an entity that anything discloses send no terms
-    pairs = _held(a).join(known.select("entity").distinct(), "entity", "left_semi").selectExpr("key", "entity", "explode_outer(own) AS term").where("term IS NOT NULL")
-    hits = pairs.join(known, ["entity", "term"]).groupBy("key").agg(F.collect_set("term").alias("hits"))
+    if isinstance(disclosed, DataFrame):
+        disclosed = disclosed.select(F.col("entity").alias("entity_class"), "term"), disclosed.select("entity", F.col("entity").alias("entity_class")).distinct()
+    known, members = disclosed[0].select("entity_class", "term"), disclosed[1]
+    # texts without an entity that anything discloses send no terms
+    texts = _texts(a)
+    telling = members.join(known.select("entity_class").distinct(), "entity_class", "left_semi")
+    classes = texts.selectExpr("key", "explode_outer(entities) AS entity").where("entity IS NOT NULL").join(telling, "entity").select("key", "entity_class").distinct()
+    pairs = texts.select("key", "own").join(classes, "key").selectExpr("key", "entity_class", "explode_outer(own) AS term").where("term IS NOT NULL")
+    hits = pairs.join(known, ["entity_class", "term"]).groupBy("key").agg(F.collect_set("term").alias("hits"))
     a = a.join(hits, "key", "left")
     # in order of hash, a word is a hit if the last hit at or before it has its hash
     merged = "array_sort(concat(transform(hits, x -> struct(x AS h, 0 AS k, 0 AS s, 0 AS e)), transform(terms, x -> struct(x.m AS h, 1 AS k, x.s AS s, x.e AS e))))"

@@ -15,6 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language; a null text or one without a letter is `und` with score 0, see langid.predict()."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     a = langid.predict(docs, langid.fit(docs))
     return a.select("doc_id", held_out().alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"), F.col("__rejected").alias("rejected"))
@@ -28,30 +29,35 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity; null and empty texts have a score like others, see toxicity.score()."""
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     a = toxicity.score(docs, toxicity.fit(docs, labels))
     return a.select("doc_id", held_out().alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets; null and empty texts have none, see secrets.find() for repeated rows."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = stored(secrets.scan(docs, ("doc_id",)), "secrets")
     return secrets.digest(secrets.find(docs, secrets.fit(docs, scanned=scanned), scanned=scanned))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data; null and empty texts have none, see pii.find() for repeated rows."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = stored(pii.scan(docs, ("doc_id",)), "personal")
-    return pii.digest(pii.find(docs, pii.disclosures(docs, scanned=scanned), scanned=scanned))
+    return pii.digest(pii.find(docs, pii.disclosing(docs, scanned=scanned), scanned=scanned))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts and verdict; null and empty texts have no words and fail, see quality_rules.verdicts()."""
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     a = quality_rules.verdicts(docs, quality_rules.fit(docs, labels))
     return a.select("doc_id", *[F.col(f"__{k}").alias(k) for k in quality_rules.COUNTS], F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the token files; a null text has its end id only, see tokens.encode()."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.encode(docs, tokenizer_path=tokenizer_path())
 
@@ -70,6 +76,7 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality; null and empty texts have a score like others, see quality_cnn.score()."""
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     a = quality_cnn.score(docs, quality_cnn.fit(docs, labels))
     return a.select("doc_id", held_out().alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))

@@ -64,6 +64,17 @@ def test_long_inputs_take_linear_work(spark):
     assert time.time() - began < 120
 
 
+def test_a_copied_contact_list_makes_no_pair_of_each_name_and_word(spark):
+    many = " ".join(f"u{k}@x.org {'ab'[k % 2]}{k}word" for k in range(20_000))
+    docs = spark.createDataFrame([(k, many) for k in range(3)] + [(9, "aloneword x@y.org")], "doc_id int, text string")
+    began = time.time()
+    terms, members = pii.disclosing(docs)
+    assert members.count() == 20_000 and members.select("entity_class").distinct().count() == 1 and terms.count() == 20_000
+    found = {r.doc_id: (r.n_email, r.n_term) for r in pii.digest(pii.find(docs, (terms, members))).collect()}
+    assert found == {0: (20_000, 20_000), 1: (20_000, 20_000), 2: (20_000, 20_000), 9: (1, 0)}
+    assert time.time() - began < 120
+
+
 def test_markov_scores_equal_brute_force(spark):
     rng = random.Random(8)
     n = len(secrets.ALPHABET)
