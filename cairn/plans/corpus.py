@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import classify, records, text
-from ..operators import derive, embed, index, search
+from ..operators import chunking, derive, embed, index, search
 from ..schemas import as_documents
-from ..sources import archive, catalogue, harvest, local, newspapers, paged, registry
+from ..sources import archive, bronze, catalogue, harvest, local, newspapers, paged, registry
 from ..sources import markup as xml
 
 RIGHTS = ["Public Domain", "All rights reserved", "CC BY-SA 4.0", ""]
@@ -251,6 +251,63 @@ def archive_first(spark, d):
     return _archive(spark, d, 40)
 
 
+def letters_first(spark, d):
+    """The first sixty letters of a list, in its order, whose bodies are long enough: the limit is the operator."""
+    a = table(spark, d, "documents").where("doc_id IS NOT NULL")
+    record = F.struct(F.concat(F.lit("T"), "doc_id").alias("title"), F.concat(F.lit("https://f/documents/A/"), "doc_id", F.lit("/")).alias("permalink"), F.lit("p").alias("project"), _cycle(DATES).alias("date-from"))
+    listing = a.groupBy(F.expr("doc_id div 100").alias("page")).agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", record.alias("m")))), lambda x: x["m"])).alias("text"))  # a hundred rows each
+    replies = a.select(F.concat(F.lit(harvest.LETTERS_API + "A/"), "doc_id").alias("key"), F.to_json(F.struct(F.col("text").alias("content"), F.array(F.col("lang")).alias("recipients"))).alias("text"))
+    got = harvest.collect("founders", listing, fetch=harvest.recorded(replies), limit=60)
+    return got.select("id", "title", "date", F.get_json_object("metadata", "$.recipients[0]").alias("recipient"), F.length("text").cast("bigint").alias("n"))
+
+
+def json_replies(spark, d):
+    """What a table of replies gives of those that must be JSON: the last ones, malformed ones left out, after it was compacted."""
+    p = table(spark, d, "pages").select("page_id", F.concat(F.lit("https://p/"), "page_id").alias("url"), "html")
+    replies = bronze.Bronze(spark, _own(spark, "replies"))
+    replies.add(p.select("url", F.concat(F.lit('{"n":'), "page_id", F.lit("}")).alias("text")))
+    replies.add(p.where("page_id % 3 = 0").select("url", F.concat(F.lit('{"again":'), "page_id", F.lit("}")).alias("text")))
+    replies.add(p.where("page_id % 5 = 1").select("url", F.col("html").alias("text")))
+    replies.compact()
+    return replies.known(p.select("url"), as_json=True)
+
+
+def character_windows(spark, d):
+    """Windows of forty characters that overlap by ten."""
+    a = table(spark, d, "documents").where("text <> ''")
+    return a.select("doc_id", F.posexplode(chunking.char_windows(F.col("text"), 40, 10)).alias("nth", "t")).select("doc_id", "nth", F.md5("t").alias("h"))
+
+
+def _marked(rows):
+    return [{**r, "text": r["text"].replace("e", "3"), "title": r["title"] + "!"} for r in rows]
+
+
+def _derivable(spark, d):
+    a = _documents(spark, d).withColumns({"language": F.lit("es"), "rights": F.lit("Public domain"), "country": F.lit("spain"), "pos": F.col("doc_id")})
+    return derive.validated(as_documents(a, "pos"), "spain", "es")
+
+
+_BOUNDS = {"size": 50, "max_document": 10**9, "max_batch": 2 * 10**9, "max_input": 10**15}
+
+
+def derived_corpus(spark, d):
+    """All documents derived on the executors, then those that have changed once more; the last row of each."""
+    docs, method = _derivable(spark, d), derive.Method("marked", _marked)
+    run = derive.Run(spark, _own(spark, "derived"), "spain")
+    run.execute(docs, method, bulk=True, **_BOUNDS)
+    changed = F.col("pos") % 4 == 1
+    run.execute(docs.withColumn("text", F.when(changed, F.concat("text", F.lit(" new"))).otherwise(F.col("text"))), method, bulk=True, **_BOUNDS)
+    run.compact(most=0)
+    return run.table("output").select("source_document_id", "title", F.md5("text").alias("h"), "language", "content_mode")
+
+
+def derived_first(spark, d):
+    """The first hundred pending documents, derived in marked batches of fifty: the limit is the operator."""
+    run = derive.Run(spark, _own(spark, "derived"), "spain")
+    run.execute(_derivable(spark, d), derive.Method("marked", _marked), limit=100, **_BOUNDS)
+    return run.table("output").select("source_document_id", F.md5("text").alias("h"))
+
+
 def page_documents(spark, d):
     """Newspaper items of a catalogue in a range of years, with the first of their texts that is long enough."""
     a = table(spark, d, "documents")
@@ -269,7 +326,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         document_rows, eligible_rows, serial_chunks, books, letters, archive_documents, oai_documents, newspaper_issues, newspaper_pages, tei_texts, value_rules, resource_urls, manifest_urls,
-        catalogue_values, identities, prefixes, vector_norms, built_index, jsonl_rows, registry_sources, export_documents, archive_harvest, archive_first, page_documents, source_limit,
+        catalogue_values, identities, prefixes, vector_norms, built_index, jsonl_rows, registry_sources, export_documents, archive_harvest, archive_first, letters_first, json_replies, character_windows, derived_corpus, derived_first, page_documents, source_limit,
     )
 }
 
@@ -327,6 +384,12 @@ ORACLE: dict[str, str] = {
         FROM a WHERE {_YEAR.format('date')} <= 1929 AND {_OK('rights')} AND length(t) >= 100""",
     "archive_harvest": _HARVEST,
     "archive_first": f"SELECT * EXCLUDE (doc_id) FROM (SELECT * FROM ({_HARVEST.replace('SELECT', 'SELECT doc_id,', 1)}) ORDER BY doc_id LIMIT 40)",
+    "letters_first": f"""SELECT 'founders:A/' || doc_id AS id, 'T' || doc_id AS title, {_list(DATES)} AS date, lang AS recipient, length({_tidy('text')}) AS n FROM documents
+        WHERE {_list(DATES)} <> '' AND coalesce({_YEAR.format(_list(DATES))} <= 1929, true) AND length({_tidy('text')}) >= 80 ORDER BY doc_id LIMIT 60""",
+    "json_replies": """SELECT 'https://p/' || page_id AS url, '{"' || CASE WHEN page_id % 3 = 0 THEN 'again' ELSE 'n' END || '":' || page_id || '}' AS text FROM pages WHERE page_id % 5 <> 1""",
+    "character_windows": "WITH w AS (SELECT doc_id, text, unnest(range(0, greatest(0, length(text) - 11) + 1, 30)) AS i FROM documents WHERE text <> '') SELECT doc_id, (i // 30)::int AS nth, md5(substring(text, (i + 1)::bigint, 40)) AS h FROM w",
+    "derived_corpus": "SELECT doc_id::varchar AS source_document_id, 't!' AS title, md5(replace(text || CASE WHEN doc_id % 4 = 1 THEN ' new' ELSE '' END, 'e', '3')) AS h, 'en' AS language, 'english_translation' AS content_mode FROM documents",
+    "derived_first": "SELECT doc_id::varchar AS source_document_id, md5(replace(text, 'e', '3')) AS h FROM documents ORDER BY doc_id LIMIT 100",
     "page_documents": f"SELECT 'http://i/' || doc_id AS url, {_list(['1901', '1950', ''])} AS date, 'newspaper_page' AS genre FROM documents WHERE doc_id % 3 <> 0 AND {_list(['1901', '1950', ''])} <> '1950' AND length({_tidy('text')}) >= 100",
     "source_limit": "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 25",
 }

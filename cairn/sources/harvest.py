@@ -204,10 +204,12 @@ def from_archive(spark: SparkSession, country: dict, source: dict, fetch: Fetch
 
 
 def letter_documents(listing: DataFrame, fetch: Fetch = fetched, *, limit: int | None = None) -> DataFrame:
-    """Documents of dated letters. listing: (text), the collection's list as JSON: a list, or one under documents or results."""
+    """Documents of dated letters in the order of their list. listing: (text), the collection's list as JSON: a list, or one
+    under documents or results; and page if it comes in parts."""
     shape = "array<struct<title:string,permalink:string,project:string,authors:array<string>,`date-from`:string>>"
     part = F.coalesce(F.when(F.ltrim("text").startswith("["), F.col("text")), F.get_json_object("text", "$.documents"), F.get_json_object("text", "$.results"))
-    meta = listing.select(F.posexplode(F.from_json(part, shape)).alias("pos", "r")).select("pos", "r.title", F.regexp_replace("r.permalink", "/+$", "").alias("permalink"), "r.project", "r.authors", F.col("r.`date-from`").alias("date_from"))
+    page = F.col("page") if "page" in listing.columns else F.lit(0)
+    meta = listing.select(page.alias("page"), F.posexplode(F.from_json(part, shape)).alias("nth", "r")).select(_place(F.col("page"), F.col("nth")).alias("pos"), "r.title", F.regexp_replace("r.permalink", "/+$", "").alias("permalink"), "r.project", "r.authors", F.col("r.`date-from`").alias("date_from"))
 
     def build(part: DataFrame) -> DataFrame:
         ids = catalogue.dated_letters(part).select(F.concat(F.lit(LETTERS_API), "api_id").alias("url"))
