@@ -432,3 +432,19 @@ def test_awkward_rows(spark, awkward, labels, empty):
     assert sorted(str(r.doc_id) for r in found) == ([] if empty else ["4", "4", "None"])
     assert decontam.clean(docs, items).count() == (0 if empty else 6)
     assert decontam.clean(docs, items.limit(0)).count() == n and decontam.clean(docs, items).columns == docs.columns
+
+
+def test_leaks_of_items_of_any_id_and_length(spark):
+    rng = random.Random(11)
+    word = lambda low=3, high=9: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(low, high)))
+    long = " ".join(word(90, 110) for _ in range(800))  # about 80 KB
+    short = " ".join(word() for _ in range(40))
+    filler = [word() for _ in range(3000)]
+    fill = lambda n: " ".join(rng.choice(filler) for _ in range(n))
+    before = fill(140_000)
+    before = before[: (1 << 20) - len(long) // 2]  # the item stands across the end of the first step
+    docs = spark.createDataFrame([(1, f"{before} {long} {fill(500)}"), (2, fill(300)), (3, f"{fill(50)} {short} {fill(50)}")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([("q-1", long), ("", short), (None, "nothing of this is there at all")], "item_id string, text string")
+    got = sorted((r.doc_id, x.item_id) for r in decontam.search(docs, decontam.fit(docs, bench)).collect() for x in r["__leaks"])
+    assert got == [(1, "q-1"), (3, "")]
+    assert sorted(r.doc_id for r in decontam.clean(docs, bench).collect()) == [2]
