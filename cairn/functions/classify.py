@@ -18,7 +18,7 @@ NONFICTION_TITLES = (
     r"\bmemoir", r"\brecollections?\b", r"\bjournal of\b", r"\bletters? of\b", r"\bmanual of\b", r"\bhandbook\b", r"\bguide to\b", r"\bsermon",
     r"\baddress(?:es)?\b", r"\bconstitution\b", r"\bby-laws\b",
 )
-NONFICTION_CLASSES = tuple("ABCDEFGHJKLMNQRSTUVZ")
+NONFICTION_CLASSES = ("A", "B", "C", "D", "E", "F", "G", "H", "J", "K", "L", "M", "N", "Q", "R", "S", "T", "U", "V", "Z")
 REVIEW_TERMS = ("ballad", "drama", "elegy", "fiction", "hymn", "hymns", "novel", "play", "poems", "poetry", "psalm", "psalms", "romance", "song", "songs", "verse")
 LITERARY_TERMS = ("drama", "fiction", "juvenile fiction", "literary periodicals", "novel", "novels", "plays", "poems", "poetry", "short stories")
 LITERARY_TITLES = (r"\bliterary (?:magazine|journal|gazette|review)\b", r"\bfiction (?:magazine|weekly)\b", r"\bstory paper\b")
@@ -69,18 +69,29 @@ def joined_lower(values: Column) -> Column:
     return F.lower(F.array_join(F.coalesce(values, F.array()), " | "))
 
 
+# The reasons that decisions give.
+CLASS_FICTION, CLASS_OTHER = "fiction-heavy LC class: PZ", "nonfiction LC class: "
+FICTION_SUBJECT, FICTION_TITLE = "fiction subject: ", "fiction title pattern: "
+OTHER_SUBJECT, OTHER_TITLE = "nonfiction subject: ", "nonfiction title pattern: "
+NO_BOOK_SIGN = "no decisive subject, title, or LC-class signal"
+REVIEW_SUBJECT, REVIEW_TITLE = "subject contains '{}'", "title contains '{}'"
+LITERARY_SUBJECT, LITERARY_TITLE = "literary subject: ", "literary publication-title pattern: "
+NEWSPAPER_SIGN, NO_NEWSPAPER_SIGN = "LOC genre/format identifies a newspaper", "record lacks a decisive newspaper genre/format"
+SERIAL_MARK, NO_SERIAL_MARK = "OCR pattern: ", "no decisive serialized-fiction or poetry markers"
+
+
 def book_decision(title: Column, subjects: Column, call_numbers: Column) -> Column:
     """fiction, nonfiction or uncertain; signs of fiction win. Terms count anywhere in the joined subjects."""
     from .text import class_prefix
 
     title, subject = F.coalesce(title, F.lit("")), joined_lower(subjects)
     prefixes = F.filter(F.transform(F.coalesce(call_numbers, F.array()), class_prefix), lambda p: p != "")
-    pz = F.when(F.exists(prefixes, lambda p: p.startswith("PZ")), F.array(F.lit("fiction-heavy LC class: PZ"))).otherwise(F.array().cast("array<string>"))
-    fiction = F.concat(_listed("fiction subject: ", contained(subject, FICTION_TERMS)), _each("fiction title pattern: ", matching(title, FICTION_TITLES)), pz)
+    pz = F.when(F.exists(prefixes, lambda p: p.startswith("PZ")), F.array(F.lit(CLASS_FICTION))).otherwise(F.array().cast("array<string>"))
+    fiction = F.concat(_listed(FICTION_SUBJECT, contained(subject, FICTION_TERMS)), _each(FICTION_TITLE, matching(title, FICTION_TITLES)), pz)
     documentary = F.exists(prefixes, lambda p: F.substring(p, 1, 1).isin(*NONFICTION_CLASSES))
-    classes = F.when(documentary, F.array(F.concat(F.lit("nonfiction LC class: "), F.array_join(prefixes, ", ")))).otherwise(F.array().cast("array<string>"))
-    other = F.concat(_listed("nonfiction subject: ", contained(subject, NONFICTION_TERMS)), _each("nonfiction title pattern: ", matching(title, NONFICTION_TITLES)), classes)
-    none = F.array(F.lit("no decisive subject, title, or LC-class signal"))
+    classes = F.when(documentary, F.array(F.concat(F.lit(CLASS_OTHER), F.array_join(prefixes, ", ")))).otherwise(F.array().cast("array<string>"))
+    other = F.concat(_listed(OTHER_SUBJECT, contained(subject, NONFICTION_TERMS)), _each(OTHER_TITLE, matching(title, NONFICTION_TITLES)), classes)
+    none = F.array(F.lit(NO_BOOK_SIGN))
     return (
         F.when(F.size(fiction) > 0, decision(F.lit("fiction"), F.lit("high"), fiction))
         .when(F.size(other) > 0, decision(F.lit("nonfiction"), F.lit("high"), other))
@@ -92,7 +103,7 @@ def review_reasons(title: Column, subjects: Column) -> Column:
     """Why a text needs a look: a term anywhere in the subjects, or else as a word of the title; by term."""
     low, subject = F.lower(F.coalesce(title, F.lit(""))), joined_lower(subjects)
     tests = [
-        F.when(F.contains(subject, F.lit(t)), F.lit(f"subject contains '{t}'")).when(low.rlike(rf"(?U)\b{t}\b"), F.lit(f"title contains '{t}'"))
+        F.when(F.contains(subject, F.lit(t)), F.lit(REVIEW_SUBJECT.format(t))).when(low.rlike(rf"(?U)\b{t}\b"), F.lit(REVIEW_TITLE.format(t)))
         for t in REVIEW_TERMS
     ]
     return F.filter(F.array(*tests), lambda r: r.isNotNull())
@@ -100,13 +111,13 @@ def review_reasons(title: Column, subjects: Column) -> Column:
 
 def periodical_decision(title: Column, subjects: Column, genres: Column, formats: Column) -> Column:
     """literary, newspaper or uncertain; literary signs win."""
-    hits = F.concat(_listed("literary subject: ", contained(joined_lower(subjects), LITERARY_TERMS)), _each("literary publication-title pattern: ", matching(F.coalesce(title, F.lit("")), LITERARY_TITLES)))
+    hits = F.concat(_listed(LITERARY_SUBJECT, contained(joined_lower(subjects), LITERARY_TERMS)), _each(LITERARY_TITLE, matching(F.coalesce(title, F.lit("")), LITERARY_TITLES)))
     both = F.concat(F.coalesce(genres, F.array()), F.coalesce(formats, F.array()))
     paper = F.exists(both, lambda v: F.contains(F.lower(v), F.lit("newspaper")))
     return (
         F.when(F.size(hits) > 0, decision(F.lit("literary"), F.lit("high"), hits))
-        .when(paper, decision(F.lit("newspaper"), F.lit("high"), F.array(F.lit("LOC genre/format identifies a newspaper"))))
-        .otherwise(decision(F.lit("uncertain"), F.lit("low"), F.array(F.lit("record lacks a decisive newspaper genre/format"))))
+        .when(paper, decision(F.lit("newspaper"), F.lit("high"), F.array(F.lit(NEWSPAPER_SIGN))))
+        .otherwise(decision(F.lit("uncertain"), F.lit("low"), F.array(F.lit(NO_NEWSPAPER_SIGN))))
     )
 
 
@@ -116,8 +127,8 @@ def serial_decision(text: Column) -> Column:
     strong, weak = matching(text, STRONG_MARKS, "(?dU)"), matching(text, WEAK_MARKS, "(?dU)")
     literary = (F.size(strong) > 0) | (F.size(weak) >= 2)
     sure = F.when(F.size(strong) > 0, F.lit("high")).otherwise(F.lit("medium"))
-    return F.when(literary, decision(F.lit("literary"), sure, _each("OCR pattern: ", F.concat(strong, weak)))).otherwise(
-        decision(F.lit("retain"), F.lit("medium"), F.array(F.lit("no decisive serialized-fiction or poetry markers")))
+    return F.when(literary, decision(F.lit("literary"), sure, _each(SERIAL_MARK, F.concat(strong, weak)))).otherwise(
+        decision(F.lit("retain"), F.lit("medium"), F.array(F.lit(NO_SERIAL_MARK)))
     )
 
 

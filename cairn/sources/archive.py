@@ -11,6 +11,10 @@ from ..schemas import as_documents
 from .catalogue import preferred_file
 
 
+# The genre of the documents, and addresses of the service.
+GENRE, ITEM_PAGE, DOWNLOAD = "historical_text_ocr", "https://archive.org/details/", "https://archive.org/download/"
+
+
 def dated(found: DataFrame, cutoff: int) -> DataFrame:
     """Search rows with an identifier and a known year up to the cutoff, as __year: those whose item is worth a fetch."""
     year = earliest_year(F.array(F.coalesce("year", F.lit("")), F.coalesce("date", F.lit(""))))
@@ -22,7 +26,7 @@ def eligible(found: DataFrame, items: DataFrame, cutoff: int, max_bytes: int = 2
     own = items.select("identifier", *[F.nullif(F.col(k), F.lit("")).alias(f"i_{k}") for k in ("licenseurl", "title", "date")], F.col("creators").alias("i_creators"), *([F.col("subjects").alias("i_subjects")] if "subjects" in items.columns else []), "files")
     a = dated(found, cutoff).join(own, "identifier").withColumn("rights", F.coalesce("i_licenseurl", "licenseurl", F.lit(""))).where(rights_eligible(F.col("rights")))
     a = a.withColumn("file", preferred_file(F.col("files"), max_bytes)).where(F.col("file").isNotNull())
-    return a.withColumn("text_url", F.concat(F.lit("https://archive.org/download/"), "identifier", F.lit("/"), "file.name"))
+    return a.withColumn("text_url", F.concat(F.lit(DOWNLOAD), "identifier", F.lit("/"), "file.name"))
 
 
 def documents(found: DataFrame, items: DataFrame, texts: DataFrame, *, source: str, country: str, language: str, cutoff: int, caution: str = "", max_bytes: int = 20_000_000) -> DataFrame:
@@ -45,7 +49,7 @@ def documents(found: DataFrame, items: DataFrame, texts: DataFrame, *, source: s
     keep = [c for c in ("pos",) if c in a.columns]
     out = a.select(
         F.concat(F.lit(f"{source}:"), "identifier").alias("id"), F.lit(source).alias("source"), F.coalesce("i_title", F.nullif("title", F.lit("")), "identifier").alias("title"), "text",
-        F.concat(F.lit("https://archive.org/details/"), "identifier").alias("url"), F.coalesce("i_date", F.nullif("date", F.lit("")), F.col("__year").cast("string")).alias("date"), values("creators").alias("authors"),
-        F.lit("historical_text_ocr").alias("genre"), "rights", F.lit(country).alias("country"), F.lit(language).alias("language"), meta.alias("metadata"), *keep,
+        F.concat(F.lit(ITEM_PAGE), "identifier").alias("url"), F.coalesce("i_date", F.nullif("date", F.lit("")), F.col("__year").cast("string")).alias("date"), values("creators").alias("authors"),
+        F.lit(GENRE).alias("genre"), "rights", F.lit(country).alias("country"), F.lit(language).alias("language"), meta.alias("metadata"), *keep,
     )
     return as_documents(out, *keep)
