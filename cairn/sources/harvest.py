@@ -306,13 +306,13 @@ def newspaper_documents(search: DataFrame | Iterator[DataFrame], fetch: Fetch =
         page = F.col("page") if "page" in replies.columns else F.lit(1)
         found = replies.select(page.alias("page"), F.posexplode(F.from_json(F.get_json_object("text", "$.results"), "array<map<string,string>>")).alias("nth", "m"))
         own = F.coalesce(F.nullif(F.try_element_at("m", F.lit("id")), F.lit("")), F.try_element_at("m", F.lit("url")))
-        return found.select(own.alias("item_url"), _place(F.col("page"), F.col("nth")).alias("pos")).where("item_url IS NOT NULL")
+        return found.select(own.alias("item_url"), F.try_element_at("m", F.lit("title")).alias("listed_title"), _place(F.col("page"), F.col("nth")).alias("pos")).where("item_url IS NOT NULL")
 
     def build(part: DataFrame) -> DataFrame:
-        urls = part.groupBy("item_url").agg(F.min("pos").alias("pos"))
+        urls = part.groupBy("item_url").agg(F.min_by("listed_title", "pos").alias("listed_title"), F.min("pos").alias("pos"))
         asked = urls.withColumn("url", F.concat("item_url", F.when(F.contains("item_url", F.lit("?")), "&").otherwise("?"), F.lit("fo=json")))
         replies = _there(fetch(asked.select("url"))).join(asked, "url")
-        items = stored(replies.select("item_url", "pos", F.coalesce(F.get_json_object("text", "$.item"), F.lit("{}")).alias("item"), F.coalesce(F.get_json_object("text", "$.resources"), F.get_json_object("text", "$.item.resources"), F.lit("[]")).alias("resources")), "items")
+        items = stored(replies.select("item_url", "listed_title", "pos", F.coalesce(F.get_json_object("text", "$.item"), F.lit("{}")).alias("item"), F.coalesce(F.get_json_object("text", "$.resources"), F.get_json_object("text", "$.item.resources"), F.lit("[]")).alias("resources")), "items")
         wanted = newspapers.newspapers_of(items, date_from, date_to).select(F.explode(newspapers.candidate_urls(F.col("resources"))).alias("url"))
         return newspapers.item_documents(items, _there(fetch(wanted)).select("url", F.col("text").alias("body")), date_from=date_from, date_to=date_to, max_bytes=max_bytes)
 

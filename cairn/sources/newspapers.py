@@ -13,6 +13,14 @@ from .catalogue import page_numbers
 
 # The name of the source, its rights notice and its genre.
 SOURCE, LEAST = "loc_chronicling_america", 100
+BATCH_REASON = "official NDNP Chronicling America batch page"
+# Metadata of an item's document, the keys of the item that may hold each, and what stands for none.
+ITEM_VALUES = (
+    ("partof", ("partof",), "[]"), ("newspaper_title", ("newspaper_title",), "[]"), ("date_issued", ("date_issued",), '""'), ("dates_of_publication", ("dates_of_publication",), '""'),
+    ("place_of_publication", ("place_of_publication",), '""'), ("location_city", ("location_city",), "[]"), ("location_county", ("location_county",), "[]"), ("location_state", ("location_state",), "[]"),
+    ("location_country", ("location_country",), "[]"), ("subjects", ("subject", "subjects"), "[]"), ("subject_headings", ("subject_headings",), "[]"), ("genre", ("genre",), "[]"),
+    ("publication_frequency", ("publication_frequency",), "[]"), ("edition_number", ("number_edition",), "[]"), ("call_number", ("call_number",), "[]"), ("medium", ("medium",), '""'), ("language", ("language",), "[]"),
+)
 NOTICE = "Library of Congress Chronicling America rights statement applies"
 
 
@@ -44,7 +52,7 @@ def page_documents(pages: DataFrame, replies: DataFrame) -> DataFrame:
     ocr = markup.parse_alto(replies.select(F.col("url").alias("ocr_url"), "xml"))
     a = pages.join(ocr, "ocr_url").where(F.length("text") >= LEAST)
     url = F.concat(F.lit("https://www.loc.gov/resource/"), "lccn", F.lit("/"), "date", F.lit("/ed-"), "edition", F.lit("/?sp="), "page")
-    meta = F.to_json(F.struct("ocr_url", "lccn", F.col("edition").alias("edition_number"), F.col("page").alias("page_number"), F.col("base").alias("batch_data_url"), F.lit("newspaper").alias("nonfiction_status"), F.lit("high").alias("nonfiction_confidence")))
+    meta = F.to_json(F.struct("ocr_url", "lccn", F.col("edition").alias("edition_number"), F.col("page").alias("page_number"), F.col("base").alias("batch_data_url"), F.lit("newspaper").alias("nonfiction_status"), F.lit("high").alias("nonfiction_confidence"), F.array(F.lit(BATCH_REASON)).alias("classification_reasons")))
     keep = [c for c in ("pos",) if c in a.columns]
     out = a.select(F.concat(F.lit("chronicling:"), stable_id(url)).alias("id"), F.lit(SOURCE).alias("source"), F.concat("label", F.lit(", page "), "page").alias("title"), "text", url.alias("url"), "date", F.lit("newspaper_page").alias("genre"), F.lit(NOTICE).alias("rights"), meta.alias("metadata"), *keep)
     return as_documents(out, *keep)
@@ -76,7 +84,7 @@ def newspapers_of(items: DataFrame, date_from: int = 1900, date_to: int = 1929)
 def item_documents(items: DataFrame, texts: DataFrame, *, date_from: int = 1900, date_to: int = 1929, max_bytes: int = 20_000_000) -> DataFrame:
     """Documents of catalogue items that are newspapers, of a year in range or unknown, with a text of 100 characters.
 
-    items: (item_url, item, resources) as JSON; texts: (url, body), a body may be JSON with full_text in its first
+    items: (item_url, item, resources) as JSON, and listed_title, the title for items without one; texts: (url, body), a body may be JSON with full_text in its first
     value. The first candidate address with a long enough text wins; metadata filters come before the texts.
     """
     it = F.col("item")
@@ -88,11 +96,17 @@ def item_documents(items: DataFrame, texts: DataFrame, *, date_from: int = 1900,
     best = got.groupBy("item_url").agg(F.min_by(F.struct("text_url", "text"), "nth").alias("x"))
     a = a.join(best, "item_url")
     url = F.coalesce(F.get_json_object(it, "$.id"), F.col("item_url"))
-    meta = F.to_json(F.struct(F.col("x.text_url").alias("ocr_url"), F.col("decision.status").alias("nonfiction_status"), F.col("decision.confidence").alias("nonfiction_confidence"), F.col("decision.reasons").alias("classification_reasons"), *[_list(it, k).alias(k) for k in ("newspaper_title", "location_city", "location_county", "location_state", "location_country", "subject", "genre", "call_number", "language")]))
+    whole = F.try_parse_json(it)
+    kept = []
+    for name, keys, default in ITEM_VALUES:  # as the catalogue has them, whatever their type
+        kept.append(F.coalesce(*[F.try_variant_get(whole, f"$.{k}", "variant") for k in keys], F.parse_json(F.lit(default))).alias(name))
+    manifest = F.coalesce(F.get_json_object("resources", "$[0].iiif_manifest_url"), F.lit("")).alias("iiif_manifest_url")
+    meta = F.to_json(F.struct(F.col("x.text_url").alias("ocr_url"), F.col("decision.status").alias("nonfiction_status"), F.col("decision.confidence").alias("nonfiction_confidence"), F.col("decision.reasons").alias("classification_reasons"), *kept, manifest))
     keep = [c for c in ("pos",) if c in a.columns]
+    listed = [F.col("listed_title")] if "listed_title" in a.columns else []
     first = lambda k, d: F.coalesce(F.try_element_at(_list(it, k), F.lit(1)), F.lit(d))
     out = a.select(
-        F.concat(F.lit("chronicling:"), stable_id(url)).alias("id"), F.lit(SOURCE).alias("source"), F.coalesce(F.get_json_object(it, "$.title"), F.lit("Newspaper page")).alias("title"), F.col("x.text").alias("text"),
+        F.concat(F.lit("chronicling:"), stable_id(url)).alias("id"), F.lit(SOURCE).alias("source"), F.coalesce(F.get_json_object(it, "$.title"), *listed, F.lit("Newspaper page")).alias("title"), F.col("x.text").alias("text"),
         url.alias("url"), "date", first("location", "").alias("place"), F.lit("newspaper_page").alias("genre"), first("rights_advisory", "Library of Congress rights statement applies").alias("rights"), meta.alias("metadata"), *keep,
     )
     return as_documents(out, *keep)

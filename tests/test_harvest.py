@@ -74,10 +74,12 @@ def test_collections(spark):
     cards = spark.createDataFrame([(json.dumps([{"id": "/i/1/", "Object_id": "1", "title": "Annual report of x", "item": {"subject": ["Labor"], "title": "Annual report of x", "date": ["1900"], "location": [{"ohio": 1}], "contributor": ["C"]}}, {"id": "/i/2", "title": "A novel"}]),)], "text string")
     got = harvest.collect("loc-books", files, cards, fetch=harvest.replayed({"https://x/1.txt": LONG, "https://x/2.txt": LONG})).collect()
     assert [(r.id, r.title, r.date, r.place, r.authors, r.url) for r in got] == [("locbook:1", "Annual report of x", "1900", "ohio", ["C"], "https://www.loc.gov/item/1")]
-    found = spark.createDataFrame([(json.dumps({"results": [{"id": "http://i/1"}, {"url": "http://i/2?x=1"}, {}]}),)], "text string")
-    item = lambda k: json.dumps({"item": {"title": "Daily", "genre": ["Newspapers"], "date": "1901"}, "resources": [{"fulltext_file": f"http://t/{k}"}]})
+    found = spark.createDataFrame([(json.dumps({"results": [{"id": "http://i/1", "title": "Daily"}, {"url": "http://i/2?x=1"}, {}]}),)], "text string")
+    item = lambda k: json.dumps({"item": {"genre": ["Newspapers"], "date": "1901", "subjects": "s", "medium": "paper", "number_edition": [2]}, "resources": [{"fulltext_file": f"http://t/{k}", "iiif_manifest_url": "http://m"}]})
     got = harvest.collect("chronicling", found, fetch=harvest.replayed({"http://i/1?fo=json": item(1), "http://i/2?x=1&fo=json": item(2), "http://t/1": LONG})).collect()
-    assert [r.url for r in got] == ["http://i/1"]
+    assert [(r.url, r.title) for r in got] == [("http://i/1", "Daily")]
+    meta = json.loads(got[0].metadata)
+    assert (meta["subjects"], meta["medium"], meta["edition_number"], meta["iiif_manifest_url"], meta["partof"], meta["date_issued"]) == ("s", "paper", [2], "http://m", [], "")
     batch = '<batch><issue lccn="sn1" issueDate="1900-01-02">sn1/1.xml</issue></batch>'
     mets = '<mets xmlns:xlink="http://www.w3.org/1999/xlink"><file USE="ocr"><FLocat xlink:href="p.xml"/></file></mets>'
     alto = f'<a><TextLine><String CONTENT="{LONG}"/></TextLine></a>'
