@@ -45,15 +45,19 @@ AROUND_ROLES = frozenset("navigation banner contentinfo complementary search dia
 #: Parts of class names and ids that hint at either; parts after a word of _WITHOUT say what a layout has or hasn't.
 CONTENT_HINTS = frozenset("content article post entry story main body text prose".split())
 AROUND_HINTS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense adbox adslot adunit banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup signin login paywall sidebar rail widget widgets"
+    "ad ads adv advert adverts advertisement advertising adsense adbox adslot adunit banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup signin login paywall cta sidebar aside rail widget widgets popular trending"
     " nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer colophon comment comments commentlist respond reply replies disqus discussion related recommended recirculation share sharing social popup modal overlay"
     " pagination pager toolbar copyright legal disclaimer skip".split()
 )
+#: Of these, what inside an article is its own head, whose headings belong to it.
+HEAD_HINTS = frozenset(("header", "masthead"))
 _WITHOUT = frozenset("has no not with without".split())
 #: What a start tag closes, if that was opened after what comes second.
 _CLOSES = {"li": (("li",), ("ul", "ol", "menu", "dir")), "tr": (("tr",), ("table",)), **{n: (("dt", "dd"), ("dl",)) for n in ("dt", "dd")}, **{n: (("td", "th"), ("tr", "table")) for n in ("td", "th")}}
 _SPOKEN = HEADINGS | frozenset("p article main section table ul ol".split())
 AROUND_ZONE, PLAIN, HINTED, MARKED = -1, 0, 1, 2
+#: Inside the head of an article: headings stand in the article's zone, all else around it.
+HEAD_ZONE = -2
 BLOCKS = "array<struct<text:string,words:int,linked:int,zone:int,heading:int>>"
 #: What the tree may ask: words and linked words (in thousandths) of the block, its predecessor and its successor (-1: none),
 #: how far its zone is below the highest of the page, the zone, and whether it is a heading.
@@ -86,10 +90,10 @@ PAGES = (
 
 
 def zone_of(name: str, rest: str, zone: int) -> int:
-    """The zone inside an element that stands in `zone`: marked or hinted as the article, plain, or around it (for good)."""
+    """The zone inside an element that stands in `zone`: marked or hinted as the article, its head, plain, or around it (for good)."""
     if zone == AROUND_ZONE or name in ("html", "body"):
         return zone
-    article, around, hints = name in ARTICLE, name in AROUND, False
+    article, around, head, hints = name in ARTICLE, name in AROUND and name != "header", name == "header", False
     for m in _ATTRIBUTE.finditer(rest) if rest else ():
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "role":
@@ -104,9 +108,14 @@ def zone_of(name: str, rest: str, zone: int) -> int:
                 if _WITHOUT.intersection(parts):
                     continue
                 # an article names its topics and its parts, so only whole names count there
-                around = around or (token.lower() in AROUND_HINTS if article else not AROUND_HINTS.isdisjoint(parts))
+                found = AROUND_HINTS.intersection([token.lower()] if article else parts)
+                around, head = around or not found <= HEAD_HINTS, head or not HEAD_HINTS.isdisjoint(found)
                 hints = hints or not CONTENT_HINTS.isdisjoint(parts)
-    return AROUND_ZONE if around else MARKED if article else max(zone, HINTED) if hints else zone
+    if around or head and zone == PLAIN:
+        return AROUND_ZONE
+    if head or zone == HEAD_ZONE:
+        return HEAD_ZONE
+    return MARKED if article else max(zone, HINTED) if hints else zone
 
 
 def blocks_of(page: str) -> list[tuple[str, int, int, int, int]]:
@@ -124,8 +133,9 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int, int]]:
                 words = text.count(" ") + 1
                 links = sum(len(x.split()) for x, own in parts if own)
                 heading = any(n in HEADINGS for n, _ in stack[-2:])
-                # a heading in the head of an article is the article's own
-                own = MARKED if heading and zone == AROUND_ZONE and [n for n, _ in stack if n in AROUND or n in ARTICLE][-2:] == ["article", "header"] and all(z != AROUND_ZONE for n, z in stack if n == "article") else zone
+                own = zone
+                if zone == HEAD_ZONE:
+                    own = next((z for _, z in reversed(stack) if z > PLAIN), AROUND_ZONE) if heading else AROUND_ZONE
                 out.append((text, words, min(links, words), own, int(heading)))
             parts.clear()
 

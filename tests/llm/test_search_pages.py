@@ -176,6 +176,12 @@ def test_main_text_of_bare_pages(spark):
     assert got[0].split("\n\n") == ["Head line here now", LONG, LONG + " x", LONG + " y"] and got[1:] == ["just words without any tag", ""]
 
 
+def test_heads_of_articles_and_pages(spark):
+    head = f"<div class='entry-header'><h1>Title</h1><p>{LONG}</p><div class=share>Share</div></div>"
+    got = texts(spark, f"<body><div class=page-header><h1>Site</h1></div><div class=post>{head}<p>Text</p></div></body>", f"<body><header><h1>Site</h1></header><main>{head}<p>Text</p><div class='no-sidebar story-body'><p>More</p></div></main></body>")
+    assert got == ["Title\n\nText", "Title\n\nText\n\nMore"]
+
+
 def test_awkward_pages(spark):
     deep = "<div>" * 20_000 + LONG
     got = texts(spark, None, "", "<", "<p", "<!--", "<article><p>a<!-- open", f"<article><p title='x>y'>{LONG}</p><p a='>open", "<article><button>no<p>yes</p></article>", deep, f"<article><p>{'lorem ' * 300_000}</p></article>")
