@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean, packed, unpacked
+from .common import lean, unpacked
 
 #: A comment, a declaration, or a tag with its attributes; quotes count after "=" only. Ends that are missing are at the end of the page.
 _TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
@@ -243,8 +243,8 @@ def rule(node: tuple, values: dict[str, Column]) -> Column:
     return F.when(values[name] <= most, rule(low, values)).otherwise(rule(high, values))
 
 
-def blocks(pages: DataFrame, html_column: str = "html") -> DataFrame:
-    """(row, b): the columns of pages as one struct, and the page's blocks; a null page has none."""
+def blocks(pages: DataFrame, html_column: str = "html", keep: tuple[str, ...] | None = None) -> DataFrame:
+    """(row, b): the kept columns of pages (all by default) as one struct, and the page's blocks; a null page has none."""
 
     @lean("pages")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,13 +261,14 @@ def blocks(pages: DataFrame, html_column: str = "html") -> DataFrame:
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, i + 1 - begin), lists], ["row", "b"])
                     size, begin = 0, i + 1
 
-    own = packed(pages.withColumn("text", F.col(html_column))) if html_column != "text" else packed(pages)
+    names = ["`" + c.replace("`", "``") + "`" for c in (pages.columns if keep is None else keep)]
+    own = pages.select(F.struct(*names).alias("row"), F.coalesce(F.col(html_column), F.lit("")).alias("t"))
     schema = T.StructType([own.schema["row"], T.StructField("b", T._parse_datatype_string(BLOCKS))])
     return own.mapInArrow(run, schema)
 
 
-def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
-    """pages with __text, the main text of the page, and __n_chars, its code points.
+def extract(pages: DataFrame, html_column: str = "html", keep: tuple[str, ...] | None = None) -> DataFrame:
+    """The kept columns of pages (all by default) with __text, the main text of the page, and __n_chars, its code points.
 
     Blocks keep their order and are joined by an empty line. Nothing that a block holds is cut. Null and empty pages, and
     pages of which no block is kept, have an empty text; repeated rows are each answered.
@@ -283,7 +284,7 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
         values |= {"zone": b["zone"], "below": F.col("top") - b["zone"], "heading": b["heading"]}
         return rule(tree(), values)
 
-    found = blocks(pages, html_column).withColumn("top", F.coalesce(F.array_max(F.transform("b", lambda b: b["zone"])), F.lit(0)))
+    found = blocks(pages, html_column, keep).withColumn("top", F.coalesce(F.array_max(F.transform("b", lambda b: b["zone"])), F.lit(0)))
     text = F.array_join(F.transform(F.filter("b", kept), lambda b: b["text"]), "\n\n")
     found = found.select("row", text.alias("t"))
     return unpacked(found, __text=F.col("t"), __n_chars=F.length("t").cast("long"))

@@ -97,7 +97,7 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with its main text; null and empty pages have an empty one; see pages.extract()."""
-    return pages.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", F.col("__text").alias("text"), F.col("__n_chars").alias("n_chars"))
+    return pages.extract(_table(spark, sf_dir, "pages"), keep=("page_id", "url")).select("page_id", "url", F.col("__text").alias("text"), F.col("__n_chars").alias("n_chars"))
 
 
 def tokenizer_path() -> str:

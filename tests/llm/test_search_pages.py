@@ -187,7 +187,9 @@ def test_awkward_pages(spark):
     got = texts(spark, None, "", "<", "<p", "<!--", "<article><p>a<!-- open", f"<article><p title='x>y'>{LONG}</p><p a='>open", "<article><button>no<p>yes</p></article>", deep, f"<article><p>{'lorem ' * 300_000}</p></article>")
     assert got[:6] == ["", "", "<", "", "", "a"] and got[6] == LONG + "\n\nopen" and got[7] == "yes" and got[8] == LONG and len(got[9]) == 6 * 300_000 - 1
     rows = spark.createDataFrame([(1, "a", "t", 5)], "page_id bigint, html string, text string, __n_chars int")
-    assert pages.extract(rows).collect()[0]["__text"] == "a"
+    got = pages.extract(rows)
+    assert [tuple(r) for r in got.collect()] == [(1, "a", "t", "a", 1)] and got.columns == ["page_id", "html", "text", "__text", "__n_chars"]
+    assert pages.extract(rows, keep=("page_id",)).columns == ["page_id", "__text", "__n_chars"]
     assert pages.extract(rows.limit(0)).collect() == [] and pages.extract(rows.unionAll(rows)).count() == 2
 
 
