@@ -32,3 +32,16 @@ def test_harvest_build_query(spark, tmp_path, capsys):
         cli.main(["derive", out, "spain", "es", str(tmp_path / "run"), str(tmp_path / "derived"), "m", "i"])
     text = capsys.readouterr().out
     assert '"added": 2' in text and '"listed": 1' in text and '"status": "enabled"' in text and '"chunks": 3' in text and "Historia del pueblo" in text and "QUESTION:\nhistoria" in text and '"documents": 3' in text and '"period": "1880-1909"' in text
+
+
+def test_collect(spark, tmp_path, capsys):
+    (tmp_path / "tei").mkdir()
+    for k in (2, 1, 3):
+        (tmp_path / "tei" / f"N{k}.xml").write_text(f"<TEI><title>Report {k}</title><p>{'words of it ' * 20}</p></TEI>")
+    out = str(tmp_path / "out")
+    assert cli.main(["collect", "evans", out, "--root", str(tmp_path / "tei"), "--limit", "2"]) == 0
+    assert sorted(r.id for r in spark.read.json(out).collect()) == ["evans:N1", "evans:N2"]
+    assert cli.main(["collect", "evans-tcp", out, "--root", str(tmp_path / "tei"), "--append"]) == 0
+    assert '"added": 3' in capsys.readouterr().out and spark.read.json(out).count() == 5
+    with pytest.raises(ValueError, match="unknown source"):
+        cli.main(["collect", "nothing", out])
