@@ -24,7 +24,10 @@ class Embedder(Protocol):
 
 
 class HashingEmbedder:
-    """Signed hashed counts of words, normalised: deterministic, no model."""
+    """Signed hashed counts of words, normalised: deterministic, no model.
+
+    A text without words, or whose counts cancel each other, has the axis of its own hash, so that it too has length 1.
+    """
 
     def __init__(self, dimensions: int = 64, document_prefix: str = "", query_prefix: str = ""):
         self.name, self.dimensions = f"hashing-{dimensions}", dimensions
@@ -34,10 +37,13 @@ class HashingEmbedder:
         import zlib
 
         v = np.zeros(self.dimensions, np.float32)
-        for w in text.lower().split():
+        words = text.lower().split()
+        for w in words:
             h = zlib.crc32(w.encode())
             v[h % self.dimensions] += 1 if h & 0x80000000 else -1
-        return v / max(float(np.linalg.norm(v)), 1e-12)
+        if not v.any():
+            v[zlib.crc32(" ".join(words).encode()) % self.dimensions] = 1
+        return v / float(np.linalg.norm(v))
 
     def documents(self, texts: list[str]) -> np.ndarray:
         return np.array([self._one(self.document_prefix + t) for t in texts], np.float32).reshape(len(texts), self.dimensions)

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 from cairn.operators import blocks, pivots
@@ -82,6 +83,17 @@ def test_search_filters_and_prompt(spark):
     assert s.search(c, v, "", e.query("").tolist(), top_k=2).count() == 2
 
 
+def test_every_text_has_a_vector_of_length_1(spark):
+    e = HashingEmbedder(16)
+    sign = lambda w: 1 if zlib.crc32(w.encode()) & 0x80000000 else -1
+    words = [f"w{k}" for k in range(200)]
+    a, b = next((a, b) for a in words for b in words if zlib.crc32(a.encode()) % 16 == zlib.crc32(b.encode()) % 16 and sign(a) != sign(b))
+    rows = spark.createDataFrame([("cancelled", f"{a} {b}"), ("empty", ""), ("blank", " \n"), ("null", None), ("plain", "one two")], "id string, text string")
+    got = embed(rows, e).select("id", F.round(F.sqrt(s.dot(F.col("embedding"), F.col("embedding"))), 3).alias("norm")).collect()
+    assert {r.id: r.norm for r in got} == dict.fromkeys(["cancelled", "empty", "blank", "null", "plain"], 1.0)
+    assert np.linalg.norm(e.query("")) == 1
+
+
 def clustered(n, dim=16, seed=4):
     rng = np.random.default_rng(seed)
     centre = rng.normal(size=(12, dim)) * 3
