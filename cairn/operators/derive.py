@@ -22,7 +22,7 @@ from ..functions.text import canonical_json, stable_id
 from ..session import stored
 from ..sources.local import write_jsonl
 
-#: Layout of a run's files; segments it may have, and rows of a file of a merged one, about.
+#: Layout of a run's files; segments it may have, and rows of a file of a merged one at most.
 VERSION, SEGMENTS, SEGMENT_ROWS = 3, 16, 200_000
 # Fields that are derived, and default bounds.
 FIELDS = ("id", "title", "text", "place", "genre")
@@ -74,26 +74,31 @@ def validated(docs: DataFrame, country: str, language: str) -> DataFrame:
 
 def pending(docs: DataFrame, state: DataFrame, output: DataFrame, method_key: str) -> DataFrame:
     """Documents not yet done. state: (document_id, identity, derived_id); output: (id, source_document_id, identity)."""
+    return not_done(docs.withColumn("identity", identity(method_key)), state, output).select(*docs.columns, "identity")
+
+
+def not_done(keyed: DataFrame, state: DataFrame, output: DataFrame) -> DataFrame:
+    """pending() of rows (id, identity) with any other columns; those without texts make small joins."""
     done = state.join(output.select(F.col("id").alias("derived_id"), F.col("source_document_id").alias("document_id"), F.col("identity").alias("own")), ["document_id", "derived_id"]).where(F.col("identity") == F.col("own"))
-    keyed = docs.withColumn("identity", identity(method_key))
-    return keyed.join(done.select(F.col("document_id").alias("id"), "identity"), ["id", "identity"], "left_anti").select(*docs.columns, "identity")
+    return keyed.join(done.select(F.col("document_id").alias("id"), "identity"), ["id", "identity"], "left_anti")
 
 
 #: Documents that one task packs, about.
 PACKED_ROWS = 50_000
 
 
-def batches(docs: DataFrame, *, size: int = 10, max_document: int = MAX_DOCUMENT_CHARS, max_batch: int = MAX_BATCH_CHARS, order: str = "pos", group: Column | None = None, task_rows: int = PACKED_ROWS) -> DataFrame:
+def batches(docs: DataFrame, *, size: int = 10, max_document: int = MAX_DOCUMENT_CHARS, max_batch: int = MAX_BATCH_CHARS, order: str = "pos", group: Column | None = None, task_rows: int = PACKED_ROWS, chars: Column | None = None) -> DataFrame:
     """(id, pos, chars, batch, batch_chars, grp): greedy batches in order, bounded by rows and by characters of a JSON array.
 
     Packing one sequence is a chain, but a task only has to know how many of its first rows (less than `size`) the batch
     before it takes. So rows (texts left behind) are dealt by ranges of (group, order); each task packs its range for
     every such beginning and returns the few results; the driver links them, with a few numbers for each range; a second
-    pass packs with the beginnings found. Equal orders go by id. A document over a bound fails the query.
+    pass packs with the beginnings found. Equal orders go by id. A document over a bound fails the query. chars: the
+    request_size() of each row, if it is known.
     """
     if not 1 <= size <= MAX_BATCH:
         raise ValueError(f"size must be from 1 to {MAX_BATCH}")
-    n = request_size()
+    n = request_size() if chars is None else chars
     fits = F.when((n > max_document) | (n + 2 > max_batch), F.raise_error(F.concat(F.lit("document too long: "), F.col("id")))).otherwise(n)
     a = docs.select((group if group is not None else F.lit("")).cast("string").alias("grp"), F.col(order).cast("bigint").alias("pos"), "id", fits.alias("chars"))
     ranges = max(1, -(-a.select("pos").count() // task_rows))
@@ -259,17 +264,22 @@ class Run:
     def _last(self, rows: DataFrame) -> DataFrame:
         """The last row of each source document; one that stands twice in a batch raises."""
         names = [c for c in rows.columns if c != "source_document_id"]
-        last = rows.groupBy("source_document_id").agg(F.max_by(F.struct(*names), "seq").alias("x"), F.count("*").alias("n"), F.count_distinct("seq").alias("m"))
+        # a set of the few seqs, as a distinct count would shuffle the rows twice
+        last = rows.groupBy("source_document_id").agg(F.max_by(F.struct(*names), "seq").alias("x"), F.count("*").alias("n"), F.size(F.collect_set("seq")).alias("m"))
         twice = F.raise_error(F.concat(F.lit("refusing a source document that stands twice in a batch: "), "source_document_id"))
         own = F.when(F.col("n") == F.col("m"), F.col("source_document_id")).otherwise(twice)
         return last.select(own.alias("source_document_id"), "x.*").select(*rows.columns)
 
     def table(self, name: str) -> DataFrame:
         """`output` or `state` as committed: the last row of each source document."""
-        rows = self._last(self._read(self.marker["segments"]))
         if name == "output":
-            return rows.where("row_sha256 IS NOT NULL").select(*[c.split()[0] for c in self.OUTPUT.split(", ")])
-        return rows.where("row_sha256 IS NOT NULL").select(F.col("source_document_id").alias("document_id"), "identity", F.col("id").alias("derived_id"))
+            return self._last(self._read(self.marker["segments"])).where("row_sha256 IS NOT NULL").select(*[c.split()[0] for c in self.OUTPUT.split(", ")])
+        return self._keys().select(F.col("source_document_id").alias("document_id"), "identity", F.col("id").alias("derived_id"))
+
+    def _keys(self) -> DataFrame:
+        """(source_document_id, identity, id) as committed: rows are checked where they are read, and texts stay there."""
+        rows = self._read(self.marker["segments"]).select("source_document_id", "identity", "id", "seq", "row_sha256")
+        return self._last(rows).where("row_sha256 IS NOT NULL").select("source_document_id", "identity", "id")
 
     def verify(self) -> int:
         """The number of batches whose rows, all of them there, give the batch's hash of output.
@@ -286,8 +296,21 @@ class Run:
         write_jsonl(unique_rows(self.table("output")), path)
 
     def plan(self, docs: DataFrame, method: Method, **bounds) -> DataFrame:
-        todo = pending(docs, self.table("state"), unique_rows(self.table("output")), method.key)
-        return batches(todo, **bounds)
+        return self._dealt(docs, method, None, bounds)[1]
+
+    def _dealt(self, docs: DataFrame, method: Method, limit: int | None, bounds: dict) -> tuple[DataFrame, DataFrame]:
+        """What is pending (id, identity), the first `limit` of it, and its batches(); without the texts."""
+        bounds, own = dict(bounds), {"id": F.col("id"), "identity": identity(method.key), "__chars": request_size()}
+        own |= {c: F.col(c) for c in ("pos", bounds.get("order", "pos")) if c in docs.columns}
+        if bounds.get("group") is not None:
+            own["__grp"], bounds["group"] = bounds["group"], F.col("__grp")
+        done = stored(self._keys(), "done")
+        state = done.select(F.col("source_document_id").alias("document_id"), "identity", F.col("id").alias("derived_id"))
+        todo = not_done(docs.select(*[c.alias(k) for k, c in own.items()]), state, unique_rows(done))
+        if limit is not None:
+            todo = todo.orderBy("pos").limit(max(0, limit))
+        todo = stored(todo, "pending")
+        return todo.select("id", "identity"), batches(todo, chars=F.col("__chars"), **bounds)
 
     def _append(self, derived: DataFrame, method: Method, n_batches: int) -> int:
         """Writes derived rows as a segment and lists it; returns their number."""
@@ -309,7 +332,8 @@ class Run:
         while k > 0 and (len(segments) - k < most or segments[k - 1]["rows"] <= 2 * total):
             k, total = k - 1, total + segments[k - 1]["rows"]
         merged, name = segments[k:], f"merged-{self.marker['next']}-{uuid.uuid4().hex[:8]}"
-        self._last(self._read(merged)).repartition(max(1, -(-total // SEGMENT_ROWS)), "source_document_id").write.parquet(f"{self.path}/segments/{name}")
+        # adaptive execution sizes the parts of the one shuffle
+        self._last(self._read(merged)).write.option("maxRecordsPerFile", SEGMENT_ROWS).parquet(f"{self.path}/segments/{name}")
         n = self._read([{"name": name}]).count()
         self._commit(segments=[*segments[:k], {"name": name, "rows": n}])
         for s in merged:
@@ -324,25 +348,23 @@ class Run:
         """
         if self.marker["in_flight"] and not retry:
             raise RuntimeError(f"batch {self.marker['in_flight']['batch_id']} may have run; look at it or allow a retry")
-        todo = pending(docs, self.table("state"), unique_rows(self.table("output")), method.key)
-        if limit is not None:
-            todo = todo.orderBy("pos").limit(max(0, limit))
-        dealt = batches(todo, **bounds)
-        keyed = todo.join(dealt.select("id", "batch", "batch_chars"), "id").select("pos", "batch", "batch_chars", "identity", *FIELDS)
-        # a batch reads its own row groups: rows lie in order of the batches
-        keyed.repartitionByRange("batch", "pos").sortWithinPartitions("batch", "pos").write.mode("overwrite").parquet(f"{self.path}/todo")
-        keyed = self.spark.read.parquet(f"{self.path}/todo")
-        each = keyed.groupBy("batch").agg(F.max("batch_chars").alias("chars"))
+        todo, dealt = self._dealt(docs, method, limit, bounds)
+        dealt = stored(todo.join(dealt.select("id", "batch", "batch_chars"), "id"), "dealt")
+        each = dealt.groupBy("batch").agg(F.max("batch_chars").alias("chars"))
         planned = each.agg(F.count("*").alias("n"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars")).first()
         if planned["chars"] > max_input:
             raise ValueError("the planned input is over the ceiling")
         if not planned["n"]:
             return 0
+        # only here the texts join, once
+        keyed = docs.drop("identity", "batch").join(dealt.select("id", "identity", "batch"), "id").select("pos", "batch", "identity", *FIELDS)
         if bulk:
             self._commit(in_flight={"batch_id": f"all {planned['n']}", "since": utc_now()})
             run = lambda table: pa.Table.from_pylist(_derived(table.sort_by("pos").to_pylist(), method), _ARROW)
             return self._append(keyed.groupBy("batch").applyInArrow(run, self.DERIVED), method, planned["n"])
-        done = 0
+        # a batch reads its own row groups: rows lie in order of the batches
+        keyed.repartitionByRange("batch", "pos").sortWithinPartitions("batch", "pos").write.mode("overwrite").parquet(f"{self.path}/todo")
+        keyed, done = self.spark.read.parquet(f"{self.path}/todo"), 0
         for b in each.select("batch").orderBy("batch").toLocalIterator():
             rows = [r.asDict() for r in keyed.where(F.col("batch") == b["batch"]).orderBy("pos").collect()]
             self._commit(in_flight={"batch_id": batch_key(rows, method), "ids": [r["id"] for r in rows], "since": utc_now()})

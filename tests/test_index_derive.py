@@ -184,3 +184,13 @@ def test_streams(spark, tmp_path):
     for k in range(2):
         derive_stream(document_stream(spark, str(tmp_path / "in")), str(tmp_path / "run"), m, str(tmp_path / f"d{k}")).awaitTermination()
     assert derive.Run(spark, str(tmp_path / "run")).table("output").count() == 4
+
+
+def test_texts_are_shuffled_once_for_the_output_and_not_for_the_state(spark, tmp_path):
+    run = derive.Run(spark, str(tmp_path))
+    assert run.execute(docs(spark, 6), derive.Method("up", lambda rows: [{**r, "title": r["title"].upper()} for r in rows]), bulk=True) == 6
+    plans = {k: run.table(k)._jdf.queryExecution().executedPlan().toString() for k in ("output", "state")}
+    assert [p.count("Exchange hashpartitioning") for p in plans.values()] == [1, 1]
+    kept = [x for x in plans["state"].splitlines() if "Aggregate" in x]
+    assert kept and not any("text" in x or "title" in x for x in kept)
+    assert not os.path.exists(tmp_path / "todo")  # a bulk run keeps no second copy of its texts
