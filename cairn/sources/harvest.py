@@ -96,9 +96,9 @@ def _one_url(spark: SparkSession, url: str) -> DataFrame:
     return spark.createDataFrame([(url,)], "url string")
 
 
-def search_replies(spark: SparkSession, address: str, fetch: Fetch, *, total: str, rows: int, key: str = "page") -> Iterator[DataFrame]:
+def search_replies(spark: SparkSession, address: str, fetch: Fetch, *, total: str, rows: int, key: str = "page", whole: bool = False) -> Iterator[DataFrame]:
     """Blocks of a search's replies as (page, url, text): the first page, then those that its total asks for, in blocks
-    that double. The pages of a block are fetched in parallel, and none before its block is asked for.
+    that double, or in one block if the whole search is wanted. The pages of a block are fetched in parallel, and none before its block is asked for.
 
     address: with its query but the page; total: the JSON path of the number of hits; rows: hits of a page; key: the
     query's name of the page. A page that can't be fetched raises, as its rows would be missing unseen.
@@ -115,7 +115,8 @@ def search_replies(spark: SparkSession, address: str, fetch: Fetch, *, total: st
     one = block(1, 1)
     hits = one.select(F.get_json_object("text", total).try_cast("bigint").alias("n")).first()
     yield one
-    pages, at, width = -(-(hits["n"] or 0) // rows) if hits else 0, 2, 1
+    pages, at = -(-(hits["n"] or 0) // rows) if hits else 0, 2
+    width = pages if whole else 1
     while at <= pages:
         yield block(at, min(pages, at + width - 1))
         at, width = at + width, 2 * width
@@ -191,7 +192,7 @@ def from_archive(spark: SparkSession, country: dict, source: dict, fetch: Fetch
     """Documents of a digital archive in the order of a search: all its pages, the items they list, the preferred text of each."""
     rows = rows or (SEARCH_ROWS if limit is None else min(SEARCH_ROWS, max(4 * limit, 20)))
     query = [("q", source["options"]["query"]), *(("fl[]", k) for k in ARCHIVE_FIELDS), ("rows", rows), ("output", "json")]
-    replies = search_replies(spark, f"{source['endpoint']}?{urllib.parse.urlencode(query)}", fetch, total="$.response.numFound", rows=rows)
+    replies = search_replies(spark, f"{source['endpoint']}?{urllib.parse.urlencode(query)}", fetch, total="$.response.numFound", rows=rows, whole=limit is None)
     cutoff = country["publication_cutoff"]
 
     def build(part: DataFrame) -> DataFrame:
@@ -418,11 +419,17 @@ def add_new(docs: DataFrame, path: str) -> int:
 
 
 def recorded(replies: DataFrame, key: Callable[[Column], Column] = lambda url: url) -> Fetch:
-    """A fetch that answers from a table (key, text) of any size; other addresses fail. key: an address's key in it."""
+    """A fetch that answers from a table (key, text) of any size; other addresses fail. key: an address's key in it.
+
+    Texts of keys that aren't asked for don't join: those outside the range of the asked keys aren't shuffled either, and
+    none is if the addresses are few enough for a broadcast.
+    """
 
     def run(urls: DataFrame) -> DataFrame:
-        own = urls.select("url").where("url IS NOT NULL").distinct().withColumn("key", key(F.col("url")))
-        a = own.join(replies, "key", "left").select("url", "text")
+        own = stored(urls.select("url").where("url IS NOT NULL").distinct().withColumn("key", key(F.col("url"))), "asked")
+        ends = own.agg(F.min("key").alias("low"), F.max("key").alias("high")).first()
+        known = replies.where(F.col("key").between(ends["low"], ends["high"])).join(own.select("key"), "key", "left_semi")
+        a = own.join(known, "key", "left").select("url", "text")
         return a.withColumn("error", F.when(F.col("text").isNull(), "not recorded"))
 
     return run

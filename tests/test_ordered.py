@@ -290,3 +290,27 @@ def test_pages_as_a_stream_that_goes_on_where_it_ended(spark, server, tmp_path):
     assert sorted(r.page for r in rows) == list(range(12))  # each page once
     assert max(Counter(q.get("resumptionToken", "") for _, q in server.asked).values()) <= 2  # a request that stop() cut off
     assert paged.catalogue_records(spark.read.parquet(out)).select("identifier").distinct().count() == 120
+
+
+def test_a_whole_harvest_fetches_in_two_blocks_and_joins_the_asked_replies_only(spark):
+    n = 45
+    page = lambda p: json.dumps({"response": {"numFound": n, "docs": [{"identifier": f"i{k}", "year": "1890", "title": f"T{k}", "licenseurl": "public domain"} for k in range(3 * p - 3, min(n, 3 * p))]}})
+    rows = [(f"page={p}", page(p)) for p in range(1, 16)]
+    rows += [(f"https://archive.org/metadata/i{k}", '{"metadata":{},"files":[{"name":"b.txt"}]}') for k in range(n)]
+    rows += [(f"https://archive.org/download/i{k}/b.txt", f"long text {k} " * 20) for k in range(n)]
+    fetch = harvest.recorded(spark.createDataFrame(rows, "key string, text string"), lambda url: F.coalesce(F.nullif(F.regexp_extract(url, r"&(page=\d+)\z", 1), F.lit("")), url))
+    asked = []
+
+    def counted(urls):
+        got = fetch(urls)
+        asked.append(got._jdf.queryExecution().optimizedPlan().toString())
+        return got
+
+    source = {"id": "ia", "protocol": "internet-archive", "endpoint": "https://s", "options": {"query": "q"}}
+    country = {"id": "spain", "language": "es", "publication_cutoff": 1929, "cutoff_note": ""}
+    got = harvest.collect_country(spark, country, source, fetch=counted, rows=3).collect()
+    assert [r.id for r in got] == [f"ia:i{k}" for k in range(n)]
+    assert len(asked) == 6  # pages, items and texts of the first page, and of all others at once
+    assert all("LeftSemi" in p for p in asked)
+    missing = fetch(spark.createDataFrame([("https://s&page=99",), ("none",)], "url string")).collect()
+    assert {(r.url, r.text, r.error) for r in missing} == {("https://s&page=99", None, "not recorded"), ("none", None, "not recorded")}
