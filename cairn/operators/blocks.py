@@ -53,7 +53,7 @@ def write(chunks: DataFrame, path: str) -> dict:
     average = size["tokens"] / max(1, size["n"])
     each = runs.select("pos", "length", F.explode("runs").alias("x")).select("x.term", F.floor(F.col("pos") / RANGE).alias("range"), F.struct("pos", "x.tf", "length").alias("p"))
     dealt = each.repartitionByRange("term", "range")  # the order of the files, and the grouping that blocks need
-    blocks = dealt.groupBy("term", "range").agg(F.count("*").cast("int").alias("n"), F.max(part(F.col("p.tf"), F.col("p.length"), average)).alias("top"), F.array_sort(F.collect_list("p")).alias("postings"))
+    blocks = dealt.groupBy("term", "range").agg(F.count("*").cast("int").alias("n"), F.max(part(F.col("p.tf"), F.col("p.length"), average)).alias("top"), F.sort_array(F.collect_list("p")).alias("postings"))
     blocks.sortWithinPartitions("term", "range").write.parquet(f"{path}/blocks")
     spark.read.parquet(f"{path}/blocks").groupBy("term").agg(F.sum("n").alias("df")).write.parquet(f"{path}/terms")
     return {"lexical_rows": size["rows"], "lexical_chunks": size["n"], "lexical_tokens": size["tokens"]}

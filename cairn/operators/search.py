@@ -59,7 +59,7 @@ def token_runs(chunks: DataFrame) -> DataFrame:
     """
     both = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
     tokens = F.concat(index_tokens(F.coalesce("text", F.lit(""))), index_tokens(F.coalesce("title", F.lit(""))), index_tokens(F.array_join(search_terms(both), " ")))
-    a = chunks.select("id", "pos", F.array_sort(tokens).alias("tokens")).withColumn("length", F.size("tokens"))
+    a = chunks.select("id", "pos", F.sort_array(tokens).alias("tokens")).withColumn("length", F.size("tokens"))
     # equal tokens stand side by side: where each term begins, and where the next one does
     first = F.filter(F.transform("tokens", lambda t, i: F.when((i == 0) | (t != F.try_element_at(F.col("tokens"), i)), i)), lambda i: i.isNotNull())
     a = a.withColumn("first", first)
