@@ -1,7 +1,7 @@
 """Benchmark decontamination: latent semantic retrieval, then longest-common-subsequence and answer checks.
 
 The benchmark is the stated query set. TF-IDF vectors (document frequencies from every document) of its passages and of
-a bounded sample of the documents' passages go through a distributed randomised SVD whose rank is at most half the
+all passages of all documents go through a distributed randomised SVD whose rank is at most half the
 number of benchmark passages, so that words which occur together share directions. All windows of all documents are
 projected on the right singular vectors and compared with all items by cosine. For each candidate the longest common
 subsequence of words between the item and the place in the document decides, with a stricter check that the item's
@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import MARKS, STEP_BYTES, groups_of, lean, lowered, stored, text_buffer, unused, words_of
+from .common import MARKS, STEP_BYTES, give_back, groups_of, lean, lowered, stored, text_buffer, unused, words_of
 
 #: Buckets of document frequencies.
 BUCKETS = 1 << 18
 #: Rank of a basis at most, and passages of the benchmark that one scan of the documents carries, about.
 RANK, SCAN_ITEMS = 100, 1024
-#: Passages of documents that a basis is fitted on besides the benchmark's, about (a sample; every window is searched).
-SAMPLE_PASSAGES = 4096
+#: A document weighs 1, which its passages share; all together weigh so much at most, as a large corpus must not outweigh the benchmark.
+CORPUS_WEIGHT = 4096
 #: Weight of a benchmark passage beside a document's in the decomposition.
 ITEM_WEIGHT = 3.0
 #: Words of half a window; windows overlap by half.
@@ -42,8 +42,11 @@ COMMON, MOSTLY_COMMON = 0.3, 0.6
 LEAK, VERBATIM, ANSWER = 0.6, 0.85, 0.5
 #: A long text is read in steps that overlap by so many bytes at least, and by twice the longest item of the scan.
 OVERLAP = 1 << 16
-#: Parts that the rows of the decomposition are dealt into; the driver adds their sums.
-_PARTS = 8
+#: Features in one row of a part's sums, which are added by Spark.
+_BLOCK = 512
+#: A stored word: its bucket, above it how often the passage has it, and a mark of the passage's first one.
+_TIMES, _FIRST = 18, np.uint32(1 << 31)
+_MOST_TIMES = (1 << 13) - 1
 
 
 @dataclass
@@ -126,26 +129,113 @@ def _vectors(column: pa.Array, weights: np.ndarray) -> Iterator[tuple[np.ndarray
         yield at[v > 0], (v / norm)[v > 0] if norm else v[v > 0]
 
 
+def _coded(h: np.ndarray, passage: np.ndarray) -> np.ndarray:
+    """The words of passages (numbers in ascending order) as one stored word for each different bucket of a passage."""
+    keys, n = np.unique((passage.astype(np.int64) << _TIMES) | (h & np.uint64(BUCKETS - 1)).astype(np.int64), return_counts=True)
+    out = (keys & (BUCKETS - 1)).astype(np.uint32) | (np.minimum(n, _MOST_TIMES).astype(np.uint32) << np.uint32(_TIMES))
+    own = keys >> _TIMES
+    out[np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))] |= _FIRST
+    return out
+
+
+def _documents_passages(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words as _coded(), text number of each passage) of groups of whole texts, in passages of 2 * HALF words, a text's last one shorter."""
+    raw, starts, ends = text_buffer(column)
+    blank = np.full(1, 32, np.uint8)
+    for i, j in groups_of(starts, ends, STEP_BYTES, 1024):
+        if j - i > 1:
+            s, _, h = words_of(lowered(np.concatenate([x for k in range(i, j) for x in (raw[starts[k] : ends[k]], blank)])), None, MARKS)
+            of = np.searchsorted(np.cumsum(ends[i:j] - starts[i:j] + 1), s, side="right")
+            new = (np.arange(len(h)) - np.searchsorted(of, of)) % (2 * HALF) == 0
+            if len(h):
+                yield _coded(h, np.cumsum(new)), of[new]
+            continue
+        a, end, parts = int(starts[i]), int(ends[i]), []
+        while a < end:  # steps that end with a word
+            b = min(end, a + STEP_BYTES)
+            while b < end and not MARKS[raw[b]]:
+                b += 1
+            h = words_of(lowered(raw[a:b]), None, MARKS)[2]
+            parts += [_coded(h, np.arange(len(h)) // (2 * HALF))] if len(h) else []
+            a = b
+        if parts:
+            codes = np.concatenate(parts)
+            yield codes, np.zeros(np.count_nonzero(codes & _FIRST), np.int64)
+
+
+def windows(docs: DataFrame) -> DataFrame:
+    """(share, words): all words of all documents in passages, up to 64 of one document in a row; share: 1 by the document's passages."""
+
+    @lean("decontam")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for codes, of in _documents_passages(b.column(0)):
+                cut = np.flatnonzero((np.arange(len(of)) - np.searchsorted(of, of)) % 64 == 0)
+                offsets = np.append(np.flatnonzero(codes & _FIRST)[cut], len(codes)).astype(np.int32) * np.int32(4)
+                words = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(offsets), pa.py_buffer(codes)])
+                yield pa.RecordBatch.from_arrays([pa.array(1 / np.bincount(of)[of[cut]]), words], ["share", "words"])
+
+    return docs.select("text").mapInArrow(run, "share double, words binary")
+
+
+def _encoded(passages: DataFrame) -> DataFrame:
+    """(weight, words) of (weight, text), each text one passage."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [_coded(h, np.zeros(len(h), np.int64)).tobytes() if len(h := _hashes(t or "")) else b"" for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.binary())], ["weight", "words"])
+
+    return passages.select("weight", "text").mapInArrow(run, "weight double, words binary")
+
+
+def _stored_words(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of (weight, words): buckets, times and passage of each stored word, and weight of each passage; some rows at once."""
+    raw, starts, ends = text_buffer(b.column(1))
+    weight = np.asarray(b.column(0))
+    for i, j in groups_of(starts, ends, 1 << 18, 4096):
+        codes = np.frombuffer(raw[starts[i] : ends[j - 1]].tobytes(), np.uint32)  # rows stand side by side
+        if len(codes):
+            first = (codes & _FIRST) != 0
+            row = np.repeat(np.arange(i, j), (ends[i:j] - starts[i:j]) // 4)
+            yield (codes & np.uint32(BUCKETS - 1)).astype(np.int64), ((codes & ~_FIRST) >> np.uint32(_TIMES)).astype(np.int64), np.cumsum(first) - 1, weight[row[first]]
+
+
+def _summed(table: np.ndarray, at: np.ndarray, group: np.ndarray, out: np.ndarray) -> None:
+    """Adds table[at] to the rows `group` of out; equal groups stand together. Small steps keep the gathered rows in the cache."""
+    for a in range(0, len(at), 8192):
+        g = group[a : a + 8192]
+        cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        out[g[cut]] += np.add.reduceat(table[at[a : a + 8192]], cut, axis=0)
+
+
 def randomised_svd(passages: DataFrame, weights: np.ndarray, rank: int, *, seed: int = 3, powers: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Features (buckets) and right singular vectors (features, rank) of the passages' TF-IDF matrix A.
 
-    passages: (weight, text); A has a row for each, times its weight, and never exists as a whole. In each round every
-    part of the rows returns its share of A'(A X), X orthonormal and at first random; the driver adds _PARTS such
-    tables of features x rank numbers. Features are the words of passages of weight over 1 and those that two others
-    hold. The last round's Gram matrix (A X)'(A X), summed likewise, turns X to the singular vectors. No passage, or none
-    with a word, gives no features.
+    passages: (weight, text), a passage in each row, or (weight, words) as windows() has them; A has a row for each
+    passage, of length 1 times its weight, and never exists as a whole. In each round every part of the rows works out its
+    share of A'(A X), X orthonormal and at first random; Spark adds the shares in blocks of features, so the driver gets
+    one table of features x rank numbers. Features are the words whose passages' squared weights sum to 2: those of
+    passages of weight over 1.5, and those that documents of weight 2 hold in all their passages or more documents in
+    some. As the squared weights of all documents' passages sum to CORPUS_WEIGHT at most, there are HALF * CORPUS_WEIGHT
+    features besides the benchmark's at most. The last round's Gram matrix (A X)'(A X), summed likewise, turns X to the
+    singular vectors. No passage, or none with a word, gives no features.
     """
+    rows = (passages if "words" in passages.columns else _encoded(passages)).select("weight", "words")
+    # a part's sums don't shrink with the part, so there are as many as the cores need
+    rows = rows.coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
 
+    @lean("decontam")
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(BUCKETS, np.int64)
+        seen = np.zeros(BUCKETS)
         for b in batches:
-            for w, (at, _) in zip(b.column(0).to_pylist(), _vectors(b.column(1), weights), strict=True):
-                seen[at] += 2 if w > 1 else 1
+            for at, _, passage, w in _stored_words(b):
+                seen += np.bincount(at, (w * w)[passage], BUCKETS)
+        seen[weights == 0] = 0
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["k", "n"])
 
-    rows = passages.select("weight", "text")
-    got = rows.mapInArrow(present, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).where("n >= 2").toArrow()
+    got = rows.mapInArrow(present, "k bigint, n double").groupBy("k").agg(F.sum("n").alias("n")).where("n >= 1.999999").toArrow()
     features = np.sort(np.asarray(got["k"], dtype=np.int64))
     rank = min(rank, len(features))
     if not rank:
@@ -153,23 +243,48 @@ def randomised_svd(passages: DataFrame, weights: np.ndarray, rank: int, *, seed:
     x = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(features), min(rank + 8, len(features)))))[0].astype(np.float32)
 
     def shares(x: np.ndarray, gram: bool) -> np.ndarray:
+        own = weights[features].astype(np.float32)[:, None]
+
+        @lean("decontam")
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros((x.shape[1], x.shape[1]) if gram else x.shape, np.float64 if gram else np.float32)
+            place = np.full(BUCKETS, -1, np.int64)
+            place[features] = np.arange(len(features))
+            table, square = x * own, weights * weights
+            out = np.zeros((x.shape[1], x.shape[1]) if gram else x.shape)
             for b in batches:
-                for w, (at, v) in zip(b.column(0).to_pylist(), _vectors(b.column(1), weights), strict=True):
-                    p = np.searchsorted(features, at)
-                    ok = features[np.minimum(p, len(features) - 1)] == at
-                    p, v = p[ok], (w * v[ok]).astype(np.float32)
-                    y = v @ x[p]
+                for at, times, passage, w in _stored_words(b):
+                    norm = np.sqrt(np.bincount(passage, times * times * square[at], len(w)))
+                    scale = np.divide(w, norm, out=np.zeros(len(w)), where=norm > 0).astype(np.float32)[:, None]
+                    p = place[at]
+                    ok = p >= 0
+                    p, passage, times = p[ok], passage[ok], times[ok]
+                    if times.max(initial=1) > 1:
+                        p, passage = np.repeat(p, times), np.repeat(passage, times)
+                    y = np.zeros((len(w), x.shape[1]), np.float32)
+                    _summed(table, p, passage, y)
+                    y *= scale
                     if gram:
-                        out += np.outer(y, y)
-                    else:
-                        out[p] += np.outer(v, y)
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.large_binary())], ["y"])
+                        out += y.T @ y
+                        continue
+                    y *= scale
+                    order = np.argsort(p, kind="stable")
+                    _summed(y, passage[order], p[order], out)
+            if not gram:
+                out *= own
+            step = len(out) if gram else _BLOCK
+            blocks = [out[a : a + step].astype(np.float64 if gram else np.float32).tobytes() for a in range(0, len(out), step)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], ["k", "y"])
+
+        kind = np.float64 if gram else np.float32
+
+        def added(group: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(y.as_py(), kind).astype(np.float64) for y in group["y"])
+            return pa.table({"k": group["k"][:1], "y": pa.array([total.astype(kind).tobytes()], pa.binary())})
 
         total = np.zeros((x.shape[1], x.shape[1]) if gram else x.shape)
-        for r in rows.mapInArrow(run, "y binary").toLocalIterator():
-            total += np.frombuffer(r["y"], np.float64 if gram else np.float32).reshape(total.shape)
+        step = len(total) if gram else _BLOCK
+        for r in rows.mapInArrow(run, "k int, y binary").groupBy("k").applyInArrow(added, "k int, y binary").collect():
+            total[r["k"] * step : (r["k"] + 1) * step] = np.frombuffer(r["y"], kind).reshape(-1, x.shape[1])
         return total
 
     for _ in range(powers):
@@ -188,24 +303,6 @@ def _passages(text: str) -> list[str]:
     return [text, *(raw[starts[k] : ends[k + 2 * HALF - 1]].decode("utf-8", "replace") for k in at)]
 
 
-def _sampled(docs: DataFrame, n: int) -> DataFrame:
-    """(weight, text): one window of about SAMPLE_PASSAGES documents, drawn by a fixed seed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for text in b.column(0).to_pylist():
-                raw = text.encode()
-                starts, ends, h = words_of(lowered(np.frombuffer(raw, np.uint8)), None, MARKS)
-                if len(starts):
-                    at = int(h.sum(dtype=np.uint64) % np.uint64(max(1, len(starts) - 2 * HALF)))
-                    out.append(raw[starts[at] : ends[min(len(ends), at + 2 * HALF) - 1]].decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([pa.array([1.0] * len(out), pa.float64()), pa.array(out, pa.string())], ["weight", "text"])
-
-    some = docs.select("text").where("text IS NOT NULL").sample(min(1.0, SAMPLE_PASSAGES / max(1, n)), seed=5)
-    return some.mapInArrow(run, "weight double, text string")
-
-
 def fit(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK) -> Iterator[Model]:
     """The models of the scans that the benchmark needs, one after another, each of about SCAN_ITEMS passages.
 
@@ -221,15 +318,16 @@ def fit(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK) -> Iterator[
         return
     frequency, n = document_frequencies(docs)
     share, idf = frequency / max(1, n), np.log1p((n + 1) / (1 + frequency))
-    sample = stored(_sampled(docs, n), "passages")
+    corpus = stored(windows(docs), "passages")  # each is read several times for each scan
+    corpus = corpus.select(F.sqrt(F.col("share") * min(1.0, CORPUS_WEIGHT / max(1, n))).alias("weight"), "words")
     scans = -(-total // SCAN_ITEMS)
     for k in range(scans):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(scans)) == k).collect()
         if own:
-            yield _model(sorted(((r["item_id"], r["text"]) for r in own), key=lambda x: (x[0] is not None, 0 if x[0] is None else x[0], x[1])), sample, share, idf, rank, benchmark.schema["item_id"].dataType)
+            yield _model(sorted(((r["item_id"], r["text"]) for r in own), key=lambda x: (x[0] is not None, 0 if x[0] is None else x[0], x[1])), corpus, share, idf, rank, benchmark.schema["item_id"].dataType)
 
 
-def _model(items: list[tuple], sample: DataFrame, share: np.ndarray, idf: np.ndarray, rank: int, id_type: T.DataType) -> Model:
+def _model(items: list[tuple], corpus: DataFrame, share: np.ndarray, idf: np.ndarray, rank: int, id_type: T.DataType) -> Model:
     bucket = lambda h: (h & np.uint64(BUCKETS - 1)).astype(np.int64)
     hashes = [_hashes(t) for _, t in items]
     weights = np.where(share > COMMON, 0, idf)
@@ -239,8 +337,8 @@ def _model(items: list[tuple], sample: DataFrame, share: np.ndarray, idf: np.nda
             weights[at] = idf[at]
     texts = [(k, x) for k, (_, t) in enumerate(items) for x in _passages(t)]
     table = pa.table({"weight": pa.array([ITEM_WEIGHT] * len(texts)), "text": pa.array([x for _, x in texts], pa.string())})
-    # one scan's passages, already here, join the sample as a small table that the rounds share
-    rows = stored(sample.sparkSession.createDataFrame(table).unionByName(sample).repartition(_PARTS), "rows")
+    # one scan's passages, already here, join the corpus as a small table
+    rows = _encoded(corpus.sparkSession.createDataFrame(table)).unionByName(corpus)
     features, basis = randomised_svd(rows, weights, max(1, min(rank, len(texts) // 2)))
     place = np.full(BUCKETS, len(features), np.int32)
     place[features] = np.arange(len(features))
@@ -258,6 +356,7 @@ def _model(items: list[tuple], sample: DataFrame, share: np.ndarray, idf: np.nda
         at, n = np.unique(kinds[bucket(h)], return_counts=True)
         holds[at, k] = np.minimum(n, 255)
     full = np.vstack([basis * weights[features, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
+    give_back()  # the driver keeps nothing of the decomposition but the model
     answers = [_answer_at(t, len(h)) for (_, t), h in zip(items, hashes, strict=True)]
     return Model(weights.astype(np.float32), place, full, latent, captured, np.array([k for k, _ in texts]), [i for i, _ in items], hashes, answers, kinds, holds, 2 * max(len(t.encode()) for _, t in items), id_type)
 

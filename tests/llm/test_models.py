@@ -448,3 +448,41 @@ def test_leaks_of_items_of_any_id_and_length(spark):
     got = sorted((r.doc_id, x.item_id) for r in decontam.search(docs, decontam.fit(docs, bench)).collect() for x in r["__leaks"])
     assert got == [(1, "q-1"), (3, "")]
     assert sorted(r.doc_id for r in decontam.clean(docs, bench).collect()) == [2]
+
+
+def test_basis_is_fitted_on_all_passages(spark, monkeypatch):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(150)]
+    texts = [" ".join(rng.choice(words[n % 5 * 30 :][:40]) for _ in range(rng.choice([0, 5, 32, 33, 200]))) for n in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    items = [" ".join(rng.choice(words) for _ in range(20)) for _ in range(12)]
+    monkeypatch.setattr(decontam, "CORPUS_WEIGHT", 100)
+    seen = {}
+    real = decontam.randomised_svd
+    monkeypatch.setattr(decontam, "randomised_svd", lambda rows, *a: seen.setdefault("svd", (a[0], *real(rows, *a)))[1:])
+    next(decontam.fit(docs, spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")))
+    weights, feats, basis = seen["svd"]
+    passages = [(" ".join(w[k : k + 32]), (100 / 150 / -(-len(w) // 32)) ** 0.5) for w in (t.split() for t in texts) for k in range(0, len(w), 32)]
+    assert len(passages) > 300  # a document weighs 1 and all of them 100, whatever their length
+    a = np.vstack([3 * dense(items, weights, feats), np.array([[w] for _, w in passages]) * dense([t for t, _ in passages], weights, feats)])
+    best = (np.linalg.svd(a)[1][: basis.shape[1]] ** 2).sum()
+    assert 0.97 * best <= ((a @ basis) ** 2).sum() <= best * 1.0001
+    # the last Gram matrix is that of all passages: the directions stand in its order and don't mix
+    gram = (a @ basis).T @ (a @ basis)
+    assert np.abs(gram - np.diag(np.diag(gram))).max() < 1e-4 * gram.max()
+
+
+def test_passages_hold_every_word_once(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "STEP_BYTES", 1000)  # a long text comes in steps, which begin new windows
+    texts = [None, "", "a b a", " ".join(f"w{k % 70}" for k in range(2000)), "x" * 5000 + " y", " ".join(["z"] * 40)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    found, total = np.zeros(decontam.BUCKETS, np.int64), 0.0
+    for r in decontam.windows(docs).collect():
+        codes = np.frombuffer(r.words, np.uint32)
+        assert codes[0] & decontam._FIRST and ((codes & decontam._FIRST) != 0).sum() <= 64
+        total += r.share * ((codes & decontam._FIRST) != 0).sum()
+        np.add.at(found, codes & np.uint32(decontam.BUCKETS - 1), (codes & ~decontam._FIRST) >> np.uint32(18))
+    want = np.zeros(decontam.BUCKETS, np.int64)
+    for t in texts:
+        np.add.at(want, (decontam._hashes(t or "") & np.uint64(decontam.BUCKETS - 1)).astype(np.int64), 1)
+    assert (found == want).all() and abs(total - 4) < 1e-9  # a document with words weighs 1
