@@ -8,9 +8,11 @@ weights over words and word beginnings, fitted on a bounded labelled sample, sco
 
 from __future__ import annotations
 
+import functools
 import math
 import os
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import STEP_BYTES, groups_of, kept_names, lean, sampled_texts, text_buffer, unused
+from .common import STEP_BYTES, groups_of, kept_names, lean, on_other_work, sampled_texts, text_buffer, unused
 
 #: Labelled rows that the word weights are fitted on at most; see also common.SAMPLE_BYTES.
 SAMPLE_ROWS = 9_000
@@ -47,6 +49,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 _MIX = "".join(LEET)
 _SINGLE = r"(?!_)[\w" + re.escape("".join(c for c in LEET if not c.isdigit())) + "]"
 _SPACED = re.compile(rf"(?<!\w){_SINGLE}(?:[ .\-_*~]{{1,2}}{_SINGLE}){{2,}}(?!\w)")
+# Every match of _SPACED holds one of these from its second character on; texts without one are seen more quickly.
+_SPACED_PART = re.compile(rf"[ .\-_*~]{_SINGLE}[ .\-_*~]{{1,2}}{_SINGLE}(?:[ .\-_*~]|(?!\w))")
 _RUN = re.compile(r"\w+")
 _LOOKALIKE = re.compile("[" + "".join(LOOKALIKES) + "]")
 _LATIN = re.compile("[a-z]")
@@ -114,6 +118,22 @@ def options_of(c: str, n: int) -> list[tuple[str, float]]:
     return out or [("", DROPPED * 2)]
 
 
+@functools.lru_cache(maxsize=4096)
+def _coded(c: str, n: int) -> tuple[tuple[str, float, tuple[int, ...]], ...]:
+    """options_of() with the classes of the letters."""
+    return tuple((letters, cost, tuple(int(_CLASS[ord(ch)]) if ord(ch) < 0x180 else 0 for ch in letters)) for letters, cost in options_of(c, n))
+
+
+#: The last character model and its numbers as a list, which Python reads faster than an array.
+_LISTED: list = [None, []]
+
+
+def _listed(lm: np.ndarray) -> list[float]:
+    if _LISTED[0] is not lm:
+        _LISTED[:] = lm, lm.ravel().tolist()
+    return _LISTED[1]
+
+
 def decode(piece: str, lm: np.ndarray, parted: bool = False) -> str:
     """The likeliest letters behind a lower-case piece. Ties take the alphabetically first string.
 
@@ -126,62 +146,95 @@ def decode(piece: str, lm: np.ndarray, parted: bool = False) -> str:
             runs[-1] = (c, runs[-1][1] + 1)
         else:
             runs.append((c, 1))
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    p_of = _listed(lm)
+    # a state is the classes of the last two letters, a * _CLASSES + b
+    states: dict[int, tuple[float, str]] = {0: (0.0, "")}
     fixed: list[str] = []
     for i, (c, n) in enumerate(runs):
         if i % _FIXED == _FIXED - 1:
             fixed.append(os.path.commonprefix([x for _, x in states.values()]))
             states = {k: (p, x[len(fixed[-1]) :]) for k, (p, x) in states.items()}
-        options = options_of(c, n)
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (p, s) in states.items():
-            for letters, cost in options:
-                x, y, q = a, b, p + cost
-                for ch in letters:
-                    k = int(_CLASS[ord(ch)]) if ord(ch) < 0x180 else 0
-                    q += float(lm[x, y, k])
-                    x, y = y, k
-                new = (q, s + letters)
-                old = after.get((x, y))
-                if old is None or (-new[0], new[1]) < (-old[0], old[1]):
-                    after[x, y] = new
+        options = _coded(c, n)
+        after: dict[int, tuple[float, str]] = {}
+        for ab, (p, s) in states.items():
+            for letters, cost, codes in options:
+                xy, q = ab, p + cost
+                for k in codes:
+                    q += p_of[xy * _CLASSES + k]
+                    xy = xy % _CLASSES * _CLASSES + k
+                old = after.get(xy)
+                if old is None or q > old[0] or (q == old[0] and s + letters < old[1]):
+                    after[xy] = (q, s + letters)
             if parted and c in SEPARATORS:
-                new = (p + PARTED + float(lm[a, b, 0]), s + " ")
-                old = after.get((0, 0))
-                if old is None or (-new[0], new[1]) < (-old[0], old[1]):
-                    after[0, 0] = new
+                q = p + PARTED + p_of[ab * _CLASSES]
+                old = after.get(0)
+                if old is None or q > old[0] or (q == old[0] and s + " " < old[1]):
+                    after[0] = (q, s + " ")
         states = after
-    best = min(((-(p + float(lm[a, b, 0])), s) for (a, b), (p, s) in states.items()), default=(0, ""))
+    best = min(((-(p + p_of[ab * _CLASSES]), s) for ab, (p, s) in states.items()), default=(0, ""))
     return "".join(fixed) + best[1]
 
 
-def restored(text: str, lm: np.ndarray, cache: dict[str, str], spaced: bool = True, tripled: bool = True) -> set[str]:
-    """The words that decoding finds in the suspicious pieces of a text: mixed, stretched and spaced-out ones, whatever their length."""
+#: Words or pieces that a memory holds at most; then it begins anew.
+_KNOWN_MOST = 200_000
+
+
+@dataclass
+class Known:
+    """What has been found of words and tokens; it holds in whatever text they stand, for one model."""
+
+    pieces: dict[str, tuple[str, ...]] = field(default_factory=dict)  # restored words of a piece
+    plain: set[str] = field(default_factory=set)  # words that aren't suspicious
+    calm: set[str] = field(default_factory=set)  # tokens between blanks that aren't
+    weightless: set[str] = field(default_factory=set)  # words that add nothing to a score
+
+
+def _remember(known: set[str], x: str) -> None:
+    if len(x) <= 120:
+        if len(known) >= _KNOWN_MOST:
+            known.clear()
+        known.add(x)
+
+
+def restored(text: str, lm: np.ndarray, cache: dict[str, tuple[str, ...]], spaced: bool = True, tripled: bool = True, *, words: set[str] | None = None, known: Known | None = None) -> set[str]:
+    """The words that decoding finds in the suspicious pieces of a text: mixed, stretched and spaced-out ones, whatever their length.
+
+    words: those of the text, if they are there already; known: what earlier texts have shown.
+    """
     low = text.lower()
-    pieces = []
-    for w in {w for w in low.split() if not w.isalpha()}:
-        core = w.strip(_ENDS) if w[:1] not in "@$!|" else w.rstrip(_ENDS)
+    words = set(_WORD.findall(low)) if words is None else words
+    known = Known() if known is None else known
+    pieces, stretched = [], False
+    for w in set(low.split()) - known.calm:
+        core = w if w.isalpha() else w.strip(_ENDS) if w[:1] not in "@$!|" else w.rstrip(_ENDS)
         if 3 <= len(core) and not core.isalpha() and any(c.isalpha() for c in core) and any(c in _MIX or c in SEPARATORS for c in core):
             pieces.append(core)
-    if tripled:
+        else:
+            _remember(known.calm, w)
+    for w in words - known.plain:
+        if _DOUBLE.search(w):
+            pieces.append(w)
+            stretched = stretched or bool(_TRIPLE.search(w))
+        elif _LOOKALIKE.search(w) and _LATIN.search(w):
+            pieces.append(w)
+        else:
+            _remember(known.plain, w)
+    if tripled and stretched:
         pieces += [w for w in set(_RUN.findall(low)) if _TRIPLE.search(w)]
-    if spaced:
+    if spaced and _SPACED_PART.search(low):
         pieces += [m.group(0) for m in _SPACED.finditer(low) if any(c.isalpha() for c in m.group(0))]
-    pieces += [w for w in set(_WORD.findall(low)) if _DOUBLE.search(w)]
-    if _LOOKALIKE.search(low):
-        pieces += [w for w in set(_WORD.findall(low)) if _LOOKALIKE.search(w) and _LATIN.search(w)]
     out: set[str] = set()
     for p in pieces:
         got = cache.get(p)
         if got is None:
-            got = decode(p, lm)
+            got = tuple(decode(p, lm).split())
             if not p.isalpha():  # both readings, as one long word or as several
-                got = " ".join({got, *decode(p, lm, True).split()})
+                got = tuple({*got, *decode(p, lm, True).split()})
             if len(p) <= 120:
-                if len(cache) > 200_000:
+                if len(cache) >= _KNOWN_MOST:
                     cache.clear()
                 cache[p] = got
-        out.update(got.split())
+        out.update(got)
     return out
 
 
@@ -205,13 +258,13 @@ def features(words: set[str]) -> set[str]:
 
 def train(samples: list[tuple[str, int]], lm: np.ndarray, *, steps: int = 200) -> Model:
     """Non-negative sparse logistic regression; copies of a text count once. One class only: no word gets a weight."""
-    cache: dict[str, str] = {}
+    known = Known()
     samples = sorted(dict(reversed(samples)).items())
     n1 = sum(y for _, y in samples)
     n0 = len(samples) - n1
     if not n1 or not n0:
         return Model(lm, {}, 3.0 if n1 else -3.0)
-    found = lambda t: features(set(_WORD.findall(t.lower())) | restored(t, lm, cache))
+    found = lambda t: features((words := set(_WORD.findall(t.lower()))) | restored(t, lm, known.pieces, words=words, known=known))
     seen: dict[str, int] = {}
     for t, y in samples:
         if y:
@@ -284,6 +337,11 @@ def suspects(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return triple, spaced
 
 
+#: What this worker knows of one model's words, from task to task: the model's key and its Known.
+_MEMORY: dict[str, Known] = {}
+on_other_work("toxicity", _MEMORY.clear)
+
+
 def score(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
     """The kept columns of docs with __score (0 to 1) and __predicted; no shuffle, every row stays.
 
@@ -292,22 +350,28 @@ def score(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",),
     """
     keep = kept_names(keep, "__score", "__predicted")
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("__score", T.DoubleType()), T.StructField("__predicted", T.IntegerType())])
-    width = len(keep)
+    width, key = len(keep), uuid.uuid4().hex
 
     @lean("toxicity")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, str] = {}
-        plain = frozenset(x for x in model.weights if x[0] != "^")
-        heads = {x[1:]: v for x, v in model.weights.items() if x[0] == "^"}
-        fours, fives = frozenset(x for x in heads if len(x) == 4), frozenset(x for x in heads if len(x) == 5)
+        if key not in _MEMORY:
+            _MEMORY.clear()
+            _MEMORY[key] = Known()
+        known = _MEMORY[key]
+        weights = model.weights
         for b in batches:
             out = np.zeros(b.num_rows)
             for i, value in enumerate(b.column(width)):
                 t = value.as_py() or ""
                 words = set(_WORD.findall(t.lower()))
-                words |= restored(t, model.lm, cache)
-                z = model.bias + sum(model.weights[x] for x in plain & words)
-                z += sum(heads[x] for x in fours & {x[:4] for x in words if len(x) > 4}) + sum(heads[x] for x in fives & {x[:5] for x in words if len(x) > 5})
+                words |= restored(t, model.lm, known.pieces, words=words, known=known)
+                own: set[str] = set()  # the features that have a weight
+                for x in words - known.weightless:
+                    some = {f for f in (x, "^" + x[:4] if len(x) > 4 else "", "^" + x[:5] if len(x) > 5 else "") if f in weights}
+                    own |= some
+                    if not some:
+                        _remember(known.weightless, x)
+                z = model.bias + math.fsum(weights[f] for f in own)
                 out[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(out), pa.array((out >= threshold).astype(np.int32))], schema.names)
 

@@ -486,3 +486,23 @@ def test_passages_hold_every_word_once(spark, monkeypatch):
     for t in texts:
         np.add.at(want, (decontam._hashes(t or "") & np.uint64(decontam.BUCKETS - 1)).astype(np.int64), 1)
     assert (found == want).all() and abs(total - 4) < 1e-9  # a document with words weighs 1
+
+
+def test_known_words_and_tokens_are_looked_at_once(monkeypatch):
+    lm = np.zeros((64, 64, 64), np.float32)
+    text = "plain words, a b and m o r o n 1d10t stuuupid good (calm) 12:30"
+    known = toxicity.Known()
+    first = toxicity.restored(text, lm, known.pieces, known=known)
+    looked = []
+    real = toxicity._DOUBLE
+    monkeypatch.setattr(toxicity, "_DOUBLE", type("Seen", (), {"search": staticmethod(lambda w: looked.append(w) or real.search(w))}))
+    monkeypatch.setattr(toxicity, "decode", None)  # nothing is decoded again
+    assert toxicity.restored(text, lm, known.pieces, known=known) == first == toxicity.restored(text, lm, known.pieces, known=known)
+    assert set(looked) == {"stuuupid", "good"} and {"plain", "words,", "(calm)", "12:30"} <= known.calm
+
+
+def test_every_spaced_word_is_seen():
+    rng = random.Random(3)
+    for _ in range(20_000):
+        t = "".join(rng.choice("ab1é .-_*~$(,\n") for _ in range(rng.randint(3, 14)))
+        assert not toxicity._SPACED.search(t) or toxicity._SPACED_PART.search(t)
