@@ -99,11 +99,15 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def labelled_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """At most `rows` training ids with their label, in hash order; ids labelled both ways count as 1. (doc_id, y)"""
+def labelled(labels: DataFrame, label: str) -> DataFrame:
+    """All training ids with their label; ids labelled both ways count as 1. (doc_id, y)"""
     own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
-    own = own.groupBy("doc_id").agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
-    return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return own.groupBy("doc_id").agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
+
+
+def labelled_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """At most `rows` training ids with their label, in hash order; see labelled()."""
+    return labelled(labels, label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
 #: Bytes of labelled texts that the driver fits on at most.

@@ -8,6 +8,7 @@ import pytest
 from cairn.llm import mixing, pii, quality_rules, secrets
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 RULES = {
@@ -212,6 +213,27 @@ def test_decision_list():
     assert len(quality_rules.learn(noise, ("n_words",)).rules) <= 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_list_of_a_table_equals_the_one_of_rows_in_memory(spark, seed):
+    rng = random.Random(seed)
+    x = [(rng.choice([0.0, -1.5, rng.random(), float(rng.randint(1, 9000))]), rng.choice([0.0, rng.random() / 1000]), float(rng.randint(0, 3))) for _ in range(900)]
+    y = [int(rng.random() < (0.03 if a > 4000 or (b > 0.0004 and c >= 2) else 0.97)) for a, b, c in x]
+    fold, names = [rng.random() < 0.3 for _ in x], ("n_words", "mean_word", "repeat_share")
+    want = quality_rules.learn(list(zip(x, y, strict=True)), names, fold=fold)
+    table = spark.createDataFrame([(1 - b, f, *a) for a, b, f in zip(x, y, fold, strict=True)], "bad int, fold boolean, n_words double, mean_word double, repeat_share double").repartition(5)
+    assert len(want.rules) >= 2 and quality_rules.covering(quality_rules._Table(table, names)).rules == want.rules
+
+
+def test_list_is_fitted_on_all_labelled_documents(spark):
+    ids = spark.range(40_000).withColumnRenamed("id", "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
+    last = F.row_number().over(Window.orderBy(F.xxhash64("doc_id"), "doc_id")) > 20_000  # beyond the first 20,000 ids by hash
+    own = ids.withColumn("bad", last & (F.col("doc_id") % 2 == 0))
+    docs = own.select("doc_id", F.when(F.col("bad"), "ONE TWO THREE! FOUR! FIVE! six seven eight nine ten").otherwise("one two three four five six seven eight nine ten").alias("text"))
+    rules = quality_rules.fit(docs, own.select("doc_id", (~F.col("bad")).cast("int").alias("quality")))
+    assert {r["__kept"] for r in quality_rules.verdicts(docs.where("text LIKE 'ONE%'"), rules).collect()} == {False}
+    assert {r["__kept"] for r in quality_rules.verdicts(docs.where("text LIKE 'one%'"), rules).collect()} == {True}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.one_of(st.none(), st.text("abc", max_size=3)), st.floats(0.001, 100), min_size=1, max_size=12), st.integers(1, 4))
 def test_schedule_deviates_less_than_a_block_from_the_targets(weights, scale):
