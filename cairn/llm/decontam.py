@@ -47,6 +47,8 @@ _BLOCK = 512
 #: A stored word: its bucket, above it how often the passage has it, and a mark of the passage's first one.
 _TIMES, _FIRST = 18, np.uint32(1 << 31)
 _MOST_TIMES = (1 << 13) - 1
+#: Rows that are summed at once, and rows that are gathered at once; powers of two.
+_PIECE, _GATHERED = 32, 2048
 
 
 @dataclass
@@ -193,7 +195,7 @@ def _stored_words(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, n
     """Of (weight, words): buckets, times and passage of each stored word, and weight of each passage; some rows at once."""
     raw, starts, ends = text_buffer(b.column(1))
     weight = np.asarray(b.column(0))
-    for i, j in groups_of(starts, ends, 1 << 18, 4096):
+    for i, j in groups_of(starts, ends, 1 << 20, 4096):
         codes = np.frombuffer(raw[starts[i] : ends[j - 1]].tobytes(), np.uint32)  # rows stand side by side
         if len(codes):
             first = (codes & _FIRST) != 0
@@ -202,11 +204,40 @@ def _stored_words(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, n
 
 
 def _summed(table: np.ndarray, at: np.ndarray, group: np.ndarray, out: np.ndarray) -> None:
-    """Adds table[at] to the rows `group` of out; equal groups stand together. Small steps keep the gathered rows in the cache."""
-    for a in range(0, len(at), 8192):
-        g = group[a : a + 8192]
-        cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        out[g[cut]] += np.add.reduceat(table[at[a : a + 8192]], cut, axis=0)
+    """Adds table[at] to the rows `group` of out; equal groups stand together. The last row of table is 0."""
+    if not len(at):
+        return
+    cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    size, own = np.diff(np.append(cut, len(at))), group[cut]
+    large = np.flatnonzero(size > _PIECE)
+    if len(large):  # in pieces, whose sums are summed
+        n = -(-size[large] // _PIECE)
+        piece = np.arange(n.sum())
+        of, skip = np.repeat(large, n), (piece - np.repeat(np.cumsum(n) - n, n)) * _PIECE
+        parts = np.zeros((len(piece) + 1, table.shape[1]), table.dtype)
+        _gathered(table, at, cut[of] + skip, np.minimum(_PIECE, size[of] - skip), piece, parts)
+        _summed(parts, piece, own[of], out)
+    small = size <= _PIECE
+    _gathered(table, at, cut[small], size[small], own[small], out)
+
+
+def _gathered(table: np.ndarray, at: np.ndarray, start: np.ndarray, size: np.ndarray, group: np.ndarray, out: np.ndarray) -> None:
+    """_summed() of groups of _PIECE rows at most: at[start] and the size - 1 after it; no group occurs twice.
+
+    Groups are filled up to a power of two with the last row of table, as equal groups are summed at once; small steps
+    keep the gathered rows in the cache.
+    """
+    buffer = np.empty((_GATHERED, table.shape[1]), table.dtype)
+    width = 1
+    while width <= _PIECE:
+        some = np.flatnonzero((size <= width) & (2 * size > width))
+        inside, step = np.arange(width), _GATHERED // width
+        for a in range(0, len(some), step):
+            k = some[a : a + step]
+            rows = np.where(inside < size[k, None], at[np.minimum(start[k, None] + inside, len(at) - 1)], len(table) - 1).ravel()
+            got = np.take(table, rows, axis=0, out=buffer[: len(rows)], mode="clip")
+            out[group[k]] += got if width == 1 else np.matmul(np.ones((1, width), table.dtype), got.reshape(len(k), width, table.shape[1]))[:, 0]
+        width *= 2
 
 
 def randomised_svd(passages: DataFrame, weights: np.ndarray, rank: int, *, seed: int = 3, powers: int = 3) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +280,7 @@ def randomised_svd(passages: DataFrame, weights: np.ndarray, rank: int, *, seed:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place = np.full(BUCKETS, -1, np.int64)
             place[features] = np.arange(len(features))
-            table, square = x * own, weights * weights
+            table, square = np.vstack([x * own, np.zeros((1, x.shape[1]), np.float32)]), weights * weights
             out = np.zeros((x.shape[1], x.shape[1]) if gram else x.shape)
             for b in batches:
                 for at, times, passage, w in _stored_words(b):
@@ -260,14 +291,14 @@ def randomised_svd(passages: DataFrame, weights: np.ndarray, rank: int, *, seed:
                     p, passage, times = p[ok], passage[ok], times[ok]
                     if times.max(initial=1) > 1:
                         p, passage = np.repeat(p, times), np.repeat(passage, times)
-                    y = np.zeros((len(w), x.shape[1]), np.float32)
+                    y = np.zeros((len(w) + 1, x.shape[1]), np.float32)
                     _summed(table, p, passage, y)
-                    y *= scale
+                    y[:-1] *= scale
                     if gram:
                         out += y.T @ y
                         continue
-                    y *= scale
-                    order = np.argsort(p, kind="stable")
+                    y[:-1] *= scale
+                    order = np.argsort(p.astype(np.uint16) if len(features) <= 1 << 16 else p, kind="stable")  # short numbers sort faster
                     _summed(y, passage[order], p[order], out)
             if not gram:
                 out *= own
@@ -458,10 +489,7 @@ def candidates(h: np.ndarray, of: np.ndarray, count: np.ndarray, model: Model, *
     norm = np.sqrt(np.maximum(norm, 1e-9)).astype(np.float32)
     row = model.rows[bucket]
     z = np.zeros((n_half, model.basis.shape[1]), np.float32)
-    cuts = np.flatnonzero(np.concatenate([[True], half[1:] != half[:-1]])) if len(half) else np.zeros(0, np.int64)
-    for a in range(0, len(cuts), 512):  # small steps keep the gathered rows in the cache
-        lo, hi = cuts[a], cuts[a + 512] if a + 512 < len(cuts) else len(half)
-        z[half[cuts[a : a + 512]]] = np.add.reduceat(model.basis[row[lo:hi]], cuts[a : a + 512] - lo, axis=0)
+    _summed(model.basis, row, half, z)
     x = z.copy()
     x[:-1][follows[:-1]] += z[1:][follows[:-1]]
     x /= norm[:, None]
