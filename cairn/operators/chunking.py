@@ -69,9 +69,15 @@ def chunk_texts(text: Column, target: int = 350, overlap: int = 50) -> Column:
     return F.aggregate(units, empty, step, finish)
 
 
-def chunk_documents(docs: DataFrame, target: int = 350, overlap: int = 50) -> DataFrame:
-    """One row for each chunk: all columns of docs, with id the chunk's, document_id and ordinal (from 0)."""
-    a = docs.select("*", F.posexplode(chunk_texts(F.col("text"), target, overlap)).alias("ordinal", "__chunk"))
+def chunk_documents(docs: DataFrame, target: int | None = 350, overlap: int = 50) -> DataFrame:
+    """One row for each chunk: all columns of docs, with id the chunk's, document_id and ordinal (from 0).
+
+    target None: each document is one chunk, its text as it is, however long, and blank or null (an empty text) too.
+    """
+    if target is None:
+        a = docs.select("*", F.lit(0).alias("ordinal"), F.coalesce("text", F.lit("")).alias("__chunk"))
+    else:
+        a = docs.select("*", F.posexplode(chunk_texts(F.col("text"), target, overlap)).alias("ordinal", "__chunk"))
     keep = [c for c in docs.columns if c not in ("id", "text")]
     own = stable_id(F.col("id"), F.col("ordinal"), F.col("__chunk"))
     return a.select(own.alias("id"), F.col("id").alias("document_id"), F.col("__chunk").alias("text"), *keep, "ordinal")

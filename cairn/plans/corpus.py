@@ -173,11 +173,11 @@ def vector_norms(spark, d):
 
 
 def built_index(spark, d):
-    """An index of all documents, one chunk each: its configuration."""
+    """An index of all documents, one chunk each, blank ones too: its configuration."""
     a = as_documents(_documents(spark, d))
     path = _own(spark, "index")
     os.makedirs(os.path.dirname(path), exist_ok=True)
-    c = index.build(a, path, embed.HashingEmbedder(8), target=1_000_000, overlap=0, country="america", content_mode="native")
+    c = index.build(a, path, embed.HashingEmbedder(8), target=None, country="america", content_mode="native")
     index.check_index(c, "america", "native")
     return spark.createDataFrame([(c["chunks"], c["excluded_chunks"], c["integrity"]["embedding_rows"], c["integrity"]["embedding_dimensions"], c["integrity"]["lexical_rows"], c["country"], "|".join(c["languages"]))], "chunks bigint, excluded bigint, vectors bigint, dimensions bigint, lexical_rows bigint, country string, languages string")
 

@@ -1,10 +1,13 @@
 import json
 import os
 
+import duckdb
 import pytest
 from cairn.files import Files
 from cairn.operators import derive, index
+from cairn.operators.chunking import chunk_documents
 from cairn.operators.embed import HashingEmbedder
+from cairn.plans import corpus
 from cairn.schemas import as_documents
 from cairn.streaming.incremental import chunk_stream, derive_stream, document_stream
 from pyspark.sql import functions as F
@@ -42,6 +45,19 @@ def test_build_guard_promote(spark, tmp_path):
     assert index.open_index(spark, path, "spain")[0].count() == 4
 
 
+def test_whole_documents_are_indexed_as_sql_counts_them(spark, tmp_path):
+    texts = ["", " ", "\n\n", "one\n\ntwo", "to be continued", " \t\n", "To be continued.\n\nx", "!", "w " * 1_000_001]
+    rows = [(k, t, "deen"[k % 2 * 2 :][:2], "s") for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus.built_index(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(corpus.ORACLE["built_index"])
+    assert got.columns == want.columns and [tuple(r) for r in got.collect()] == want.fetchall() == [(7, 2, 7, 8, 7, "america", "de|en")]
+    kept = chunk_documents(spark.createDataFrame([(str(k), t) for k, t in enumerate([*texts[:4], None])], "id string, text string"), None)
+    assert sorted((r.document_id, r.ordinal, r.text) for r in kept.collect()) == [("0", 0, ""), ("1", 0, " "), ("2", 0, "\n\n"), ("3", 0, "one\n\ntwo"), ("4", 0, "")]
+
+
 def upper(batch):
     return [{**r, "title": r["title"].upper()} for r in reversed(batch)]
 
